@@ -30,18 +30,18 @@ def column_means(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def _guard(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _guard(stats: DataFrame, columns: Sequence[str], prefix: str = "mean_") -> DataFrame:
     """Fail (at run time, lazily) when some column has no usable value while
     another has one -- the surrogate of that column cannot be computed. When
     no column has a usable value the fill is a no-op and passes."""
-    nulls = [F.col(f"mean_{c}").isNull() for c in columns]
+    nulls = [F.col(f"{prefix}{c}").isNull() for c in columns]
     any_null = nulls[0]
     all_null = nulls[0]
     for n in nulls[1:]:
         any_null = any_null | n
         all_null = all_null & n
     names = F.array_join(F.array_compact(F.array(
-        *[F.when(F.col(f"mean_{c}").isNull(), F.lit(c)) for c in columns])), ", ")
+        *[F.when(F.col(f"{prefix}{c}").isNull(), F.lit(c)) for c in columns])), ", ")
     msg = F.concat(F.lit("surrogate cannot be computed. All the values in "), names,
                    F.lit(" are Null, NaN or missing"))
     return stats.filter(F.when(any_null & ~all_null, F.raise_error(msg)).otherwise(F.lit(True)))
@@ -65,7 +65,7 @@ def impute_mean(df: DataFrame, columns: Iterable[str] = P.IMPUTE_COLUMNS,
     types = dict(df.dtypes)
     if stats is None:
         stats = column_means(df, cols, by)
-    stats = stats.select(*by, *[f"mean_{c}" for c in cols])
+    stats = stats.select(*by, *[F.col(f"mean_{c}") for c in cols])
     if mode == P.AS_WRITTEN:
         stats = _guard(stats, cols)
     if by:
@@ -75,3 +75,53 @@ def impute_mean(df: DataFrame, columns: Iterable[str] = P.IMPUTE_COLUMNS,
     fills = {c: F.when(F.col(c).isNull(), F.col(f"mean_{c}").cast(types[c])).otherwise(F.col(c))
              for c in cols}
     return joined.withColumns(fills).select(*df.columns)
+
+
+def column_moments(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
+                   by: Sequence[str] = ()) -> DataFrame:
+    """One pass of per-column moments: usable count `n_<c>`, mean
+    `mean_<c>`, sum of squared deviations `m2_<c>` (of non-null, non-NaN
+    values), NaN count `nan_<c>`, and the row count `n_rows`.
+
+    Enough to derive both the imputation means and the statistics of the
+    imputed columns (see ``imputed_stats``) without a second scan.
+    """
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for c in columns:
+        u = _usable(c)
+        aggs += [F.count(u).alias(f"n_{c}"), F.avg(u).alias(f"mean_{c}"),
+                 (F.var_pop(u) * F.count(u)).alias(f"m2_{c}"),
+                 F.count_if(F.isnan(F.col(c).cast("double"))).alias(f"nan_{c}")]
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+
+
+def imputed_stats(moments: DataFrame, types: dict, columns: Sequence[str],
+                  features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Means for the fill plus `mean_<f>` / `stddev_<f>` (sample) of each
+    feature *after* the fill, derived from ``column_moments``.
+
+    After filling z nulls with f (the mean, truncated for INT columns) the
+    n usable values with mean m and squared deviations M2 become n + z
+    values with mean m' = (n m + z f) / (n + z) and squared deviations
+    M2 + n (m - m')^2 + z (f - m')^2. A NaN anywhere makes both NaN, and
+    fewer than two values give a null deviation, as direct aggregation does.
+    """
+    out = [F.col(k) for k in by] + [F.col(f"mean_{c}").alias(f"fill_{c}") for c in columns]
+    for f in features:
+        n, m, m2 = F.col(f"n_{f}"), F.col(f"mean_{f}"), F.col(f"m2_{f}")
+        nan = F.col(f"nan_{f}") > 0
+        z = F.col("n_rows") - n - F.col(f"nan_{f}")
+        if f in columns:
+            fill = m.cast(types[f]).cast("double")
+            filled = F.when(m.isNotNull(), z).otherwise(F.lit(0))
+        else:
+            fill, filled = F.lit(0.0), F.lit(0)
+        cnt = n + filled
+        mean2 = (n * F.coalesce(m, F.lit(0.0)) + filled * F.coalesce(fill, F.lit(0.0))) / cnt
+        m2b = (F.coalesce(m2, F.lit(0.0)) + n * F.pow(F.coalesce(m, F.lit(0.0)) - mean2, 2)
+               + filled * F.pow(F.coalesce(fill, F.lit(0.0)) - mean2, 2))
+        nan_d = F.lit(float("nan"))
+        out.append(F.when(nan, nan_d).when(cnt > 0, mean2).alias(f"mean_{f}"))
+        out.append(F.when(nan & (cnt + F.col(f"nan_{f}") > 1), nan_d)
+                    .when(cnt > 1, F.sqrt(m2b / (cnt - 1))).alias(f"stddev_{f}"))
+    return moments.select(*out)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import rules as R
+from ..session import stage_table
 from . import aggregate, series
 
 
@@ -219,13 +220,22 @@ def qc_pressure_range(df, thr=None, mode=P.AS_WRITTEN):
 def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTEN,
               ts_col: str = "processing_timestamp", key: str = "device_id",
               date_col: str = "date", bucket_seconds: int = P.LAG_BUCKET_SECONDS,
-              slots_per_day: float = P.SLOTS_PER_DAY) -> DataFrame:
+              slots_per_day: float = P.SLOTS_PER_DAY, stage: bool = False) -> DataFrame:
     """All level-1 checks: de-duplicate on (device, time), time gap,
     negative rain to 0, pressure in hPa, range checks, temperature step,
-    daily availability and rain, and the failed / warning name lists."""
+    daily availability and rain, and the failed / warning name lists.
+
+    The de-duplicated rows feed three branches (median, bucket table, row
+    pass). Their de-duplication exchanges are identical, so adaptive
+    execution runs that shuffle once and reuses it. ``stage=True`` instead
+    writes the rows once under the checkpoint folder (a job starts here),
+    cutting the lineage so a lost executor costs a re-read, not a re-shuffle.
+    """
     P.check_mode(mode)
     d = series.parse_and_dedup(df, ts_col, key)
     d = d.withColumn("rain_gauge", R.clip_negative("rain_gauge"))
+    if stage:
+        d = stage_table(d, "qc-dedup")
     d = convert_pressure_hpa(d)
     base_cols = d.columns
     d = series.with_previous(

@@ -32,7 +32,7 @@ def imputed(readings: DataFrame, mode: str = P.AS_WRITTEN) -> DataFrame:
 
 
 def scored(readings: DataFrame, mode: str = P.AS_WRITTEN) -> DataFrame:
-    return anomaly.zscore_score(imputed(readings, mode))
+    return anomaly.impute_and_score(cleaned(readings), mode=mode)
 
 
 def daily(readings: DataFrame, mode: str = P.AS_WRITTEN) -> DataFrame:
@@ -49,7 +49,7 @@ def qc_audit(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> DataFra
 def run_batch(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> BatchOutputs:
     c = cleaned(readings)
     i = impute.impute_mean(c, mode=mode)
-    s = anomaly.zscore_score(i)
+    s = anomaly.impute_and_score(c, mode=mode)
     d = aggregate.daily_summary(s)
     q = qc.qc_level1(i if mode == P.AS_WRITTEN else c, thr=thr, mode=mode)
     return BatchOutputs(c, i, s, d, q)

@@ -41,7 +41,8 @@ def build_session(master: str | None = None, app: str = "meteoframe",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = {**SEMANTIC_CONF, **SCALE_CONF, "spark.ui.enabled": "false"}
+    conf = {**SEMANTIC_CONF, **SCALE_CONF, "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -77,3 +78,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+def stage_table(df, name: str):
+    """Write ``df`` once as parquet under the checkpoint folder and return a
+    DataFrame reading it back.
+
+    Used where one intermediate feeds several branches that Spark cannot
+    share (their column pruning differs, so exchanges are not reused): the
+    expensive lineage runs once, every branch reads only its columns, and a
+    lost executor costs a re-read of shared files, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
