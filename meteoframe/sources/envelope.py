@@ -43,14 +43,16 @@ def decode_envelope(df: DataFrame, value_col: str = "value", full: bool = False)
     return parsed.select(*cols)
 
 
-def flatten_reading(df: DataFrame, mode: str = P.AS_WRITTEN) -> DataFrame:
-    """Decoded `data` fields -> the 14-column flat reading.
+def flatten_reading(df: DataFrame, mode: str = P.AS_WRITTEN, keep: tuple = ()) -> DataFrame:
+    """Decoded `data` fields -> the 14-column flat reading (plus the
+    ``keep`` columns, passed through first).
 
     INT sensor fields uv_index, rain_gauge, wind_speed become DOUBLE; the
     others keep their type; `created_at` becomes `processing_timestamp`.
     """
     r = "reading."
     return df.select(
+        *[F.col(k) for k in keep],
         F.col("reading_id"),
         F.col("device_id"),
         F.col(r + "valid").alias("valid"),
