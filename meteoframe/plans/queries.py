@@ -121,6 +121,25 @@ def q_explode_envelope(spark, sf_dir):
                      F.col("data.reading.air_temperature").alias("air_temperature"))
 
 
+@register("raw_json_sink")
+def q_raw_json_sink(spark, sf_dir):
+    """Raw-table rows: the typed flat reading as JSON text (null fields
+    omitted). Spark's JSON text formatting has no exact SQL twin, so this
+    is a rows-only check; field values are covered by `raw_json_fields`."""
+    from ..sinks import writers
+    return writers.raw_json(_readings(spark, sf_dir))
+
+
+@register("raw_json_fields", O.sql(["readings"], """
+SELECT reading_id, air_temperature, CAST(valid AS VARCHAR) AS valid_text FROM readings"""))
+def q_raw_json_fields(spark, sf_dir):
+    from ..sinks import writers
+    raw = writers.raw_json(_readings(spark, sf_dir))
+    return raw.select(F.get_json_object("data", "$.reading_id").alias("reading_id"),
+                      F.get_json_object("data", "$.air_temperature").cast("double").alias("air_temperature"),
+                      F.get_json_object("data", "$.valid").alias("valid_text"))
+
+
 @register("raw_count", O.sql(["readings"], "SELECT count(*) AS n_rows FROM readings"))
 def q_raw_count(spark, sf_dir):
     return _readings(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -452,6 +471,29 @@ for _mode in (P.AS_WRITTEN, P.CORRECTED):
     register("qc_daily_checks" + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
 
 
+def _daily_single(name, code_fn, cols, mode):
+    codes = O.qc_exprs(mode)
+
+    def fn(spark, sf_dir):
+        d = series.daily_metrics_join(_cleaned(spark, sf_dir))
+        d = d.withColumn(name, code_fn(mode))
+        return d.select("reading_id", *cols, name)
+    sql_text = O.sql(["cleaned", "daily_metrics_clean"], f"""
+SELECT reading_id, {', '.join(cols)}, {codes[name]} AS {name}
+FROM (SELECT c.reading_id, m.daily_valid_frac, m.daily_rain_mm FROM cleaned c
+      LEFT JOIN daily_metrics_clean m ON c.device_id = m.device_id AND c.date = m.date)""")
+    return fn, sql_text
+
+
+_q, _s = _daily_single("QC_Daily_Availability", lambda m: qc.daily_availability_code(),
+                       ["daily_valid_frac"], P.AS_WRITTEN)
+register("qc_daily_availability", _s)(_q)
+for _mode in (P.AS_WRITTEN, P.CORRECTED):
+    _q, _s = _daily_single("QC_Rain_Daily", lambda m: qc.rain_daily_code(mode=m),
+                           ["daily_rain_mm"], _mode)
+    register("qc_rain_daily" + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
+
+
 _PRESSURE_SQL = """
 SELECT reading_id, CASE WHEN (SELECT median(barometric_pressure) FROM readings) > 2000
  THEN CAST(barometric_pressure AS DOUBLE) / 100.0 ELSE CAST(barometric_pressure AS DOUBLE) END AS pressure_hpa

@@ -90,7 +90,8 @@ class FanOut:
         scored = anomaly.impute_and_score(cleaned, mode=t.mode)
         clean_path = t.path("clean")
         writers.write_partitions(scored.withColumn("batch_id", F.lit(int(batch_id))),
-                                 clean_path, ["date", "batch_id"], sort_by=["device_id"])
+                                 clean_path, ["date", "batch_id"],
+                                 sort_by=["device_id", "processing_timestamp"])
 
         # 3. Daily summary of the touched dates, from the whole clean table.
         spark = batch.sparkSession

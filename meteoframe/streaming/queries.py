@@ -55,8 +55,8 @@ def stream_fanout(spark, sf_dir):
                         "date_epoch")
 
 
-STREAM_QUERIES["stream_readings"] = stream_readings
-STREAM_ORACLE["stream_readings"] = O.sql(["readings"], f"""
+STREAM_QUERIES["src_stream_readings"] = stream_readings
+STREAM_ORACLE["src_stream_readings"] = O.sql(["readings"], f"""
 SELECT {FLAT}, date_trunc('millisecond', processing_timestamp) AS processing_timestamp
 FROM readings""")
 
