@@ -220,7 +220,8 @@ def qc_pressure_range(df, thr=None, mode=P.AS_WRITTEN):
 def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTEN,
               ts_col: str = "processing_timestamp", key: str = "device_id",
               date_col: str = "date", bucket_seconds: int = P.LAG_BUCKET_SECONDS,
-              slots_per_day: float = P.SLOTS_PER_DAY, stage: bool = False) -> DataFrame:
+              slots_per_day: float = P.SLOTS_PER_DAY, stage: bool = False,
+              context: DataFrame | None = None) -> DataFrame:
     """All level-1 checks: de-duplicate on (device, time), time gap,
     negative rain to 0, pressure in hPa, range checks, temperature step,
     daily availability and rain, and the failed / warning name lists.
@@ -230,6 +231,9 @@ def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTE
     execution runs that shuffle once and reuses it. ``stage=True`` instead
     writes the rows once under the checkpoint folder (a job starts here),
     cutting the lineage so a lost executor costs a re-read, not a re-shuffle.
+    ``context`` holds earlier readings (device, date, timestamp,
+    temperature) that precede the input, so time gaps and steps continue
+    across micro-batches (see ``series.with_previous``).
     """
     P.check_mode(mode)
     d = series.parse_and_dedup(df, ts_col, key)
@@ -241,7 +245,7 @@ def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTE
     d = series.with_previous(
         d, [ts_col, "air_temperature"], ts_col, (key,), (date_col,),
         counts={"_n_ts": ts_col}, sums={"daily_rain_mm": "rain_gauge"},
-        bucket_seconds=bucket_seconds, prefix="_prev_")
+        bucket_seconds=bucket_seconds, prefix="_prev_", context=context)
     d = d.withColumns({
         "time_diff": (R.epoch_seconds(ts_col) - R.epoch_seconds(f"_prev_{ts_col}")) / F.lit(60.0),
         "tair_step": F.col("air_temperature") - F.col("_prev_air_temperature"),

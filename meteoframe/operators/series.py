@@ -68,11 +68,16 @@ def with_previous(df: DataFrame, columns: Sequence[str],
                   counts: Mapping[str, str] | None = None,
                   sums: Mapping[str, str] | None = None,
                   bucket_seconds: int = P.LAG_BUCKET_SECONDS,
-                  prefix: str = "prev_") -> DataFrame:
+                  prefix: str = "prev_", context: DataFrame | None = None) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous row of the same
     ``partition`` in timestamp order (null on the first row), equal to
     ``lag(c) over (partition by partition order by ts)``.
 
+    ``context`` rows (same key, group, timestamp and value columns) are
+    earlier readings that take part in the ordering -- e.g. each device's
+    last reading of the previous micro-batch -- but are neither returned nor
+    counted. On equal timestamps a context row sorts first.
+
     ``group`` columns (e.g. the date key) further split the work; they must
     be non-decreasing in time within a partition, as a date derived from
     the timestamp is. ``counts`` / ``sums`` map output names to columns
@@ -84,12 +89,18 @@ def with_previous(df: DataFrame, columns: Sequence[str],
     cols = list(columns)
     sec = R.epoch_seconds(ts_col)
     rows = df.withColumns({"_bkt": F.floor(sec / F.lit(int(bucket_seconds))),
-                           "_kind": F.lit(1)})
+                           "_kind": F.lit(1), "_ctx": F.lit(False)})
+    if context is not None:
+        ctx = context.select(*pkeys, *gkeys, ts_col, *[c for c in cols if c != ts_col])
+        ctx = ctx.withColumns({"_bkt": F.floor(R.epoch_seconds(ts_col) / F.lit(int(bucket_seconds))),
+                               "_kind": F.lit(1), "_ctx": F.lit(True)})
+        rows = rows.unionByName(ctx, allowMissingColumns=True)
+    own = ~F.col("_ctx")
 
     # Bucket-level table: one row per (partition, group, bucket).
     gb = pkeys + gkeys + ["_bkt"]
-    part_aggs = ([F.count(F.col(c)).alias(f"_cnt_{n}") for n, c in counts.items()]
-                 + [F.sum(F.col(c)).alias(f"_sum_{n}") for n, c in sums.items()])
+    part_aggs = ([F.count(F.when(own, F.col(c))).alias(f"_cnt_{n}") for n, c in counts.items()]
+                 + [F.sum(F.when(own, F.col(c))).alias(f"_sum_{n}") for n, c in sums.items()])
     buckets = rows.groupBy(*gb).agg(
         F.min(ts_col).alias("_t0"),
         F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.struct(F.col(ts_col))).alias("_last"),
@@ -105,19 +116,20 @@ def with_previous(df: DataFrame, columns: Sequence[str],
         for n in sums:
             carry_cols[n] = F.when(known, F.sum(f"_sum_{n}").over(whole))
     carry = buckets.withColumns(carry_cols).select(
-        *gb, F.lit(0).alias("_kind"),
+        *gb, F.lit(0).alias("_kind"), F.lit(False).alias("_ctx"),
         *[F.col(f"_carry.{c}").alias(c) for c in cols],
         *[F.col(n) for n in list(counts) + list(sums)])
 
     # One window pass: carry row first in each bucket, then readings by time.
     both = rows.unionByName(carry, allowMissingColumns=True)
-    w = Window.partitionBy(*gb).orderBy(F.col("_kind"), F.col(ts_col).asc_nulls_first())
+    w = Window.partitionBy(*gb).orderBy(F.col("_kind"), F.col(ts_col).asc_nulls_first(),
+                                        F.col("_ctx").desc())
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev = F.lag(F.struct(*[F.col(c).alias(c) for c in cols])).over(w)
     adds = {"_prev": prev}
     for n in list(counts) + list(sums):
         adds[n] = F.last(F.col(n), ignorenulls=True).over(running)
-    out = both.withColumns(adds).filter(F.col("_kind") == 1)
+    out = both.withColumns(adds).filter((F.col("_kind") == 1) & own)
     return out.select(*df.columns,
                       *[F.col(f"_prev.{c}").alias(prefix + c) for c in cols],
                       *[F.col(n) for n in list(counts) + list(sums)])

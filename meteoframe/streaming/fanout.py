@@ -8,7 +8,10 @@ Per micro-batch (``foreachBatch``) the callback writes, in order:
 3. clean rows (cleaned, imputed, scored), partitioned by (date, batch_id);
 4. the daily summary of every date the batch touched, recomputed from the
    clean table and overwriting those date partitions (an upsert);
-5. the level-1 QC audit rows.
+5. the level-1 QC audit rows; with ``carry_lag`` each device's last
+   reading is kept in a small state table (one row per device, versioned by
+   batch id) and fed to the next batch as context, so time gaps and
+   temperature steps continue across batch boundaries.
 
 Every write is keyed by batch id (or date), so a replayed batch overwrites
 its first attempt. Errors propagate: the query stops and the batch replays
@@ -40,6 +43,11 @@ class Targets:
     mode: str = P.AS_WRITTEN
     thr: dict | None = None
     quality_gate: bool = True
+    carry_lag: bool | None = None      # default: on when corrected
+
+    @property
+    def carries_lag(self) -> bool:
+        return self.mode == P.CORRECTED if self.carry_lag is None else self.carry_lag
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name) if "://" not in self.root else f"{self.root}/{name}"
@@ -107,8 +115,52 @@ class FanOut:
             src = impute.impute_mean(cleaned, mode=t.mode)
         else:
             src = cleaned
-        audit = qc.qc_level1(src, thr=t.thr, mode=t.mode)
+        ctx = self.lag_context(spark, batch_id) if t.carries_lag else None
+        audit = qc.qc_level1(src, thr=t.thr, mode=t.mode, context=ctx)
         writers.write_batch(audit, t.path("qc"), batch_id)
+        if t.carries_lag:
+            self.save_lag_state(spark, batch_id, ctx)
+
+    # ----------------------------------------------------- cross-batch lag
+
+    STATE_COLS = ("device_id", "date", "processing_timestamp", "air_temperature")
+
+    def lag_context(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        prev = latest_version_below(spark, self.t.path("lag_state"), batch_id)
+        if prev is None:
+            return None
+        return spark.read.parquet(f"{self.t.path('lag_state')}/batch_id={prev}")
+
+    def save_lag_state(self, spark: SparkSession, batch_id: int, ctx: DataFrame | None) -> None:
+        """Last reading per device after this batch (bounded: one row per
+        device), written as version ``batch_id``."""
+        mine = spark.read.parquet(f"{self.t.path('qc')}/batch_id={int(batch_id)}")
+        rows = mine.select(*self.STATE_COLS)
+        if ctx is not None:
+            rows = rows.unionByName(ctx.select(*self.STATE_COLS))
+        last = rows.groupBy("device_id").agg(F.max_by(
+            F.struct(*[F.col(c) for c in self.STATE_COLS[1:]]),
+            F.struct(F.col("processing_timestamp"))).alias("_s"))
+        writers.write_batch(last.select("device_id", "_s.*"), self.t.path("lag_state"), batch_id)
+
+
+def latest_version_below(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """Largest ``batch_id=K`` partition of ``path`` with K < ``batch_id``
+    (a directory listing, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return None
+    best = None
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            k = int(name.split("=", 1)[1])
+            if k < batch_id and (best is None or k > best):
+                best = k
+    return best
 
 
 def dedup_across_batches(flat: DataFrame, watermark: str = "1 day",

@@ -144,3 +144,20 @@ def test_kafka_options_builder():
     o = sources.kafka_options("b:9092", "topic", max_offsets_per_trigger=1000)
     assert o == {"kafka.bootstrap.servers": "b:9092", "subscribe": "topic",
                  "startingOffsets": "earliest", "maxOffsetsPerTrigger": "1000"}
+
+
+def test_corrected_stream_carries_lag_across_batches(spark):
+    readings = load_readings(spark, SF_SMALL)
+    src = _files(spark, readings, 3)
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED)
+    _run(spark, src, t)
+    got = spark.read.parquet(t.path("qc"))
+    want = pipeline.qc_audit(readings, P.CORRECTED)
+    g = {r.reading_id: (r.time_diff, r.tair_step) for r in got.collect()}
+    w = {r.reading_id: (r.time_diff, r.tair_step) for r in want.collect()}
+    assert g == w
+    # without the carry the first reading of each device in each batch loses its gap
+    t2 = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED, carry_lag=False)
+    _run(spark, src, t2)
+    g2 = {r.reading_id: r.time_diff for r in spark.read.parquet(t2.path("qc")).collect()}
+    assert sum(1 for k in g2 if g2[k] is None) > sum(1 for k in g if g[k][0] is None)
