@@ -161,3 +161,10 @@ def test_corrected_stream_carries_lag_across_batches(spark):
     _run(spark, src, t2)
     g2 = {r.reading_id: r.time_diff for r in spark.read.parquet(t2.path("qc")).collect()}
     assert sum(1 for k in g2 if g2[k] is None) > sum(1 for k in g if g[k][0] is None)
+
+
+def test_empty_batch_is_skipped(spark):
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"))
+    empty = spark.createDataFrame([], "value string")
+    fanout.FanOut(t)(sources.decode_stream(empty), 0)
+    assert not os.path.exists(t.path("raw"))
