@@ -3,8 +3,8 @@
 Table writes are keyed so a replayed micro-batch overwrites what its first
 attempt wrote instead of appending twice:
 
-* per-batch tables (raw, clean, QC audit) are partitioned by ``batch_id``
-  and written with dynamic partition overwrite;
+* per-batch tables (raw, clean, QC audit, lag state) get one
+  ``batch_id=<id>`` directory per micro-batch, replaced on replay;
 * the daily summary is partitioned by ``date``; touched dates are
   recomputed from the clean table and their partitions overwritten.
 """
@@ -60,9 +60,24 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, sort_by: Sequence[str] = ()) -> None:
-    """Write one micro-batch as partition ``batch_id=<id>`` of a table."""
-    write_partitions(df.withColumn("batch_id", F.lit(int(batch_id))), path, ["batch_id"], sort_by)
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
+                sort_by: Sequence[str] = ()) -> None:
+    """Write one micro-batch as directory ``batch_id=<id>`` of a table,
+    replacing it if a previous attempt wrote it (idempotent on replay).
+
+    The batch id lives in the path, not in the plan: a literal column would
+    change the generated code of every batch and defeat the codegen cache.
+    Reading the table root yields ``batch_id`` by partition discovery.
+    """
+    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+    out = df
+    if sort_by:
+        keys = [*partition_by, *sort_by]
+        out = df.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
+    w = out.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(target)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -5,7 +5,7 @@ Per micro-batch (``foreachBatch``) the callback writes, in order:
 1. dead-letter rows (undecodable envelope or unparsable event time,
    ``corrected`` mode) with their text;
 2. raw rows as JSON text; later steps run only after it succeeded;
-3. clean rows (cleaned, imputed, scored), partitioned by (date, batch_id);
+3. clean rows (cleaned, imputed, scored), partitioned by (batch_id, date);
 4. the daily summary of every date the batch touched, recomputed from the
    clean table and overwriting those date partitions (an upsert);
 5. the level-1 QC audit rows; with ``carry_lag`` each device's last
@@ -97,14 +97,16 @@ class FanOut:
         cleaned = clean.clean_readings(good)
         scored = anomaly.impute_and_score(cleaned, mode=t.mode)
         clean_path = t.path("clean")
-        writers.write_partitions(scored.withColumn("batch_id", F.lit(int(batch_id))),
-                                 clean_path, ["date", "batch_id"],
-                                 sort_by=["device_id", "processing_timestamp"])
+        writers.write_batch(scored, clean_path, batch_id, partition_by=["date"],
+                            sort_by=["device_id", "processing_timestamp"])
 
         # 3. Daily summary of the touched dates, from the whole clean table.
         spark = batch.sparkSession
-        touched = cleaned.select("date").distinct()
-        stored = spark.read.parquet(clean_path).withColumn("date", F.col("date").cast("string"))
+        # Join on the partition column itself so dynamic partition pruning
+        # reads only the touched dates; the touched set is bounded by the
+        # days one batch spans.
+        touched = cleaned.select(F.to_date("date").alias("date")).distinct()
+        stored = spark.read.parquet(clean_path)
         rows = stored.join(F.broadcast(touched), "date", "left_semi").drop("batch_id")
         daily = aggregate.daily_summary(rows)
         if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,12 +11,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from meteoframe.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="meteoframe-test-ckpt-")
+    from meteoframe.session import build_session, checkpoint_dir
     s = build_session("local[4]", app="meteoframe-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt,
-                             "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+                      extra={"spark.sql.adaptive.coalescePartitions.enabled": "false"})
     s.sparkContext.setLogLevel("ERROR")
+    # the session's shared folder when one is configured; a scratch one only if unset
+    checkpoint_dir(s)
     yield s
     s.stop()
 
