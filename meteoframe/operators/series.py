@@ -101,13 +101,20 @@ def with_previous(df: DataFrame, columns: Sequence[str],
     gb = pkeys + gkeys + ["_bkt"]
     part_aggs = ([F.count(F.when(own, F.col(c))).alias(f"_cnt_{n}") for n, c in counts.items()]
                  + [F.sum(F.when(own, F.col(c))).alias(f"_sum_{n}") for n, c in sums.items()])
+    # Last row of each bucket, one max_by per column over a LONG ordering
+    # key: fixed-width buffers keep this a hash aggregate (a struct buffer
+    # would force a sort of every row). A null time sorts lowest, as in the
+    # window; after de-duplication a bucket has no ties on time.
+    okey = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")),
+                      F.lit(-(2 ** 63)).cast("long"))
     buckets = rows.groupBy(*gb).agg(
         F.min(ts_col).alias("_t0"),
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.struct(F.col(ts_col))).alias("_last"),
+        *[F.max_by(F.col(c), okey).alias(f"_last_{c}") for c in cols],
         *part_aggs)
     order = Window.partitionBy(*pkeys).orderBy(F.col("_bkt").asc_nulls_first(),
                                                F.col("_t0").asc_nulls_first())
-    carry_cols = {"_carry": F.lag("_last").over(order)}
+    last = F.struct(*[F.col(f"_last_{c}").alias(c) for c in cols])
+    carry_cols = {"_carry": F.lag(last).over(order)}
     if part_aggs:
         whole = Window.partitionBy(*pkeys, *gkeys)
         known = _all_not_null(pkeys + gkeys)
