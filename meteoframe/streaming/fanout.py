@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..operators import aggregate, anomaly, clean, impute, qc, quality
+from ..operators import aggregate, anomaly, clean, qc, quality
 from ..session import checkpoint_dir
 from ..sinks import writers
 from .sources import decode_stream
@@ -108,13 +108,19 @@ class FanOut:
         touched = cleaned.select(F.to_date("date").alias("date")).distinct()
         stored = spark.read.parquet(clean_path)
         rows = stored.join(F.broadcast(touched), "date", "left_semi").drop("batch_id")
-        daily = aggregate.daily_summary(rows)
-        if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
-            writers.write_partitions(daily, t.path("daily"), ["date"])
+        daily = aggregate.daily_summary(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
+                writers.write_partitions(daily, t.path("daily"), ["date"])
+        finally:
+            daily.unpersist()
 
-        # 4. QC audit rows (imputed input as written; cleaned when corrected).
+        # 4. QC audit rows: the imputed rows just written (as written), or the
+        #    cleaned rows without imputation (corrected).
         if t.mode == P.AS_WRITTEN:
-            src = impute.impute_mean(cleaned, mode=t.mode)
+            src = (spark.read.parquet(f"{clean_path}/batch_id={int(batch_id)}")
+                   .drop("anomaly_score", "is_anomaly")
+                   .withColumn("date", F.date_format("date", P.DATE_FORMAT)))
         else:
             src = cleaned
         ctx = self.lag_context(spark, batch_id) if t.carries_lag else None
