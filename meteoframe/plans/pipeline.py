@@ -9,8 +9,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql import functions as F
+
 from .. import params as P
 from ..operators import aggregate, anomaly, clean, impute, qc
+from ..sinks import writers
 
 
 @dataclass
@@ -53,3 +56,33 @@ def run_batch(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> BatchO
     d = aggregate.daily_summary(s)
     q = qc.qc_level1(i if mode == P.AS_WRITTEN else c, thr=thr, mode=mode)
     return BatchOutputs(c, i, s, d, q)
+
+
+def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=None) -> dict:
+    """Batch job over a whole readings table: writes `clean` (cleaned,
+    imputed, scored; partitioned by date), then derives `daily` and `qc`
+    from the written clean table. Returns the table paths.
+
+    The input is read twice (one statistics pass, one row pass); the daily
+    summary and the QC chain read the written clean table (columns pruned),
+    so the lineage is cut at the first sink and nothing is recomputed.
+    """
+    spark = readings.sparkSession
+    sep = "/" if "://" in root else __import__("os").sep
+    paths = {n: root.rstrip(sep) + sep + n for n in ("clean", "daily", "qc")}
+    c = cleaned(readings)
+    scored_rows = anomaly.impute_and_score(c, mode=mode)
+    writers.write_partitions(scored_rows, paths["clean"], ["date"],
+                             sort_by=["device_id", "processing_timestamp"])
+    stored = spark.read.parquet(paths["clean"]).withColumn(
+        "date", F.date_format("date", P.DATE_FORMAT))
+    daily_rows = aggregate.daily_summary(stored)
+    writers.write_partitions(daily_rows, paths["daily"], ["date"], sort_by=["device_id"])
+    if mode == P.AS_WRITTEN:
+        qc_src = stored.drop("anomaly_score", "is_anomaly")
+    else:
+        qc_src = c
+    audit = qc.qc_level1(qc_src, thr=thr, mode=mode)
+    writers.write_partitions(audit, paths["qc"], ["date"],
+                             sort_by=["device_id", "processing_timestamp"])
+    return paths

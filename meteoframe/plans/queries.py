@@ -567,6 +567,16 @@ for _mode, _cte_name in ((P.AS_WRITTEN, O.QC_RAW), (P.CORRECTED, O.QC_RAW_CORR))
     register("qc_collect" + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
 
 
+@register("batch_tables_daily", O.sql(["daily"], f"SELECT {O.DAILY_COLS} FROM daily"))
+def q_batch_tables_daily(spark, sf_dir):
+    """The batch job: clean table written once, daily summary derived from
+    it and written; returns the daily table as stored."""
+    from ..session import scratch_path
+    paths = pipeline.write_tables(_readings(spark, sf_dir), scratch_path(spark, "tables"))
+    d = spark.read.parquet(paths["daily"]).withColumn("date", F.date_format("date", P.DATE_FORMAT))
+    return r6(d, "maxtemp_c", "mintemp_c", "avgtemp_c", "anomaly_score")
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: per device-day summary of the whole cleaned, imputed,
     scored readings table."""

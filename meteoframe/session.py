@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 # timestamp format is a literal, so the session zone decides the instant).
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # malformed event-time text raises (as written) instead of becoming null
+    "spark.sql.ansi.enabled": "true",
 }
 
 # Settings for scale: adaptive re-planning (runtime broadcast decisions that are

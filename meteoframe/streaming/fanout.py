@@ -111,7 +111,7 @@ class FanOut:
         daily = aggregate.daily_summary(rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
-                writers.write_partitions(daily, t.path("daily"), ["date"])
+                writers.write_partitions(daily, t.path("daily"), ["date"], sort_by=["device_id"])
         finally:
             daily.unpersist()
 
