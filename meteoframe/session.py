@@ -64,6 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster; "
+                               "a machine-local scratch folder would not survive executor loss")
         d = tempfile.mkdtemp(prefix="meteoframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

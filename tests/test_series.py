@@ -124,3 +124,23 @@ def test_qc_level1_modes_differ_only_where_documented(spark):
     for k in a:
         for c in same:
             assert a[k][c] == b[k][c], (k, c)
+
+
+def test_qc_level1_twice_equals_once(spark):
+    df = flat_df(spark, _random_rows(seed=21)).withColumn(
+        "date", F.date_format("processing_timestamp", "yyyy-MM-dd"))
+    once = qc.qc_level1(df)
+    again = qc.qc_level1(once.select(*df.columns))
+    key = lambda r: r.reading_id
+    assert sorted(once.collect(), key=key) == sorted(again.collect(), key=key)
+
+
+def test_qc_level1_row_order_independent(spark):
+    rows = _random_rows(seed=17)
+    a = flat_df(spark, rows).withColumn("date", F.date_format("processing_timestamp", "yyyy-MM-dd"))
+    b = flat_df(spark, list(reversed(rows))).repartition(5).withColumn(
+        "date", F.date_format("processing_timestamp", "yyyy-MM-dd"))
+    key = lambda r: r.reading_id
+    for mode in P.MODES:
+        assert sorted(qc.qc_level1(a, mode=mode).collect(), key=key) == \
+            sorted(qc.qc_level1(b, mode=mode).collect(), key=key)
