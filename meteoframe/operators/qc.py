@@ -219,7 +219,7 @@ def qc_pressure_range(df, thr=None, mode=P.AS_WRITTEN):
 
 def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTEN,
               ts_col: str = "processing_timestamp", key: str = "device_id",
-              date_col: str = "date", bucket_seconds: int = P.LAG_BUCKET_SECONDS,
+              date_col: str = "date", bucket_seconds=P.LAG_BUCKET_SECONDS,
               slots_per_day: float = P.SLOTS_PER_DAY, stage: bool = False,
               context: DataFrame | None = None) -> DataFrame:
     """All level-1 checks: de-duplicate on (device, time), time gap,

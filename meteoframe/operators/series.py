@@ -67,7 +67,7 @@ def with_previous(df: DataFrame, columns: Sequence[str],
                   group: Sequence[str] = (),
                   counts: Mapping[str, str] | None = None,
                   sums: Mapping[str, str] | None = None,
-                  bucket_seconds: int = P.LAG_BUCKET_SECONDS,
+                  bucket_seconds: int | Sequence[int] = P.LAG_BUCKET_SECONDS,
                   prefix: str = "prev_", context: DataFrame | None = None) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous row of the same
     ``partition`` in timestamp order (null on the first row), equal to
@@ -78,6 +78,12 @@ def with_previous(df: DataFrame, columns: Sequence[str],
     last reading of the previous micro-batch -- but are neither returned nor
     counted. On equal timestamps a context row sorts first.
 
+    ``bucket_seconds`` may be a sequence of widths, finest first: the
+    bucket-level table is then processed by this same algorithm with the
+    next width, so every window partition stays bounded (readings per
+    device-bucket, buckets per coarser bucket, ..., and coarsest buckets per
+    device) even for a device emitting at very high rates.
+
     ``group`` columns (e.g. the date key) further split the work; they must
     be non-decreasing in time within a partition, as a date derived from
     the timestamp is. ``counts`` / ``sums`` map output names to columns
@@ -87,12 +93,15 @@ def with_previous(df: DataFrame, columns: Sequence[str],
     counts, sums = dict(counts or {}), dict(sums or {})
     pkeys, gkeys = list(partition), list(group)
     cols = list(columns)
+    widths = ((int(bucket_seconds),) if isinstance(bucket_seconds, (int, float))
+              else tuple(int(w) for w in bucket_seconds))
+    width, coarser = widths[0], widths[1:]
     sec = R.epoch_seconds(ts_col)
-    rows = df.withColumns({"_bkt": F.floor(sec / F.lit(int(bucket_seconds))),
+    rows = df.withColumns({"_bkt": F.floor(sec / F.lit(width)),
                            "_kind": F.lit(1), "_ctx": F.lit(False)})
     if context is not None:
         ctx = context.select(*pkeys, *gkeys, ts_col, *[c for c in cols if c != ts_col])
-        ctx = ctx.withColumns({"_bkt": F.floor(R.epoch_seconds(ts_col) / F.lit(int(bucket_seconds))),
+        ctx = ctx.withColumns({"_bkt": F.floor(R.epoch_seconds(ts_col) / F.lit(width)),
                                "_kind": F.lit(1), "_ctx": F.lit(True)})
         rows = rows.unionByName(ctx, allowMissingColumns=True)
     own = ~F.col("_ctx")
@@ -111,10 +120,19 @@ def with_previous(df: DataFrame, columns: Sequence[str],
         F.min(ts_col).alias("_t0"),
         *[F.max_by(F.col(c), okey).alias(f"_last_{c}") for c in cols],
         *part_aggs)
-    order = Window.partitionBy(*pkeys).orderBy(F.col("_bkt").asc_nulls_first(),
-                                               F.col("_t0").asc_nulls_first())
-    last = F.struct(*[F.col(f"_last_{c}").alias(c) for c in cols])
-    carry_cols = {"_carry": F.lag(last).over(order)}
+    if coarser:
+        # Previous bucket's last row = the same problem one level up: buckets
+        # ordered by their first time (buckets are disjoint in time).
+        lasts = [f"_last_{c}" for c in cols]
+        up = with_previous(buckets.withColumnRenamed("_bkt", "_bkt_up"), lasts, "_t0", pkeys,
+                           bucket_seconds=coarser, prefix="_up")
+        buckets = up.withColumnRenamed("_bkt_up", "_bkt")
+        carry_cols = {"_carry": F.struct(*[F.col(f"_up_last_{c}").alias(c) for c in cols])}
+    else:
+        order = Window.partitionBy(*pkeys).orderBy(F.col("_bkt").asc_nulls_first(),
+                                                   F.col("_t0").asc_nulls_first())
+        last = F.struct(*[F.col(f"_last_{c}").alias(c) for c in cols])
+        carry_cols = {"_carry": F.lag(last).over(order)}
     if part_aggs:
         whole = Window.partitionBy(*pkeys, *gkeys)
         known = _all_not_null(pkeys + gkeys)
@@ -144,7 +162,7 @@ def with_previous(df: DataFrame, columns: Sequence[str],
 
 def time_diff(df: DataFrame, ts_col: str = "processing_timestamp",
               key: str = "device_id", out: str = "time_diff",
-              bucket_seconds: int = P.LAG_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int | Sequence[int] = P.LAG_BUCKET_SECONDS) -> DataFrame:
     """Minutes since the device's previous reading, from whole seconds
     (null on a device's first reading)."""
     prev = with_previous(df, [ts_col], ts_col, (key,), bucket_seconds=bucket_seconds,
@@ -155,7 +173,7 @@ def time_diff(df: DataFrame, ts_col: str = "processing_timestamp",
 
 def step(df: DataFrame, column: str = "air_temperature", out: str = "tair_step",
          ts_col: str = "processing_timestamp", key: str = "device_id",
-         bucket_seconds: int = P.LAG_BUCKET_SECONDS) -> DataFrame:
+         bucket_seconds: int | Sequence[int] = P.LAG_BUCKET_SECONDS) -> DataFrame:
     """Change of ``column`` since the device's previous reading."""
     prev = with_previous(df, [column], ts_col, (key,), bucket_seconds=bucket_seconds,
                          prefix="_prev_")

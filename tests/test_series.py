@@ -37,7 +37,7 @@ def _as_map(df, cols):
     return {r.reading_id: tuple(r[c] for c in cols) for r in df.collect()}
 
 
-@pytest.mark.parametrize("bucket", [60, 3600, 86400, 10 ** 9])
+@pytest.mark.parametrize("bucket", [60, 3600, 86400, 10 ** 9, (60, 3600), (1, 600, 86400)])
 def test_bucketed_lag_equals_device_window(spark, bucket):
     df = series.parse_and_dedup(flat_df(spark, _random_rows()))
     want = _as_map(_brute_lag(df), ["time_diff", "tair_step"])
@@ -55,7 +55,7 @@ def test_with_previous_group_totals_match_join(spark):
     df = df.withColumn("date", F.date_format("processing_timestamp", "yyyy-MM-dd"))
     got = series.with_previous(df, ["air_temperature"], group=("date",),
                                counts={"n": "processing_timestamp"}, sums={"rain": "rain_gauge"},
-                               bucket_seconds=3600)
+                               bucket_seconds=(600, 7200))
     m = df.groupBy("device_id", "date").agg(F.count("processing_timestamp").alias("n"),
                                             F.sum("rain_gauge").alias("rain"))
     want = df.join(m, ["device_id", "date"], "left")
@@ -90,7 +90,7 @@ def test_qc_level1_partitioning_independent(spark):
     df = flat_df(spark, _random_rows(seed=5)).withColumn(
         "date", F.date_format("processing_timestamp", "yyyy-MM-dd"))
     a = qc.qc_level1(df).collect()
-    b = qc.qc_level1(df.repartition(9), bucket_seconds=600).collect()
+    b = qc.qc_level1(df.repartition(9), bucket_seconds=(600, 86400)).collect()
     key = lambda r: r.reading_id
     assert sorted(a, key=key) == sorted(b, key=key)
 
