@@ -79,6 +79,7 @@ def _fill(c: str) -> str:
     return f"coalesce({c}, mean_{c}) AS {c}"
 
 
+
 _cte("imputed", ("cleaned", "means"), f"""
 SELECT reading_id, device_id, {_fill('uv_index')}, rain_gauge, {_fill('wind_speed')},
  {_fill('air_humidity')}, {_fill('peak_wind_gust')}, {_fill('air_temperature')},
@@ -244,3 +245,20 @@ _cte("readings_dated", ("readings",),
 
 QC_RAW = qc_chain("readings_dated", "qcr", "as_written")
 QC_RAW_CORR = qc_chain("readings_dated", "qcrc", "corrected")
+
+
+# Per-device statistics (the corrected reading of per-batch global stats).
+_cte("means_dev", ("cleaned",), "SELECT device_id, " + ", ".join(_mean(c) for c in IMPUTE_COLS)
+     + " FROM cleaned GROUP BY device_id")
+_cte("imputed_dev", ("cleaned", "means_dev"), f"""
+SELECT c.reading_id, c.device_id, {_fill('uv_index')}, rain_gauge, {_fill('wind_speed')},
+ {_fill('air_humidity')}, {_fill('peak_wind_gust')}, {_fill('air_temperature')},
+ {_fill('light_intensity')}, {_fill('rain_accumulation')}, {_fill('barometric_pressure')},
+ wind_direction_sensor, processing_timestamp, date
+FROM cleaned c LEFT JOIN means_dev m ON c.device_id = m.device_id""")
+_cte("zstats_dev", ("imputed_dev",), "SELECT device_id, " + ", ".join(
+    [f"avg({f}) AS mean_{f}" for f in FEATURES]
+    + [f"stddev_samp({f}) AS stddev_{f}" for f in FEATURES]) + " FROM imputed_dev GROUP BY device_id")
+_cte("scored_dev", ("imputed_dev", "zstats_dev"),
+     "SELECT i.*, CAST(0.0 AS DOUBLE) + " + " + ".join(_z(f) for f in FEATURES)
+     + " AS anomaly_score FROM imputed_dev i LEFT JOIN zstats_dev z ON i.device_id = z.device_id")

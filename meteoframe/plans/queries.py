@@ -227,6 +227,12 @@ def q_column_means(spark, sf_dir):
     return r6(m, *m.columns)
 
 
+@register("impute_mean_by_device", _imputed_sql("imputed_dev"))
+def q_impute_mean_by_device(spark, sf_dir):
+    d = impute.impute_mean(_cleaned(spark, sf_dir), mode=P.CORRECTED, by=("device_id",))
+    return r6(d, *_IMP_DBL)
+
+
 # ------------------------------------------------------------------ anomaly
 
 
@@ -244,6 +250,14 @@ def q_zscore_score(spark, sf_dir):
     return r6(_scored(spark, sf_dir).select("reading_id", "anomaly_score"), "anomaly_score")
 
 
+@register("zscore_by_device", O.sql(["scored_dev"], """
+SELECT reading_id, round(anomaly_score, 6) AS anomaly_score, anomaly_score > 10.0 AS is_anomaly
+FROM scored_dev"""))
+def q_zscore_by_device(spark, sf_dir):
+    d = anomaly.impute_and_score(_cleaned(spark, sf_dir), mode=P.CORRECTED, by=("device_id",))
+    return r6(d.select("reading_id", "anomaly_score", "is_anomaly"), "anomaly_score")
+
+
 @register("zscore_flag", O.sql(["flagged"], "SELECT reading_id, is_anomaly FROM flagged"))
 def q_zscore_flag(spark, sf_dir):
     return _scored(spark, sf_dir).select("reading_id", "is_anomaly")
