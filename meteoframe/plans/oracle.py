@@ -36,8 +36,17 @@ def sql(uses: tuple[str, ...] | list[str], final: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final
 
 
+def rnd6(expr: str) -> str:
+    """Round to 6 decimals through a fixed-scale DECIMAL: one-ulp noise in
+    the double disappears at scale 10, then HALF_UP applies exactly as in
+    the Spark query (plain double rounding breaks exact ties differently)."""
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"(CASE WHEN isnan({x}) THEN {x} "
+            f"ELSE CAST(round(CAST({x} AS DECIMAL(38,10)), 6) AS DOUBLE) END)")
+
+
 def r6(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) AS {alias}"
+    return f"{rnd6(expr)} AS {alias}"
 
 
 SEC = "CAST(floor(epoch(processing_timestamp)) AS BIGINT)"

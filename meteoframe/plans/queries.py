@@ -36,8 +36,14 @@ def register(name: str, oracle_sql: str | None = None):
     return deco
 
 
+def rnd6(c) -> "F.Column":
+    """Round to 6 decimals through DECIMAL(38,10) (see ``oracle.rnd6``)."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.when(F.isnan(x), x).otherwise(F.round(x.cast("decimal(38,10)"), 6).cast("double"))
+
+
 def r6(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), 6) for c in cols})
+    return df.withColumns({c: rnd6(c) for c in cols})
 
 
 def _readings(spark, sf_dir):
@@ -245,13 +251,13 @@ def q_feature_stats(spark, sf_dir):
 
 
 @register("zscore_score", O.sql(["scored"],
-                                "SELECT reading_id, round(anomaly_score, 6) AS anomaly_score FROM scored"))
+                                "SELECT reading_id, (CASE WHEN isnan(CAST(anomaly_score AS DOUBLE)) THEN CAST(anomaly_score AS DOUBLE) ELSE CAST(round(CAST(CAST(anomaly_score AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS anomaly_score FROM scored"))
 def q_zscore_score(spark, sf_dir):
     return r6(_scored(spark, sf_dir).select("reading_id", "anomaly_score"), "anomaly_score")
 
 
 @register("zscore_by_device", O.sql(["scored_dev"], """
-SELECT reading_id, round(anomaly_score, 6) AS anomaly_score, anomaly_score > 10.0 AS is_anomaly
+SELECT reading_id, (CASE WHEN isnan(CAST(anomaly_score AS DOUBLE)) THEN CAST(anomaly_score AS DOUBLE) ELSE CAST(round(CAST(CAST(anomaly_score AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS anomaly_score, anomaly_score > 10.0 AS is_anomaly
 FROM scored_dev"""))
 def q_zscore_by_device(spark, sf_dir):
     d = anomaly.impute_and_score(_cleaned(spark, sf_dir), mode=P.CORRECTED, by=("device_id",))
@@ -282,7 +288,7 @@ def _daily_clean(spark, sf_dir):
 
 
 @register("daily_temp", O.sql(["daily_clean"], """
-SELECT device_id, date, maxtemp_c, mintemp_c, round(avgtemp_c, 6) AS avgtemp_c FROM daily_clean"""))
+SELECT device_id, date, maxtemp_c, mintemp_c, (CASE WHEN isnan(CAST(avgtemp_c AS DOUBLE)) THEN CAST(avgtemp_c AS DOUBLE) ELSE CAST(round(CAST(CAST(avgtemp_c AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS avgtemp_c FROM daily_clean"""))
 def q_daily_temp(spark, sf_dir):
     d = _daily_clean(spark, sf_dir).select("device_id", "date", "maxtemp_c", "mintemp_c", "avgtemp_c")
     return r6(d, "avgtemp_c")
@@ -309,7 +315,7 @@ def q_daily_humidity_pressure(spark, sf_dir):
 
 
 @register("daily_anomaly", O.sql(["daily"], """
-SELECT device_id, date, round(anomaly_score, 6) AS anomaly_score, is_anomaly FROM daily"""))
+SELECT device_id, date, (CASE WHEN isnan(CAST(anomaly_score AS DOUBLE)) THEN CAST(anomaly_score AS DOUBLE) ELSE CAST(round(CAST(CAST(anomaly_score AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS anomaly_score, is_anomaly FROM daily"""))
 def q_daily_anomaly(spark, sf_dir):
     d = _daily(spark, sf_dir).select("device_id", "date", "anomaly_score", "is_anomaly")
     return r6(d, "anomaly_score")
@@ -331,8 +337,8 @@ def q_coerce_write_types(spark, sf_dir):
 
 
 @register("gate_stats", O.sql(["daily"], """
-SELECT round(min(mintemp_c), 6) AS min_temp, round(max(maxtemp_c), 6) AS max_temp,
- round(avg(avghumidity), 6) AS avg_humidity FROM daily"""))
+SELECT (CASE WHEN isnan(CAST(min(mintemp_c) AS DOUBLE)) THEN CAST(min(mintemp_c) AS DOUBLE) ELSE CAST(round(CAST(CAST(min(mintemp_c) AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS min_temp, (CASE WHEN isnan(CAST(max(maxtemp_c) AS DOUBLE)) THEN CAST(max(maxtemp_c) AS DOUBLE) ELSE CAST(round(CAST(CAST(max(maxtemp_c) AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS max_temp,
+ (CASE WHEN isnan(CAST(avg(avghumidity) AS DOUBLE)) THEN CAST(avg(avghumidity) AS DOUBLE) ELSE CAST(round(CAST(CAST(avg(avghumidity) AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS avg_humidity FROM daily"""))
 def q_gate_stats(spark, sf_dir):
     return r6(aggregate.gate_stats(_daily(spark, sf_dir)), "min_temp", "max_temp", "avg_humidity")
 
@@ -342,16 +348,16 @@ SELECT * FROM (
  SELECT 'non_empty' AS rule, count(*) > 0 AS passed, CAST(count(*) AS DOUBLE) AS observed FROM daily
  UNION ALL SELECT 'device_id_not_null', count_if(device_id IS NULL) = 0, CAST(count_if(device_id IS NULL) AS DOUBLE) FROM daily
  UNION ALL SELECT 'date_not_null', count_if(date IS NULL) = 0, CAST(count_if(date IS NULL) AS DOUBLE) FROM daily
- UNION ALL SELECT 'min_temp_present', coalesce(min(mintemp_c) IS NOT NULL, FALSE), round(min(mintemp_c), 6) FROM daily
- UNION ALL SELECT 'max_temp_present', coalesce(max(maxtemp_c) IS NOT NULL, FALSE), round(max(maxtemp_c), 6) FROM daily
- UNION ALL SELECT 'min_le_max', coalesce(min(mintemp_c) <= max(maxtemp_c), FALSE), round(max(maxtemp_c) - min(mintemp_c), 6) FROM daily
- UNION ALL SELECT 'avg_humidity_in_range', coalesce(avg(avghumidity) BETWEEN 0 AND 100, FALSE), round(avg(avghumidity), 6) FROM daily
+ UNION ALL SELECT 'min_temp_present', coalesce(min(mintemp_c) IS NOT NULL, FALSE), (CASE WHEN isnan(CAST(min(mintemp_c) AS DOUBLE)) THEN CAST(min(mintemp_c) AS DOUBLE) ELSE CAST(round(CAST(CAST(min(mintemp_c) AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) FROM daily
+ UNION ALL SELECT 'max_temp_present', coalesce(max(maxtemp_c) IS NOT NULL, FALSE), (CASE WHEN isnan(CAST(max(maxtemp_c) AS DOUBLE)) THEN CAST(max(maxtemp_c) AS DOUBLE) ELSE CAST(round(CAST(CAST(max(maxtemp_c) AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) FROM daily
+ UNION ALL SELECT 'min_le_max', coalesce(min(mintemp_c) <= max(maxtemp_c), FALSE), (CASE WHEN isnan(CAST(max(maxtemp_c) - min(mintemp_c) AS DOUBLE)) THEN CAST(max(maxtemp_c) - min(mintemp_c) AS DOUBLE) ELSE CAST(round(CAST(CAST(max(maxtemp_c) - min(mintemp_c) AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) FROM daily
+ UNION ALL SELECT 'avg_humidity_in_range', coalesce(avg(avghumidity) BETWEEN 0 AND 100, FALSE), (CASE WHEN isnan(CAST(avg(avghumidity) AS DOUBLE)) THEN CAST(avg(avghumidity) AS DOUBLE) ELSE CAST(round(CAST(CAST(avg(avghumidity) AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) FROM daily
  UNION ALL SELECT 'all', coalesce(count(*) > 0 AND count_if(device_id IS NULL) = 0 AND count_if(date IS NULL) = 0
    AND min(mintemp_c) IS NOT NULL AND max(maxtemp_c) IS NOT NULL AND min(mintemp_c) <= max(maxtemp_c)
    AND avg(avghumidity) BETWEEN 0 AND 100, FALSE), CAST(NULL AS DOUBLE) FROM daily)"""))
 def q_quality_gate(spark, sf_dir):
     rep = quality.quality_report(_daily(spark, sf_dir))
-    return rep.withColumn("observed", F.round("observed", 6))
+    return r6(rep, "observed")
 
 
 @register("approx_median")
@@ -387,7 +393,7 @@ def q_slot_availability(spark, sf_dir):
 
 
 @register("latest_daily_topk", O.sql(["daily"], """
-SELECT device_id, date, round(maxtemp_c, 6) AS maxtemp_c, round(mintemp_c, 6) AS mintemp_c, is_anomaly
+SELECT device_id, date, (CASE WHEN isnan(CAST(maxtemp_c AS DOUBLE)) THEN CAST(maxtemp_c AS DOUBLE) ELSE CAST(round(CAST(CAST(maxtemp_c AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS maxtemp_c, (CASE WHEN isnan(CAST(mintemp_c AS DOUBLE)) THEN CAST(mintemp_c AS DOUBLE) ELSE CAST(round(CAST(CAST(mintemp_c AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS mintemp_c, is_anomaly
 FROM daily ORDER BY date DESC, device_id ASC LIMIT 10"""))
 def q_latest_daily_topk(spark, sf_dir):
     d = _daily(spark, sf_dir).select("device_id", "date", "maxtemp_c", "mintemp_c", "is_anomaly")
@@ -529,7 +535,7 @@ def _pressure_range_query(mode):
     code = O.code3("(pressure_hpa < 750.0 OR pressure_hpa > 1010.0 OR pressure_abs_dev_hpa > 40.0)",
                    "(pressure_abs_dev_hpa < 40.0)", "(pressure_abs_dev_hpa < 25.0)", mode)
     sql_text = O.sql(["readings"], f"""
-SELECT reading_id, pressure_hpa, round(pressure_abs_dev_hpa, 6) AS pressure_abs_dev_hpa, {code} AS QC_Pressure_range
+SELECT reading_id, pressure_hpa, (CASE WHEN isnan(CAST(pressure_abs_dev_hpa AS DOUBLE)) THEN CAST(pressure_abs_dev_hpa AS DOUBLE) ELSE CAST(round(CAST(CAST(pressure_abs_dev_hpa AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS pressure_abs_dev_hpa, {code} AS QC_Pressure_range
 FROM (SELECT *, abs(pressure_hpa - 1013.25 * exp(-0.0 / 8434.0)) AS pressure_abs_dev_hpa
       FROM ({_PRESSURE_SQL}))""")
     return fn, sql_text
