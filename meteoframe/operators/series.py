@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -54,13 +54,6 @@ def parse_and_dedup(df: DataFrame, ts_col: str = "processing_timestamp",
     return dedup(df, (key, ts_col))
 
 
-def _all_not_null(cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    return cond
-
-
 def with_previous(df: DataFrame, columns: Sequence[str],
                   ts_col: str = "processing_timestamp",
                   partition: Sequence[str] = ("device_id",),
@@ -113,8 +106,10 @@ def with_previous(df: DataFrame, columns: Sequence[str],
     # Last row of each bucket, one max_by per column over a LONG ordering
     # key: fixed-width buffers keep this a hash aggregate (a struct buffer
     # would force a sort of every row). A null time sorts lowest, as in the
-    # window; after de-duplication a bucket has no ties on time.
-    okey = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")),
+    # window; on equal times an input row ranks after a context row, as in
+    # the window below. After de-duplication there are no other ties.
+    okey = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")) * 2
+                      + F.when(own, F.lit(1)).otherwise(F.lit(0)),
                       F.lit(-(2 ** 63)).cast("long"))
     buckets = rows.groupBy(*gb).agg(
         F.min(ts_col).alias("_t0"),
@@ -133,14 +128,16 @@ def with_previous(df: DataFrame, columns: Sequence[str],
                                                    F.col("_t0").asc_nulls_first())
         last = F.struct(*[F.col(f"_last_{c}").alias(c) for c in cols])
         carry_cols = {"_carry": F.lag(last).over(order)}
+    carried = buckets.withColumns(carry_cols)
     if part_aggs:
-        whole = Window.partitionBy(*pkeys, *gkeys)
-        known = _all_not_null(pkeys + gkeys)
-        for n in counts:
-            carry_cols[n] = F.when(known, F.sum(f"_cnt_{n}").over(whole))
-        for n in sums:
-            carry_cols[n] = F.when(known, F.sum(f"_sum_{n}").over(whole))
-    carry = buckets.withColumns(carry_cols).select(
+        # Group totals: a partial aggregate over the bucket table joined back
+        # on the group key (an equi-join, so null keys get no totals, like a
+        # left join of the readings would).
+        totals = buckets.groupBy(*pkeys, *gkeys).agg(
+            *[F.sum(f"_cnt_{n}").alias(n) for n in counts],
+            *[F.sum(f"_sum_{n}").alias(n) for n in sums])
+        carried = carried.join(totals, on=pkeys + gkeys, how="left")
+    carry = carried.select(
         *gb, F.lit(0).alias("_kind"), F.lit(False).alias("_ctx"),
         *[F.col(f"_carry.{c}").alias(c) for c in cols],
         *[F.col(n) for n in list(counts) + list(sums)])
