@@ -61,19 +61,25 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
-                sort_by: Sequence[str] = ()) -> None:
+                sort_by: Sequence[str] = (), observe: tuple | None = None) -> None:
     """Write one micro-batch as directory ``batch_id=<id>`` of a table,
     replacing it if a previous attempt wrote it (idempotent on replay).
 
     The batch id lives in the path, not in the plan: a literal column would
     change the generated code of every batch and defeat the codegen cache.
     Reading the table root yields ``batch_id`` by partition discovery.
+    ``observe`` = (Observation, [aggregate columns]) collects metrics during
+    the write job itself; it is attached after the range repartition so
+    the boundary-sampling job does not count rows too.
     """
     target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
     out = df
     if sort_by:
         keys = [*partition_by, *sort_by]
         out = df.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
+    if observe is not None:
+        obs, exprs = observe
+        out = out.observe(obs, *exprs)
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

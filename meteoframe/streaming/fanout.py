@@ -22,11 +22,12 @@ single aggregates, and every write is a distributed job.
 
 from __future__ import annotations
 
+import logging
 import os
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -35,6 +36,12 @@ from ..session import checkpoint_dir
 from ..sinks import writers
 from .sources import decode_stream
 
+log = logging.getLogger("meteoframe.stream")
+
+MEASURES = ("air_temperature", "air_humidity", "wind_speed", "uv_index", "barometric_pressure",
+            "rain_gauge", "rain_accumulation", "peak_wind_gust", "light_intensity",
+            "wind_direction_sensor")
+
 
 @dataclass
 class Targets:
@@ -69,6 +76,7 @@ class FanOut:
     def __init__(self, targets: Targets):
         self.t = targets
         P.check_mode(targets.mode)
+        self.metrics: list[tuple[int, dict]] = []
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -90,15 +98,25 @@ class FanOut:
         else:
             good = batch
 
+        # Counts ride on the write jobs (observed metrics): no extra actions.
+        obs_raw, obs_clean, obs_qc = (Observation(f"raw_{batch_id}"), Observation(f"clean_{batch_id}"),
+                                      Observation(f"qc_{batch_id}"))
+
         # 1. Raw rows first; nothing else is written if this fails.
-        writers.write_batch(writers.raw_json(good), t.path("raw"), batch_id)
+        observed = good.observe(obs_raw, F.count(F.lit(1)).alias("rows"),
+                                F.count_if(F.col("valid") == F.lit(True)).alias("valid"))
+        writers.write_batch(writers.raw_json(observed), t.path("raw"), batch_id)
 
         # 2. Clean rows: cleaned, imputed and scored with one stats pass.
         cleaned = clean.clean_readings(good)
         scored = anomaly.impute_and_score(cleaned, mode=t.mode)
+        clean_metrics = [F.count(F.lit(1)).alias("rows"),
+                         F.count_if(F.col("is_anomaly")).alias("anomalies"),
+                         *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in MEASURES]]
         clean_path = t.path("clean")
         writers.write_batch(scored, clean_path, batch_id, partition_by=["date"],
-                            sort_by=["device_id", "processing_timestamp"])
+                            sort_by=["device_id", "processing_timestamp"],
+                            observe=(obs_clean, clean_metrics))
 
         # 3. Daily summary of the touched dates, from the whole clean table.
         spark = batch.sparkSession
@@ -124,11 +142,18 @@ class FanOut:
         else:
             src = cleaned
         ctx = self.lag_context(spark, batch_id) if t.carries_lag else None
-        audit = qc.qc_level1(src, thr=t.thr, mode=t.mode, context=ctx)
+        audit = qc.qc_level1(src, thr=t.thr, mode=t.mode, context=ctx).observe(
+            obs_qc, F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
+            F.count_if(F.size("qc_warning_checks") > 0).alias("with_warnings"))
         writers.write_batch(audit, t.path("qc"), batch_id)
         if t.carries_lag:
             self.save_lag_state(spark, batch_id, ctx)
 
+        m = {"raw": obs_raw.get, "clean": obs_clean.get, "qc": obs_qc.get}
+        self.metrics.append((batch_id, m))
+        log.info("batch %s: %s", batch_id, m)
+
     # ----------------------------------------------------- cross-batch lag
 
     STATE_COLS = ("device_id", "date", "processing_timestamp", "air_temperature")

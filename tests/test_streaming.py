@@ -168,3 +168,23 @@ def test_empty_batch_is_skipped(spark):
     empty = spark.createDataFrame([], "value string")
     fanout.FanOut(t)(sources.decode_stream(empty), 0)
     assert not os.path.exists(t.path("raw"))
+
+
+def test_fanout_observed_metrics(spark):
+    readings = load_readings(spark, SF_SMALL)
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"))
+    f = fanout.FanOut(t)
+    src = _files(spark, readings, 1)
+    f(sources.decode_stream(spark.read.text(src)), 0)
+    (bid, m), = f.metrics
+    assert m["raw"]["rows"] == readings.count()
+    assert m["raw"]["valid"] == readings.filter("valid").count()
+    assert m["clean"]["rows"] == m["raw"]["valid"]
+    assert m["clean"]["anomalies"] == pipeline.scored(readings).filter("is_anomaly").count()
+    assert m["qc"]["rows"] == spark.read.parquet(t.path("qc")).count()
+
+
+def test_kafka_source_without_connector_explains(spark):
+    import pytest
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        sources.read_kafka_stream(spark, sources.kafka_options("localhost:1", "t")).writeStream
