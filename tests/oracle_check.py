@@ -22,7 +22,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def duck(sf_dir: str):
     import duckdb
     con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
+    con.execute(f"SET TimeZone='{os.environ.get('ORACLE_TZ', 'UTC')}'")
     for t in TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
