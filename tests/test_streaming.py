@@ -188,3 +188,14 @@ def test_kafka_source_without_connector_explains(spark):
     import pytest
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         sources.read_kafka_stream(spark, sources.kafka_options("localhost:1", "t")).writeStream
+
+
+def test_failed_quality_gate_skips_only_the_daily_write(spark):
+    from tests.helpers import flat_df, reading
+    rows = [reading(reading_id=f"r{i}", air_temperature=None) for i in range(3)]
+    batch = flat_df(spark, rows)
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED)
+    fanout.FanOut(t)(batch, 0)
+    assert spark.read.parquet(t.path("clean")).count() == 3
+    assert spark.read.parquet(t.path("qc")).count() == 1      # one (device, time) after de-dup
+    assert not os.path.exists(t.path("daily"))
