@@ -183,6 +183,14 @@ def collect_qc_results(df, mode=P.AS_WRITTEN, columns=P.QC_COLUMNS):
                            "qc_warning_checks": warning_checks(columns, mode)})
 
 
+def _with_hpa(df: DataFrame, median: DataFrame, column: str = "barometric_pressure",
+              out: str = "pressure_hpa") -> DataFrame:
+    m = F.col(f"median_{column}")
+    x = F.col(column).cast("double")
+    conv = F.when(m > P.PA_MEDIAN_SWITCH, x / F.lit(P.PA_PER_HPA)).otherwise(x)
+    return df.crossJoin(F.broadcast(median)).withColumn(out, conv).drop(f"median_{column}")
+
+
 def convert_pressure_hpa(df: DataFrame, column: str = "barometric_pressure",
                          out: str = "pressure_hpa",
                          relative_error: float = P.MEDIAN_RELATIVE_ERROR) -> DataFrame:
@@ -193,10 +201,7 @@ def convert_pressure_hpa(df: DataFrame, column: str = "barometric_pressure",
     its size is fixed), not an eager driver round trip.
     """
     med = aggregate.approx_median(df, column, relative_error)
-    m = F.col(f"median_{column}")
-    x = F.col(column).cast("double")
-    conv = F.when(m > P.PA_MEDIAN_SWITCH, x / F.lit(P.PA_PER_HPA)).otherwise(x)
-    return df.crossJoin(F.broadcast(med)).withColumn(out, conv).drop(f"median_{column}")
+    return _with_hpa(df, med, column, out)
 
 
 def expected_pressure(df: DataFrame, altitude_col: str = "altitude",
@@ -240,12 +245,15 @@ def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTE
     d = d.withColumn("rain_gauge", R.clip_negative("rain_gauge"))
     if stage:
         d = stage_table(d, "qc-dedup")
-    d = convert_pressure_hpa(d)
-    base_cols = d.columns
+    # Median of the de-duplicated rows; applied after the lag pass so the
+    # bucket-table branch does not carry the one-row join.
+    median = aggregate.approx_median(d, "barometric_pressure")
+    base_cols = d.columns + ["pressure_hpa"]
     d = series.with_previous(
         d, [ts_col, "air_temperature"], ts_col, (key,), (date_col,),
         counts={"_n_ts": ts_col}, sums={"daily_rain_mm": "rain_gauge"},
         bucket_seconds=bucket_seconds, prefix="_prev_", context=context)
+    d = _with_hpa(d, median)
     d = d.withColumns({
         "time_diff": (R.epoch_seconds(ts_col) - R.epoch_seconds(f"_prev_{ts_col}")) / F.lit(60.0),
         "tair_step": F.col("air_temperature") - F.col("_prev_air_temperature"),

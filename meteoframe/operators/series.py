@@ -130,13 +130,24 @@ def with_previous(df: DataFrame, columns: Sequence[str],
         carry_cols = {"_carry": F.lag(last).over(order)}
     carried = buckets.withColumns(carry_cols)
     if part_aggs:
-        # Group totals: a partial aggregate over the bucket table joined back
-        # on the group key (an equi-join, so null keys get no totals, like a
-        # left join of the readings would).
-        totals = buckets.groupBy(*pkeys, *gkeys).agg(
-            *[F.sum(f"_cnt_{n}").alias(n) for n in counts],
-            *[F.sum(f"_sum_{n}").alias(n) for n in sums])
-        carried = carried.join(totals, on=pkeys + gkeys, how="left")
+        names = list(counts) + list(sums)
+        src = {n: f"_cnt_{n}" for n in counts} | {n: f"_sum_{n}" for n in sums}
+        if gkeys:
+            # Totals over the buckets of one group (e.g. the 24 hourly buckets
+            # of a device-day): a window on the same bucket table, so the
+            # bucket aggregate (and the shuffles below it) run once. Like a
+            # left join of the readings, a null key gets no totals.
+            whole = Window.partitionBy(*pkeys, *gkeys)
+            known = F.lit(True)
+            for k in pkeys + gkeys:
+                known = known & F.col(k).isNotNull()
+            carried = carried.withColumns(
+                {n: F.when(known, F.sum(src[n]).over(whole)) for n in names})
+        else:
+            # No group key: a device's buckets are not bounded, so aggregate
+            # (partially) and join back instead of a window.
+            totals = buckets.groupBy(*pkeys).agg(*[F.sum(src[n]).alias(n) for n in names])
+            carried = carried.join(totals, on=pkeys, how="left")
     carry = carried.select(
         *gb, F.lit(0).alias("_kind"), F.lit(False).alias("_ctx"),
         *[F.col(f"_carry.{c}").alias(c) for c in cols],
