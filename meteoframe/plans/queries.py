@@ -146,6 +146,12 @@ def q_raw_json_fields(spark, sf_dir):
                       F.get_json_object("data", "$.valid").alias("valid_text"))
 
 
+@register("derived_readings", O.sql(["readings"], f"SELECT {FLAT}, processing_timestamp FROM readings"))
+def q_derived_readings(spark, sf_dir):
+    """The readings every other query starts from, derived from `events`."""
+    return _readings(spark, sf_dir)
+
+
 @register("raw_count", O.sql(["readings"], "SELECT count(*) AS n_rows FROM readings"))
 def q_raw_count(spark, sf_dir):
     return _readings(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -365,6 +371,15 @@ def q_approx_median(spark, sf_dir):
     return aggregate.approx_median(_cleaned(spark, sf_dir), "barometric_pressure")
 
 
+@register("median_is_pa", O.sql(["cleaned"], """
+SELECT median(barometric_pressure) > 2000 AS median_is_pa FROM cleaned"""))
+def q_median_is_pa(spark, sf_dir):
+    """The unit decision taken from the approximate median (Pa when above
+    2000); compared with the exact median's decision."""
+    m = aggregate.approx_median(_cleaned(spark, sf_dir), "barometric_pressure")
+    return m.select((F.col("median_barometric_pressure") > P.PA_MEDIAN_SWITCH).alias("median_is_pa"))
+
+
 @register("exact_median", O.sql(["cleaned"], """
 SELECT CAST(median(barometric_pressure) AS DOUBLE) AS median_barometric_pressure FROM cleaned"""))
 def q_exact_median(spark, sf_dir):
