@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..functions.frames import attach_stats
 from . import impute
 
 
@@ -51,8 +52,7 @@ def zscore_score(df: DataFrame, features: Sequence[str] = P.ANOMALY_FEATURES,
         stats = feature_stats(df, features, by)
     stat_cols = [f"mean_{f}" for f in features] + [f"stddev_{f}" for f in features]
     stats = stats.select(*by, *stat_cols)
-    joined = (df.join(stats, on=list(by), how="left") if by
-              else df.crossJoin(F.broadcast(stats)))
+    joined = attach_stats(df, stats, by)
     out = joined.withColumn(score_col, score_expr(features))
     out = out.withColumn(flag_col, F.col(score_col) > F.lit(float(threshold)))
     return out.select(*df.columns, score_col, flag_col)
@@ -83,8 +83,7 @@ def impute_and_score(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
     stats = impute.imputed_stats(mom, types, cols, feats, by)
     if mode == P.AS_WRITTEN and cols:
         stats = impute._guard(stats, cols, prefix="fill_")
-    joined = (df.join(stats, on=list(by), how="left") if by
-              else df.crossJoin(F.broadcast(stats)))
+    joined = attach_stats(df, stats, by)
     fills = {c: F.when(F.col(c).isNull(), F.col(f"fill_{c}").cast(types[c])).otherwise(F.col(c))
              for c in cols}
     out = joined.withColumns(fills).withColumn(score_col, score_expr(feats))

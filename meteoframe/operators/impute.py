@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..functions.frames import attach_stats
 
 
 def _usable(c: str) -> Column:
@@ -68,10 +69,7 @@ def impute_mean(df: DataFrame, columns: Iterable[str] = P.IMPUTE_COLUMNS,
     stats = stats.select(*by, *[F.col(f"mean_{c}") for c in cols])
     if mode == P.AS_WRITTEN:
         stats = _guard(stats, cols)
-    if by:
-        joined = df.join(stats, on=list(by), how="left")
-    else:
-        joined = df.crossJoin(F.broadcast(stats))
+    joined = attach_stats(df, stats, by)
     fills = {c: F.when(F.col(c).isNull(), F.col(f"mean_{c}").cast(types[c])).otherwise(F.col(c))
              for c in cols}
     return joined.withColumns(fills).select(*df.columns)

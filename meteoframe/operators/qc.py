@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import rules as R
+from ..functions.frames import attach_stats
 from ..session import stage_table
 from . import aggregate, series
 
@@ -188,7 +189,7 @@ def _with_hpa(df: DataFrame, median: DataFrame, column: str = "barometric_pressu
     m = F.col(f"median_{column}")
     x = F.col(column).cast("double")
     conv = F.when(m > P.PA_MEDIAN_SWITCH, x / F.lit(P.PA_PER_HPA)).otherwise(x)
-    return df.crossJoin(F.broadcast(median)).withColumn(out, conv).drop(f"median_{column}")
+    return attach_stats(df, median).withColumn(out, conv).drop(f"median_{column}")
 
 
 def convert_pressure_hpa(df: DataFrame, column: str = "barometric_pressure",
