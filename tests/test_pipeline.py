@@ -27,3 +27,22 @@ def test_write_tables_matches_lazy_chain(spark, mode):
                 assert g[c] == v, (k, c)
     daily = spark.read.parquet(paths["daily"]).count()
     assert daily == pipeline.daily(readings, mode).count()
+
+
+@pytest.mark.parametrize("mode", P.MODES)
+def test_empty_input_flows_through_every_operator(spark, mode):
+    from tests.helpers import flat_df
+    from meteoframe.operators import quality
+    empty = flat_df(spark, [])
+    out = pipeline.run_batch(empty, mode)
+    for name in ("cleaned", "imputed", "scored", "daily", "qc"):
+        assert getattr(out, name).count() == 0, name
+    rep = {r.rule: r.passed for r in quality.quality_report(out.daily).collect()}
+    assert rep["non_empty"] is False and rep["all"] is False
+
+
+def test_all_invalid_batch_is_empty_after_cleaning(spark):
+    from tests.helpers import flat_df, reading
+    rows = [reading(reading_id=f"r{i}", valid=False) for i in range(5)]
+    out = pipeline.run_batch(flat_df(spark, rows))
+    assert out.scored.count() == 0 and out.qc.count() == 0
