@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions import rules as R
 from ..operators import aggregate, anomaly, clean, impute, qc, quality, series
 from ..session import apply_semantics
 from ..sources import envelope
@@ -618,4 +617,4 @@ def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_daily_summary(spark, sf_dir)
 
 
-__all__ = ["QUERIES", "ORACLE", "entry_query", "R"]
+__all__ = ["QUERIES", "ORACLE", "entry_query"]
