@@ -196,6 +196,21 @@ def latest_version_below(spark: SparkSession, path: str, batch_id: int) -> int |
     return best
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """De-duplication state grows with the keys inside the watermark; keep it
+    in RocksDB (off-heap, spilled to local disk, changelog-checkpointed)
+    unless the session already chose a provider. A query restarted from a
+    checkpoint must keep the provider it started with."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def dedup_across_batches(flat: DataFrame, watermark: str = "1 day",
                          key: str = "reading_id",
                          ts_col: str = "processing_timestamp") -> DataFrame:
@@ -211,6 +226,7 @@ def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
     fan-out sink. Returns the StreamingQuery."""
     flat = decode_stream(raw_stream, targets.mode, keep_raw=True)
     if dedup_watermark:
+        use_rocksdb_state(spark)
         # Only decodable rows with an event time take part; the others pass
         # through untouched (a null key must not merge unrelated rows).
         keyed = F.col("reading_id").isNotNull() & F.col("processing_timestamp").isNotNull()
