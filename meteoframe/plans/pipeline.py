@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import aggregate, anomaly, clean, impute, qc
+from ..session import join_path
 from ..sinks import writers
 
 
@@ -68,8 +69,7 @@ def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=N
     so the lineage is cut at the first sink and nothing is recomputed.
     """
     spark = readings.sparkSession
-    sep = "/" if "://" in root else __import__("os").sep
-    paths = {n: root.rstrip(sep) + sep + n for n in ("clean", "daily", "qc")}
+    paths = {n: join_path(root, n) for n in ("clean", "daily", "qc")}
     c = cleaned(readings)
     scored_rows = anomaly.impute_and_score(c, mode=mode)
     writers.write_partitions(scored_rows, paths["clean"], ["date"],

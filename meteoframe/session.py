@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -76,14 +77,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):")
+
+
+def is_local_path(path: str) -> bool:
+    """A plain path or a ``file:`` URI (as opposed to hdfs:, s3a:, abfss:, ...)."""
+    m = _SCHEME.match(path)
+    return m is None or m.group(1).lower() == "file"
+
+
+def join_path(base: str, name: str) -> str:
+    return os.path.join(base, name) if is_local_path(base) else f"{base.rstrip('/')}/{name}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark)
-    if "://" in base:
+    if not is_local_path(base):
         import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+        return join_path(base, f"{name}-{uuid.uuid4().hex}")
+    local = base[len("file:"):] if base.lower().startswith("file:") else base
+    os.makedirs(local, exist_ok=True)
+    return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
 
 
 def stage_table(df, name: str):

@@ -23,7 +23,6 @@ single aggregates, and every write is a distributed job.
 from __future__ import annotations
 
 import logging
-import os
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import aggregate, anomaly, clean, qc, quality
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, join_path
 from ..sinks import writers
 from .sources import decode_stream
 
@@ -57,7 +56,7 @@ class Targets:
         return self.mode == P.CORRECTED if self.carry_lag is None else self.carry_lag
 
     def path(self, name: str) -> str:
-        return os.path.join(self.root, name) if "://" not in self.root else f"{self.root}/{name}"
+        return join_path(self.root, name)
 
 
 def split_dead_letters(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -232,7 +231,7 @@ def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
         keyed = F.col("reading_id").isNotNull() & F.col("processing_timestamp").isNotNull()
         flat = (dedup_across_batches(flat.filter(keyed), dedup_watermark)
                 .unionByName(flat.filter(~keyed)))
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "weather_pipeline")
+    ckpt = checkpoint or join_path(checkpoint_dir(spark), "weather_pipeline")
     w = (flat.writeStream.foreachBatch(FanOut(targets))
          .option("checkpointLocation", ckpt).outputMode("append"))
     if available_now:

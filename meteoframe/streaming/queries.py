@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..plans import oracle as O
 from ..plans.queries import FLAT
-from ..session import scratch_path
+from ..session import is_local_path, scratch_path
 from ..sources.tables import load_readings
 from . import fanout, sources
 
@@ -23,7 +23,7 @@ N_FILES = 4
 def _envelope_files(spark, sf_dir) -> str:
     src = scratch_path(spark, "stream-src")
     sources.write_envelope_files(load_readings(spark, sf_dir), src, N_FILES)
-    if "://" not in src:
+    if is_local_path(src):
         sources.order_files_by_name(src)
     return src
 
