@@ -59,7 +59,8 @@ def run_batch(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> BatchO
     return BatchOutputs(c, i, s, d, q)
 
 
-def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=None) -> dict:
+def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=None,
+                 lag_buckets=P.LAG_BUCKET_SECONDS) -> dict:
     """Batch job over a whole readings table: writes `clean` (cleaned,
     imputed, scored; partitioned by date), then derives `daily` and `qc`
     from the written clean table. Returns the table paths.
@@ -82,7 +83,7 @@ def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=N
         qc_src = stored.drop("anomaly_score", "is_anomaly")
     else:
         qc_src = c
-    audit = qc.qc_level1(qc_src, thr=thr, mode=mode)
+    audit = qc.qc_level1(qc_src, thr=thr, mode=mode, bucket_seconds=lag_buckets)
     writers.write_partitions(audit, paths["qc"], ["date"],
                              sort_by=["device_id", "processing_timestamp"])
     return paths

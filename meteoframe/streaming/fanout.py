@@ -50,6 +50,7 @@ class Targets:
     thr: dict | None = None
     quality_gate: bool = True
     carry_lag: bool | None = None      # default: on when corrected
+    lag_buckets: int | tuple = P.LAG_BUCKET_SECONDS   # e.g. (60, 86400) for dense devices
 
     @property
     def carries_lag(self) -> bool:
@@ -141,7 +142,8 @@ class FanOut:
         else:
             src = cleaned
         ctx = self.lag_context(spark, batch_id) if t.carries_lag else None
-        audit = qc.qc_level1(src, thr=t.thr, mode=t.mode, context=ctx).observe(
+        audit = qc.qc_level1(src, thr=t.thr, mode=t.mode, context=ctx,
+                             bucket_seconds=t.lag_buckets).observe(
             obs_qc, F.count(F.lit(1)).alias("rows"),
             F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
             F.count_if(F.size("qc_warning_checks") > 0).alias("with_warnings"))
