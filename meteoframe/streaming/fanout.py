@@ -233,7 +233,7 @@ def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
         keyed = F.col("reading_id").isNotNull() & F.col("processing_timestamp").isNotNull()
         flat = (dedup_across_batches(flat.filter(keyed), dedup_watermark)
                 .unionByName(flat.filter(~keyed)))
-    ckpt = checkpoint or join_path(checkpoint_dir(spark), "weather_pipeline")
+    ckpt = checkpoint or join_path(checkpoint_dir(spark), "readings_pipeline")
     w = (flat.writeStream.foreachBatch(FanOut(targets))
          .option("checkpointLocation", ckpt).outputMode("append"))
     if available_now:
