@@ -114,9 +114,11 @@ class FanOut:
                          F.count_if(F.col("is_anomaly")).alias("anomalies"),
                          *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in MEASURES]]
         clean_path = t.path("clean")
+        # micro-batches are bounded by the source's rate limit: hash
+        # clustering, no range-boundary sampling job
         writers.write_batch(scored, clean_path, batch_id, partition_by=["date"],
                             sort_by=["device_id", "processing_timestamp"],
-                            observe=(obs_clean, clean_metrics))
+                            observe=(obs_clean, clean_metrics), clustering="hash")
 
         # 3. Daily summary of the touched dates, from the whole clean table.
         spark = batch.sparkSession
@@ -129,7 +131,8 @@ class FanOut:
         daily = aggregate.daily_summary(rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
-                writers.write_partitions(daily, t.path("daily"), ["date"], sort_by=["device_id"])
+                writers.write_partitions(daily, t.path("daily"), ["date"], sort_by=["device_id"],
+                                         clustering="hash")
         finally:
             daily.unpersist()
 
