@@ -60,7 +60,7 @@ def run_batch(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> BatchO
 
 
 def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=None,
-                 lag_buckets=P.LAG_BUCKET_SECONDS) -> dict:
+                 lag_buckets=P.LAG_BUCKET_SECONDS, stats_by: tuple = ()) -> dict:
     """Batch job over a whole readings table: writes `clean` (cleaned,
     imputed, scored; partitioned by date), then derives `daily` and `qc`
     from the written clean table. Returns the table paths.
@@ -72,7 +72,7 @@ def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=N
     spark = readings.sparkSession
     paths = {n: join_path(root, n) for n in ("clean", "daily", "qc")}
     c = cleaned(readings)
-    scored_rows = anomaly.impute_and_score(c, mode=mode)
+    scored_rows = anomaly.impute_and_score(c, mode=mode, by=stats_by)
     writers.write_partitions(scored_rows, paths["clean"], ["date"],
                              sort_by=["device_id", "processing_timestamp"])
     stored = spark.read.parquet(paths["clean"]).withColumn(

@@ -51,6 +51,7 @@ class Targets:
     quality_gate: bool = True
     carry_lag: bool | None = None      # default: on when corrected
     lag_buckets: int | tuple = P.LAG_BUCKET_SECONDS   # e.g. (60, 86400) for dense devices
+    stats_by: tuple = ()               # e.g. ("device_id",): per-device imputation / z-scores
 
     @property
     def carries_lag(self) -> bool:
@@ -109,7 +110,7 @@ class FanOut:
 
         # 2. Clean rows: cleaned, imputed and scored with one stats pass.
         cleaned = clean.clean_readings(good)
-        scored = anomaly.impute_and_score(cleaned, mode=t.mode)
+        scored = anomaly.impute_and_score(cleaned, mode=t.mode, by=t.stats_by)
         clean_metrics = [F.count(F.lit(1)).alias("rows"),
                          F.count_if(F.col("is_anomaly")).alias("anomalies"),
                          *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in MEASURES]]

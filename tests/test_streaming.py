@@ -199,3 +199,19 @@ def test_failed_quality_gate_skips_only_the_daily_write(spark):
     assert spark.read.parquet(t.path("clean")).count() == 3
     assert spark.read.parquet(t.path("qc")).count() == 1      # one (device, time) after de-dup
     assert not os.path.exists(t.path("daily"))
+
+
+def test_per_device_statistics_in_the_fanout(spark):
+    from meteoframe.operators import anomaly
+    readings = load_readings(spark, SF_SMALL)
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED,
+                       stats_by=("device_id",))
+    src = _files(spark, readings, 1)
+    fanout.FanOut(t)(sources.decode_stream(spark.read.text(src)), 0)
+    got = {r.reading_id: r.anomaly_score for r in spark.read.parquet(t.path("clean")).collect()}
+    cleaned = pipeline.cleaned(readings.withColumn(
+        "processing_timestamp", F.date_trunc("millisecond", "processing_timestamp")))
+    want = {r.reading_id: r.anomaly_score for r in anomaly.impute_and_score(
+        cleaned, mode=P.CORRECTED, by=("device_id",)).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
