@@ -21,21 +21,17 @@ def feature_stats(df: DataFrame, features: Sequence[str] = P.ANOMALY_FEATURES,
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def _usable(f: str) -> Column:
-    """A feature counts only with a defined, positive spread. NaN is ruled
-    out explicitly: Spark orders NaN above every number, so NaN > 0 holds."""
-    m, s = F.col(f"mean_{f}"), F.col(f"stddev_{f}")
-    return m.isNotNull() & s.isNotNull() & ~F.isnan(s) & (s > 0)
-
-
 def score_expr(features: Sequence[str] = P.ANOMALY_FEATURES) -> Column:
     """Sum over usable features of |x - mean| / stddev, added in feature
-    order from 0.0. A null value in a usable feature makes the sum null."""
-    total = F.lit(0.0)
+    order from 0.0. A feature counts only with a defined, positive spread;
+    NaN is ruled out explicitly (Spark orders NaN above every number, so
+    NaN > 0 holds). A null value in a usable feature makes the sum null."""
+    terms = []
     for f in features:
-        z = F.abs((F.col(f) - F.col(f"mean_{f}")) / F.col(f"stddev_{f}"))
-        total = total + F.when(_usable(f), z).otherwise(F.lit(0.0))
-    return total
+        m, sd = f"`mean_{f}`", f"`stddev_{f}`"
+        usable = f"{m} IS NOT NULL AND {sd} IS NOT NULL AND NOT isnan({sd}) AND {sd} > 0"
+        terms.append(f"CASE WHEN {usable} THEN abs((`{f}` - {m}) / {sd}) ELSE 0D END")
+    return F.expr(" + ".join(["0D", *terms]))
 
 
 def zscore_score(df: DataFrame, features: Sequence[str] = P.ANOMALY_FEATURES,
@@ -84,8 +80,7 @@ def impute_and_score(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
     if mode == P.AS_WRITTEN and cols:
         stats = impute._guard(stats, cols, prefix="fill_")
     joined = attach_stats(df, stats, by)
-    fills = {c: F.when(F.col(c).isNull(), F.col(f"fill_{c}").cast(types[c])).otherwise(F.col(c))
-             for c in cols}
-    out = joined.withColumns(fills).withColumn(score_col, score_expr(feats))
+    out = joined.withColumns(impute.fill_exprs(cols, types, "fill_")).withColumn(
+        score_col, score_expr(feats))
     out = out.withColumn(flag_col, F.col(score_col) > F.lit(float(threshold)))
     return out.select(*df.columns, score_col, flag_col)

@@ -35,17 +35,13 @@ def _guard(stats: DataFrame, columns: Sequence[str], prefix: str = "mean_") -> D
     """Fail (at run time, lazily) when some column has no usable value while
     another has one -- the surrogate of that column cannot be computed. When
     no column has a usable value the fill is a no-op and passes."""
-    nulls = [F.col(f"{prefix}{c}").isNull() for c in columns]
-    any_null = nulls[0]
-    all_null = nulls[0]
-    for n in nulls[1:]:
-        any_null = any_null | n
-        all_null = all_null & n
-    names = F.array_join(F.array_compact(F.array(
-        *[F.when(F.col(f"{prefix}{c}").isNull(), F.lit(c)) for c in columns])), ", ")
-    msg = F.concat(F.lit("surrogate cannot be computed. All the values in "), names,
-                   F.lit(" are Null, NaN or missing"))
-    return stats.filter(F.when(any_null & ~all_null, F.raise_error(msg)).otherwise(F.lit(True)))
+    nulls = [f"`{prefix}{c}` IS NULL" for c in columns]
+    names = ", ".join(f"CASE WHEN `{prefix}{c}` IS NULL THEN '{c}' END" for c in columns)
+    cond = (f"CASE WHEN ({' OR '.join(nulls)}) AND NOT ({' AND '.join(nulls)}) "
+            f"THEN raise_error(concat('surrogate cannot be computed. All the values in ', "
+            f"array_join(array_compact(array({names})), ', '), ' are Null, NaN or missing')) "
+            f"ELSE true END")
+    return stats.filter(F.expr(cond))
 
 
 def impute_mean(df: DataFrame, columns: Iterable[str] = P.IMPUTE_COLUMNS,
@@ -70,9 +66,13 @@ def impute_mean(df: DataFrame, columns: Iterable[str] = P.IMPUTE_COLUMNS,
     if mode == P.AS_WRITTEN:
         stats = _guard(stats, cols)
     joined = attach_stats(df, stats, by)
-    fills = {c: F.when(F.col(c).isNull(), F.col(f"mean_{c}").cast(types[c])).otherwise(F.col(c))
-             for c in cols}
-    return joined.withColumns(fills).select(*df.columns)
+    return joined.withColumns(fill_exprs(cols, types, "mean_")).select(*df.columns)
+
+
+def fill_exprs(columns: Sequence[str], types: dict, prefix: str) -> dict:
+    """`c` or, when null, its mean cast to the column type (truncating for
+    INT columns); NaN is left in place."""
+    return {c: F.expr(f"coalesce(`{c}`, CAST(`{prefix}{c}` AS {types[c]}))") for c in columns}
 
 
 def column_moments(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
@@ -84,12 +84,13 @@ def column_moments(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
     Enough to derive both the imputation means and the statistics of the
     imputed columns (see ``imputed_stats``) without a second scan.
     """
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    aggs = [F.expr("count(1) AS n_rows")]
     for c in columns:
-        u = _usable(c)
-        aggs += [F.count(u).alias(f"n_{c}"), F.avg(u).alias(f"mean_{c}"),
-                 (F.var_pop(u) * F.count(u)).alias(f"m2_{c}"),
-                 F.count_if(F.isnan(F.col(c).cast("double"))).alias(f"nan_{c}")]
+        x = f"CAST(`{c}` AS DOUBLE)"
+        u = f"CASE WHEN NOT isnan({x}) THEN {x} END"
+        aggs += [F.expr(f"count({u}) AS `n_{c}`"), F.expr(f"avg({u}) AS `mean_{c}`"),
+                 F.expr(f"var_pop({u}) * count({u}) AS `m2_{c}`"),
+                 F.expr(f"count_if(isnan({x})) AS `nan_{c}`")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
@@ -104,22 +105,20 @@ def imputed_stats(moments: DataFrame, types: dict, columns: Sequence[str],
     M2 + n (m - m')^2 + z (f - m')^2. A NaN anywhere makes both NaN, and
     fewer than two values give a null deviation, as direct aggregation does.
     """
-    out = [F.col(k) for k in by] + [F.col(f"mean_{c}").alias(f"fill_{c}") for c in columns]
+    out = [f"`{k}`" for k in by] + [f"`mean_{c}` AS `fill_{c}`" for c in columns]
     for f in features:
-        n, m, m2 = F.col(f"n_{f}"), F.col(f"mean_{f}"), F.col(f"m2_{f}")
-        nan = F.col(f"nan_{f}") > 0
-        z = F.col("n_rows") - n - F.col(f"nan_{f}")
+        n, m, m2, k = f"`n_{f}`", f"`mean_{f}`", f"`m2_{f}`", f"`nan_{f}`"
         if f in columns:
-            fill = m.cast(types[f]).cast("double")
-            filled = F.when(m.isNotNull(), z).otherwise(F.lit(0))
+            fill = f"CAST(CAST({m} AS {types[f]}) AS DOUBLE)"
+            filled = f"(CASE WHEN {m} IS NOT NULL THEN n_rows - {n} - {k} ELSE 0 END)"
         else:
-            fill, filled = F.lit(0.0), F.lit(0)
-        cnt = n + filled
-        mean2 = (n * F.coalesce(m, F.lit(0.0)) + filled * F.coalesce(fill, F.lit(0.0))) / cnt
-        m2b = (F.coalesce(m2, F.lit(0.0)) + n * F.pow(F.coalesce(m, F.lit(0.0)) - mean2, 2)
-               + filled * F.pow(F.coalesce(fill, F.lit(0.0)) - mean2, 2))
-        nan_d = F.lit(float("nan"))
-        out.append(F.when(nan, nan_d).when(cnt > 0, mean2).alias(f"mean_{f}"))
-        out.append(F.when(nan & (cnt + F.col(f"nan_{f}") > 1), nan_d)
-                    .when(cnt > 1, F.sqrt(m2b / (cnt - 1))).alias(f"stddev_{f}"))
-    return moments.select(*out)
+            fill, filled = "0D", "0"
+        cnt = f"({n} + {filled})"
+        mean2 = f"(({n} * coalesce({m}, 0D) + {filled} * coalesce({fill}, 0D)) / {cnt})"
+        m2b = (f"(coalesce({m2}, 0D) + {n} * pow(coalesce({m}, 0D) - {mean2}, 2)"
+               f" + {filled} * pow(coalesce({fill}, 0D) - {mean2}, 2))")
+        out.append(f"CASE WHEN {k} > 0 THEN double('NaN') WHEN {cnt} > 0 THEN {mean2} END "
+                   f"AS `mean_{f}`")
+        out.append(f"CASE WHEN {k} > 0 AND {cnt} + {k} > 1 THEN double('NaN') "
+                   f"WHEN {cnt} > 1 THEN sqrt({m2b} / ({cnt} - 1)) END AS `stddev_{f}`")
+    return moments.selectExpr(*out)

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_semantics
 
@@ -24,45 +23,43 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _dbl(x) -> Column:
-    return F.lit(x).cast("double") if not isinstance(x, Column) else x.cast("double")
+# Derivation of one reading per event row, as SQL expressions (each is sent
+# to the JVM once, instead of one call per column operator).
+_READING_EXPRS = (
+    "concat('r', CAST(event_id AS STRING), sfx) AS reading_id",
+    "concat('dev', CAST(user_id % 4 AS STRING)) AS device_id",
+    "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS BOOLEAN) WHEN event_id % 20 = 0 THEN false "
+    "ELSE true END AS valid",
+    "CASE WHEN event_id % 13 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(event_id % 18 AS DOUBLE) END "
+    "AS uv_index",
+    "CASE WHEN event_id % 29 = 0 THEN CAST(-1 AS DOUBLE) WHEN event_id % 7 = 0 "
+    "THEN CAST(event_id % 50 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS rain_gauge",
+    "CASE WHEN event_id % 31 = 0 THEN CAST(-2 AS DOUBLE) WHEN event_id % 501 = 1 "
+    "THEN CAST(900 AS DOUBLE) ELSE CAST(event_id % 45 AS DOUBLE) END AS wind_speed",
+    "CASE WHEN user_id % 4 = 3 THEN CAST(75 + event_id % 20 AS INT) "
+    "ELSE CAST(event_id % 105 AS INT) END AS air_humidity",
+    "CAST(value AS DOUBLE) AS peak_wind_gust",
+    "CASE WHEN event_id % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(value / 4 + 8 AS DOUBLE) END "
+    "AS air_temperature",
+    "CAST(event_id % 1000 AS INT) AS light_intensity",
+    "CAST(event_id % 100 AS DOUBLE) AS rain_accumulation",
+    "CASE WHEN dayofmonth(ts) % 2 = 0 THEN CAST(101000 + event_id % 8000 AS INT) "
+    "ELSE CAST(86500 + (event_id * 37) % 15000 AS INT) END AS barometric_pressure",
+    "CAST(event_id % 380 AS INT) AS wind_direction_sensor",
+    "CAST(ts AS TIMESTAMP) AS processing_timestamp",
+)
 
 
 def readings_from_events(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
     """Flat readings derived from `events` (one per event, plus a copy of
     every 49th event with a distinct id, to exercise de-duplication).
     ``keep_event_id`` appends the source `event_id`."""
-    e = F.col("event_id")
-    u = F.col("user_id")
     # One scan: every 49th event yields a second row (suffix "d") through a
     # generator instead of a second read of the table.
-    sfx = F.when(e % 49 == 0, F.array(F.lit(""), F.lit("d"))).otherwise(F.array(F.lit("")))
-    src = events.select("event_id", "ts", "user_id", "value", F.explode(sfx).alias("sfx"))
-    none = F.lit(None)
-    return src.select(
-        F.concat(F.lit("r"), e.cast("string"), F.col("sfx")).alias("reading_id"),
-        F.concat(F.lit("dev"), (u % 4).cast("string")).alias("device_id"),
-        F.when(e % 97 == 0, none.cast("boolean"))
-         .when(e % 20 == 0, F.lit(False)).otherwise(F.lit(True)).alias("valid"),
-        F.when(e % 13 == 0, none.cast("double"))
-         .otherwise(_dbl(e % 18)).alias("uv_index"),
-        F.when(e % 29 == 0, _dbl(-1)).when(e % 7 == 0, _dbl(e % 50))
-         .otherwise(_dbl(0)).alias("rain_gauge"),
-        F.when(e % 31 == 0, _dbl(-2)).when(e % 501 == 1, _dbl(900))
-         .otherwise(_dbl(e % 45)).alias("wind_speed"),
-        F.when(u % 4 == 3, (F.lit(75) + e % 20).cast("int"))
-         .otherwise((e % 105).cast("int")).alias("air_humidity"),
-        F.col("value").cast("double").alias("peak_wind_gust"),
-        F.when(e % 11 == 0, none.cast("double"))
-         .otherwise(_dbl(F.col("value") / 4 + 8)).alias("air_temperature"),
-        (e % 1000).cast("int").alias("light_intensity"),
-        _dbl(e % 100).alias("rain_accumulation"),
-        F.when(F.dayofmonth("ts") % 2 == 0, (F.lit(101000) + e % 8000).cast("int"))
-         .otherwise((F.lit(86500) + (e * 37) % 15000).cast("int")).alias("barometric_pressure"),
-        (e % 380).cast("int").alias("wind_direction_sensor"),
-        F.col("ts").cast("timestamp").alias("processing_timestamp"),
-        *([e] if keep_event_id else []),
-    )
+    src = events.selectExpr(
+        "event_id", "ts", "user_id", "value",
+        "explode(CASE WHEN event_id % 49 = 0 THEN array('', 'd') ELSE array('') END) AS sfx")
+    return src.selectExpr(*_READING_EXPRS, *(["event_id"] if keep_event_id else []))
 
 
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
