@@ -166,8 +166,8 @@ def q_filter_valid(spark, sf_dir):
 
 
 @register("valid_counts", O.sql(["readings"], """
-SELECT count(*) AS n_total, count_if(valid = TRUE) AS n_valid,
- count(*) - count_if(valid = TRUE) AS n_invalid FROM readings"""))
+SELECT count(*) AS n_total, CAST(count_if(valid = TRUE) AS BIGINT) AS n_valid,
+ CAST(count(*) - count_if(valid = TRUE) AS BIGINT) AS n_invalid FROM readings"""))
 def q_valid_counts(spark, sf_dir):
     return clean.valid_counts(_readings(spark, sf_dir))
 
@@ -196,7 +196,7 @@ _NULL_COLS = list(P.CLEAN_RANGES)
 
 
 @register("null_profile", O.sql(["cleaned"], "SELECT " + ", ".join(
-    f"count_if({c} IS NULL) AS nulls_{c}" for c in _NULL_COLS) + " FROM cleaned"))
+    f"CAST(count_if({c} IS NULL) AS BIGINT) AS nulls_{c}" for c in _NULL_COLS) + " FROM cleaned"))
 def q_null_profile(spark, sf_dir):
     return clean.null_profile(_cleaned(spark, sf_dir), _NULL_COLS)
 
@@ -275,7 +275,7 @@ def q_zscore_flag(spark, sf_dir):
 
 
 @register("anomaly_counts", O.sql(["flagged"], """
-SELECT count_if(is_anomaly) AS n_anomalies, count(*) AS n_total FROM flagged"""))
+SELECT CAST(count_if(is_anomaly) AS BIGINT) AS n_anomalies, count(*) AS n_total FROM flagged"""))
 def q_anomaly_counts(spark, sf_dir):
     return anomaly.anomaly_counts(_scored(spark, sf_dir))
 
