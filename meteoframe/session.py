@@ -26,6 +26,20 @@ SCALE_CONF = {
 }
 
 
+def sizing(input_bytes: int, partition_bytes: int = 128 << 20,
+           max_partitions: int = 200_000) -> dict:
+    """Shuffle and scan sizing for an input of ``input_bytes``: about one
+    shuffle partition per ``partition_bytes`` of input (AQE coalesces small
+    ones at run time and splits skewed ones), and scan splits of the same
+    size, so tasks fit executor memory without spilling heavily."""
+    n = max(1, min(max_partitions, -(-int(input_bytes) // int(partition_bytes))))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(int(partition_bytes)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(partition_bytes)),
+    }
+
+
 def apply_semantics(spark: SparkSession) -> SparkSession:
     """Pin the settings that change results on an existing session."""
     for k, v in SEMANTIC_CONF.items():

@@ -50,3 +50,10 @@ def test_schema_gaps_case_insensitive():
 def test_jdbc_options_have_no_default_credentials():
     o = writers.jdbc_options("jdbc:x://h/db", "t")
     assert o == {"url": "jdbc:x://h/db", "dbtable": "t"}
+
+
+def test_sizing_rule():
+    from meteoframe.session import sizing
+    assert sizing(1)["spark.sql.shuffle.partitions"] == "1"
+    assert sizing(10 * (128 << 20))["spark.sql.shuffle.partitions"] == "10"
+    assert sizing(100 * 10 ** 12)["spark.sql.shuffle.partitions"] == "200000"
