@@ -180,25 +180,42 @@ class FanOut:
             F.struct(*[F.col(c) for c in self.STATE_COLS[1:]]),
             F.struct(F.col("processing_timestamp"))).alias("_s"))
         writers.write_batch(last.select("device_id", "_s.*"), self.t.path("lag_state"), batch_id)
+        prune_versions(spark, self.t.path("lag_state"), keep_from=latest_version_below(
+            spark, self.t.path("lag_state"), batch_id))
 
 
-def latest_version_below(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """Largest ``batch_id=K`` partition of ``path`` with K < ``batch_id``
-    (a directory listing, no data read)."""
+def _versions(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
-        return None
-    best = None
+        return fs, []
+    out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("batch_id="):
-            k = int(name.split("=", 1)[1])
-            if k < batch_id and (best is None or k > best):
-                best = k
-    return best
+            out.append((int(name.split("=", 1)[1]), st.getPath()))
+    return fs, out
+
+
+def prune_versions(spark: SparkSession, path: str, keep_from: int | None) -> None:
+    """Delete state versions older than ``keep_from``. A restarted query
+    replays at most its last uncommitted batch N, which reads version N-1,
+    so the previous and the current version are all that must stay."""
+    if keep_from is None:
+        return
+    fs, versions = _versions(spark, path)
+    for k, p in versions:
+        if k < keep_from:
+            fs.delete(p, True)
+
+
+def latest_version_below(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """Largest ``batch_id=K`` partition of ``path`` with K < ``batch_id``
+    (a directory listing, no data read)."""
+    below = [k for k, _ in _versions(spark, path)[1] if k < batch_id]
+    return max(below) if below else None
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
