@@ -32,7 +32,12 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--max-offsets", type=int,
                    default=int(os.environ.get("MAX_OFFSETS_PER_TRIGGER", "1000")))
     s.add_argument("--max-files", type=int, default=1)
-    s.add_argument("--out", required=True, help="root folder of the output tables")
+    s.add_argument("--out", required=True,
+                   help="root folder of the output tables (of the pipeline state with --jdbc-url)")
+    s.add_argument("--jdbc-url", default=os.environ.get("JDBC_URL"),
+                   help="write tables through JDBC (append); credentials from JDBC_USER, "
+                        "JDBC_PASSWORD in the environment")
+    s.add_argument("--jdbc-driver", default=os.environ.get("JDBC_DRIVER"))
     s.add_argument("--checkpoint", default=os.environ.get("CHECKPOINT_LOCATION"))
     s.add_argument("--mode", choices=P.MODES, default=P.AS_WRITTEN)
     s.add_argument("--dedup-watermark", default="1 day")
@@ -70,7 +75,13 @@ def main(argv: list[str] | None = None) -> int:
             return 2
         raw = sources.read_kafka_stream(spark, sources.kafka_options(
             args.kafka_bootstrap, args.topic, max_offsets_per_trigger=args.max_offsets))
-    targets = fanout.Targets(root=args.out, mode=args.mode, stats_by=tuple(args.stats_by))
+    if args.jdbc_url:
+        targets = fanout.JdbcTargets(root=args.out, mode=args.mode, stats_by=tuple(args.stats_by),
+                                     url=args.jdbc_url, user=os.environ.get("JDBC_USER"),
+                                     password=os.environ.get("JDBC_PASSWORD"),
+                                     driver=args.jdbc_driver)
+    else:
+        targets = fanout.Targets(root=args.out, mode=args.mode, stats_by=tuple(args.stats_by))
     q = fanout.start_pipeline(spark, raw, targets, checkpoint=args.checkpoint,
                               dedup_watermark=args.dedup_watermark or None,
                               available_now=args.available_now)

@@ -60,6 +60,85 @@ class Targets:
     def path(self, name: str) -> str:
         return join_path(self.root, name)
 
+    # -- sink interface used by FanOut (parquet tables, exactly-once) --------
+
+    def write_rows(self, name: str, df: DataFrame, batch_id: int, partition_by=(),
+                   sort_by=(), observe=None) -> None:
+        """Write one batch's rows of table ``name``; a replay replaces them.
+        Micro-batches are bounded by the source's rate limit, so rows are
+        hash-clustered (no range-boundary sampling job)."""
+        writers.write_batch(df, self.path(name), batch_id, partition_by=partition_by,
+                            sort_by=sort_by, observe=observe, clustering="hash")
+
+    def daily_rows(self, spark: SparkSession, cleaned: DataFrame, scored: DataFrame) -> DataFrame:
+        """Daily summary of every date the batch touched, recomputed from the
+        whole clean table. The semi-join is on the partition column itself, so
+        dynamic partition pruning reads only the touched dates (a set bounded
+        by the days one batch spans)."""
+        touched = cleaned.select(F.to_date("date").alias("date")).distinct()
+        stored = spark.read.parquet(self.path("clean"))
+        rows = stored.join(F.broadcast(touched), "date", "left_semi").drop("batch_id")
+        return aggregate.daily_summary(rows)
+
+    def write_daily(self, daily: DataFrame, batch_id: int) -> None:
+        """Upsert: overwrite the touched date partitions."""
+        writers.write_partitions(daily, self.path("daily"), ["date"], sort_by=["device_id"],
+                                 clustering="hash")
+
+    def written(self, spark: SparkSession, name: str, batch_id: int, df: DataFrame) -> DataFrame:
+        """The rows just written for ``name`` (read back, not recomputed)."""
+        return spark.read.parquet(f"{self.path(name)}/batch_id={int(batch_id)}")
+
+    def state_path(self, name: str) -> str:
+        return self.path(name)
+
+
+@dataclass
+class JdbcTargets(Targets):
+    """Tables in a database reached through JDBC; ``root`` still holds the
+    pipeline's own state (lag state) on shared storage.
+
+    Writes append, as the reference pipeline does: at-least-once (a replayed
+    batch appends again unless the tables' keys reject duplicates), and the
+    daily summary is appended per batch rather than upserted. Parquet
+    ``Targets`` give exactly-once tables and the upsert.
+    """
+    url: str = ""
+    user: str | None = None
+    password: str | None = None
+    driver: str | None = None
+    tables: dict | None = None          # logical name -> table name
+    connections: int | None = 8         # concurrent writers per table
+
+    DEFAULT_TABLES = {"raw": "readings_raw", "clean": "readings_clean", "daily": "daily_summary",
+                      "qc": "qc_audit", "dead_letter": "readings_rejected"}
+
+    def table(self, name: str) -> str:
+        return {**self.DEFAULT_TABLES, **(self.tables or {})}[name]
+
+    def options(self, name: str) -> dict:
+        return writers.jdbc_options(self.url, self.table(name), self.user, self.password,
+                                    self.driver)
+
+    def write_rows(self, name, df, batch_id, partition_by=(), sort_by=(), observe=None) -> None:
+        out = writers.coerce_write_types(df)
+        if observe is not None:
+            obs, exprs = observe
+            out = out.observe(obs, *exprs)
+        writers.write_jdbc(out, self.options(name), mode="append", num_partitions=self.connections)
+
+    def daily_rows(self, spark, cleaned, scored) -> DataFrame:
+        return aggregate.daily_summary(scored)
+
+    def write_daily(self, daily, batch_id) -> None:
+        self.write_rows("daily", daily, batch_id)
+
+    def written(self, spark, name, batch_id, df) -> DataFrame:
+        return df
+
+    def state_path(self, name: str) -> str:
+        return self.path(name)
+
 
 def split_dead_letters(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): bad rows could not be decoded (no reading id) or have
@@ -90,10 +169,11 @@ class FanOut:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         t = self.t
+        spark = batch.sparkSession
         if "_raw" in batch.columns:
             if t.mode == P.CORRECTED:
                 good, bad = split_dead_letters(batch)
-                writers.write_batch(bad, t.path("dead_letter"), batch_id)
+                t.write_rows("dead_letter", bad, batch_id)
             else:
                 good = batch.drop("_raw")
         else:
@@ -106,7 +186,7 @@ class FanOut:
         # 1. Raw rows first; nothing else is written if this fails.
         observed = good.observe(obs_raw, F.count(F.lit(1)).alias("rows"),
                                 F.count_if(F.col("valid") == F.lit(True)).alias("valid"))
-        writers.write_batch(writers.raw_json(observed), t.path("raw"), batch_id)
+        t.write_rows("raw", writers.raw_json(observed), batch_id)
 
         # 2. Clean rows: cleaned, imputed and scored with one stats pass.
         cleaned = clean.clean_readings(good)
@@ -114,46 +194,39 @@ class FanOut:
         clean_metrics = [F.count(F.lit(1)).alias("rows"),
                          F.count_if(F.col("is_anomaly")).alias("anomalies"),
                          *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in MEASURES]]
-        clean_path = t.path("clean")
-        # micro-batches are bounded by the source's rate limit: hash
-        # clustering, no range-boundary sampling job
-        writers.write_batch(scored, clean_path, batch_id, partition_by=["date"],
-                            sort_by=["device_id", "processing_timestamp"],
-                            observe=(obs_clean, clean_metrics), clustering="hash")
-
-        # 3. Daily summary of the touched dates, from the whole clean table.
-        spark = batch.sparkSession
-        # Join on the partition column itself so dynamic partition pruning
-        # reads only the touched dates; the touched set is bounded by the
-        # days one batch spans.
-        touched = cleaned.select(F.to_date("date").alias("date")).distinct()
-        stored = spark.read.parquet(clean_path)
-        rows = stored.join(F.broadcast(touched), "date", "left_semi").drop("batch_id")
-        daily = aggregate.daily_summary(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        t.write_rows("clean", scored, batch_id, partition_by=["date"],
+                     sort_by=["device_id", "processing_timestamp"], observe=(obs_clean, clean_metrics))
+
+        # 3. Daily summary, written only when the quality gate passes.
+        daily = t.daily_rows(spark, cleaned, scored).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
-                writers.write_partitions(daily, t.path("daily"), ["date"], sort_by=["device_id"],
-                                         clustering="hash")
+                t.write_daily(daily, batch_id)
         finally:
             daily.unpersist()
 
         # 4. QC audit rows: the imputed rows just written (as written), or the
         #    cleaned rows without imputation (corrected).
         if t.mode == P.AS_WRITTEN:
-            src = (spark.read.parquet(f"{clean_path}/batch_id={int(batch_id)}")
+            src = (t.written(spark, "clean", batch_id, scored)
                    .drop("anomaly_score", "is_anomaly")
                    .withColumn("date", F.date_format("date", P.DATE_FORMAT)))
         else:
             src = cleaned
         ctx = self.lag_context(spark, batch_id) if t.carries_lag else None
         audit = qc.qc_level1(src, thr=t.thr, mode=t.mode, context=ctx,
-                             bucket_seconds=t.lag_buckets).observe(
-            obs_qc, F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
-            F.count_if(F.size("qc_warning_checks") > 0).alias("with_warnings"))
-        writers.write_batch(audit, t.path("qc"), batch_id)
-        if t.carries_lag:
-            self.save_lag_state(spark, batch_id, ctx)
+                             bucket_seconds=t.lag_buckets)
+        qc_metrics = [F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
+                      F.count_if(F.size("qc_warning_checks") > 0).alias("with_warnings")]
+        if t.carries_lag and isinstance(t, JdbcTargets):
+            audit = audit.persist(StorageLevel.MEMORY_AND_DISK)   # state is derived from it
+        try:
+            t.write_rows("qc", audit, batch_id, observe=(obs_qc, qc_metrics))
+            if t.carries_lag:
+                self.save_lag_state(spark, batch_id, ctx, t.written(spark, "qc", batch_id, audit))
+        finally:
+            audit.unpersist()
 
         m = {"raw": obs_raw.get, "clean": obs_clean.get, "qc": obs_qc.get}
         self.metrics.append((batch_id, m))
@@ -164,24 +237,25 @@ class FanOut:
     STATE_COLS = ("device_id", "date", "processing_timestamp", "air_temperature")
 
     def lag_context(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        prev = latest_version_below(spark, self.t.path("lag_state"), batch_id)
+        path = self.t.state_path("lag_state")
+        prev = latest_version_below(spark, path, batch_id)
         if prev is None:
             return None
-        return spark.read.parquet(f"{self.t.path('lag_state')}/batch_id={prev}")
+        return spark.read.parquet(f"{path}/batch_id={prev}")
 
-    def save_lag_state(self, spark: SparkSession, batch_id: int, ctx: DataFrame | None) -> None:
+    def save_lag_state(self, spark: SparkSession, batch_id: int, ctx: DataFrame | None,
+                       audit: DataFrame) -> None:
         """Last reading per device after this batch (bounded: one row per
         device), written as version ``batch_id``."""
-        mine = spark.read.parquet(f"{self.t.path('qc')}/batch_id={int(batch_id)}")
-        rows = mine.select(*self.STATE_COLS)
+        rows = audit.select(*self.STATE_COLS)
         if ctx is not None:
             rows = rows.unionByName(ctx.select(*self.STATE_COLS))
         last = rows.groupBy("device_id").agg(F.max_by(
             F.struct(*[F.col(c) for c in self.STATE_COLS[1:]]),
             F.struct(F.col("processing_timestamp"))).alias("_s"))
-        writers.write_batch(last.select("device_id", "_s.*"), self.t.path("lag_state"), batch_id)
-        prune_versions(spark, self.t.path("lag_state"), keep_from=latest_version_below(
-            spark, self.t.path("lag_state"), batch_id))
+        path = self.t.state_path("lag_state")
+        writers.write_batch(last.select("device_id", "_s.*"), path, batch_id)
+        prune_versions(spark, path, keep_from=latest_version_below(spark, path, batch_id))
 
 
 def _versions(spark: SparkSession, path: str):

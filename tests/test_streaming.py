@@ -247,3 +247,33 @@ def test_lag_state_keeps_two_versions(spark):
     _run(spark, src, t)
     versions = sorted(d for d in os.listdir(t.path("lag_state")) if d.startswith("batch_id="))
     assert versions == ["batch_id=2", "batch_id=3"]
+
+
+def test_jdbc_targets_wiring(spark, monkeypatch):
+    from meteoframe.sinks import writers
+    written = []
+
+    def fake_write_jdbc(df, options, mode="append", num_partitions=None):
+        written.append((options["dbtable"], mode, dict(df.dtypes), df.count(), options))
+    monkeypatch.setattr(writers, "write_jdbc", fake_write_jdbc)
+
+    readings = load_readings(spark, SF_SMALL)
+    src = _files(spark, readings, 1)
+    for mode in P.MODES:
+        written.clear()
+        t = fanout.JdbcTargets(root=scratch_path(spark, "t-state"), mode=mode,
+                               url="jdbc:postgresql://db:5432/x", user="u")
+        fanout.FanOut(t)(sources.decode_stream(spark.read.text(src)), 0)
+        tables = {w[0]: w for w in written}
+        assert set(tables) >= {"readings_raw", "readings_clean", "daily_summary", "qc_audit"}
+        assert all(w[1] == "append" for w in written)
+        assert tables["readings_raw"][2] == {"data": "string"}
+        assert tables["readings_raw"][3] == readings.count()
+        assert tables["readings_clean"][2]["date"] == "date"
+        assert tables["readings_clean"][2]["processing_timestamp"] == "timestamp"
+        assert tables["daily_summary"][2]["date"] == "date"
+        assert tables["daily_summary"][3] == 120
+        assert tables["qc_audit"][2]["qc_failed_checks"] == "array<string>"
+        assert "password" not in tables["qc_audit"][4]
+        if mode == P.CORRECTED:
+            assert os.path.isdir(t.path("lag_state"))
