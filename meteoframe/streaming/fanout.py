@@ -301,8 +301,7 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     unless the session already chose a provider. A query restarted from a
     checkpoint must keep the provider it started with."""
     key = "spark.sql.streaming.stateStore.providerClass"
-    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-    if spark.conf.get(key, default) == default:
+    if spark.conf.get(key, None) is None:      # not chosen by the session
         spark.conf.set(key, ROCKSDB_PROVIDER)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
