@@ -4,6 +4,7 @@
         --kafka-bootstrap HOST:PORT --topic T --out ROOT --checkpoint SHARED_DIR
     python -m meteoframe stream --files DIR --out ROOT --available-now
     python -m meteoframe batch --readings PATH --out ROOT
+    python -m meteoframe publish --readings PATH --files DIR
 
 Settings not given as options are read from the environment
 (``KAFKA_BOOTSTRAP_SERVERS``, ``KAFKA_TOPIC_RAW``, ``MAX_OFFSETS_PER_TRIGGER``,
@@ -45,6 +46,14 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true",
                    help="process what is there and stop (default: run until stopped)")
 
+    pub = sub.add_parser("publish", help="readings table -> one JSON envelope per reading")
+    pub.add_argument("--readings", required=True, help="parquet table of flat readings")
+    dst = pub.add_mutually_exclusive_group(required=True)
+    dst.add_argument("--files", help="write JSON-lines envelope files here")
+    dst.add_argument("--kafka-bootstrap")
+    pub.add_argument("--topic", default=os.environ.get("KAFKA_TOPIC_RAW"))
+    pub.add_argument("--n-files", type=int, default=8, help="time-ordered files (file target)")
+
     b = sub.add_parser("batch", help="clean, daily and QC tables from a readings table")
     b.add_argument("--readings", required=True, help="parquet table of flat readings")
     b.add_argument("--out", required=True)
@@ -67,6 +76,18 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from .streaming import fanout, sources
+    if args.cmd == "publish":
+        readings = spark.read.parquet(args.readings)
+        if args.files:
+            sources.write_envelope_files(readings, args.files, args.n_files)
+        else:
+            if not args.topic:
+                print("publish: --topic is required with --kafka-bootstrap", file=sys.stderr)
+                return 2
+            from .sources import envelope
+            sources.write_kafka(envelope.encode_envelope(readings), args.kafka_bootstrap, args.topic)
+        return 0
+
     if args.files:
         raw = sources.read_envelope_files(spark, args.files, args.max_files)
     else:

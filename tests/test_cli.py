@@ -16,7 +16,7 @@ def test_cli_batch_and_stream(spark):
     assert spark.read.parquet(out + "/daily").count() == 120
 
     src = scratch_path(spark, "cli-src")
-    sources.write_envelope_files(readings, src, 2)
+    assert main(["publish", "--readings", table, "--files", src, "--n-files", "2"]) == 0
     sources.order_files_by_name(src)
     out2 = scratch_path(spark, "cli-stream")
     assert main(["stream", "--files", src, "--out", out2, "--checkpoint",
