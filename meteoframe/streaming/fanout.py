@@ -139,6 +139,27 @@ class JdbcTargets(Targets):
     def state_path(self, name: str) -> str:
         return self.path(name)
 
+    def preflight(self, spark: SparkSession) -> dict:
+        """Columns each target table lacks, compared with the schemas the
+        fan-out writes (zero-row probes of every target; no data read)."""
+        expected = expected_schemas(spark, self)
+        return writers.preflight(spark, {n: (self.options(n), sch) for n, sch in expected.items()})
+
+
+def expected_schemas(spark: SparkSession, targets: Targets) -> dict:
+    """Schemas of the rows the fan-out writes to each table, taken from the
+    lazy plans built over an empty batch (analysis only, no job)."""
+    from ..schemas import FLAT_READING
+    empty = spark.createDataFrame([], FLAT_READING)
+    cleaned = clean.clean_readings(empty)
+    scored = anomaly.impute_and_score(cleaned, mode=targets.mode, by=targets.stats_by)
+    daily = aggregate.daily_summary(scored)
+    src = scored.drop("anomaly_score", "is_anomaly") if targets.mode == P.AS_WRITTEN else cleaned
+    audit = qc.qc_level1(src, thr=targets.thr, mode=targets.mode)
+    return {name: writers.coerce_write_types(df).schema
+            for name, df in (("raw", writers.raw_json(empty)), ("clean", scored),
+                             ("daily", daily), ("qc", audit))}
+
 
 def split_dead_letters(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): bad rows could not be decoded (no reading id) or have
@@ -316,9 +337,18 @@ def dedup_across_batches(flat: DataFrame, watermark: str = "1 day",
 
 def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
                    checkpoint: str | None = None, dedup_watermark: str | None = "1 day",
-                   available_now: bool = False, processing_time: str | None = None):
+                   available_now: bool = False, processing_time: str | None = None,
+                   preflight: bool = True):
     """Start the streaming query: decode, optional cross-batch de-dup,
-    fan-out sink. Returns the StreamingQuery."""
+    fan-out sink. Returns the StreamingQuery.
+
+    For database targets every table is checked first and a missing column
+    stops the start (instead of failing, or silently losing, later writes).
+    """
+    if preflight and isinstance(targets, JdbcTargets):
+        gaps = {n: cols for n, cols in targets.preflight(spark).items() if cols}
+        if gaps:
+            raise RuntimeError(f"target tables lack columns: {gaps}")
     flat = decode_stream(raw_stream, targets.mode, keep_raw=True)
     if dedup_watermark:
         use_rocksdb_state(spark)

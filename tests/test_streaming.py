@@ -277,3 +277,28 @@ def test_jdbc_targets_wiring(spark, monkeypatch):
         assert "password" not in tables["qc_audit"][4]
         if mode == P.CORRECTED:
             assert os.path.isdir(t.path("lag_state"))
+
+
+def test_jdbc_preflight_reports_missing_columns(spark, monkeypatch):
+    from pyspark.sql.types import StringType, StructField, StructType
+    from meteoframe.sinks import writers
+    probed = []
+
+    def fake_probe(spark_, options):
+        probed.append(options["dbtable"])
+        if options["dbtable"] == "daily_summary":        # a table without two columns
+            exp = fanout.expected_schemas(spark_, t)["daily"]
+            return StructType([f for f in exp.fields if f.name not in ("anomaly_score", "is_anomaly")])
+        if options["dbtable"] == "readings_raw":
+            return StructType([StructField("id", StringType()), StructField("data", StringType())])
+        return {"readings_clean": fanout.expected_schemas(spark_, t)["clean"],
+                "qc_audit": fanout.expected_schemas(spark_, t)["qc"]}[options["dbtable"]]
+    monkeypatch.setattr(writers, "probe_schema", fake_probe)
+    t = fanout.JdbcTargets(root=scratch_path(spark, "t-state"), url="jdbc:postgresql://db/x")
+    gaps = t.preflight(spark)
+    assert sorted(probed) == ["daily_summary", "qc_audit", "readings_clean", "readings_raw"]
+    assert gaps == {"raw": [], "clean": [], "daily": ["anomaly_score", "is_anomaly"], "qc": []}
+    import pytest
+    raw = sources.read_envelope_files(spark, scratch_path(spark, "t-empty"))
+    with pytest.raises(RuntimeError, match="anomaly_score"):
+        fanout.start_pipeline(spark, raw, t, checkpoint=scratch_path(spark, "t-ck"))
