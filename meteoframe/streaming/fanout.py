@@ -6,18 +6,23 @@ Per micro-batch (``foreachBatch``) the callback writes, in order:
    ``corrected`` mode) with their text;
 2. raw rows as JSON text; later steps run only after it succeeded;
 3. clean rows (cleaned, imputed, scored), partitioned by (batch_id, date);
-4. the daily summary of every date the batch touched, recomputed from the
-   clean table and overwriting those date partitions (an upsert);
+4. the daily summary (quality-gated) of every date the batch touched,
+   recomputed from the clean table and overwriting those date partitions;
 5. the level-1 QC audit rows; with ``carry_lag`` each device's last
    reading is kept in a small state table (one row per device, versioned by
    batch id) and fed to the next batch as context, so time gaps and
    temperature steps continue across batch boundaries.
 
-Every write is keyed by batch id (or date), so a replayed batch overwrites
-its first attempt. Errors propagate: the query stops and the batch replays
-from the checkpoint on restart instead of being committed with rows lost.
-The batch is persisted once and released in ``finally``; statistics are
-single aggregates, and every write is a distributed job.
+Targets are pluggable. ``Targets`` (parquet tables under a shared root)
+key every write by batch id (or date), so a replayed batch overwrites its
+first attempt, and upsert the daily table. ``JdbcTargets`` append to
+database tables as the reference does (at-least-once, daily rows per
+batch) and check every table's columns before the stream starts.
+
+Errors propagate: the query stops and the batch replays from the checkpoint
+on restart instead of being committed with rows lost. The batch is persisted
+once and released in ``finally``; statistics are single aggregates, counts
+are observed during the writes, and every write is a distributed job.
 """
 
 from __future__ import annotations
