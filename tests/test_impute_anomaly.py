@@ -144,3 +144,18 @@ def test_null_profile_one_pass(spark):
     df = cleaned(spark, [reading(reading_id="a", uv_index=None), reading(reading_id="b", uv_index=99.0)])
     out = clean.null_profile(df, ["uv_index", "air_temperature"]).first()
     assert out.nulls_uv_index == 2 and out.nulls_air_temperature == 0
+
+
+def test_supplied_statistics_tables(spark):
+    rows = [reading(reading_id="a", device_id="d1", air_temperature=None),
+            reading(reading_id="b", device_id="d2", air_temperature=None),
+            reading(reading_id="c", device_id="d1", air_temperature=30.0)]
+    df = cleaned(spark, rows)
+    means = spark.createDataFrame([("d1", 11.0), ("d2", 22.0)], "device_id string, mean_air_temperature double")
+    out = rows_by(impute.impute_mean(df, columns=["air_temperature"], stats=means, by=("device_id",)))
+    assert out["a"]["air_temperature"] == 11.0 and out["b"]["air_temperature"] == 22.0
+    assert out["c"]["air_temperature"] == 30.0
+    stats = anomaly.feature_stats(df.fillna({"air_temperature": 20.0})).withColumn(
+        "mean_air_temperature", F.lit(20.0)).withColumn("stddev_air_temperature", F.lit(2.0))
+    scored = rows_by(anomaly.zscore_score(df.fillna({"air_temperature": 20.0}), stats=stats))
+    assert scored["c"]["anomaly_score"] == pytest.approx(5.0)
