@@ -318,6 +318,24 @@ def latest_version_below(spark: SparkSession, path: str, batch_id: int) -> int |
     return max(below) if below else None
 
 
+def slot_counts_stream(flat: DataFrame, minutes: int = 15, watermark: str = "1 hour",
+                       ts_col: str = "processing_timestamp", key: str = "device_id") -> DataFrame:
+    """Readings per device and tumbling event-time slot, as a stream.
+
+    With a watermark and append output a slot is emitted once, when the
+    watermark passes its end, and its state is dropped then; readings later
+    than the watermark are not counted (the late-data rule). State holds
+    only the open slots, so it does not grow with the stream.
+    """
+    w = F.window(F.col(ts_col), f"{minutes} minutes")
+    return (flat.filter(F.col("valid") == F.lit(True))
+                .withWatermark(ts_col, watermark)
+                .groupBy(F.col(key), w.alias("slot"))
+                .agg(F.count(F.lit(1)).alias("n_readings"))
+                .select(key, F.col("slot.start").alias("slot_start"),
+                        F.col("slot.end").alias("slot_end"), "n_readings"))
+
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 

@@ -67,3 +67,31 @@ SELECT device_id, date, sum(rain_gauge) AS totalprecip_mm,
  date_trunc('millisecond', max(processing_timestamp)) AS processing_timestamp,
  CAST(epoch(CAST(date AS DATE)::TIMESTAMP) AS INTEGER) AS date_epoch
 FROM cleaned GROUP BY device_id, date""")
+
+
+def stream_slot_availability(spark, sf_dir):
+    """Event-time 15-minute slots counted by a watermarked streaming
+    aggregation (append mode); returns the slots it emitted."""
+    src = _envelope_files(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "slots-out"), scratch_path(spark, "slots-ckpt")
+    raw = sources.read_envelope_files(spark, src, max_files_per_trigger=1)
+    flat = sources.decode_stream(raw, P.AS_WRITTEN, keep_raw=False)
+    slots = fanout.slot_counts_stream(flat, minutes=15, watermark="1 hour")
+    q = (slots.writeStream.format("parquet").option("path", out).outputMode("append")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+STREAM_QUERIES["stream_slot_availability"] = stream_slot_availability
+# Emitted slots: those whose end the final watermark has reached -- the
+# latest event time of the valid readings (the watermark is taken after the
+# validity filter) minus the 1 hour delay.
+STREAM_ORACLE["stream_slot_availability"] = O.sql(["cleaned"], """
+SELECT device_id, slot_start, slot_start + INTERVAL 15 minutes AS slot_end, count(*) AS n_readings
+FROM (SELECT device_id,
+             time_bucket(INTERVAL 15 minutes, date_trunc('millisecond', processing_timestamp)) AS slot_start
+      FROM cleaned) AS s
+WHERE slot_start + INTERVAL 15 minutes
+      <= (SELECT max(date_trunc('millisecond', processing_timestamp)) FROM cleaned) - INTERVAL 1 hour
+GROUP BY device_id, slot_start""")
