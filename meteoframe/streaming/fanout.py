@@ -323,9 +323,11 @@ def slot_counts_stream(flat: DataFrame, minutes: int = 15, watermark: str = "1 h
     """Readings per device and tumbling event-time slot, as a stream.
 
     With a watermark and append output a slot is emitted once, when the
-    watermark passes its end, and its state is dropped then; readings later
-    than the watermark are not counted (the late-data rule). State holds
-    only the open slots, so it does not grow with the stream.
+    watermark passes its end, and its state is dropped then. Readings up to
+    the watermark delay late are always counted; a reading for a slot that
+    was already emitted is dropped (Spark may still count a later reading
+    whose slot is not yet evicted). State holds only the open slots, so it
+    does not grow with the stream.
     """
     w = F.window(F.col(ts_col), f"{minutes} minutes")
     return (flat.filter(F.col("valid") == F.lit(True))

@@ -302,3 +302,35 @@ def test_jdbc_preflight_reports_missing_columns(spark, monkeypatch):
     raw = sources.read_envelope_files(spark, scratch_path(spark, "t-empty"))
     with pytest.raises(RuntimeError, match="anomaly_score"):
         fanout.start_pipeline(spark, raw, t, checkpoint=scratch_path(spark, "t-ck"))
+
+
+def test_slot_stream_drops_late_readings(spark):
+    import datetime as dt
+    from tests.helpers import flat_df, reading
+    from meteoframe.sources import envelope
+    t0 = dt.datetime(2024, 5, 1, 0, 0)
+    early = [reading(reading_id=f"a{i}", processing_timestamp=t0 + dt.timedelta(minutes=15 * i))
+             for i in range(20)]                       # up to 04:45
+    advance = [reading(reading_id="b", processing_timestamp=t0 + dt.timedelta(hours=8))]
+    late = [reading(reading_id="late", processing_timestamp=t0 + dt.timedelta(minutes=5)),
+            reading(reading_id="c", processing_timestamp=t0 + dt.timedelta(hours=8, minutes=5))]
+    src = scratch_path(spark, "t-late")
+    files = (early, advance, late)     # the 00:00 slot is emitted before the late reading comes
+    for i, rows in enumerate(files):
+        envelope.encode_envelope(flat_df(spark, rows)).select("value").coalesce(1) \
+            .write.mode("overwrite").text(os.path.join(src, f"f{i}"))
+    # one directory per file, read in order
+    for i in range(len(files)):
+        for n in os.listdir(os.path.join(src, f"f{i}")):
+            if n.startswith("part-"):
+                os.rename(os.path.join(src, f"f{i}", n), os.path.join(src, f"part-{i:05d}.txt"))
+    sources.order_files_by_name(src)
+    out, ck = scratch_path(spark, "t-late-out"), scratch_path(spark, "t-late-ck")
+    flat = sources.decode_stream(sources.read_envelope_files(spark, src), keep_raw=False)
+    q = (fanout.slot_counts_stream(flat, watermark="1 hour").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.slot_start: r.n_readings for r in spark.read.parquet(out).collect()}
+    assert got[t0] == 1                                # the late 00:05 reading was not counted
+    assert len(got) == 20                              # every early slot closed; 08:00 still open
