@@ -41,7 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-driver", default=os.environ.get("JDBC_DRIVER"))
     s.add_argument("--checkpoint", default=os.environ.get("CHECKPOINT_LOCATION"))
     s.add_argument("--mode", choices=P.MODES, default=P.AS_WRITTEN)
-    s.add_argument("--dedup-watermark", default="1 day")
+    s.add_argument("--dedup-watermark", default="7 days",
+                   help="cross-batch de-dup delay; later readings may be discarded ('' disables)")
     s.add_argument("--stats-by", nargs="*", default=[])
     s.add_argument("--available-now", action="store_true",
                    help="process what is there and stop (default: run until stopped)")

@@ -352,16 +352,25 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-def dedup_across_batches(flat: DataFrame, watermark: str = "1 day",
+DEDUP_WATERMARK = "7 days"
+
+
+def dedup_across_batches(flat: DataFrame, watermark: str = DEDUP_WATERMARK,
                          key: str = "reading_id",
                          ts_col: str = "processing_timestamp") -> DataFrame:
     """Drop re-sent readings across micro-batches: state keeps the keys seen
-    within the watermark delay of event time."""
+    within the watermark delay of event time.
+
+    Late-data rule: a reading whose event time is more than the delay behind
+    the newest event time seen may be discarded (as a re-send of something
+    already processed). Choose the delay to cover the longest backlog a
+    device may upload after being offline; pass ``dedup_watermark=None`` to
+    ``start_pipeline`` to keep every reading (duplicates included)."""
     return flat.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark([key])
 
 
 def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
-                   checkpoint: str | None = None, dedup_watermark: str | None = "1 day",
+                   checkpoint: str | None = None, dedup_watermark: str | None = DEDUP_WATERMARK,
                    available_now: bool = False, processing_time: str | None = None,
                    preflight: bool = True):
     """Start the streaming query: decode, optional cross-batch de-dup,
