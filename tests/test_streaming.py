@@ -334,3 +334,15 @@ def test_slot_stream_drops_late_readings(spark):
     got = {r.slot_start: r.n_readings for r in spark.read.parquet(out).collect()}
     assert got[t0] == 1                                # the late 00:05 reading was not counted
     assert len(got) == 20                              # every early slot closed; 08:00 still open
+
+
+def test_carried_lag_with_multilevel_buckets(spark):
+    readings = load_readings(spark, SF_SMALL)
+    src = _files(spark, readings, 3)
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED,
+                       lag_buckets=(600, 86400))
+    _run(spark, src, t)
+    got = {r.reading_id: (r.time_diff, r.tair_step) for r in spark.read.parquet(t.path("qc")).collect()}
+    want = {r.reading_id: (r.time_diff, r.tair_step)
+            for r in pipeline.qc_audit(readings, P.CORRECTED).collect()}
+    assert got == want
