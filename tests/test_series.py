@@ -144,3 +144,30 @@ def test_qc_level1_row_order_independent(spark):
     for mode in P.MODES:
         assert sorted(qc.qc_level1(a, mode=mode).collect(), key=key) == \
             sorted(qc.qc_level1(b, mode=mode).collect(), key=key)
+
+
+def test_dedup_survivor_rule_against_python(spark):
+    """Survivor per (device, time): lowest reading id, nulls last, then the
+    smallest remaining columns -- checked against a plain-Python selection."""
+    rnd = random.Random(99)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(600):
+        rid = None if rnd.random() < 0.05 else f"r{rnd.randrange(0, 400):03d}"
+        rows.append(reading(reading_id=rid, device_id=rnd.choice(["d1", "d2", None]),
+                            processing_timestamp=t0 + dt.timedelta(minutes=rnd.randrange(0, 60)),
+                            air_temperature=float(rnd.randrange(0, 5))))
+    got = {(r.device_id, r.processing_timestamp): (r.reading_id, r.air_temperature)
+           for r in series.parse_and_dedup(flat_df(spark, rows)).collect()}
+    cols = [f.name for f in flat_df(spark, rows[:1]).schema.fields]
+    i_id, i_dev, i_ts = cols.index("reading_id"), cols.index("device_id"), cols.index("processing_timestamp")
+    rest = [k for k in range(len(cols)) if k not in (i_id, i_dev, i_ts)]
+
+    def key(r):
+        return (r[i_id] is None, r[i_id] or "", *[(r[k] is not None, r[k]) for k in rest])
+    want = {}
+    for r in rows:
+        k = (r[i_dev], r[i_ts])
+        if k not in want or key(r) < key(want[k]):
+            want[k] = r
+    assert got == {k: (r[i_id], r[cols.index("air_temperature")]) for k, r in want.items()}
