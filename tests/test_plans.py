@@ -12,8 +12,15 @@ BATCH = sorted(n for n in QUERIES if not n.startswith(("stream", "src_stream", "
 
 
 def final_plan(df) -> str:
+    """The executed (final adaptive) physical plan, via the public explain()."""
+    import contextlib
+    import io
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert "AdaptiveSparkPlan" not in plan or "isFinalPlan=true" in plan
     if "== Final Plan ==" in plan:
         plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
     return plan
@@ -75,3 +82,15 @@ def test_qc_chain_reuses_the_dedup_exchange(plans):
     assert "ReusedExchange" in plan
     assert len(re.findall(r"FileScan parquet", plan)) <= 2
     assert "SortMergeJoin" not in plan
+
+
+def test_slot_stream_is_a_watermarked_stateful_aggregation(spark, capsys):
+    from meteoframe.session import scratch_path
+    from meteoframe.streaming import fanout, sources
+    src = scratch_path(spark, "t-plan-src")
+    flat = sources.decode_stream(sources.read_envelope_files(spark, src), keep_raw=False)
+    slots = fanout.slot_counts_stream(flat)
+    slots.explain(True)
+    logical = capsys.readouterr().out
+    assert "EventTimeWatermark" in logical
+    assert "StateStoreSave" in logical and "HashAggregate" in logical
