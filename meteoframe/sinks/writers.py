@@ -104,13 +104,6 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     w.parquet(target)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
 # ---------------------------------------------------------------------- JDBC
 
 

@@ -285,6 +285,8 @@ class FanOut:
 
 
 def _versions(spark: SparkSession, path: str):
+    """``batch_id=K`` directories under ``path`` through the Hadoop
+    FileSystem of the session (any scheme: local, hdfs, s3a, abfss, ...)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
