@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..operators import aggregate, anomaly, clean, impute, qc
+from ..operators import aggregate, anomaly, clean, impute, qc, quality
 from ..session import join_path
 from ..sinks import writers
 
@@ -60,10 +60,12 @@ def run_batch(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> BatchO
 
 
 def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=None,
-                 lag_buckets=P.LAG_BUCKET_SECONDS, stats_by: tuple = ()) -> dict:
+                 lag_buckets=P.LAG_BUCKET_SECONDS, stats_by: tuple = (),
+                 quality_gate: bool = True) -> dict:
     """Batch job over a whole readings table: writes `clean` (cleaned,
-    imputed, scored; partitioned by date), then derives `daily` and `qc`
-    from the written clean table. Returns the table paths.
+    imputed, scored; partitioned by date), then derives `daily` (written only
+    when the quality gate passes) and `qc` from the written clean table.
+    Returns the paths of the tables written.
 
     The input is read twice (one statistics pass, one row pass); the daily
     summary and the QC chain read the written clean table (columns pruned),
@@ -77,8 +79,15 @@ def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=N
                              sort_by=["device_id", "processing_timestamp"])
     stored = spark.read.parquet(paths["clean"]).withColumn(
         "date", F.date_format("date", P.DATE_FORMAT))
-    daily_rows = aggregate.daily_summary(stored)
-    writers.write_partitions(daily_rows, paths["daily"], ["date"], sort_by=["device_id"])
+    daily_rows = aggregate.daily_summary(stored).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # the daily table is written only when the quality gate passes
+        if not quality_gate or quality.gate_passed(quality.quality_report(daily_rows)):
+            writers.write_partitions(daily_rows, paths["daily"], ["date"], sort_by=["device_id"])
+        else:
+            paths.pop("daily")
+    finally:
+        daily_rows.unpersist()
     if mode == P.AS_WRITTEN:
         qc_src = stored.drop("anomaly_score", "is_anomaly")
     else:

@@ -46,3 +46,11 @@ def test_all_invalid_batch_is_empty_after_cleaning(spark):
     rows = [reading(reading_id=f"r{i}", valid=False) for i in range(5)]
     out = pipeline.run_batch(flat_df(spark, rows))
     assert out.scored.count() == 0 and out.qc.count() == 0
+
+
+def test_write_tables_skips_daily_when_the_gate_fails(spark):
+    from tests.helpers import flat_df, reading
+    rows = [reading(reading_id=f"r{i}", air_temperature=None) for i in range(3)]
+    paths = pipeline.write_tables(flat_df(spark, rows), scratch_path(spark, "t-gate"),
+                                  mode=P.CORRECTED)
+    assert "daily" not in paths and "clean" in paths and "qc" in paths
