@@ -36,6 +36,8 @@ def time_gap_code(time_diff: str = "time_diff", lo: float = P.TIME_GAP_MIN,
 
 
 def tair_range_code(thr=None, mode=P.AS_WRITTEN, column="air_temperature") -> Column:
+    """Air temperature: fail outside [Tair_min_phy, Tair_max_phy], warn inside
+    it, ok in [Tair_warn_min_clim, Tair_warn_max_clim]."""
     t, x = _thr(thr), F.col(column)
     return R.qc_code(
         fail=(x < t["Tair_min_phy"]) | (x > t["Tair_max_phy"]),
@@ -45,6 +47,8 @@ def tair_range_code(thr=None, mode=P.AS_WRITTEN, column="air_temperature") -> Co
 
 
 def rh_range_code(thr=None, mode=P.AS_WRITTEN, column="air_humidity") -> Column:
+    """Relative humidity: fail outside [RH_min_phy, RH_max_phy], warn inside
+    it, ok in [RH_warn_min_clim, RH_max_phy]."""
     t, x = _thr(thr), F.col(column)
     return R.qc_code(
         fail=(x < t["RH_min_phy"]) | (x > t["RH_max_phy"]),
@@ -54,6 +58,8 @@ def rh_range_code(thr=None, mode=P.AS_WRITTEN, column="air_humidity") -> Column:
 
 
 def windspeed_range_code(thr=None, mode=P.AS_WRITTEN, column="wind_speed") -> Column:
+    """Wind speed: fail outside [Wind_min_phy, Wind_max_phy], warn inside it,
+    ok in [Wind_min_phy, Wind_warn_max_clim]."""
     t, x = _thr(thr), F.col(column)
     return R.qc_code(
         fail=(x < t["Wind_min_phy"]) | (x > t["Wind_max_phy"]),
@@ -63,6 +69,7 @@ def windspeed_range_code(thr=None, mode=P.AS_WRITTEN, column="wind_speed") -> Co
 
 
 def winddir_range_code(thr=None, mode=P.AS_WRITTEN, column="wind_direction_sensor") -> Column:
+    """Wind direction: fail outside [WindDir_min_phy, WindDir_max_phy], else ok."""
     t, x = _thr(thr), F.col(column)
     return R.qc_code(
         fail=(x < t["WindDir_min_phy"]) | (x > t["WindDir_max_phy"]),
@@ -77,6 +84,8 @@ def winddir_requires_wind_code(thr=None, column="wind_speed") -> Column:
 
 
 def rain_15min_code(thr=None, mode=P.AS_WRITTEN, column="rain_gauge") -> Column:
+    """Rain increment: fail below Rain_min_inc or above Rain_max_15min, warn in
+    (Rain_warn_15min, Rain_max_15min], ok up to Rain_warn_15min."""
     t, x = _thr(thr), F.col(column)
     return R.qc_code(
         fail=(x < t["Rain_min_inc"]) | (x > t["Rain_max_15min"]),
@@ -86,6 +95,8 @@ def rain_15min_code(thr=None, mode=P.AS_WRITTEN, column="rain_gauge") -> Column:
 
 
 def tair_step_code(thr=None, mode=P.AS_WRITTEN, column="tair_step") -> Column:
+    """Temperature step (absolute): fail above Tair_max_step_fail, warn up to
+    it, ok up to Tair_max_step_warn."""
     t, a = _thr(thr), F.abs(F.col(column))
     return R.qc_code(
         fail=a > t["Tair_max_step_fail"],
@@ -101,6 +112,8 @@ def daily_availability_code(thr=None, column="daily_valid_frac") -> Column:
 
 
 def rain_daily_code(thr=None, mode=P.AS_WRITTEN, column="daily_rain_mm") -> Column:
+    """Daily rain: fail above Rain_max_daily, warn up to it, ok up to
+    Rain_warn_daily."""
     t, x = _thr(thr), F.col(column)
     return R.qc_code(
         fail=x > t["Rain_max_daily"],
@@ -111,6 +124,8 @@ def rain_daily_code(thr=None, mode=P.AS_WRITTEN, column="daily_rain_mm") -> Colu
 
 def pressure_range_code(thr=None, mode=P.AS_WRITTEN, hpa="pressure_hpa",
                         dev="pressure_abs_dev_hpa") -> Column:
+    """Pressure: fail outside [P_min_phy, P_max_phy] hPa or deviation above
+    P_fail_abs_dev, warn below P_fail_abs_dev, ok below P_warn_abs_dev."""
     t, p, d = _thr(thr), F.col(hpa), F.col(dev)
     return R.qc_code(
         fail=(p < t["P_min_phy"]) | (p > t["P_max_phy"]) | (d > t["P_fail_abs_dev"]),
@@ -138,6 +153,8 @@ def warning_checks(columns=P.QC_COLUMNS, mode=P.AS_WRITTEN) -> Column:
 
 
 # ------------------------------------------------------------ DataFrame steps
+# One step per check, each adding its code column (the composite below puts
+# all of them in a single projection instead).
 
 def qc_time_gap(df, lo=P.TIME_GAP_MIN, hi=P.TIME_GAP_MAX):
     return df.withColumn("QC_time_gap", time_gap_code("time_diff", lo, hi))
