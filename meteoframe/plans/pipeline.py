@@ -28,18 +28,22 @@ class BatchOutputs:
 
 
 def cleaned(readings: DataFrame) -> DataFrame:
+    """Validity filter, range nulls and date key."""
     return clean.clean_readings(readings)
 
 
 def imputed(readings: DataFrame, mode: str = P.AS_WRITTEN) -> DataFrame:
+    """Cleaned readings with nulls filled by the column means."""
     return impute.impute_mean(cleaned(readings), mode=mode)
 
 
 def scored(readings: DataFrame, mode: str = P.AS_WRITTEN) -> DataFrame:
+    """Imputed readings with anomaly score and flag (one statistics pass)."""
     return anomaly.impute_and_score(cleaned(readings), mode=mode)
 
 
 def daily(readings: DataFrame, mode: str = P.AS_WRITTEN) -> DataFrame:
+    """Per device-day summary of the scored readings."""
     return aggregate.daily_summary(scored(readings, mode))
 
 
@@ -51,6 +55,7 @@ def qc_audit(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> DataFra
 
 
 def run_batch(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> BatchOutputs:
+    """Every table of one batch, as lazy DataFrames."""
     c = cleaned(readings)
     i = impute.impute_mean(c, mode=mode)
     s = anomaly.impute_and_score(c, mode=mode)
