@@ -4,6 +4,9 @@ Mirrors the driver's gate: row count, column names, and an order-insensitive
 comparison of values with columns sorted by name.
 
     python -m tests.oracle_check [sf_dir] [name ...]
+
+``ORACLE_TZ`` sets DuckDB's time zone (default UTC) to check that the
+oracle statements do not depend on it.
 """
 
 from __future__ import annotations
