@@ -117,6 +117,7 @@ LAG_BUCKET_SECONDS = 3600
 
 
 def check_mode(mode: str) -> str:
+    """Validate a rule mode name."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     return mode

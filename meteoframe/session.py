@@ -101,6 +101,7 @@ def is_local_path(path: str) -> bool:
 
 
 def join_path(base: str, name: str) -> str:
+    """``base/name`` for local paths and URIs alike."""
     return os.path.join(base, name) if is_local_path(base) else f"{base.rstrip('/')}/{name}"
 
 

@@ -141,6 +141,7 @@ def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append",
 
 
 def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
+    """A database table (or subquery) through JDBC."""
     return spark.read.format("jdbc").options(**options).load()
 
 

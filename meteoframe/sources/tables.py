@@ -16,10 +16,12 @@ from ..session import apply_semantics
 
 
 def table_path(sf_dir: str, name: str) -> str:
+    """Path of a driver table: ``<sf_dir>/<name>.parquet``."""
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a DataFrame (lazy parquet scan)."""
     return spark.read.parquet(table_path(sf_dir, name))
 
 
@@ -63,6 +65,7 @@ def readings_from_events(events: DataFrame, keep_event_id: bool = False) -> Data
 
 
 def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat readings derived from ``events`` (session semantics pinned)."""
     apply_semantics(spark)
     return readings_from_events(load_table(spark, sf_dir, "events"))
 
