@@ -4,6 +4,15 @@ derived readings table (or another driver table), with its DuckDB oracle.
 Floating results that depend on summation order (means, standard
 deviations, scores) are rounded to 6 decimals in both the query and the
 oracle; the library operators themselves return full precision.
+
+Families (in file order): sources and codec (json_*, flatten_reading,
+parse_iso_ts, explode_envelope, raw_*, derived_readings); cleaning
+(filter_valid ... drop_all_null); imputation (impute_mean*, column_means);
+anomaly (feature_stats, zscore_*, anomaly_counts); aggregation (daily_*,
+gate_stats, quality_gate, medians, daily_metrics*, slot_availability,
+latest_daily_topk); series (dedup_device_ts, time_diff, tair_step); QC
+(qc_* per check in both modes, qc_collect*, qc_level1*); the batch table job
+(batch_tables_daily). Streaming queries live in ``streaming/queries.py``.
 """
 
 from __future__ import annotations
