@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dup, sql
+from . import near_dup, pieces, sql
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,25 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file (outside the repository)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode_decode(table(spark, sf_dir, "documents"),
+                               tokenizer_path("piece_bpe_32k.model"))
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        # pieces lie end to end on the text: its last byte is the last span's end
+        F.element_at("ends", -1).cast("long").alias("n_bytes"))
+
+
 @register("op7_near_duplicates", sql.NEAR_DUPLICATES)
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
