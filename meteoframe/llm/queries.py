@@ -3,12 +3,14 @@ its whole table) and the DuckDB statements where SQL can express them."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dup, pieces, sql
+from ..session import checkpoint_dir, join_path
+from . import near_dup, pieces, sql, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +49,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_near_duplicates", sql.NEAR_DUPLICATES)
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = join_path(checkpoint_dir(spark), f"token-files-{uuid.uuid4().hex}")
+    manifest = token_files.write_token_files(
+        table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(manifest, folder)
