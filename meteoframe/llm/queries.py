@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import near_dup, pieces, sql, token_files
-from .common import table
+from . import langid, near_dup, pieces, sql, token_files
+from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +57,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(
         table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=2)
     return token_files.read_token_files(manifest, folder)
+
+
+@register("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
+    model = langid.train(docs.filter("NOT held_out"), tokenizer_path("piece_bpe_32k.model"))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
