@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import langid, near_dup, pieces, sql, token_files
+from . import langid, near_dup, pieces, sql, token_files, toxicity
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
+    model = toxicity.train(toxicity.labelled(docs.filter("NOT held_out"), table(spark, sf_dir, "labels")))
+    return (toxicity.score(docs, model, ["doc_id", "held_out"])
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
 @register("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pieces.encode_decode(table(spark, sf_dir, "documents"),
