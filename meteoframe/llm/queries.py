@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import langid, near_dup, pieces, sql, token_files, toxicity
+from . import langid, mixing, near_dup, pieces, sql, token_files, toxicity
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,12 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op8_mixing", sql.MIXING)
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 @register("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = join_path(checkpoint_dir(spark), f"token-files-{uuid.uuid4().hex}")

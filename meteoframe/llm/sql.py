@@ -25,3 +25,31 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
 FROM documents d LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) m USING (doc_id)
 """
+
+MIXING = rf"""
+WITH rows AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPLIT}')) AS BIGINT) AS size,
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS o
+  FROM documents),
+ sized AS (SELECT k, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY k),
+ weighed AS (SELECT *, 3 * source_size AS most, row_number() OVER (ORDER BY encode(k)) AS place,
+                    1 + (row_number() OVER (ORDER BY encode(k)) - 1) % 3 AS w FROM sized),
+ level AS (SELECT *, sum(source_size) OVER () - sum(most) OVER up + most AS rest,
+                  sum(w) OVER () - sum(w) OVER up + w AS rest_w, row_number() OVER up AS turn
+           FROM weighed WINDOW up AS (ORDER BY most / w, place ROWS UNBOUNDED PRECEDING)),
+ first_free AS (SELECT rest, rest_w FROM level WHERE w * rest <= most * rest_w ORDER BY turn LIMIT 1),
+ target AS (SELECT k, source_size,
+                   least(CAST(most AS DOUBLE), coalesce(w * CAST((SELECT rest FROM first_free) AS DOUBLE)
+                         / CAST((SELECT rest_w FROM first_free) AS DOUBLE), CAST(most AS DOUBLE))) AS target
+            FROM level),
+ laid AS (SELECT r.*, source_size, target, CAST(least(floor(target), 3 * source_size) AS BIGINT) AS words,
+                 CAST(sum(size) OVER (PARTITION BY k ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size
+                   AS start
+          FROM rows r JOIN target USING (k))
+SELECT doc_id, size, source_size, target,
+       CASE WHEN size = 0 THEN 0 ELSE
+         size * (words // source_size)
+         + greatest(0, least(size, words % source_size - start)) END AS taken
+FROM laid
+"""
