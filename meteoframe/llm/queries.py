@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import langid, mixing, near_dup, pieces, sql, token_files, toxicity
+from . import langid, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op3_winnowing")
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @register("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
