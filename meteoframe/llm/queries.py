@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import langid, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
+from . import ann, langid, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op2_nearest_neighbours")
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @register("op3_winnowing")
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.fingerprint_edits(table(spark, sf_dir, "documents"))
@@ -42,7 +47,7 @@ def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
-    model = toxicity.train(toxicity.labelled(docs.filter("NOT held_out"), table(spark, sf_dir, "labels")))
+    model = toxicity.train(docs.filter("NOT held_out"), table(spark, sf_dir, "labels"))
     return (toxicity.score(docs, model, ["doc_id", "held_out"])
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
