@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import chain
 
 _HELD: tuple | None = None
 
@@ -19,27 +18,38 @@ class Memo:
         self.young: dict = {}
         self.old: dict = {}
 
-    def look_up(self, texts: list[list]) -> tuple[Callable, dict]:
-        """A function from word to value for all words of ``texts``."""
+    def values(self, texts: list[list], together: int = 1 << 15) -> list[list]:
+        """The values of the words of each text, in order. New words are
+        computed for about ``together`` words at a time."""
+        out, at = [], 0
+        while at < len(texts):
+            stop, words = at, 0
+            while stop < len(texts) and (words < together or stop == at):
+                words += len(texts[stop])
+                stop += 1
+            out += self._values(texts[at:stop])
+            at = stop
+        return out
+
+    def _values(self, texts: list[list]) -> list[list]:
         if len(self.young) > self.capacity:
             self.old, self.young = self.young, {}
-        young, old, extra = self.young, self.old, {}
-        new = []
-        for word in set(chain.from_iterable(texts)).difference(young):
-            value = old.get(word)
-            if value is None:
-                new.append(word)
-            else:
-                young[word] = value
-        for word, value in zip(new, self.compute(new) if new else ()):
-            young[word] = value
-            if len(word) > self.longest:
-                extra[word] = value
-        return young.__getitem__, extra
-
-    def forget(self, extra: dict) -> None:
-        for word in extra:
-            self.young.pop(word, None)
+        young, get = self.young, self.young.get
+        found = [list(map(get, words)) for words in texts]
+        short = [i for i, own in enumerate(found) if None in own]
+        if not short:
+            return found
+        new = dict.fromkeys([w for i in short for w, v in zip(texts[i], found[i]) if v is None])
+        if self.old:
+            for word in [w for w in new if w in self.old]:
+                young[word] = self.old[word]
+                del new[word]
+        young.update(zip(new, self.compute(list(new)) if new else ()))
+        for i in short:
+            found[i] = [get(w) if v is None else v for w, v in zip(texts[i], found[i])]
+        for word in [w for w in new if len(w) > self.longest]:
+            del young[word]
+        return found
 
 
 def held(key: tuple, make: Callable):

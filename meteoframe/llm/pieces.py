@@ -202,12 +202,10 @@ class Codec:
             if b"" in own:
                 own = [c[3:] for c in _CHUNK.findall(norm)]
             chunks.append(own)
-        ids_of, extra = self.memo.look_up(chunks)
         out = []
-        for (norm, source), own in zip(normal, chunks):
-            ids = np.frombuffer(b"".join(map(ids_of, own)), np.int32)
+        for (norm, source), own in zip(normal, self.memo.values(chunks)):
+            ids = np.frombuffer(b"".join(own), np.int32)
             out.append((ids, self._bounds(self.width[ids], norm, source)))
-        self.memo.forget(extra)
         return out
 
     def _whole(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -34,10 +34,11 @@ from . import memo
 from .common import small_batches, staged
 
 #: Words that a worker remembers (twice as many at most).
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 NO_ID = -(1 << 63)
 #: Words sent to the tokenizer in one call.
 _TOGETHER = 64
+_SIGNS = [bytes([c]) for c in b".,;:!?"]
 
 
 class WordTokenizer:
@@ -57,46 +58,65 @@ class WordTokenizer:
         self.by_word = _drops_space(spec)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
+        self.signs = {s: self._pack(self.tokenizer.encode(s.decode(), add_special_tokens=False).ids)
+                      for s in [b"", *_SIGNS]}
+        self.stems = memo.Memo(self._new_stems, REMEMBERED)
         self.memo = memo.Memo(self._new_words, REMEMBERED)
 
     def _pack(self, ids) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
 
     def _new_words(self, words: list[bytes]) -> list[bytes]:
-        """Words that keep their length through the normalisers go many to a
-        call and are told apart by the tokens' offsets; others go alone."""
-        out: list = [None] * len(words)
-        texts = [w.decode() for w in words]
-        plain, alone = [], []
-        for i, t in enumerate(texts):
-            simple = len(t) <= 256 and "<|" not in t and len(t.lower()) == len(t) \
-                and unicodedata.is_normalized("NFC", t) and t.isprintable()
-            (plain if simple else alone).append(i)
-        for at in range(0, len(plain), _TOGETHER):
-            group = plain[at:at + _TOGETHER]
-            made = self.tokenizer.encode(" ".join([texts[i] for i in group]), add_special_tokens=False)
-            begin = np.cumsum([0, *[len(texts[i]) + 1 for i in group]])
-            of = np.searchsorted(begin, [o[0] for o in made.offsets], side="right") - 1
-            cuts = np.searchsorted(of, np.arange(len(group) + 1))
-            ids = np.asarray(made.ids, self.dtype)
-            for k, i in enumerate(group):
-                out[i] = ids[cuts[k]:cuts[k + 1]].tobytes()
-        if alone:
-            for i, made in zip(alone, self.tokenizer.encode_batch_fast(
-                    [texts[i] for i in alone], add_special_tokens=False)):
-                out[i] = self._pack(made.ids)
+        """A word's ids do not depend on the case of ASCII letters, and one
+        ASCII sign behind a letter or digit is split off before the merges, so
+        such words are looked up by their lower-cased stem."""
+        stems, ends = [], []
+        for word in words:
+            if b"<|" in word:
+                stems.append(word)
+                ends.append(b"")
+                continue
+            low = word.lower()
+            cut = low[-1:] in _SIGNS and low[-2:-1].isalnum()
+            stems.append(low[:-1] if cut else low)
+            ends.append(low[-1:] if cut else b"")
+        ids = self.stems.values([stems])[0]
+        return [own + self.signs[end] for own, end in zip(ids, ends)]
+
+    def _new_stems(self, words: list[bytes]) -> list[bytes]:
+        """Many words go into one call and are told apart by the tokens'
+        offsets, where the normalisers keep every character in its place; else
+        the library is told where each word ends."""
+        out = []
+        for at in range(0, len(words), _TOGETHER):
+            group = words[at:at + _TOGETHER]
+            text = b" ".join(group).decode()
+            if text.isascii() and text.isprintable() and "<|" not in text:
+                begin = np.cumsum([0, *[len(w) + 1 for w in group]])
+            elif text.isprintable() and "<|" not in text and len(text.lower()) == len(text) \
+                    and unicodedata.is_normalized("NFC", text):
+                begin = np.cumsum([0, *[len(w) + 1 for w in text.split(" ")]])
+            else:
+                made = self.tokenizer.encode([w.decode() for w in group], is_pretokenized=True,
+                                             add_special_tokens=False)
+                of = np.array(made.word_ids, np.int64)
+                out += self._cut(made.ids, np.searchsorted(of, np.arange(len(group) + 1)))
+                continue
+            made = self.tokenizer.encode(text, add_special_tokens=False)
+            out += self._cut(made.ids, np.searchsorted([o[0] for o in made.offsets], begin))
         return out
 
+    def _cut(self, ids: list[int], cuts: np.ndarray) -> list[bytes]:
+        raw, size = self._pack(ids), self.dtype.itemsize
+        at = (cuts * size).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text."""
         if not self.by_word:
             return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(
                 [t.decode() for t in texts], add_special_tokens=False)]
-        words = [t.split() for t in texts]
-        ids_of, extra = self.memo.look_up(words)
-        out = [b"".join(map(ids_of, own)) for own in words]
-        self.memo.forget(extra)
-        return out
+        return [b"".join(ids) for ids in self.memo.values([t.split() for t in texts])]
 
 
 def _drops_space(spec: dict) -> bool:
@@ -191,12 +211,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     Null texts are empty (the end id alone), a null doc_id comes first, rows
     with one doc_id are ordered by text, an empty table gives empty files.
     Other columns are not read. ``shards`` defaults to the session's shuffle
-    partitions; the rows are dealt by ranges of doc_id from a sample.
+    partitions; the rows are dealt by ranges of doc_id (from a sample of ids alone).
     """
     spark = docs.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .repartitionByRange(n, "doc_id", "text").sortWithinPartitions("doc_id", "text"))
+            .repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text"))
     manifest = staged(rows.mapInArrow(_writer(tokenizer_path, end_id, folder),
                                       "shard long, n_docs long, n_ids long, wide boolean"), "token-shards")
     # one row a shard: as many rows as files, whatever the input

@@ -12,7 +12,7 @@ tokenizers = pytest.importorskip("tokenizers")
 PATH = tokenizer_path("word_bpe_49k.json")
 TEXTS = ["", " \n\t ", "Hello, World's it's I'll 123", "a  b\tc d e", "É́ Ünïcode İstanbul ΣΑΣ",
          "<|endoftext|> x<|startoftext|>y <|", "你好 世界 \U0001f600", "é ́ x", "x" * 3000,
-         "\x1c sep \x85 nel ​ zw", "ß ﬁ Ǆ"]
+         "\x1c sep \x85 nel ​ zw", "ß ﬁ Ǆ", "End. END, end! end?! a.b. x's. é. É, 5. . ., <|ENDOFTEXT|>. <|endoftext|>. Don'T."]
 
 
 def crc(ids):
