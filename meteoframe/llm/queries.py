@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import ann, langid, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
+from . import ann, fixity, langid, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+@register("op5_fixity_audit", sql.FIXITY)
+def op5_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return fixity.audit_replica(pages, fixity.damaged(pages))
+
+
 @register("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pieces.encode_decode(table(spark, sf_dir, "documents"),

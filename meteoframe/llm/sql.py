@@ -53,3 +53,44 @@ SELECT doc_id, size, source_size, target,
          + greatest(0, least(size, words % source_size - start)) END AS taken
 FROM laid
 """
+
+
+def _merkle(records: str, name: str, levels: int = 6, fan: int = 16) -> str:
+    """CTEs {name}0 .. {name}N of a tree over ``records``; the last is the root."""
+    out = [f"{name}0 AS (SELECT ordinal, start, start + length AS stop, hash FROM {records})"]
+    for k in range(1, levels + 1):
+        below = f"{name}{k - 1}"
+        out.append(f"""{name}{k} AS (
+  SELECT ordinal // {fan} AS ordinal, min(start) AS start, max(stop) AS stop,
+         sha256(CAST(min(start) AS VARCHAR) || '|' || CAST(max(stop) AS VARCHAR) || '|'
+                || string_agg(hash, '' ORDER BY ordinal)) AS hash
+  FROM {below} WHERE (SELECT count(*) FROM {below}) > 1 GROUP BY ordinal // {fan}
+  UNION ALL SELECT ordinal, start, stop, hash FROM {below} WHERE (SELECT count(*) FROM {below}) <= 1)""")
+    return ",\n".join(out)
+
+
+def _records(body: str) -> str:
+    return f"""
+  SELECT page_id, row_number() OVER o - 1 AS ordinal, length, hash,
+         CAST(sum(length) OVER (o ROWS UNBOUNDED PRECEDING) AS BIGINT) - length AS start
+  FROM (SELECT page_id, sha256(r) AS hash, strlen(r) AS length FROM (
+    SELECT page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+           || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html'
+           || chr(13) || chr(10) || 'Content-Length: ' || strlen(body) || repeat(chr(13) || chr(10), 2)
+           || body || repeat(chr(13) || chr(10), 2) AS r
+    FROM (SELECT page_id, url, coalesce({body}, '') AS body FROM pages)))
+  WINDOW o AS (ORDER BY page_id NULLS FIRST, hash)"""
+
+
+_DAMAGED = """CASE WHEN md5(CAST(page_id AS VARCHAR)) < '03' AND length(html) > 0
+  THEN CASE WHEN substr(html, 1, 1) = '#' THEN '*' ELSE '#' END || substr(html, 2) ELSE html END"""
+
+FIXITY = f"""
+WITH ours AS ({_records('html')}),
+ theirs AS ({_records(_DAMAGED)}),
+ {_merkle('ours', 'a')},
+ {_merkle('theirs', 'b')}
+SELECT o.page_id, o.ordinal, o.start, o.length, o.hash, o.hash <> t.hash AS corrupt,
+       (SELECT hash FROM a6) AS root, (SELECT hash FROM b6) AS replica_root
+FROM ours o JOIN theirs t USING (ordinal)
+"""
