@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import memo
-from .common import list_array, small_batches, staged
+from .common import mix64, small_batches, staged
 
 MARK = "▁"
 UNKNOWN = "und"
@@ -60,15 +60,20 @@ class Vocabulary:
         self.most = max(map(len, pieces))
         self.ids = dict(zip(pieces, ids))
         keys = np.array([_key(p) for p in pieces], np.uint64)
+        #: by top bits of a hash: whether any piece has them
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[keys >> np.uint64(44)] = True
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.array(ids)[order]
         if len(np.unique(keys)) < len(keys):
             raise ValueError("two pieces share a hash")
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Piece ids of substring hashes, -1 where there is no such piece."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.key_ids[at], -1)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, piece ids) of the substring hashes that are pieces."""
+        rows = np.flatnonzero(self.maybe[keys >> np.uint64(44)])
+        at = np.minimum(np.searchsorted(self.keys, keys[rows]), len(self.keys) - 1)
+        hit = self.keys[at] == keys[rows]
+        return rows[hit], self.key_ids[at[hit]]
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -78,7 +83,7 @@ def _key(text: str) -> int:
     h = 0
     for c in text:
         h = ((h * int(_STEP)) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-    return h
+    return int(mix64(np.array([h], np.uint64))[0])
 
 
 def _codes(words: list[str], length: int) -> np.ndarray:
@@ -87,56 +92,48 @@ def _codes(words: list[str], length: int) -> np.ndarray:
 
 
 class Lattice:
-    """Arcs of equally long words: for each arc length ``k`` and end position,
-    the piece ids of the substrings, and the byte spelling of lone characters."""
+    """Arcs of equally long words: by start and end position, the words in which
+    that substring is a piece, and the pieces; lone characters that are no
+    piece have an arc spelled in byte pieces."""
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]):
         length = len(words[0])
         codes = _codes(words, length)
         self.n, self.length = len(words), length
-        self.arcs: list[tuple[int, int, np.ndarray]] = []        # (start, end, piece ids)
+        self.arcs: list[list[tuple]] = [[] for _ in range(length)]   # start: (end, rows, piece ids)
+        self.spelled: list[list[tuple]] = [[] for _ in range(length)]  # start: (row, byte piece ids)
         for start in range(length):
             h = np.zeros(self.n, np.uint64)
             for end in range(start + 1, min(length, start + vocabulary.most) + 1):
                 h = h * _STEP + codes[:, end - 1] + np.uint64(1)
-                ids = vocabulary.find(h)
-                if (ids >= 0).any():
-                    self.arcs.append((start, end, ids))
-        have = np.zeros((self.n, length), bool)
-        for start, end, ids in self.arcs:
-            if end == start + 1:
-                have[:, start] = ids >= 0
-        self.spelled: dict[int, list] = {}                       # position -> (rows, byte ids)
-        for row, pos in zip(*np.nonzero(~have)):
-            spelling = vocabulary.byte[list(words[row][pos].encode("utf-8", "replace"))]
-            self.spelled.setdefault(int(pos), []).append((int(row), spelling))
+                rows, ids = vocabulary.find(mix64(h))
+                if len(rows):
+                    self.arcs[start].append((end, rows, ids))
+                if end == start + 1 and len(rows) < self.n:
+                    for row in np.setdiff1d(np.arange(self.n), rows):
+                        spelling = vocabulary.byte[list(words[row][start].encode("utf-8", "replace"))]
+                        self.spelled[start].append((int(row), spelling))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """alpha (length + 1, words, languages): summed weight of all
-        segmentations of each prefix; p holds (piece, language) weights, its
-        last row zeros for arcs that are no piece."""
+        segmentations of each prefix, with (piece, language) weights p."""
         alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
         alpha[0] = 1
-        by_start: dict[int, list] = {}
-        for arc in self.arcs:
-            by_start.setdefault(arc[0], []).append(arc)
         for start in range(self.length):
-            for _, end, ids in by_start.get(start, ()):
-                alpha[end] += alpha[start] * p[ids]
-            for row, spelling in self.spelled.get(start, ()):
+            for end, rows, ids in self.arcs[start]:
+                alpha[end, rows] += alpha[start, rows] * p[ids]
+            for row, spelling in self.spelled[start]:
                 alpha[start + 1, row] += alpha[start, row] * p[spelling].prod(axis=0)
         return alpha
 
     def backward(self, p: np.ndarray) -> np.ndarray:
+        """The same of each suffix."""
         beta = np.zeros((self.length + 1, self.n, p.shape[1]))
         beta[self.length] = 1
-        by_start: dict[int, list] = {}
-        for arc in self.arcs:
-            by_start.setdefault(arc[0], []).append(arc)
         for start in reversed(range(self.length)):
-            for _, end, ids in by_start.get(start, ()):
-                beta[start] += beta[end] * p[ids]
-            for row, spelling in self.spelled.get(start, ()):
+            for end, rows, ids in self.arcs[start]:
+                beta[start, rows] += beta[end, rows] * p[ids]
+            for row, spelling in self.spelled[start]:
                 beta[start, row] += beta[start + 1, row] * p[spelling].prod(axis=0)
         return beta
 
@@ -144,17 +141,17 @@ class Lattice:
         """Expected uses of each piece in ``counts`` (words, languages)."""
         alpha, beta = self.forward(p), self.backward(p)
         weight = counts / np.maximum(alpha[self.length], 1e-290)
-        out = np.zeros_like(p)
-        for start, end, ids in self.arcs:
-            hit = ids >= 0
-            use = alpha[start] * beta[end] * p[ids] * weight
-            for lang in range(p.shape[1]):
-                out[:, lang] += np.bincount(ids[hit], use[hit, lang], minlength=len(p))
-        for start, spelled in self.spelled.items():
-            for row, spelling in spelled:
+        ids, uses = [np.zeros(0, np.int64)], [np.zeros((0, p.shape[1]))]
+        for start in range(self.length):
+            for end, rows, piece in self.arcs[start]:
+                ids.append(piece)
+                uses.append(alpha[start, rows] * beta[end, rows] * p[piece] * weight[rows])
+            for row, spelling in self.spelled[start]:
                 use = alpha[start, row] * beta[start + 1, row] * p[spelling].prod(axis=0) * weight[row]
-                np.add.at(out, spelling, use)
-        return out
+                ids.append(spelling)
+                uses.append(np.repeat(use[None], len(spelling), axis=0))
+        at, use = np.concatenate(ids), np.concatenate(uses)
+        return np.stack([np.bincount(at, use[:, k], minlength=len(p)) for k in range(p.shape[1])], axis=1)
 
 
 def _long_word(vocabulary: Vocabulary, p: np.ndarray, word: str) -> np.ndarray:
@@ -188,8 +185,8 @@ def word_logs(vocabulary: Vocabulary, p: np.ndarray, words: list[str]) -> np.nda
             for i in rows:
                 out[i] = _long_word(vocabulary, p, words[i])
             continue
-        for at in range(0, len(rows), 4096):
-            part = rows[at:at + 4096]
+        for at in range(0, len(rows), 8192):
+            part = rows[at:at + 8192]
             lattice = Lattice(vocabulary, [words[i] for i in part])
             out[part] = np.log(np.maximum(lattice.forward(p)[length], 1e-290))
     return out
@@ -199,37 +196,36 @@ def _words(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
-def _counter(flush: int = 200_000):
+def _counter(flush: int = 300_000):
     def run(batches):
-        held: Counter = Counter()
+        held: dict[str, Counter] = {}
 
         def out():
-            langs, words = zip(*held)
-            batch = pa.RecordBatch.from_pydict(
-                {"lang": pa.array(langs, pa.string()), "word": pa.array(words, pa.string()),
-                 "n": pa.array(list(held.values()), pa.int64())})
+            for lang, words in held.items():
+                yield pa.RecordBatch.from_pydict(
+                    {"lang": pa.array([lang] * len(words), pa.string()),
+                     "word": pa.array(list(words), pa.string()),
+                     "n": pa.array(list(words.values()), pa.int64())})
             held.clear()
-            return batch
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                for word, n in Counter(_words(text)).items():
-                    held[lang, word] += n
-                if len(held) > flush:
-                    yield out()
-        if held:
-            yield out()
+                words = _words(text)
+                if words and max(map(len, words)) >= LONG:
+                    words = [w[k:k + LONG - 1] for w in words for k in range(0, len(w), LONG - 1)]
+                held.setdefault(lang, Counter()).update(words)
+                if sum(map(len, held.values())) > flush:
+                    yield from out()
+        yield from out()
     return run
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) over ``docs`` with text and lang; long runs are cut in
     parts of ``LONG`` - 1 letters for counting only."""
-    part = F.expr(f"transform(sequence(0, (length(word) - 1) div {LONG - 1}), "
-                  f"i -> substring(word, cast(i * {LONG - 1} + 1 as int), {LONG - 1}))")
     return (docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
             .mapInArrow(_counter(), "lang string, word string, n long")
-            .withColumn("word", F.explode(part)).groupBy("lang", "word").agg(F.sum("n").alias("n")))
+            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
 @dataclass
@@ -242,25 +238,29 @@ class Model:
 
 
 def _expectation(path: str, languages: list[str], pieces):
+    """Words are gathered by length, so that one lattice takes many."""
     def run(batches):
         vocabulary = memo.held(("language pieces", path), lambda: Vocabulary(path))
         p, place = pieces.value, {l: i for i, l in enumerate(languages)}
         total = np.zeros_like(p)
+        held: dict[int, dict[str, list]] = {}
+
+        def close(length: int) -> np.ndarray:
+            words = held.pop(length)
+            counts = np.zeros((len(words), len(languages)))
+            for i, uses in enumerate(words.values()):
+                for lang, n in uses:
+                    counts[i, lang] = n
+            return Lattice(vocabulary, list(words)).expected(p, counts)
+
         for batch in batches:
-            rows: dict[str, dict] = {}
             for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
-                rows.setdefault(word, {})[place[lang]] = n
-            by_length: dict[int, list[str]] = {}
-            for word in rows:
-                by_length.setdefault(len(word) + 1, []).append(word)
-            for words in by_length.values():
-                for at in range(0, len(words), 4096):
-                    part = words[at:at + 4096]
-                    counts = np.zeros((len(part), len(languages)))
-                    for i, w in enumerate(part):
-                        for lang, n in rows[w].items():
-                            counts[i, lang] = n
-                    total += Lattice(vocabulary, [MARK + w for w in part]).expected(p, counts)
+                words = held.setdefault(len(word), {})
+                words.setdefault(MARK + word, []).append((place[lang], n))
+                if len(words) >= 8192:
+                    total += close(len(word))
+        for length in list(held):
+            total += close(length)
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_pydict({"piece": pa.array(piece, pa.int64()),
                                           "lang": pa.array(lang, pa.int64()),
@@ -307,15 +307,12 @@ class Scorer:
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         """Log likelihood of each text in each language, prior included."""
         n = len(self.model.languages)
-        words = [_words(t) for t in texts]
-        of, extra = self.memo.look_up(words)
-        out = np.array([np.frombuffer(b"".join(map(of, own)), np.float32).reshape(-1, n)
-                        .sum(axis=0, dtype=float) for own in words]).reshape(-1, n)
-        self.memo.forget(extra)
-        return out + self.model.prior
+        logs = self.memo.values([_words(t) for t in texts])
+        return np.array([np.frombuffer(b"".join(own), np.float32).reshape(-1, n).sum(axis=0, dtype=float)
+                         for own in logs]).reshape(-1, n) + self.model.prior
 
 
-def _predictor(sent):
+def _predictor(sent, keep: list[str]):
     def run(batches):
         model = sent.value
         scorer = memo.held(("languages", model.key), lambda: Scorer(model)) if model else None
@@ -330,11 +327,9 @@ def _predictor(sent):
                 odds = np.exp(logs - logs.max(axis=1, keepdims=True))
                 score = np.where(none, 0.0, 1 / odds.sum(axis=1))
                 name = [UNKNOWN if z else model.languages[b] for z, b in zip(none, best)]
-            arrays = [batch.column(c) for c in batch.schema.names if c != "text"]
-            names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(name, pa.string()), pa.array(score, pa.float64())],
-                [*names, "lang_pred", "score"])
+                [*(batch.column(c) for c in keep), pa.array(name, pa.string()), pa.array(score, pa.float64())],
+                [*keep, "lang_pred", "score"])
     return run
 
 
@@ -346,7 +341,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, "text")
-    schema = StructType([*rows.schema.fields[:-1], StructField("lang_pred", StringType()),
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = StructType([*(rows.schema[c] for c in keep), StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
-    return rows.mapInArrow(_predictor(sent), schema)
+    return rows.mapInArrow(_predictor(sent, keep), schema)
