@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import ann, fixity, langid, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
+from . import ann, fixity, langid, lm, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
 @register("op2_nearest_neighbours")
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
