@@ -1,0 +1,82 @@
+"""Mixing: targets, schedule and what is taken."""
+
+from collections import Counter, defaultdict
+
+import pytest
+
+from meteoframe.llm import mixing
+from meteoframe.llm.common import staged, word_count
+from meteoframe.llm.queries import ORACLE, QUERIES
+from tests.oracle_check import compare, duck
+
+
+def water_fill(sizes):
+    """Targets by sharing the excess again until no source is above its most."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
+    total, stopped = sum(sizes.values()), {}
+    while True:
+        rest, w = total - sum(stopped.values()), sum(weight[s] for s in names if s not in stopped)
+        over = {s: 3 * sizes[s] for s in names if s not in stopped and weight[s] * rest / w > 3 * sizes[s]} if w else {}
+        if not over:
+            return {s: stopped.get(s, weight[s] * rest / w if w else 0) for s in names}
+        stopped.update(over)
+
+
+def rows_of(seed=0):
+    import random
+    rng = random.Random(seed)
+    rows = [(i, rng.choice(["a"] * 20 + ["b", "B", "é", None, ""]), "w " * rng.randrange(0, 300)) for i in range(400)]
+    return rows + [(1000, "tiny", "one two"), (1001, "none", ""), (1002, "none", None), (None, "a", "no id here"),
+                   (1003, "b", "x " * 60_000), (1004, "a", "same"), (1004, "a", "same"), (1005, "tail", "q " * 7)]
+
+
+def test_targets_and_taken(spark):
+    rows = rows_of()
+    df = spark.createDataFrame([(d, s, t, 1) for d, s, t in rows], "doc_id long, source string, text string, size int")
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    sizes = defaultdict(int)
+    for _, s, t in rows:
+        sizes[s] += len((t or "").split())
+    want = water_fill(dict(sizes))
+    taken = defaultdict(int)
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source])
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    for s, t in want.items():
+        assert taken[s] == int(t + 1e-6)
+    again = mixing.mix(df.repartition(5)).collect()
+    key = lambda r: (r.doc_id, r.source, r.size, r.taken)
+    assert Counter(map(key, got)) == Counter(map(key, again))
+    assert mixing.mix(df.limit(0)).count() == 0
+    assert all(r.taken == 0 for r in mixing.mix(df.filter("source = 'none'")).collect())
+
+
+def test_schedule_keeps_sources_in_proportion(spark):
+    settings = mixing.Settings(block=4, slot_range=50)
+    quota = staged(spark.createDataFrame([("a", 700), ("b", 200), ("c", 99), ("d", 1)], "key string, quota long"), "t")
+    slots = sorted(mixing.schedule(quota, settings).collect())
+    assert Counter(k for _, k, _ in slots) == {"a": 700, "b": 200, "c": 99, "d": 1}
+    assert len({s for s, _, _ in slots}) == 1000
+    seen = Counter()
+    for i, (_, k, rank) in enumerate(slots):
+        assert rank == seen[k]
+        seen[k] += 1
+        if i % 100 == 99:
+            assert abs(seen["a"] - 0.7 * (i + 1)) < 6 and abs(seen["b"] - 0.2 * (i + 1)) < 6
+
+
+def test_word_count(spark):
+    import pyspark.sql.functions as F
+    texts = ["", None, " a ", "a\x0bb\x0cc\td\ne\rf", "x y z", "\x1c a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = [r.n for r in df.select("i", word_count(F.col("text")).alias("n")).orderBy("i").collect()]
+    assert got == [0, 0, 1, 6, 2, 2]
+
+
+def test_query_matches_oracle(spark):
+    sf = "/root/testdata/sf0.001"
+    r = compare(spark, "op8_mixing", QUERIES["op8_mixing"], ORACLE["op8_mixing"], sf, duck(sf))
+    assert r["status"] == "ok", r
