@@ -110,7 +110,7 @@ class Block:
 
 
 def _answer(settings: Settings):
-    def run(key, rows: pa.Table) -> pa.Table:
+    def run(key, rows):
         ids = rows.column("vec_id").to_numpy()
         ask = rows.column("is_query").to_numpy(zero_copy_only=False)
         vectors = np.array(rows.column("embedding").to_pylist(), float)

@@ -186,7 +186,8 @@ def _encoder(sent, ends: int, settings: Settings):
                 doc = words.doc + first
                 tokens += np.bincount(doc, minlength=n)
                 known += np.bincount(doc[found], minlength=n)
-                base += np.bincount(doc, up - every, minlength=n)
+                base += np.bincount(doc[found], up[found] - every, minlength=n)
+                base -= every * np.bincount(doc[~found], minlength=n)
                 lone = number >= 0
                 inside += np.bincount(doc[~lone], (up - in_tail[tail])[~lone], minlength=n)
                 number = np.where(lone, number, settings.words + 1 + tail).astype(np.uint16)
@@ -196,13 +197,14 @@ def _encoder(sent, ends: int, settings: Settings):
                     rare[k].append(words.hash[a:b][~found[a:b]])
             end = np.full(1, END, np.uint16)
             flat = [np.concatenate([*x, end]) for x in ids]
-            seldom = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in rare]
+            seldom = [np.unique(np.concatenate(x) if x else np.zeros(0, np.uint64), return_counts=True) for x in rare]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in ("row", "doc_id", "held_out")), pa.array(tokens), pa.array(known),
                  pa.array(base), pa.array(inside),
                  binary_array(np.concatenate(flat), np.array([x.nbytes for x in flat])),
-                 list_array(np.concatenate(seldom).view(np.int64), [len(x) for x in seldom], pa.int64())],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "inside", "ids", "rare"])
+                 list_array(np.concatenate([h for h, _ in seldom]).view(np.int64), [len(h) for h, _ in seldom], pa.int64()),
+                 list_array(np.concatenate([k for _, k in seldom]), [len(k) for _, k in seldom], pa.int64())],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "inside", "ids", "rare", "times"])
     return run
 
 
@@ -426,7 +428,7 @@ def score_texts(docs: DataFrame, held_out, settings: Settings = Settings()) -> D
     encoded = staged(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         _encoder(sent, ends, settings),
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
-        "inside double, ids binary, rare array<long>"), "lm-encoded")
+        "inside double, ids binary, rare array<long>, times array<long>"), "lm-encoded")
     model = train(encoded.filter("NOT held_out"), known, settings)
     table = spark.sparkContext.broadcast((model.flat(), normalisers(spark, model, settings)))
     scored = encoded.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "inside", "ids"
@@ -434,8 +436,11 @@ def score_texts(docs: DataFrame, held_out, settings: Settings = Settings()) -> D
                                          "row long, doc_id long, held_out boolean, n_tokens long, "
                                          "n_known long, base_score double, score double")
     # rarer words: their counts come to them; a word that was not seen adds log10(1)
-    rare = (encoded.select("row", F.explode("rare").alias("hash")).join(counts.select("hash", "n"), "hash")
-            .groupBy("row").agg(F.sum(F.log10(F.col("n") + 1.0)).alias("up"), F.count("*").alias("more")))
+    rare = (encoded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
+            .select("row", F.col("r.rare").alias("hash"), F.col("r.times").alias("times"))
+            .join(counts.select("hash", "n"), "hash")
+            .groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("up"),
+                                F.sum("times").alias("more")))
     up, more = F.coalesce("up", F.lit(0.0)), F.coalesce("more", F.lit(0))
     return scored.join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + more).alias("n_known"),
