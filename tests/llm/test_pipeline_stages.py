@@ -1,0 +1,74 @@
+"""The corpus pipeline: each stage on its own input, and the whole."""
+
+import numpy as np
+import pytest
+
+import corpus_pipeline as P
+from meteoframe.llm import near_dup
+from meteoframe.llm.common import staged, table
+from tests.llm.test_near_dup import brute
+
+SF = "/root/testdata/sf0.001"
+COLS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    """The result of every stage over the small table."""
+    out, docs = [], table(spark, SF, "documents")
+    for name, stage in P.STAGES:
+        docs = staged(stage(spark, docs, SF), f"test-{name}")
+        out.append(docs)
+    return out
+
+
+def test_stages(spark, kept):
+    assert [n for n, _ in P.STAGES] == ["toxicity", "language_id", "near_dedup", "mixing", "sentencepiece"]
+    documents = table(spark, SF, "documents")
+    for df in kept[:-1]:
+        assert df.columns == COLS and df.dtypes == documents.dtypes
+    rows = [{r.doc_id: r.text for r in df.select("doc_id", "text").collect()} for df in [documents, *kept[:-1]]]
+    for before, after in zip(rows, rows[1:]):
+        assert set(after) <= set(before) and all(before[d] == t for d, t in after.items())
+    # clean documents stay: at most a few more go than the labels say
+    labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
+    clean = [d for d in rows[0] if labels.get(d) == 0]
+    assert np.mean([d in rows[1] for d in clean]) > 0.97
+    assert np.mean([d in rows[2] for d in rows[1]]) > 0.98
+
+
+def test_one_of_each_group_stays(kept):
+    before, after = kept[1], kept[2]
+    rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
+    want = sorted(d for d, _, _, stays in brute(rows) if stays)
+    assert sorted(r.doc_id for r in after.collect()) == want
+    assert near_dup.near_duplicates(after).filter("NOT kept").isEmpty()
+
+
+def test_mix_repeats_whole_documents(kept):
+    from collections import Counter
+    copies = Counter(r.doc_id for r in kept[3].select("doc_id").collect())
+    assert max(copies.values()) <= 3 and kept[4].count() == sum(copies.values())
+    words = {r.doc_id: len((r.text or "").split()) for r in kept[2].collect()}
+    total = sum(words.values())
+    assert abs(sum(words[d] * n for d, n in copies.items()) - total) < 0.1 * total
+
+
+def test_edge_rows(spark):
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "12 34", "en", "a", 5), (None, "no id but words", "en", None, 1),
+            (4, "some words in a row", "en", "b", 1), (4, "some words in a row", "en", "b", 1), (5, "Some words in a row", "en", "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for n, df in ((None, docs), (0, docs.limit(0))):
+        for name, stage in P.STAGES:
+            out = staged(stage(spark, df, SF), f"edge-{name}")
+            assert out.count() <= len(rows) * 3
+            if n == 0:
+                assert out.count() == 0
+    left = P.drop_near_copies(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0) for r in left) == [0, 1, 2, 3, 4]
+    assert P.drop_unidentified(spark, docs, SF).filter("doc_id IN (1, 2, 3)").isEmpty()
+
+
+def test_whole_pipeline_is_its_stages(spark, kept):
+    got = sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in P.run(spark, SF).collect())
+    assert got == sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in kept[-1].collect())
