@@ -21,6 +21,7 @@ at); scoring covers every whole text, long ones in overlapping pieces.
 from __future__ import annotations
 
 import uuid
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import list_array, small_batches, staged
+from .common import list_array, small_batches
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,7 @@ class Settings:
     slices: int = 64
     smoothing: float = 0.5
     least_evidence: float = 20.0
-    most_features: int = 1 << 14
+    most_features: int = 1 << 12
     sample_rows: int = 20_000
     penalty: float = 1.0
     rounds: int = 60
@@ -90,11 +91,9 @@ def _counter(settings: Settings):
 
     def run(batches):
         held = np.zeros((2, size), np.int32)
-        rows = np.zeros(2, np.int64)
         last = np.zeros(size, np.int64)
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                rows[label] += 1
                 seen = []
                 for part in _overlapping(_codes(text or ""), max(settings.grams)):
                     got = np.concatenate([b for _, b in _buckets(part, settings)])
@@ -102,11 +101,11 @@ def _counter(settings: Settings):
                     last[got] = place                       # the last of equal buckets stays
                     seen.append(got[last[got] == place])
                 held[label, seen[0] if len(seen) == 1 else np.unique(np.concatenate(seen))] += 1
-        if rows.any():
+        if held.any():
             for k, part in enumerate(np.split(held, settings.slices, axis=1)):
                 yield pa.RecordBatch.from_pydict({
-                    "slice": pa.array([k], pa.int32()), "n": pa.array([rows.tolist()], pa.list_(pa.int64())),
-                    "counts": pa.array([part.tobytes()], pa.binary())})
+                    "slice": pa.array([k], pa.int32()),
+                    "counts": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
     return run
 
 
@@ -117,7 +116,7 @@ def _adder(settings: Settings):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column("slice").to_pylist(), batch.column("counts")):
-                own = np.frombuffer(raw.as_buffer(), np.int32).reshape(2, width)
+                own = np.frombuffer(zlib.decompress(raw.as_buffer()), np.int32).reshape(2, width)
                 if k in sums:
                     sums[k] += own
                 else:
@@ -240,18 +239,23 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings
     return w[:k] * scale, float(w[k])
 
 
-def train(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """A model from labelled rows (doc_id, text, toxic 0 or 1); None without
-    any. Rows whose label is null teach nothing; a null text is empty."""
-    spark = rows.sparkSession
-    rows = staged(rows.filter("toxic IN (0, 1)").select(
-        "doc_id", "text", F.col("toxic").cast("int").alias("toxic")), "toxic-rows")
-    count = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
+    """A model from the texts of ``docs`` (doc_id, text) that have a row in
+    ``labels`` (doc_id, toxic 0 or 1); None without any. Rows whose label is
+    null or else teach nothing; a null text is empty; a document with several
+    labels counts for each. Texts meet labels in a shuffle join: once for the
+    counts over all rows, once for the sample, which is drawn before."""
+    spark = docs.sparkSession
+    labels = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    texts = docs.select("doc_id", "text")
+    count = {r["toxic"]: r["n"] for r in docs.select("doc_id").join(labels, "doc_id")
+             .groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = count.get(0, 0), count.get(1, 0)
     if not n0 + n1:
         return None
-    parts = rows.select("text", "toxic").mapInArrow(
-        _counter(settings), "slice int, n array<long>, counts binary")
+    # the same join at every size: labels grow with the table, so no broadcast
+    rows = texts.join(labels.hint("merge"), "doc_id").select("text", "toxic")
+    parts = rows.mapInArrow(_counter(settings), "slice int, counts binary")
     counts = (parts.repartition(settings.slices, "slice")
               .mapInArrow(_adder(settings), "bucket long, q long, p long"))
     a = settings.smoothing
@@ -263,17 +267,16 @@ def train(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
     feature = np.full(1 << settings.buckets_log2, -1, np.int32)
     feature[best["bucket"].to_numpy(np.int64)] = np.arange(len(best))
     share = min(1.0, settings.sample_rows / (n0 + n1))
-    sample = rows if share == 1 else rows.filter(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
     sent = spark.sparkContext.broadcast(feature)
-    got = sample.select("text", "toxic").mapInArrow(
-        _features(settings, sent), "toxic int, features array<int>").toPandas()
+    got = (texts.filter(drawn).join(labels.filter(drawn).hint("merge"), "doc_id").select("text", "toxic")
+           .mapInArrow(_features(settings, sent), "toxic int, features array<int>").toPandas())
     weight, bias = _fit(got["features"].to_list(), got["toxic"].to_numpy(float),
                         best["ratio"].to_numpy(float), settings)
     return Model(feature, weight, bias, settings)
 
 
-def _scorer(sent):
+def _scorer(sent, keep: list[str]):
     def run(batches):
         model = sent.value
         for batch in small_batches(batches, "text"):
@@ -282,9 +285,8 @@ def _scorer(sent):
                 docs, hits = _hits(batch.column("text").to_pylist(), model.feature, model.settings)
                 z = np.bincount(docs, model.weight[hits], minlength=batch.num_rows) + model.bias
                 score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(score, pa.float64())], [*names, "score"])
+                [*(batch.column(c) for c in keep), pa.array(score, pa.float64())], [*keep, "score"])
     return run
 
 
@@ -296,11 +298,6 @@ def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     repeated rows, an empty table an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, "text")
-    schema = StructType([*rows.schema.fields[:-1], StructField("score", DoubleType())])
-    return rows.mapInArrow(_scorer(sent), schema)
-
-
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic of the documents that have a label."""
-    return docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    schema = StructType([*(rows.schema[c] for c in keep), StructField("score", DoubleType())])
+    return rows.mapInArrow(_scorer(sent, keep), schema)
