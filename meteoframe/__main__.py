@@ -4,6 +4,7 @@
         --kafka-bootstrap HOST:PORT --topic T --out ROOT --checkpoint SHARED_DIR
     python -m meteoframe stream --files DIR --out ROOT --available-now
     python -m meteoframe batch --readings PATH --out ROOT
+    python -m meteoframe stats --readings PATH --out STATS      # then --stats STATS
     python -m meteoframe publish --readings PATH --files DIR
 
 Settings not given as options are read from the environment
@@ -41,8 +42,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-driver", default=os.environ.get("JDBC_DRIVER"))
     s.add_argument("--checkpoint", default=os.environ.get("CHECKPOINT_LOCATION"))
     s.add_argument("--mode", choices=P.MODES, default=P.AS_WRITTEN)
-    s.add_argument("--dedup-watermark", default="7 days",
-                   help="cross-batch de-dup delay; later readings may be discarded ('' disables)")
+    s.add_argument("--keep-resent", action="store_true", help="write re-sent readings again")
+    s.add_argument("--stats", help="table of reference statistics (see the stats command)")
+    s.add_argument("--slots", action="store_true", help="keep 15-minute slot counts")
     s.add_argument("--stats-by", nargs="*", default=[])
     s.add_argument("--available-now", action="store_true",
                    help="process what is there and stop (default: run until stopped)")
@@ -60,6 +62,12 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--out", required=True)
     b.add_argument("--mode", choices=P.MODES, default=P.AS_WRITTEN)
     b.add_argument("--stats-by", nargs="*", default=[])
+    b.add_argument("--stats", help="table of reference statistics (see the stats command)")
+
+    r = sub.add_parser("stats", help="reference statistics for imputation and scores")
+    r.add_argument("--readings", required=True, help="parquet table of the reference period")
+    r.add_argument("--out", required=True)
+    r.add_argument("--stats-by", nargs="*", default=[])
     return ap
 
 
@@ -71,11 +79,22 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "batch":
         from .plans import pipeline
+        from .session import input_bytes, sizing
+        for key, value in sizing(input_bytes(spark, args.readings)).items():
+            spark.conf.set(key, value)
         paths = pipeline.write_tables(spark.read.parquet(args.readings), args.out, mode=args.mode,
-                                      stats_by=tuple(args.stats_by))
+                                      stats_by=tuple(args.stats_by),
+                                      stats=spark.read.parquet(args.stats) if args.stats else None)
         logging.getLogger("meteoframe").info("wrote %s", paths)
         return 0
 
+    if args.cmd == "stats":
+        from .operators import anomaly
+        from .plans import pipeline
+        cleaned = pipeline.cleaned(spark.read.parquet(args.readings))
+        anomaly.reference_stats(cleaned, by=tuple(args.stats_by)).write.mode("overwrite").parquet(args.out)
+        return 0
+
     from .streaming import fanout, sources
     if args.cmd == "publish":
         readings = spark.read.parquet(args.readings)
@@ -97,16 +116,16 @@ def main(argv: list[str] | None = None) -> int:
             return 2
         raw = sources.read_kafka_stream(spark, sources.kafka_options(
             args.kafka_bootstrap, args.topic, max_offsets_per_trigger=args.max_offsets))
+    common = dict(root=args.out, mode=args.mode, stats_by=tuple(args.stats_by), stats=args.stats,
+                  slots=args.slots)
     if args.jdbc_url:
-        targets = fanout.JdbcTargets(root=args.out, mode=args.mode, stats_by=tuple(args.stats_by),
-                                     url=args.jdbc_url, user=os.environ.get("JDBC_USER"),
+        targets = fanout.JdbcTargets(**common, url=args.jdbc_url, user=os.environ.get("JDBC_USER"),
                                      password=os.environ.get("JDBC_PASSWORD"),
                                      driver=args.jdbc_driver)
     else:
-        targets = fanout.Targets(root=args.out, mode=args.mode, stats_by=tuple(args.stats_by))
+        targets = fanout.Targets(**common)
     q = fanout.start_pipeline(spark, raw, targets, checkpoint=args.checkpoint,
-                              dedup_watermark=args.dedup_watermark or None,
-                              available_now=args.available_now)
+                              dedup=not args.keep_resent, available_now=args.available_now)
     q.awaitTermination()
     return 0
 

@@ -60,11 +60,26 @@ def anomaly_counts(df: DataFrame, flag_col: str = "is_anomaly") -> DataFrame:
                   F.count(F.lit(1)).alias("n_total"))
 
 
+def reference_stats(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
+                    features: Sequence[str] = P.ANOMALY_FEATURES,
+                    by: Sequence[str] = ()) -> DataFrame:
+    """Statistics of cleaned readings for ``impute_and_score``: the fill
+    values `fill_<c>` and, after filling, `mean_<f>` and `stddev_<f>`; one row,
+    or one per ``by`` group."""
+    cols = [c for c in columns if c in df.columns]
+    moments = impute.column_moments(df, sorted(set(cols) | set(features)), by)
+    return impute.imputed_stats(moments, dict(df.dtypes), cols, list(features), by)
+
+
 def impute_and_score(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
                      features: Sequence[str] = P.ANOMALY_FEATURES, mode: str = P.AS_WRITTEN,
                      threshold: float = P.ANOMALY_THRESHOLD, by: Sequence[str] = (),
-                     score_col: str = "anomaly_score", flag_col: str = "is_anomaly") -> DataFrame:
-    """Mean imputation followed by z-score scoring, with one statistics pass.
+                     score_col: str = "anomaly_score", flag_col: str = "is_anomaly",
+                     stats: DataFrame | None = None) -> DataFrame:
+    """Mean imputation followed by z-score scoring, with one statistics pass,
+    or none when ``stats`` holds the statistics of a reference period (see
+    ``reference_stats``): every row is then treated alike, whatever batch it
+    comes in.
 
     Equal to ``zscore_score(impute_mean(df))``: the post-fill feature
     statistics are derived from the pre-fill moments, so the input is read
@@ -75,8 +90,11 @@ def impute_and_score(df: DataFrame, columns: Sequence[str] = P.IMPUTE_COLUMNS,
     feats = list(features)
     types = dict(df.dtypes)
     df = df.drop(score_col, flag_col)
-    mom = impute.column_moments(df, sorted(set(cols) | set(feats)), by)
-    stats = impute.imputed_stats(mom, types, cols, feats, by)
+    if stats is None:
+        stats = reference_stats(df, cols, feats, by)
+    elif not by:
+        # one row, also when a stored table holds it
+        stats = stats.agg(*[F.first(c).alias(c) for c in stats.columns])
     if mode == P.AS_WRITTEN and cols:
         stats = impute._guard(stats, cols, prefix="fill_")
     joined = attach_stats(df, stats, by)

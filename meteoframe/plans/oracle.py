@@ -36,6 +36,14 @@ def sql(uses: tuple[str, ...] | list[str], final: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" + final) if parts else final
 
 
+def on_wire(statement: str) -> str:
+    """The same statement over readings whose event times have milliseconds, as
+    envelopes carry them."""
+    return statement.replace(f"readings AS ({READINGS_SQL})", (
+        "readings AS (SELECT * REPLACE (date_trunc('millisecond', processing_timestamp) "
+        f"AS processing_timestamp) FROM ({READINGS_SQL}) AS r)"))
+
+
 def rnd6(expr: str) -> str:
     """Round to 6 decimals through a fixed-scale DECIMAL: one-ulp noise in
     the double disappears at scale 10, then HALF_UP applies exactly as in

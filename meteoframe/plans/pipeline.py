@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -66,29 +66,36 @@ def run_batch(readings: DataFrame, mode: str = P.AS_WRITTEN, thr=None) -> BatchO
 
 def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=None,
                  lag_buckets=P.LAG_BUCKET_SECONDS, stats_by: tuple = (),
-                 quality_gate: bool = True) -> dict:
+                 quality_gate: bool = True, stats: DataFrame | None = None) -> dict:
     """Batch job over a whole readings table: writes `clean` (cleaned,
     imputed, scored; partitioned by date), then derives `daily` (written only
     when the quality gate passes) and `qc` from the written clean table.
-    Returns the paths of the tables written.
+    Returns the paths of the tables written. Tables that stood there are
+    replaced as a whole; a table without rows is not written.
 
-    The input is read twice (one statistics pass, one row pass); the daily
-    summary and the QC chain read the written clean table (columns pruned),
-    so the lineage is cut at the first sink and nothing is recomputed.
+    The input is read twice (one statistics pass, none with ``stats``, and one
+    row pass) and once more by the corrected QC, which looks at values before
+    imputation. The daily summary and the other QC read the written clean table
+    (columns pruned), so the lineage is cut at the first sink.
     """
     spark = readings.sparkSession
     paths = {n: join_path(root, n) for n in ("clean", "daily", "qc")}
     c = cleaned(readings)
-    scored_rows = anomaly.impute_and_score(c, mode=mode, by=stats_by)
+    scored_rows = anomaly.impute_and_score(c, mode=mode, by=stats_by, stats=stats)
+    seen = Observation()
     writers.write_partitions(scored_rows, paths["clean"], ["date"],
-                             sort_by=["device_id", "processing_timestamp"])
-    stored = spark.read.parquet(paths["clean"]).withColumn(
-        "date", F.date_format("date", P.DATE_FORMAT))
+                             sort_by=["device_id", "processing_timestamp"], replace="all",
+                             observe=(seen, [F.count(F.lit(1)).alias("rows")]))
+    if not seen.get["rows"]:
+        return {}
+    # partition values come back as the text they were written as
+    stored = spark.read.schema(scored_rows.schema).parquet(paths["clean"])
     daily_rows = aggregate.daily_summary(stored).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # the daily table is written only when the quality gate passes
         if not quality_gate or quality.gate_passed(quality.quality_report(daily_rows)):
-            writers.write_partitions(daily_rows, paths["daily"], ["date"], sort_by=["device_id"])
+            writers.write_partitions(daily_rows, paths["daily"], ["date"],
+                                     sort_by=["device_id"], replace="all")
         else:
             paths.pop("daily")
     finally:
@@ -99,5 +106,5 @@ def write_tables(readings: DataFrame, root: str, mode: str = P.AS_WRITTEN, thr=N
         qc_src = c
     audit = qc.qc_level1(qc_src, thr=thr, mode=mode, bucket_seconds=lag_buckets)
     writers.write_partitions(audit, paths["qc"], ["date"],
-                             sort_by=["device_id", "processing_timestamp"])
+                             sort_by=["device_id", "processing_timestamp"], replace="all")
     return paths

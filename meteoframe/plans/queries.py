@@ -292,9 +292,16 @@ def q_anomaly_counts(spark, sf_dir):
 # -------------------------------------------------------------- aggregation
 
 
-@register("daily_summary", O.sql(["daily"], f"SELECT {O.DAILY_COLS} FROM daily"))
+DAILY_SQL = O.sql(["daily"], f"SELECT {O.DAILY_COLS} FROM daily")
+
+
+def rounded_daily(daily: DataFrame) -> DataFrame:
+    return r6(daily, "maxtemp_c", "mintemp_c", "avgtemp_c", "anomaly_score")
+
+
+@register("daily_summary", DAILY_SQL)
 def q_daily_summary(spark, sf_dir):
-    return r6(_daily(spark, sf_dir), "maxtemp_c", "mintemp_c", "avgtemp_c", "anomaly_score")
+    return rounded_daily(_daily(spark, sf_dir))
 
 
 def _daily_clean(spark, sf_dir):
@@ -583,16 +590,22 @@ def _qc_full_sql(final_cte: str, mode: str) -> str:
     return O.sql([final_cte], f"SELECT {', '.join(cols)}, {O.name_lists(mode)} FROM {final_cte}")
 
 
+QC_CORRECTED_SQL = _qc_full_sql(O.QC_CLEAN_CORR, "corrected")
+
+
+def qc_result(audit: DataFrame) -> DataFrame:
+    """The audit's columns as the registered queries return them."""
+    return r6(audit.select(*_QC_OUT), *_QC_ROUND)
+
+
 @register("qc_level1", _qc_full_sql(O.QC_IMPUTED, "as_written"))
 def q_qc_level1(spark, sf_dir):
-    d = pipeline.qc_audit(_readings(spark, sf_dir), P.AS_WRITTEN)
-    return r6(d.select(*_QC_OUT), *_QC_ROUND)
+    return qc_result(pipeline.qc_audit(_readings(spark, sf_dir), P.AS_WRITTEN))
 
 
-@register("qc_level1_corrected", _qc_full_sql(O.QC_CLEAN_CORR, "corrected"))
+@register("qc_level1_corrected", QC_CORRECTED_SQL)
 def q_qc_level1_corrected(spark, sf_dir):
-    d = pipeline.qc_audit(_readings(spark, sf_dir), P.CORRECTED)
-    return r6(d.select(*_QC_OUT), *_QC_ROUND)
+    return qc_result(pipeline.qc_audit(_readings(spark, sf_dir), P.CORRECTED))
 
 
 def _collect_query(mode, final_cte):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -26,13 +27,12 @@ SCALE_CONF = {
 }
 
 
-def sizing(input_bytes: int, partition_bytes: int = 128 << 20,
-           max_partitions: int = 200_000) -> dict:
+def sizing(input_bytes: int, partition_bytes: int = 128 << 20) -> dict:
     """Shuffle and scan sizing for an input of ``input_bytes``: about one
     shuffle partition per ``partition_bytes`` of input (AQE coalesces small
     ones at run time and splits skewed ones), and scan splits of the same
     size, so tasks fit executor memory without spilling heavily."""
-    n = max(1, min(max_partitions, -(-int(input_bytes) // int(partition_bytes))))
+    n = max(1, -(-int(input_bytes) // int(partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(int(partition_bytes)),
@@ -106,14 +106,45 @@ def join_path(base: str, name: str) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark)
-    if not is_local_path(base):
-        import uuid
-        return join_path(base, f"{name}-{uuid.uuid4().hex}")
-    local = base[len("file:"):] if base.lower().startswith("file:") else base
-    os.makedirs(local, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
+    """A fresh path under the checkpoint folder for written intermediates.
+    Only a local session makes the folder; elsewhere Spark's writers do, on
+    the file system that the path names."""
+    path = join_path(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    local = _own_disk(spark, path)
+    if local:
+        os.makedirs(local, exist_ok=True)
+    return local or path
+
+
+def _own_disk(spark: SparkSession, path: str) -> str | None:
+    """``path`` without scheme if the driver's disk is the session's file
+    system (local master, local path), else None."""
+    if not (spark.sparkContext.master or "").startswith("local") or not is_local_path(path):
+        return None
+    return path[len("file:"):] if path.lower().startswith("file:") else path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of data files is there, on any file system."""
+    from pyspark.errors import AnalysisException
+
+    local = _own_disk(spark, path)
+    if local:
+        return os.path.exists(local)
+    try:
+        spark.read.schema("value string").text(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path``, listed (not read) by Spark."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("length"))
+    return int(files.agg({"length": "sum"}).first()[0] or 0)
 
 
 def stage_table(df, name: str):

@@ -3,21 +3,22 @@
 Table writes are keyed so a replayed micro-batch overwrites what its first
 attempt wrote instead of appending twice:
 
-* per-batch tables (raw, clean, QC audit, lag state) get one
-  ``batch_id=<id>`` directory per micro-batch, replaced on replay;
-* the daily summary is partitioned by ``date``; touched dates are
-  recomputed from the clean table and their partitions overwritten.
+* raw rows and dead letters get one ``batch_id=<id>`` directory per
+  micro-batch, dated tables ``date=D/batch_id=<id>``, replaced on replay;
+* derived tables are partitioned by ``date``; touched dates are recomputed
+  from the dated tables and their partitions overwritten.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import path_exists
+
 
 def raw_json(df: DataFrame, out: str = "data") -> DataFrame:
     """One JSON text per row of the typed flat reading (null fields omitted)."""
@@ -39,33 +40,57 @@ def coerce_write_types(df: DataFrame, date_cols: Sequence[str] = ("date",),
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
-                     sort_by: Sequence[str] = (), clustering: str = "range") -> None:
-    """Overwrite only the partitions present in ``df`` (idempotent on replay).
+                     sort_by: Sequence[str] = (), clustering: str = "range",
+                     observe: tuple | None = None, replace: str = "present") -> None:
+    """Write a partitioned table, replacing the partitions present in ``df``
+    (idempotent on replay) or, with ``replace="all"``, the whole table. The
+    choice is an option of this write, never a setting of the session.
 
     With ``sort_by`` rows are range-partitioned on (partition columns, sort
     columns): one hot date (or device) is split across many tasks by the
     sort key, while each task still writes a few contiguous files. Without
     it rows are written where they are. ``clustering="hash"`` skips the
     range-boundary sampling job (for bounded inputs such as micro-batches).
+    ``observe`` = (Observation, [aggregate columns]) collects metrics during
+    the write job itself, behind any sampling.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out = df
-        if sort_by:
-            out = _cluster(df, partition_by, sort_by, clustering)
-        out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    out = _cluster(df, partition_by, sort_by, clustering) if sort_by else df
+    if observe is not None:
+        obs, exprs = observe
+        out = out.observe(obs, *exprs)
+    mode = {"present": "dynamic", "all": "static"}[replace]
+    (out.write.mode("overwrite").option("partitionOverwriteMode", mode)
+     .partitionBy(*partition_by).parquet(path))
+
+
+def write_dated(df: DataFrame, path: str, batch_id: int, sort_by: Sequence[str] = (),
+                observe: tuple | None = None, date_col: str = "date") -> None:
+    """One micro-batch's rows of a table laid out ``date=D/batch_id=K``; a
+    replay replaces the same directories. The batch id is a text literal, so
+    that generated code does not change from batch to batch."""
+    rows = df.withColumn("batch_id", F.lit(str(int(batch_id))))
+    write_partitions(rows, path, [date_col, "batch_id"], sort_by, "hash", observe)
+
+
+def read_dates(spark: SparkSession, path: str, dates: Sequence, schema: StructType,
+               date_col: str = "date") -> DataFrame:
+    """Rows of the given dates of a table laid out by date, with the declared
+    ``schema`` (partition columns included). Only those dates' folders are
+    listed; dates that were never written give no rows."""
+    folders = [f"{path.rstrip('/')}/{date_col}={d if d is not None else '__HIVE_DEFAULT_PARTITION__'}"
+               for d in dates]
+    found = [f for f in folders if path_exists(spark, f)]
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
 
 
 def _cluster(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str],
              clustering: str) -> DataFrame:
     keys = [*partition_by, *sort_by]
     if clustering == "hash":
-        # partition columns plus the leading sort column spread one hot date
-        out = df.repartition(*[F.col(c) for c in keys[:len(partition_by) + 1]])
+        # one file per partition: a micro-batch is bounded by the source's limit
+        out = df.repartition(*[F.col(c) for c in partition_by or sort_by])
     elif clustering == "range":
         out = df.repartitionByRange(*[F.col(c) for c in keys])
     else:
@@ -98,7 +123,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     if observe is not None:
         obs, exprs = observe
         out = out.observe(obs, *exprs)
-    w = out.write.mode("overwrite")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
@@ -122,27 +147,27 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
-def options_from_env(table: str, prefix: str = "METEOFRAME_JDBC_") -> dict:
-    """JDBC options from ``<prefix>URL``, ``USER``, ``PASSWORD``, ``DRIVER``."""
-    env = os.environ
-    url = env.get(prefix + "URL")
-    if not url:
-        raise RuntimeError(f"{prefix}URL is not set")
-    return jdbc_options(url, table, env.get(prefix + "USER"), env.get(prefix + "PASSWORD"),
-                        env.get(prefix + "DRIVER"))
-
-
 def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append",
                num_partitions: int | None = None) -> None:
-    """Append (or overwrite) through JDBC; ``num_partitions`` caps the
-    number of concurrent connections."""
-    out = df.coalesce(num_partitions) if num_partitions else df
+    """Append (or overwrite) through JDBC; ``num_partitions`` is the number of
+    concurrent connections. The rows are dealt out for the write alone: the
+    stages that compute them keep their own parallelism."""
+    out = df.repartition(num_partitions) if num_partitions else df
     out.write.format("jdbc").options(**options).mode(mode).save()
 
 
-def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """A database table (or subquery) through JDBC."""
-    return spark.read.format("jdbc").options(**options).load()
+def read_jdbc(spark: SparkSession, options: Mapping[str, str], column: str | None = None,
+              bounds: tuple | None = None, num_partitions: int = 8) -> DataFrame:
+    """A database table (or subquery) through JDBC: in one task, or, with a
+    numeric, date or timestamp ``column`` and its ``bounds``, by that many
+    ranges of it in parallel (the bounds only place the ranges; rows outside
+    them are read too)."""
+    opts = dict(options)
+    if column is not None:
+        low, high = bounds
+        opts.update(partitionColumn=column, lowerBound=str(low), upperBound=str(high),
+                    numPartitions=str(num_partitions))
+    return spark.read.format("jdbc").options(**opts).load()
 
 
 def probe_schema(spark: SparkSession, options: Mapping[str, str]) -> StructType:

@@ -1,50 +1,71 @@
-"""Streaming pipeline: decode -> de-duplicate -> per-micro-batch fan-out.
-
-Per micro-batch (``foreachBatch``) the callback writes, in order:
-
-1. dead-letter rows (undecodable envelope or unparsable event time,
-   ``corrected`` mode) with their text;
-2. raw rows as JSON text; later steps run only after it succeeded;
-3. clean rows (cleaned, imputed, scored), partitioned by (batch_id, date);
-4. the daily summary (quality-gated) of every date the batch touched,
-   recomputed from the clean table and overwriting those date partitions;
-5. the level-1 QC audit rows; with ``carry_lag`` each device's last
-   reading is kept in a small state table (one row per device, versioned by
-   batch id) and fed to the next batch as context, so time gaps and
-   temperature steps continue across batch boundaries.
-
-Targets are pluggable. ``Targets`` (parquet tables under a shared root)
-key every write by batch id (or date), so a replayed batch overwrites its
-first attempt, and upsert the daily table. ``JdbcTargets`` append to
-database tables as the reference does (at-least-once, daily rows per
-batch) and check every table's columns before the stream starts.
+"""Streaming pipeline: decode, then a fan-out of every micro-batch to tables.
+
+Per micro-batch (``foreachBatch``) the callback writes, in order, each step
+only after the one before succeeded and each table only when it has rows:
+
+1. dead letters: rows without a reading id or a parsable event time, with
+   their text (both modes);
+2. raw rows as JSON text with the time they were received;
+3. keys: (date, reading_id) of the batch's new readings. A reading is new if no
+   *other* batch has stored its key, so re-sent readings are dropped for ever,
+   distinct ones are kept however late they come, and a replayed batch, whose
+   own keys do not count, does the same again. Only the folders of the dates
+   that the batch touches are opened; no state grows in memory;
+4. clean rows (cleaned, imputed, scored);
+5. the daily summary (quality-gated), and on request the 15-minute slot counts,
+   of every touched date, recomputed from the stored rows of these dates;
+6. the level-1 QC audit. ``as_written`` looks at the batch alone, as the
+   reference does. ``corrected`` recomputes whole days from the stored readings:
+   the touched dates and, per device, the date that follows one, whose first
+   reading has a new predecessor. A small table of each device-day's last reading
+   tells both the following dates and the readings before the recomputed days, so
+   the audit does not depend on how the stream was cut into batches.
+
+Dated tables are laid out ``date=D/batch_id=K`` (``compact`` merges a closed
+date's files), derived ones ``date=D``. With a table of reference statistics
+(``Targets.stats``) imputation and scores do not depend on the batches either;
+without one each batch is its own reference, as in the reference pipeline.
+
+Targets are pluggable: ``Targets`` are parquet tables under a shared root, a
+replay replacing its first attempt. ``JdbcTargets`` append to database tables as
+the reference does (at-least-once; keys and stored readings stay under the
+root) and check every table's columns before the stream starts.
 
 Errors propagate: the query stops and the batch replays from the checkpoint
-on restart instead of being committed with rows lost. The batch is persisted
-once and released in ``finally``; statistics are single aggregates, counts
-are observed during the writes, and every write is a distributed job.
+on restart instead of being committed with rows lost.
 """
 
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from collections import deque
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, DateType, DoubleType, StringType, StructField, StructType,
+                               TimestampType)
 
 from .. import params as P
-from ..operators import aggregate, anomaly, clean, qc, quality
+from ..operators import aggregate, anomaly, clean, qc, quality, series
+from ..schemas import CLEAN_COLUMNS, FLAT_READING
 from ..session import checkpoint_dir, join_path
 from ..sinks import writers
 from .sources import decode_stream
 
 log = logging.getLogger("meteoframe.stream")
 
-MEASURES = ("air_temperature", "air_humidity", "wind_speed", "uv_index", "barometric_pressure",
-            "rain_gauge", "rain_accumulation", "peak_wind_gust", "light_intensity",
-            "wind_direction_sensor")
+MEASURES = tuple(P.CLEAN_RANGES)
+_PARTITIONS = [StructField("date", DateType()), StructField("batch_id", StringType())]
+KEYS = StructType([StructField("reading_id", StringType()), *_PARTITIONS])
+#: Cleaned readings before imputation, as stored.
+READINGS = StructType([*(FLAT_READING[c] for c in CLEAN_COLUMNS), *_PARTITIONS])
+SCORED = StructType([*READINGS.fields[:-2], StructField("anomaly_score", DoubleType()),
+                     StructField("is_anomaly", BooleanType()), *_PARTITIONS])
+#: The last reading of each device-day.
+EDGES = StructType([StructField("device_id", StringType()), StructField("processing_timestamp", TimestampType()),
+                    StructField("air_temperature", DoubleType()), StructField("date", DateType())])
 
 
 @dataclass
@@ -54,99 +75,112 @@ class Targets:
     mode: str = P.AS_WRITTEN
     thr: dict | None = None
     quality_gate: bool = True
-    carry_lag: bool | None = None      # default: on when corrected
     lag_buckets: int | tuple = P.LAG_BUCKET_SECONDS   # e.g. (60, 86400) for dense devices
     stats_by: tuple = ()               # e.g. ("device_id",): per-device imputation / z-scores
-
-    @property
-    def carries_lag(self) -> bool:
-        return self.mode == P.CORRECTED if self.carry_lag is None else self.carry_lag
+    stats: str | None = None           # path of a table from ``anomaly.reference_stats``
+    slots: bool = False                # keep the 15-minute slot counts too
 
     def path(self, name: str) -> str:
         return join_path(self.root, name)
 
-    # -- sink interface used by FanOut (parquet tables, exactly-once) --------
-
-    def write_rows(self, name: str, df: DataFrame, batch_id: int, partition_by=(),
-                   sort_by=(), observe=None) -> None:
-        """Write one batch's rows of table ``name``; a replay replaces them.
-        Micro-batches are bounded by the source's rate limit, so rows are
-        hash-clustered (no range-boundary sampling job)."""
-        writers.write_batch(df, self.path(name), batch_id, partition_by=partition_by,
-                            sort_by=sort_by, observe=observe, clustering="hash")
-
-    def daily_rows(self, spark: SparkSession, cleaned: DataFrame, scored: DataFrame) -> DataFrame:
-        """Daily summary of every date the batch touched, recomputed from the
-        whole clean table. The semi-join is on the partition column itself, so
-        dynamic partition pruning reads only the touched dates (a set bounded
-        by the days one batch spans)."""
-        touched = cleaned.select(F.to_date("date").alias("date")).distinct()
-        stored = spark.read.parquet(self.path("clean"))
-        rows = stored.join(F.broadcast(touched), "date", "left_semi").drop("batch_id")
-        return aggregate.daily_summary(rows)
+    def statistics(self, spark: SparkSession) -> DataFrame | None:
+        return spark.read.parquet(self.stats) if self.stats else None
+
+    # -- the fan-out's own tables, parquet for every kind of target ----------
+
+    def stored(self, spark: SparkSession, name: str, dates: list, schema: StructType) -> DataFrame:
+        """Rows of these dates of a dated table; only their folders are opened."""
+        return writers.read_dates(spark, self.path(name), dates, schema)
+
+    def store(self, name: str, df: DataFrame, batch_id: int, **kw) -> None:
+        writers.write_dated(df, self.path(name), batch_id, **kw)
+
+    # -- output tables --------------------------------------------------------
+
+    def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
+        writers.write_batch(df, self.path(name), batch_id)
+
+    def write_clean(self, scored: DataFrame, batch_id: int, observe) -> None:
+        self.store("clean", scored, batch_id, sort_by=["device_id", "processing_timestamp"], observe=observe)
+
+    def daily_rows(self, spark: SparkSession, dates: list, scored: DataFrame) -> DataFrame:
+        """Daily summary of the touched dates from all their stored clean rows."""
+        return aggregate.daily_summary(self.stored(spark, "clean", dates, SCORED).drop("batch_id"))
 
     def write_daily(self, daily: DataFrame, batch_id: int) -> None:
-        """Upsert: overwrite the touched date partitions."""
-        writers.write_partitions(daily, self.path("daily"), ["date"], sort_by=["device_id"],
-                                 clustering="hash")
+        writers.write_partitions(daily, self.path("daily"), ["date"], ["device_id"], "hash")
 
-    def written(self, spark: SparkSession, name: str, batch_id: int, df: DataFrame) -> DataFrame:
-        """The rows just written for ``name`` (read back, not recomputed)."""
-        return spark.read.parquet(f"{self.path(name)}/batch_id={int(batch_id)}")
+    def write_slots(self, slots: DataFrame) -> None:
+        writers.write_partitions(slots, self.path("slots"), ["date"], ["device_id"], "hash")
 
-    def state_path(self, name: str) -> str:
-        return self.path(name)
+    def write_qc(self, audit: DataFrame, batch_id: int, fresh: DataFrame, observe) -> None:
+        """``as_written``: the batch's rows. ``corrected``: whole dates, which
+        replace what stood there."""
+        order = ["device_id", "processing_timestamp"]
+        if self.mode == P.AS_WRITTEN:
+            self.store("qc", audit, batch_id, sort_by=order, observe=observe)
+        else:
+            writers.write_partitions(audit, self.path("qc"), ["date"], order, "hash", observe)
 
 
 @dataclass
 class JdbcTargets(Targets):
     """Tables in a database reached through JDBC; ``root`` still holds the
-    pipeline's own state (lag state) on shared storage.
+    fan-out's own tables (keys, readings, day ends) on shared storage.
 
     Writes append, as the reference pipeline does: at-least-once (a replayed
-    batch appends again unless the tables' keys reject duplicates), and the
-    daily summary is appended per batch rather than upserted. Parquet
-    ``Targets`` give exactly-once tables and the upsert.
+    batch appends again unless the tables' keys reject duplicates), the daily
+    summary is appended per batch rather than upserted, and the QC table gets
+    the audit rows of the batch's own readings. Parquet ``Targets`` give
+    exactly-once tables and the upserts.
     """
     url: str = ""
     user: str | None = None
     password: str | None = None
     driver: str | None = None
-    tables: dict | None = None          # logical name -> table name
+    tables: dict = field(default_factory=dict)   # logical name -> table name
     connections: int | None = 8         # concurrent writers per table
 
     DEFAULT_TABLES = {"raw": "readings_raw", "clean": "readings_clean", "daily": "daily_summary",
-                      "qc": "qc_audit", "dead_letter": "readings_rejected"}
+                      "qc": "qc_audit", "dead_letter": "readings_rejected", "slots": "slot_counts"}
 
     def table(self, name: str) -> str:
-        return {**self.DEFAULT_TABLES, **(self.tables or {})}[name]
+        return {**self.DEFAULT_TABLES, **self.tables}[name]
 
     def options(self, name: str) -> dict:
         return writers.jdbc_options(self.url, self.table(name), self.user, self.password,
                                     self.driver)
 
-    def write_rows(self, name, df, batch_id, partition_by=(), sort_by=(), observe=None) -> None:
+    def append(self, name: str, df: DataFrame, observe=None) -> None:
         out = writers.coerce_write_types(df)
         if observe is not None:
-            obs, exprs = observe
-            out = out.observe(obs, *exprs)
+            out = out.observe(observe[0], *observe[1])
         writers.write_jdbc(out, self.options(name), mode="append", num_partitions=self.connections)
 
-    def daily_rows(self, spark, cleaned, scored) -> DataFrame:
+    def write_batch(self, name, df, batch_id) -> None:
+        self.append(name, df)
+
+    def write_clean(self, scored, batch_id, observe) -> None:
+        self.append("clean", scored, observe)
+
+    def daily_rows(self, spark, dates, scored) -> DataFrame:
         return aggregate.daily_summary(scored)
 
     def write_daily(self, daily, batch_id) -> None:
-        self.write_rows("daily", daily, batch_id)
+        self.append("daily", daily)
 
-    def written(self, spark, name, batch_id, df) -> DataFrame:
-        return df
+    def write_slots(self, slots) -> None:
+        self.append("slots", slots)
 
-    def state_path(self, name: str) -> str:
-        return self.path(name)
+    def write_qc(self, audit, batch_id, fresh, observe) -> None:
+        if self.mode == P.CORRECTED:
+            audit = audit.join(fresh.select("reading_id"), "reading_id", "left_semi")
+        self.append("qc", audit, observe)
 
     def preflight(self, spark: SparkSession) -> dict:
-        """Columns each target table lacks, compared with the schemas the
-        fan-out writes (zero-row probes of every target; no data read)."""
+        """Columns each target table lacks or holds with another kind of type,
+        compared with the schemas the fan-out writes (zero-row probes of every
+        target; no data read)."""
         expected = expected_schemas(spark, self)
         return writers.preflight(spark, {n: (self.options(n), sch) for n, sch in expected.items()})
 
@@ -154,16 +188,26 @@ class JdbcTargets(Targets):
 def expected_schemas(spark: SparkSession, targets: Targets) -> dict:
     """Schemas of the rows the fan-out writes to each table, taken from the
     lazy plans built over an empty batch (analysis only, no job)."""
-    from ..schemas import FLAT_READING
     empty = spark.createDataFrame([], FLAT_READING)
     cleaned = clean.clean_readings(empty)
     scored = anomaly.impute_and_score(cleaned, mode=targets.mode, by=targets.stats_by)
-    daily = aggregate.daily_summary(scored)
     src = scored.drop("anomaly_score", "is_anomaly") if targets.mode == P.AS_WRITTEN else cleaned
-    audit = qc.qc_level1(src, thr=targets.thr, mode=targets.mode)
-    return {name: writers.coerce_write_types(df).schema
-            for name, df in (("raw", writers.raw_json(empty)), ("clean", scored),
-                             ("daily", daily), ("qc", audit))}
+    rejected = split_dead_letters(empty.withColumn("_raw", F.lit("")))[1]
+    tables = {"raw": raw_rows(empty), "dead_letter": rejected, "clean": scored,
+              "daily": aggregate.daily_summary(scored),
+              "qc": qc.qc_level1(src, thr=targets.thr, mode=targets.mode)}
+    if targets.slots:
+        tables["slots"] = dated_slots(scored)
+    return {name: writers.coerce_write_types(df).schema for name, df in tables.items()}
+
+
+def raw_rows(df: DataFrame) -> DataFrame:
+    return writers.raw_json(df).withColumn("received_at", F.current_timestamp())
+
+
+def dated_slots(rows: DataFrame) -> DataFrame:
+    """15-minute slot counts with the date that a slot starts on."""
+    return aggregate.slot_availability(rows).withColumn("date", F.to_date("slot_start"))
 
 
 def split_dead_letters(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -177,147 +221,145 @@ def split_dead_letters(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class FanOut:
-    """The ``foreachBatch`` callback."""
+    """The ``foreachBatch`` callback. ``metrics`` keeps the row counts of the
+    latest batches."""
 
-    def __init__(self, targets: Targets):
-        self.t = targets
+    def __init__(self, targets: Targets, dedup: bool = True):
+        self.t, self.dedup = targets, dedup
         P.check_mode(targets.mode)
-        self.metrics: list[tuple[int, dict]] = []
+        self.metrics: deque = deque(maxlen=100)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
-                return
-            self.process(batch, batch_id)
+            if not batch.isEmpty():
+                self.process(batch, batch_id)
         finally:
             batch.unpersist()
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        t = self.t
-        spark = batch.sparkSession
+        t, spark = self.t, batch.sparkSession
+        counts = {}
+        good = batch.drop("_raw")
         if "_raw" in batch.columns:
-            if t.mode == P.CORRECTED:
-                good, bad = split_dead_letters(batch)
-                t.write_rows("dead_letter", bad, batch_id)
-            else:
-                good = batch.drop("_raw")
-        else:
-            good = batch
-
-        # Counts ride on the write jobs (observed metrics): no extra actions.
-        obs_raw, obs_clean, obs_qc = (Observation(f"raw_{batch_id}"), Observation(f"clean_{batch_id}"),
-                                      Observation(f"qc_{batch_id}"))
-
-        # 1. Raw rows first; nothing else is written if this fails.
-        observed = good.observe(obs_raw, F.count(F.lit(1)).alias("rows"),
-                                F.count_if(F.col("valid") == F.lit(True)).alias("valid"))
-        t.write_rows("raw", writers.raw_json(observed), batch_id)
-
-        # 2. Clean rows: cleaned, imputed and scored with one stats pass.
-        cleaned = clean.clean_readings(good)
-        scored = anomaly.impute_and_score(cleaned, mode=t.mode, by=t.stats_by)
-        clean_metrics = [F.count(F.lit(1)).alias("rows"),
-                         F.count_if(F.col("is_anomaly")).alias("anomalies"),
-                         *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in MEASURES]]
-        t.write_rows("clean", scored, batch_id, partition_by=["date"],
-                     sort_by=["device_id", "processing_timestamp"], observe=(obs_clean, clean_metrics))
-
-        # 3. Daily summary, written only when the quality gate passes.
-        daily = t.daily_rows(spark, cleaned, scored).persist(StorageLevel.MEMORY_AND_DISK)
+            good, bad = split_dead_letters(batch)
+            counts["dead_letter"] = {"rows": bad.count()}
+            if counts["dead_letter"]["rows"]:
+                t.write_batch("dead_letter", bad, batch_id)
+        fresh = self.new_readings(spark, good, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        cleaned = clean.clean_readings(fresh).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
-                t.write_daily(daily, batch_id)
+            found = fresh.agg(F.count(F.lit(1)).alias("rows"),
+                              F.count_if(F.col("valid") == F.lit(True)).alias("valid"),
+                              F.sort_array(F.collect_set(F.to_date("processing_timestamp"))).alias("dates")).first()
+            counts["raw"] = {"rows": found["rows"], "valid": found["valid"]}
+            if found["rows"]:
+                t.write_batch("raw", raw_rows(fresh), batch_id)
+                self.store_keys(fresh, batch_id)
+            if found["valid"]:
+                self.derive(spark, cleaned, fresh, found["dates"], batch_id, counts)
         finally:
-            daily.unpersist()
-
-        # 4. QC audit rows: the imputed rows just written (as written), or the
-        #    cleaned rows without imputation (corrected).
-        if t.mode == P.AS_WRITTEN:
-            src = (t.written(spark, "clean", batch_id, scored)
-                   .drop("anomaly_score", "is_anomaly")
-                   .withColumn("date", F.date_format("date", P.DATE_FORMAT)))
-        else:
-            src = cleaned
-        ctx = self.lag_context(spark, batch_id) if t.carries_lag else None
-        audit = qc.qc_level1(src, thr=t.thr, mode=t.mode, context=ctx,
-                             bucket_seconds=t.lag_buckets)
-        qc_metrics = [F.count(F.lit(1)).alias("rows"),
-                      F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
-                      F.count_if(F.size("qc_warning_checks") > 0).alias("with_warnings")]
-        if t.carries_lag and isinstance(t, JdbcTargets):
-            audit = audit.persist(StorageLevel.MEMORY_AND_DISK)   # state is derived from it
+            cleaned.unpersist()
+            fresh.unpersist()
+        self.metrics.append((batch_id, counts))
+        log.info("batch %s: %s", batch_id, counts)
+
+    def derive(self, spark, cleaned, fresh, dates: list, batch_id: int, counts: dict) -> None:
+        """Every table that comes from valid readings. ``dates`` holds the
+        calendar days of the batch's event times."""
+        t = self.t
+        of_clean, of_qc = Observation(f"clean_{batch_id}"), Observation(f"qc_{batch_id}")
+        scored = anomaly.impute_and_score(cleaned, mode=t.mode, by=t.stats_by, stats=t.statistics(spark))
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            t.write_rows("qc", audit, batch_id, observe=(obs_qc, qc_metrics))
-            if t.carries_lag:
-                self.save_lag_state(spark, batch_id, ctx, t.written(spark, "qc", batch_id, audit))
+            t.write_clean(scored, batch_id, (of_clean, [
+                F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_anomaly")).alias("anomalies"),
+                *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in MEASURES]]))
+            if t.mode == P.CORRECTED:
+                t.store("readings", cleaned, batch_id, sort_by=["device_id", "processing_timestamp"])
+            daily = t.daily_rows(spark, dates, scored).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
+                    t.write_daily(daily, batch_id)
+            finally:
+                daily.unpersist()
+            if t.slots:
+                t.write_slots(dated_slots(t.stored(spark, "clean", dates, SCORED)))
+            if t.mode == P.AS_WRITTEN:
+                audit = qc.qc_level1(scored.drop("anomaly_score", "is_anomaly"), thr=t.thr,
+                                     mode=t.mode, bucket_seconds=t.lag_buckets)
+            else:
+                audit = self.day_audit(spark, dates)
+            t.write_qc(audit, batch_id, fresh, (of_qc, [
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
+                F.count_if(F.size("qc_warning_checks") > 0).alias("with_warnings")]))
         finally:
-            audit.unpersist()
-
-        m = {"raw": obs_raw.get, "clean": obs_clean.get, "qc": obs_qc.get}
-        self.metrics.append((batch_id, m))
-        log.info("batch %s: %s", batch_id, m)
-
-    # ----------------------------------------------------- cross-batch lag
-
-    STATE_COLS = ("device_id", "date", "processing_timestamp", "air_temperature")
-
-    def lag_context(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        path = self.t.state_path("lag_state")
-        prev = latest_version_below(spark, path, batch_id)
-        if prev is None:
-            return None
-        return spark.read.parquet(f"{path}/batch_id={prev}")
-
-    def save_lag_state(self, spark: SparkSession, batch_id: int, ctx: DataFrame | None,
-                       audit: DataFrame) -> None:
-        """Last reading per device after this batch (bounded: one row per
-        device), written as version ``batch_id``."""
-        rows = audit.select(*self.STATE_COLS)
-        if ctx is not None:
-            rows = rows.unionByName(ctx.select(*self.STATE_COLS))
-        last = rows.groupBy("device_id").agg(F.max_by(
-            F.struct(*[F.col(c) for c in self.STATE_COLS[1:]]),
-            F.struct(F.col("processing_timestamp"))).alias("_s"))
-        path = self.t.state_path("lag_state")
-        writers.write_batch(last.select("device_id", "_s.*"), path, batch_id)
-        prune_versions(spark, path, keep_from=latest_version_below(spark, path, batch_id))
-
-
-def _versions(spark: SparkSession, path: str):
-    """``batch_id=K`` directories under ``path`` through the Hadoop
-    FileSystem of the session (any scheme: local, hdfs, s3a, abfss, ...)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return fs, []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id="):
-            out.append((int(name.split("=", 1)[1]), st.getPath()))
-    return fs, out
-
-
-def prune_versions(spark: SparkSession, path: str, keep_from: int | None) -> None:
-    """Delete state versions older than ``keep_from``. A restarted query
-    replays at most its last uncommitted batch N, which reads version N-1,
-    so the previous and the current version are all that must stay."""
-    if keep_from is None:
-        return
-    fs, versions = _versions(spark, path)
-    for k, p in versions:
-        if k < keep_from:
-            fs.delete(p, True)
+            scored.unpersist()
+        counts.update(clean=of_clean.get, qc=of_qc.get)
+
+    # ------------------------------------------------------------- new readings
+
+    def new_readings(self, spark: SparkSession, good: DataFrame, batch_id: int) -> DataFrame:
+        """One row per (date, reading_id) that no other batch has stored. Of a
+        key's rows in the batch the least stays."""
+        if not self.dedup:
+            return good
+        keyed = good.withColumn("_date", F.to_date("processing_timestamp"))
+        days = [r[0] for r in keyed.select("_date").distinct().collect()]      # calendar days
+        known = (self.t.stored(spark, "keys", days, KEYS).filter(F.col("batch_id") != str(batch_id))
+                 .select("reading_id", F.col("date").alias("_date")))
+        once = series.dedup(keyed, ("_date", "reading_id"), ("processing_timestamp",))
+        return once.join(known, ["_date", "reading_id"], "left_anti").select(good.columns)
+
+    def store_keys(self, fresh: DataFrame, batch_id: int) -> None:
+        if self.dedup:
+            self.t.store("keys", fresh.select("reading_id", F.to_date("processing_timestamp").alias("date")),
+                         batch_id, sort_by=["reading_id"])
+
+    # ---------------------------------------------------------- whole-day audit
+
+    def day_audit(self, spark: SparkSession, dates: list) -> DataFrame:
+        """QC of the touched dates, and per device of the date that follows one,
+        over all their stored readings."""
+        t = self.t
+        last = F.max_by(F.struct("processing_timestamp", "air_temperature"), F.col("processing_timestamp"))
+        rows = t.stored(spark, "readings", dates, READINGS).drop("batch_id")
+        ends = (series.dedup(rows, ("device_id", "processing_timestamp"))
+                .groupBy("device_id", "date").agg(last.alias("e"))
+                .select("device_id", "e.*", "date"))
+        writers.write_partitions(ends, t.path("day_ends"), ["date"], ["device_id"], "hash")
+        ends = spark.read.schema(EDGES).parquet(t.path("day_ends"))
+        by_day = Window.partitionBy("device_id").orderBy("date")
+        around = ends.withColumns({"_next": F.lead("date").over(by_day), "_earlier": F.lag(
+            F.struct("date", "processing_timestamp", "air_temperature")).over(by_day)})
+        touched = F.col("date").isin(dates)
+        after = {r[0] for r in around.filter(touched & F.col("_next").isNotNull())
+                 .select("_next").distinct().collect()}                       # calendar days
+        again = sorted({*dates, *after})
+        context = (around.filter(F.col("date").isin(again) & F.col("_earlier").isNotNull())
+                   .select("device_id", "_earlier.*").filter(~F.col("date").isin(again))
+                   .withColumn("date", F.date_format("date", P.DATE_FORMAT)))
+        rows = t.stored(spark, "readings", again, READINGS).drop("batch_id").withColumn(
+            "date", F.date_format("date", P.DATE_FORMAT))
+        return qc.qc_level1(rows, thr=t.thr, mode=t.mode, context=context, bucket_seconds=t.lag_buckets)
 
 
-def latest_version_below(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """Largest ``batch_id=K`` partition of ``path`` with K < ``batch_id``
-    (a directory listing, no data read)."""
-    below = [k for k, _ in _versions(spark, path)[1] if k < batch_id]
-    return max(below) if below else None
+def compact(spark: SparkSession, targets: Targets, name: str, date, schema: StructType) -> None:
+    """Merge the files of one closed date of a dated table into one batch
+    folder, named after its latest batch. Run it when no batch of that date is
+    in flight; the merged rows are staged first, so a failure leaves the date
+    as it was or to be compacted again."""
+    from ..session import stage_table
+
+    rows = targets.stored(spark, name, [date], schema)
+    top = rows.agg(F.max(F.col("batch_id").cast("long"))).first()[0]
+    if top is None:
+        return
+    merged = stage_table(rows.drop("batch_id"), "compact")
+    (merged.drop("date").withColumn("batch_id", F.lit(str(top)))
+     .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("batch_id").parquet(f"{targets.path(name)}/date={date}"))
 
 
 def slot_counts_stream(flat: DataFrame, minutes: int = 15, watermark: str = "1 hour",
@@ -340,43 +382,12 @@ def slot_counts_stream(flat: DataFrame, minutes: int = 15, watermark: str = "1 h
                         F.col("slot.end").alias("slot_end"), "n_readings"))
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """De-duplication state grows with the keys inside the watermark; keep it
-    in RocksDB (off-heap, spilled to local disk, changelog-checkpointed)
-    unless the session already chose a provider. A query restarted from a
-    checkpoint must keep the provider it started with."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) is None:      # not chosen by the session
-        spark.conf.set(key, ROCKSDB_PROVIDER)
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-
-
-DEDUP_WATERMARK = "7 days"
-
-
-def dedup_across_batches(flat: DataFrame, watermark: str = DEDUP_WATERMARK,
-                         key: str = "reading_id",
-                         ts_col: str = "processing_timestamp") -> DataFrame:
-    """Drop re-sent readings across micro-batches: state keeps the keys seen
-    within the watermark delay of event time.
-
-    Late-data rule: a reading whose event time is more than the delay behind
-    the newest event time seen may be discarded (as a re-send of something
-    already processed). Choose the delay to cover the longest backlog a
-    device may upload after being offline; pass ``dedup_watermark=None`` to
-    ``start_pipeline`` to keep every reading (duplicates included)."""
-    return flat.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark([key])
-
-
 def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
-                   checkpoint: str | None = None, dedup_watermark: str | None = DEDUP_WATERMARK,
+                   checkpoint: str | None = None, dedup: bool = True,
                    available_now: bool = False, processing_time: str | None = None,
                    preflight: bool = True):
-    """Start the streaming query: decode, optional cross-batch de-dup,
-    fan-out sink. Returns the StreamingQuery.
+    """Start the streaming query: decode and fan out. Returns the
+    StreamingQuery. ``dedup=False`` keeps re-sent readings too.
 
     For database targets every table is checked first and a missing column
     stops the start (instead of failing, or silently losing, later writes).
@@ -385,16 +396,11 @@ def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
         gaps = {n: cols for n, cols in targets.preflight(spark).items() if cols}
         if gaps:
             raise RuntimeError(f"target tables lack columns: {gaps}")
-    flat = decode_stream(raw_stream, targets.mode, keep_raw=True)
-    if dedup_watermark:
-        use_rocksdb_state(spark)
-        # Only decodable rows with an event time take part; the others pass
-        # through untouched (a null key must not merge unrelated rows).
-        keyed = F.col("reading_id").isNotNull() & F.col("processing_timestamp").isNotNull()
-        flat = (dedup_across_batches(flat.filter(keyed), dedup_watermark)
-                .unionByName(flat.filter(~keyed)))
+    # an unparsable event time is null here in both modes: the row becomes a
+    # dead letter instead of stopping the query for ever
+    flat = decode_stream(raw_stream, P.CORRECTED, keep_raw=True)
     ckpt = checkpoint or join_path(checkpoint_dir(spark), "readings_pipeline")
-    w = (flat.writeStream.foreachBatch(FanOut(targets))
+    w = (flat.writeStream.foreachBatch(FanOut(targets, dedup))
          .option("checkpointLocation", ckpt).outputMode("append"))
     if available_now:
         w = w.trigger(availableNow=True)

@@ -1,6 +1,5 @@
 """Registered streaming queries: each writes the readings derived from the
-driver tables as time-ordered envelope files, runs a Structured Streaming
-query over them to completion (``availableNow``) and returns what its sink
+driver tables as envelope files, runs a Structured Streaming query over them to completion (``availableNow``) and returns what its sink
 wrote."""
 
 from __future__ import annotations
@@ -8,9 +7,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..operators import anomaly
 from ..plans import oracle as O
-from ..plans.queries import FLAT
-from ..session import is_local_path, scratch_path
+from ..plans import pipeline
+from ..plans.queries import DAILY_SQL, FLAT, QC_CORRECTED_SQL, qc_result, rounded_daily
+from ..session import scratch_path
+from ..sources import envelope
 from ..sources.tables import load_readings
 from . import fanout, sources
 
@@ -20,14 +22,38 @@ STREAM_ORACLE: dict = {}
 N_FILES = 4
 
 
-def _envelope_files(spark, sf_dir) -> str:
+def _envelope_files(spark, sf_dir, order_by=None) -> str:
+    """The readings as envelope files; ``order_by`` is a column that decides
+    which file a reading is in (event time if None)."""
     src = scratch_path(spark, "stream-src")
-    sources.write_envelope_files(load_readings(spark, sf_dir), src, N_FILES)
-    if is_local_path(src):
-        sources.order_files_by_name(src)
+    readings = load_readings(spark, sf_dir)
+    if order_by is None:
+        sources.write_envelope_files(readings, src, N_FILES)
+    else:
+        rows = readings.repartitionByRange(N_FILES, order_by)
+        envelope.encode_envelope(rows).select("value").write.mode("overwrite").text(src)
     return src
 
 
+def _run(spark, src, one_batch=False, **targets) -> fanout.Targets:
+    """The pipeline over the files at default settings, to completion. What it
+    returns does not depend on the order in which files are read."""
+    t = fanout.Targets(root=scratch_path(spark, "stream-tables"), **targets)
+    raw = sources.read_envelope_files(spark, src, None if one_batch else 1)
+    fanout.start_pipeline(spark, raw, t, checkpoint=scratch_path(spark, "stream-ckpt"),
+                          available_now=True).awaitTermination()
+    return t
+
+
+def _statistics(spark, sf_dir) -> str:
+    """Reference statistics of the whole readings table, stored. Event times
+    are those on the wire (milliseconds)."""
+    path = scratch_path(spark, "stream-stats")
+    cleaned = pipeline.cleaned(load_readings(spark, sf_dir))
+    anomaly.reference_stats(cleaned).write.mode("overwrite").parquet(path)
+    return path
+
+
 def stream_readings(spark, sf_dir):
     """File stream of envelopes -> decoded flat readings -> parquet sink."""
     src = _envelope_files(spark, sf_dir)
@@ -40,58 +66,65 @@ def stream_readings(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-def stream_fanout(spark, sf_dir):
-    """Full streaming pipeline (four micro-batches); returns the upserted
-    daily table's columns that do not depend on per-batch statistics."""
-    src = _envelope_files(spark, sf_dir)
-    targets = fanout.Targets(root=scratch_path(spark, "stream-tables"), mode=P.AS_WRITTEN)
-    raw = sources.read_envelope_files(spark, src, max_files_per_trigger=1)
-    q = fanout.start_pipeline(spark, raw, targets, checkpoint=scratch_path(spark, "fanout-ckpt"),
-                              dedup_watermark="3650 days", available_now=True)
-    q.awaitTermination()
-    daily = spark.read.parquet(targets.path("daily"))
-    return daily.select("device_id", F.col("date").cast("string").alias("date"),
-                        "totalprecip_mm", "daily_will_it_rain", "processing_timestamp",
-                        "date_epoch")
-
-
 STREAM_QUERIES["src_stream_readings"] = stream_readings
 STREAM_ORACLE["src_stream_readings"] = O.sql(["readings"], f"""
 SELECT {FLAT}, date_trunc('millisecond', processing_timestamp) AS processing_timestamp
 FROM readings""")
 
-STREAM_QUERIES["stream_fanout"] = stream_fanout
-STREAM_ORACLE["stream_fanout"] = O.sql(["cleaned"], """
-SELECT device_id, date, sum(rain_gauge) AS totalprecip_mm,
- CASE WHEN sum(rain_gauge) > 0 THEN 1 ELSE 0 END AS daily_will_it_rain,
- date_trunc('millisecond', max(processing_timestamp)) AS processing_timestamp,
- CAST(epoch(CAST(date AS DATE)::TIMESTAMP) AS INTEGER) AS date_epoch
-FROM cleaned GROUP BY device_id, date""")
+
+
+def _dates_as_text(df):
+    return df.withColumn("date", F.col("date").cast("string"))
+
+
+def stream_fanout(spark, sf_dir):
+    """The daily table of one micro-batch over all readings, every column: the
+    statistics of ``as_written`` are the batch's own."""
+    t = _run(spark, _envelope_files(spark, sf_dir), one_batch=True)
+    return rounded_daily(_dates_as_text(spark.read.parquet(t.path("daily"))))
+
+
+def stream_newest_first(spark, sf_dir):
+    """Readings sent newest first over several micro-batches: all are kept."""
+    src = _envelope_files(spark, sf_dir, F.col("processing_timestamp").desc())
+    t = _run(spark, src)
+    return spark.read.parquet(t.path("raw")).select(
+        F.get_json_object("data", "$.reading_id").alias("reading_id"))
+
+
+def stream_daily_corrected(spark, sf_dir):
+    """The corrected daily table, every column, from micro-batches cut by the
+    hour of the day, with reference statistics."""
+    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")),
+             mode=P.CORRECTED, stats=_statistics(spark, sf_dir))
+    return rounded_daily(_dates_as_text(spark.read.parquet(t.path("daily"))))
+
+
+def stream_qc_corrected(spark, sf_dir):
+    """The corrected audit, every check, from micro-batches cut by the hour of
+    the day: whole days are recomputed, so the cut does not show."""
+    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), mode=P.CORRECTED)
+    return qc_result(_dates_as_text(spark.read.parquet(t.path("qc"))))
 
 
 def stream_slot_availability(spark, sf_dir):
-    """Event-time 15-minute slots counted by a watermarked streaming
-    aggregation (append mode); returns the slots it emitted."""
-    src = _envelope_files(spark, sf_dir)
-    out, ckpt = scratch_path(spark, "slots-out"), scratch_path(spark, "slots-ckpt")
-    raw = sources.read_envelope_files(spark, src, max_files_per_trigger=1)
-    flat = sources.decode_stream(raw, P.AS_WRITTEN, keep_raw=False)
-    slots = fanout.slot_counts_stream(flat, minutes=15, watermark="1 hour")
-    q = (slots.writeStream.format("parquet").option("path", out).outputMode("append")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    """Readings per device and 15-minute slot, kept up to date by date as
+    micro-batches arrive in any order; every slot is there at the end."""
+    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), slots=True)
+    return spark.read.parquet(t.path("slots")).drop("date")
 
 
-STREAM_QUERIES["stream_slot_availability"] = stream_slot_availability
-# Emitted slots: those whose end the final watermark has reached -- the
-# latest event time of the valid readings (the watermark is taken after the
-# validity filter) minus the 1 hour delay.
-STREAM_ORACLE["stream_slot_availability"] = O.sql(["cleaned"], """
+SLOTS_SQL = O.on_wire(O.sql(["cleaned"], """
 SELECT device_id, slot_start, slot_start + INTERVAL 15 minutes AS slot_end, count(*) AS n_readings
-FROM (SELECT device_id,
-             time_bucket(INTERVAL 15 minutes, date_trunc('millisecond', processing_timestamp)) AS slot_start
+FROM (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS slot_start
       FROM cleaned) AS s
-WHERE slot_start + INTERVAL 15 minutes
-      <= (SELECT max(date_trunc('millisecond', processing_timestamp)) FROM cleaned) - INTERVAL 1 hour
-GROUP BY device_id, slot_start""")
+GROUP BY device_id, slot_start"""))
+
+STREAM_QUERIES.update(stream_fanout=stream_fanout, stream_newest_first=stream_newest_first,
+                      stream_daily_corrected=stream_daily_corrected, stream_qc_corrected=stream_qc_corrected,
+                      stream_slot_availability=stream_slot_availability)
+STREAM_ORACLE.update(stream_fanout=O.on_wire(DAILY_SQL),
+                     stream_newest_first=O.sql(["readings"], "SELECT reading_id FROM readings"),
+                     stream_daily_corrected=O.on_wire(DAILY_SQL),
+                     stream_qc_corrected=O.on_wire(QC_CORRECTED_SQL),
+                     stream_slot_availability=SLOTS_SQL)

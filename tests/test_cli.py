@@ -20,10 +20,17 @@ def test_cli_batch_and_stream(spark):
     sources.order_files_by_name(src)
     out2 = scratch_path(spark, "cli-stream")
     assert main(["stream", "--files", src, "--out", out2, "--checkpoint",
-                 scratch_path(spark, "cli-ckpt"), "--available-now",
-                 "--dedup-watermark", "3650 days"]) == 0
+                 scratch_path(spark, "cli-ckpt"), "--available-now"]) == 0
     assert spark.read.parquet(out2 + "/raw").count() == readings.count()
 
 
+def test_cli_reference_statistics(spark):
+    table, stats, out = (scratch_path(spark, f"cli-{n}") for n in ("readings", "stats", "out"))
+    load_readings(spark, SF_SMALL).write.mode("overwrite").parquet(table)
+    assert main(["stats", "--readings", table, "--out", stats]) == 0
+    assert main(["batch", "--readings", table, "--out", out, "--stats", stats]) == 0
+    assert spark.read.parquet(out + "/daily").count() == 120
+
+
 def test_cli_stream_needs_a_source(spark):
     assert main(["stream", "--out", scratch_path(spark, "cli-none")]) == 2

@@ -1,6 +1,7 @@
 """The batch table job equals the lazy chain it materialises."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from meteoframe import params as P
 from meteoframe.plans import pipeline
@@ -54,3 +55,44 @@ def test_write_tables_skips_daily_when_the_gate_fails(spark):
     paths = pipeline.write_tables(flat_df(spark, rows), scratch_path(spark, "t-gate"),
                                   mode=P.CORRECTED)
     assert "daily" not in paths and "clean" in paths and "qc" in paths
+
+
+def test_rerun_replaces_the_whole_batch_job(spark):
+    from tests.helpers import flat_df, reading
+    import datetime as dt
+    root = scratch_path(spark, "t-rerun")
+    day = lambda i: dt.datetime(2024, 5, 1 + i)
+    rows = [reading(reading_id=f"r{i}", processing_timestamp=day(i)) for i in range(6)]
+    pipeline.write_tables(flat_df(spark, rows), root)
+    paths = pipeline.write_tables(flat_df(spark, rows[:2]), root)
+    assert {n: spark.read.parquet(p).count() for n, p in paths.items()} == {"clean": 2, "daily": 2, "qc": 2}
+
+
+@pytest.mark.parametrize("mode", P.MODES)
+def test_batch_job_without_a_valid_row(spark, mode):
+    from tests.helpers import flat_df, reading
+    rows = [reading(reading_id=f"r{i}", valid=False) for i in range(3)]
+    assert pipeline.write_tables(flat_df(spark, rows), scratch_path(spark, "t-none"), mode=mode) == {}
+
+
+def test_write_batch_replaces_under_a_dynamic_session(spark):
+    from meteoframe.sinks import writers
+    key, path = "spark.sql.sources.partitionOverwriteMode", scratch_path(spark, "t-dynamic")
+    was = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        for n in (4, 2):
+            writers.write_batch(spark.range(n).withColumn("d", F.col("id")), path, 0, ["d"])
+        assert spark.read.parquet(path).count() == 2
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_input_bytes_and_sizing(spark):
+    from meteoframe.session import input_bytes, sizing
+    path = scratch_path(spark, "t-size")
+    spark.range(1000).write.mode("overwrite").parquet(path)
+    import glob
+    import os
+    assert input_bytes(spark, path) == sum(map(os.path.getsize, glob.glob(path + "/*.parquet")))
+    assert sizing(100 << 40)["spark.sql.shuffle.partitions"] == str((100 << 40) // (128 << 20))

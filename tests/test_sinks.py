@@ -56,4 +56,4 @@ def test_sizing_rule():
     from meteoframe.session import sizing
     assert sizing(1)["spark.sql.shuffle.partitions"] == "1"
     assert sizing(10 * (128 << 20))["spark.sql.shuffle.partitions"] == "10"
-    assert sizing(100 * 10 ** 12)["spark.sql.shuffle.partitions"] == "200000"
+    assert sizing(100 * 10 ** 12)["spark.sql.shuffle.partitions"] == "745059"

@@ -1,9 +1,12 @@
 """Structured Streaming fan-out: parity with batch, dead letters, replay,
-restart, cross-batch duplicates."""
+restart, late and re-sent readings, whole-day recomputation."""
 
+import datetime
 import json
 import os
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meteoframe import params as P
@@ -24,7 +27,6 @@ def _files(spark, readings, n):
 def _run(spark, src, targets, ckpt=None, **kw):
     raw = sources.read_envelope_files(spark, src, max_files_per_trigger=1)
     q = fanout.start_pipeline(spark, raw, targets, checkpoint=ckpt or scratch_path(spark, "t-ck"),
-                              dedup_watermark=kw.pop("dedup_watermark", "3650 days"),
                               available_now=True, **kw)
     q.awaitTermination()
     return q
@@ -122,22 +124,80 @@ def test_dead_letters_in_corrected_mode(spark):
     assert spark.read.parquet(t.path("daily")).count() == 1
 
 
-def test_as_written_bad_timestamp_fails_the_query(spark):
+def _envelope(i, **reading):
+    base = {"valid": True, "air_temperature": 20.0, "air_humidity": 50, "uv_index": 1, "rain_gauge": 0,
+            "wind_speed": 1, "peak_wind_gust": 1.0, "light_intensity": 1, "rain_accumulation": 0.0,
+            "barometric_pressure": 100000, "wind_direction_sensor": 10}
+    return {"data": {"reading_id": f"r{i}", "device_id": "d1", "created_at": f"2024-05-01T00:{i:02d}:00.000Z",
+                     "reading": {**base, **reading}}}
+
+
+def _drop_in(src, name, lines):
+    with open(os.path.join(src, name), "w") as fh:
+        fh.write("".join((x if isinstance(x, str) else json.dumps(x)) + "\n" for x in lines))
+    sources.order_files_by_name(src)
+
+
+@pytest.mark.parametrize("mode", P.MODES)
+def test_bad_batches_do_not_stop_the_query(spark, mode):
+    """Malformed, then invalid only, then good, then invalid only, over restarts."""
+    bad_time = _envelope(1)
+    bad_time["data"]["created_at"] = "bad"
+    batches = [["not json", bad_time], [_envelope(i, valid=False) for i in (2, 3)],
+               [_envelope(4), _envelope(5, air_temperature=21.0)], [_envelope(6, valid=False)], ["{}"]]
+    src, ck = scratch_path(spark, "t-src"), scratch_path(spark, "t-ck")
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=mode)
+    for i, lines in enumerate(batches):
+        _drop_in(src, f"part-{i:05d}.txt", lines)
+        _run(spark, src, t, ckpt=ck)
+    assert spark.read.parquet(t.path("dead_letter")).count() == 3
+    assert spark.read.parquet(t.path("raw")).count() == 5
+    assert spark.read.parquet(t.path("clean")).count() == 2
+    assert spark.read.parquet(t.path("qc")).count() == 2
+    assert [r.maxtemp_c for r in spark.read.parquet(t.path("daily")).collect()] == [21.0]
+
+
+def test_distinct_readings_are_kept_however_late(spark):
+    """Newest first, each file sent twice, default settings."""
     src = scratch_path(spark, "t-src")
-    env = {"data": {"reading_id": "r1", "device_id": "d", "created_at": "bad",
-                    "reading": {"valid": True}}}
-    with open(os.path.join(src, "part-00000.txt"), "w") as fh:
-        fh.write(json.dumps(env) + "\n")
+    for i in range(2):
+        rows = []
+        for k in range(15):
+            e = _envelope(i * 15 + k)
+            e["data"]["created_at"] = f"2024-{12 - 6 * i:02d}-{20 - k // 5:02d}T00:{k:02d}:00.000Z"
+            rows.append(e)
+        _drop_in(src, f"part-{i:05d}.txt", rows)
+        _drop_in(src, f"part-{i:05d}-again.txt", rows)
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"))
+    _run(spark, src, t)
+    raw = spark.read.parquet(t.path("raw"))
+    assert raw.count() == 30 and raw.select(F.get_json_object("data", "$.reading_id")).distinct().count() == 30
+    assert "received_at" in raw.columns
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"))
+    _run(spark, src, t, dedup=False)
+    assert spark.read.parquet(t.path("raw")).count() == 60
+
+
+def test_only_touched_dates_are_opened_and_compaction(spark):
     t = fanout.Targets(root=scratch_path(spark, "t-tables"))
-    raw = sources.read_envelope_files(spark, src)
-    q = fanout.start_pipeline(spark, raw, t, checkpoint=scratch_path(spark, "t-ck"),
-                              dedup_watermark=None, available_now=True)
-    try:
-        q.awaitTermination()
-        raised = False
-    except Exception:  # noqa: BLE001
-        raised = True
-    assert raised or q.exception() is not None
+    f = fanout.FanOut(t)
+    src = scratch_path(spark, "t-src")
+    for i in range(8):
+        e = [_envelope(10 * i + k) for k in range(2)]
+        for x in e:
+            x["data"]["created_at"] = f"2024-05-{1 + i // 4:02d}T{i:02d}:00:00.{int(x['data']['reading_id'][1:]):03d}Z"
+        _drop_in(src, f"part-{i:05d}.txt", e)
+        f(sources.decode_stream(spark.read.text(os.path.join(src, f"part-{i:05d}.txt")), P.CORRECTED), i)
+    days = [datetime.date(2024, 5, 1)]
+    rows = t.stored(spark, "clean", days, fanout.SCORED)
+    files = rows.inputFiles()
+    assert len(files) == 4 and all("date=2024-05-01" in x for x in files)
+    assert t.stored(spark, "clean", [datetime.date(1999, 1, 1)], fanout.SCORED).count() == 0
+    before = sorted(map(str, rows.drop("batch_id").collect()))
+    fanout.compact(spark, t, "clean", days[0], fanout.SCORED)
+    after = t.stored(spark, "clean", days, fanout.SCORED)
+    assert len(after.inputFiles()) == 1 and sorted(map(str, after.drop("batch_id").collect())) == before
+    assert spark.read.parquet(t.path("clean")).count() == 16
 
 
 def test_kafka_options_builder():
@@ -146,21 +206,41 @@ def test_kafka_options_builder():
                  "startingOffsets": "earliest", "maxOffsetsPerTrigger": "1000"}
 
 
-def test_corrected_stream_carries_lag_across_batches(spark):
-    readings = load_readings(spark, SF_SMALL)
-    src = _files(spark, readings, 3)
-    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED)
-    _run(spark, src, t)
+def _audit(df):
+    cols = [c for c in df.columns if c not in ("date", "batch_id")]
+    return sorted(str([r[c] for c in cols]) for r in df.select(cols).collect())
+
+
+@pytest.mark.parametrize("order, buckets", [("hour(processing_timestamp)", P.LAG_BUCKET_SECONDS),
+                                            ("-unix_micros(processing_timestamp)", (600, 86400))])
+def test_corrected_audit_does_not_depend_on_the_batches(spark, order, buckets):
+    readings = load_readings(spark, SF_SMALL).filter("day(processing_timestamp) < 6").withColumn(
+        "processing_timestamp", F.date_trunc("millisecond", F.col("processing_timestamp").cast("timestamp")))
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED, lag_buckets=buckets)
+    f = fanout.FanOut(t)
+    dealt = readings.withColumn("_o", F.ntile(3).over(Window.orderBy(F.expr(order), "reading_id")))
+    for i in range(3):
+        f(dealt.filter(F.col("_o") == i + 1).drop("_o"), i)
     got = spark.read.parquet(t.path("qc"))
     want = pipeline.qc_audit(readings, P.CORRECTED)
-    g = {r.reading_id: (r.time_diff, r.tair_step) for r in got.collect()}
-    w = {r.reading_id: (r.time_diff, r.tair_step) for r in want.collect()}
-    assert g == w
-    # without the carry the first reading of each device in each batch loses its gap
-    t2 = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED, carry_lag=False)
-    _run(spark, src, t2)
-    g2 = {r.reading_id: r.time_diff for r in spark.read.parquet(t2.path("qc")).collect()}
-    assert sum(1 for k in g2 if g2[k] is None) > sum(1 for k in g if g[k][0] is None)
+    assert _audit(got.select(want.columns)) == _audit(want)
+    f(dealt.filter("_o = 3").drop("_o"), 2)                            # replay of the last batch
+    assert _audit(spark.read.parquet(t.path("qc")).select(want.columns)) == _audit(want)
+
+
+def test_reference_statistics_make_scores_independent_of_batches(spark):
+    from meteoframe.operators import anomaly
+    readings = load_readings(spark, SF_SMALL).filter("day(processing_timestamp) < 5")
+    path = scratch_path(spark, "t-stats")
+    anomaly.reference_stats(pipeline.cleaned(readings)).write.mode("overwrite").parquet(path)
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED, stats=path)
+    f = fanout.FanOut(t)
+    for i in range(2):
+        f(readings.filter(F.pmod(F.hash("reading_id"), F.lit(2)) == i), i)
+    got = {r.reading_id: (r.anomaly_score, r.air_temperature) for r in spark.read.parquet(t.path("clean")).collect()}
+    want = {r.reading_id: (r.anomaly_score, r.air_temperature) for r in pipeline.scored(readings, P.CORRECTED).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(a - b) < 1e-9 for k in want for a, b in zip(got[k], want[k]))
 
 
 def test_empty_batch_is_skipped(spark):
@@ -217,38 +297,6 @@ def test_per_device_statistics_in_the_fanout(spark):
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
-def test_replay_with_lag_state_is_idempotent(spark):
-    readings = load_readings(spark, SF_SMALL)
-    src = _files(spark, readings, 3)
-    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED)
-    files = sorted(f for f in os.listdir(src) if f.startswith("part-"))
-    f = fanout.FanOut(t)
-    batches = [sources.decode_stream(spark.read.text(os.path.join(src, fn))) for fn in files]
-    for i, b in enumerate(batches):
-        f(b, i)
-
-    def snapshot():
-        qc = sorted(tuple(r) for r in spark.read.parquet(t.path("qc"))
-                    .select("reading_id", "time_diff", "tair_step", "batch_id").collect())
-        st = sorted(tuple(r) for r in spark.read.parquet(t.path("lag_state")).collect())
-        return qc, st
-
-    before = snapshot()
-    # Spark replays only the last uncommitted batch; its input state (the
-    # previous version) is kept by the retention rule
-    f(batches[-1], len(batches) - 1)
-    assert snapshot() == before
-
-
-def test_lag_state_keeps_two_versions(spark):
-    readings = load_readings(spark, SF_SMALL)
-    src = _files(spark, readings, 4)
-    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED)
-    _run(spark, src, t)
-    versions = sorted(d for d in os.listdir(t.path("lag_state")) if d.startswith("batch_id="))
-    assert versions == ["batch_id=2", "batch_id=3"]
-
-
 def test_jdbc_targets_wiring(spark, monkeypatch):
     from meteoframe.sinks import writers
     written = []
@@ -267,7 +315,7 @@ def test_jdbc_targets_wiring(spark, monkeypatch):
         tables = {w[0]: w for w in written}
         assert set(tables) >= {"readings_raw", "readings_clean", "daily_summary", "qc_audit"}
         assert all(w[1] == "append" for w in written)
-        assert tables["readings_raw"][2] == {"data": "string"}
+        assert tables["readings_raw"][2] == {"data": "string", "received_at": "timestamp"}
         assert tables["readings_raw"][3] == readings.count()
         assert tables["readings_clean"][2]["date"] == "date"
         assert tables["readings_clean"][2]["processing_timestamp"] == "timestamp"
@@ -276,11 +324,11 @@ def test_jdbc_targets_wiring(spark, monkeypatch):
         assert tables["qc_audit"][2]["qc_failed_checks"] == "array<string>"
         assert "password" not in tables["qc_audit"][4]
         if mode == P.CORRECTED:
-            assert os.path.isdir(t.path("lag_state"))
+            assert os.path.isdir(t.path("readings")) and os.path.isdir(t.path("day_ends"))
 
 
 def test_jdbc_preflight_reports_missing_columns(spark, monkeypatch):
-    from pyspark.sql.types import StringType, StructField, StructType
+    from pyspark.sql.types import StringType, StructField, StructType, TimestampType
     from meteoframe.sinks import writers
     probed = []
 
@@ -290,14 +338,16 @@ def test_jdbc_preflight_reports_missing_columns(spark, monkeypatch):
             exp = fanout.expected_schemas(spark_, t)["daily"]
             return StructType([f for f in exp.fields if f.name not in ("anomaly_score", "is_anomaly")])
         if options["dbtable"] == "readings_raw":
-            return StructType([StructField("id", StringType()), StructField("data", StringType())])
-        return {"readings_clean": fanout.expected_schemas(spark_, t)["clean"],
+            return StructType([StructField("id", StringType()), StructField("data", StringType()),
+                               StructField("received_at", TimestampType())])
+        return {"readings_rejected": fanout.expected_schemas(spark_, t)["dead_letter"],
+                "readings_clean": fanout.expected_schemas(spark_, t)["clean"],
                 "qc_audit": fanout.expected_schemas(spark_, t)["qc"]}[options["dbtable"]]
     monkeypatch.setattr(writers, "probe_schema", fake_probe)
     t = fanout.JdbcTargets(root=scratch_path(spark, "t-state"), url="jdbc:postgresql://db/x")
     gaps = t.preflight(spark)
-    assert sorted(probed) == ["daily_summary", "qc_audit", "readings_clean", "readings_raw"]
-    assert gaps == {"raw": [], "clean": [], "daily": ["anomaly_score", "is_anomaly"], "qc": []}
+    assert sorted(probed) == ["daily_summary", "qc_audit", "readings_clean", "readings_raw", "readings_rejected"]
+    assert gaps == {"raw": [], "dead_letter": [], "clean": [], "daily": ["anomaly_score", "is_anomaly"], "qc": []}
     import pytest
     raw = sources.read_envelope_files(spark, scratch_path(spark, "t-empty"))
     with pytest.raises(RuntimeError, match="anomaly_score"):
@@ -334,15 +384,3 @@ def test_slot_stream_drops_late_readings(spark):
     got = {r.slot_start: r.n_readings for r in spark.read.parquet(out).collect()}
     assert got[t0] == 1                                # the late 00:05 reading was not counted
     assert len(got) == 20                              # every early slot closed; 08:00 still open
-
-
-def test_carried_lag_with_multilevel_buckets(spark):
-    readings = load_readings(spark, SF_SMALL)
-    src = _files(spark, readings, 3)
-    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=P.CORRECTED,
-                       lag_buckets=(600, 86400))
-    _run(spark, src, t)
-    got = {r.reading_id: (r.time_diff, r.tair_step) for r in spark.read.parquet(t.path("qc")).collect()}
-    want = {r.reading_id: (r.time_diff, r.tair_step)
-            for r in pipeline.qc_audit(readings, P.CORRECTED).collect()}
-    assert got == want
