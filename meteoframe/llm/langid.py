@@ -297,7 +297,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.vocabulary = Vocabulary(model.vocabulary_path)
-        self.memo = memo.Memo(self._new, REMEMBERED, longest=LONG)
+        self.memo = memo.Memo(self._new, REMEMBERED, longest=LONG, together=1 << 20)
         self.rows: np.ndarray
 
     def _new(self, words: list[str]) -> list[np.ndarray]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable
 
 _HELD: tuple | None = None
@@ -13,18 +14,20 @@ class Memo:
     words and returns their values; it must depend on the word alone. Words
     longer than ``longest`` are computed each time and not kept."""
 
-    def __init__(self, compute: Callable[[list], Iterable], capacity: int, longest: int = 256):
-        self.compute, self.capacity, self.longest = compute, capacity, longest
+    def __init__(self, compute: Callable[[list], Iterable], capacity: int, longest: int = 256,
+                 together: int = 1 << 15):
+        self.compute, self.capacity, self.longest, self.together = compute, capacity, longest, together
         self.young: dict = {}
         self.old: dict = {}
 
-    def values(self, texts: list[list], together: int = 1 << 15) -> list[list]:
+    def values(self, texts: list[list]) -> list[list]:
         """The values of the words of each text, in order. New words are
-        computed for about ``together`` words at a time."""
+        computed for about ``together`` words at a time (fewer calls, or fewer
+        words met twice before they are known)."""
         out, at = [], 0
         while at < len(texts):
             stop, words = at, 0
-            while stop < len(texts) and (words < together or stop == at):
+            while stop < len(texts) and (words < self.together or stop == at):
                 words += len(texts[stop])
                 stop += 1
             out += self._values(texts[at:stop])
@@ -52,10 +55,19 @@ class Memo:
         return found
 
 
+def release() -> None:
+    """Give back what another operator's tasks left in this Python worker, for
+    tasks that need the memory for themselves."""
+    global _HELD
+    if _HELD is not None:
+        _HELD = None
+        gc.collect()
+
+
 def held(key: tuple, make: Callable):
     """``make()``, kept in this Python worker until another key is asked for."""
     global _HELD
     if _HELD is None or _HELD[0] != key:
-        _HELD = None
+        release()
         _HELD = (key, make())
     return _HELD[1]
