@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..functions.frames import attach_stats
 from ..operators import aggregate, anomaly, clean, impute, qc, quality, series
 from ..session import apply_semantics
 from ..sources import envelope
@@ -135,23 +136,33 @@ def q_explode_envelope(spark, sf_dir):
                      F.col("data.reading.air_temperature").alias("air_temperature"))
 
 
-@register("raw_json_sink")
+_RAW_FIELDS = [c.strip() for c in FLAT.split(",")]
+
+
+@register("raw_json_sink", O.sql(["readings"], "SELECT " + ", ".join(
+    f"{O.r6(c, c)}" if c in ("peak_wind_gust", "air_temperature") else c for c in _RAW_FIELDS)
+    + ", date_trunc('millisecond', processing_timestamp) AS processing_timestamp FROM readings"))
 def q_raw_json_sink(spark, sf_dir):
     """Raw-table rows: the typed flat reading as JSON text (null fields
-    omitted). Spark's JSON text formatting has no exact SQL twin, so this
-    is a rows-only check; field values are covered by `raw_json_fields`."""
+    omitted); the text is parsed again here so that every field is compared."""
+    from ..schemas import FLAT_READING
     from ..sinks import writers
-    return writers.raw_json(_readings(spark, sf_dir))
+    raw = writers.raw_json(_readings(spark, sf_dir))
+    back = raw.select(F.from_json("data", FLAT_READING).alias("r")).select("r.*")
+    return r6(back.withColumn("processing_timestamp", F.date_trunc("millisecond", "processing_timestamp")),
+              "peak_wind_gust", "air_temperature")
 
 
-@register("raw_json_fields", O.sql(["readings"], """
-SELECT reading_id, air_temperature, CAST(valid AS VARCHAR) AS valid_text FROM readings"""))
+@register("raw_json_fields", O.sql(["readings"], "SELECT reading_id, " + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN 'absent' ELSE 'present' END AS {c}" for c in _RAW_FIELDS[1:])
+    + " FROM readings"))
 def q_raw_json_fields(spark, sf_dir):
+    """Which fields a raw row's text holds: null ones are left out."""
     from ..sinks import writers
     raw = writers.raw_json(_readings(spark, sf_dir))
-    return raw.select(F.get_json_object("data", "$.reading_id").alias("reading_id"),
-                      F.get_json_object("data", "$.air_temperature").cast("double").alias("air_temperature"),
-                      F.get_json_object("data", "$.valid").alias("valid_text"))
+    held = [F.when(F.get_json_object("data", f"$.{c}").isNull(), "absent").otherwise("present").alias(c)
+            for c in _RAW_FIELDS[1:]]
+    return raw.select(F.get_json_object("data", "$.reading_id").alias("reading_id"), *held)
 
 
 @register("derived_readings", O.sql(["readings"], f"SELECT {FLAT}, processing_timestamp FROM readings"))
@@ -381,9 +392,18 @@ def q_quality_gate(spark, sf_dir):
     return r6(rep, "observed")
 
 
-@register("approx_median")
+@register("approx_median", """SELECT TRUE AS within_error, TRUE AS observed""")
 def q_approx_median(spark, sf_dir):
-    return aggregate.approx_median(_cleaned(spark, sf_dir), "barometric_pressure")
+    """The approximate median is a value that was observed, and the shares of
+    values below and above it keep within the stated rank error of a half."""
+    rows = _cleaned(spark, sf_dir).select(F.col("barometric_pressure").alias("x")).filter("x IS NOT NULL")
+    m = F.col("median_x")
+    both = attach_stats(rows, aggregate.approx_median(rows, "x"))
+    share = both.agg(F.avg((F.col("x") < m).cast("double")).alias("below"),
+                     F.avg((F.col("x") > m).cast("double")).alias("above"),
+                     F.bool_or(F.col("x") == m).alias("observed"))
+    most = 0.5 + P.MEDIAN_RELATIVE_ERROR
+    return share.select(((F.col("below") <= most) & (F.col("above") <= most)).alias("within_error"), "observed")
 
 
 @register("median_is_pa", O.sql(["cleaned"], """

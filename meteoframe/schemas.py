@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DateType, DoubleType, IntegerType, StringType,
+    ArrayType, BooleanType, DoubleType, IntegerType, StringType,
     StructField, StructType, TimestampType,
 )
 
@@ -74,23 +74,6 @@ CLEAN_COLUMNS = (
     "reading_id", "device_id", *MEASURE_COLUMNS, "processing_timestamp",
 )
 
-DAILY_SUMMARY = StructType([
-    StructField("device_id", StringType()),
-    StructField("date", DateType()),
-    StructField("maxtemp_c", DoubleType()),
-    StructField("mintemp_c", DoubleType()),
-    StructField("avgtemp_c", DoubleType()),
-    StructField("maxwind_kph", DoubleType()),
-    StructField("totalprecip_mm", DoubleType()),
-    StructField("avghumidity", IntegerType()),
-    StructField("daily_will_it_rain", IntegerType()),
-    StructField("daily_chance_of_rain", IntegerType()),
-    StructField("processing_timestamp", TimestampType()),
-    StructField("date_epoch", IntegerType()),
-    StructField("anomaly_score", DoubleType()),
-    StructField("is_anomaly", BooleanType()),
-])
-
 # Required input columns for the daily summary.
 DAILY_REQUIRED = (
     "device_id", "date", "air_temperature", "wind_speed", "rain_gauge",

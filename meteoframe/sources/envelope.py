@@ -47,27 +47,22 @@ def flatten_reading(df: DataFrame, mode: str = P.AS_WRITTEN, keep: tuple = ()) -
     """Decoded `data` fields -> the 14-column flat reading (plus the
     ``keep`` columns, passed through first).
 
-    INT sensor fields uv_index, rain_gauge, wind_speed become DOUBLE; the
-    others keep their type; `created_at` becomes `processing_timestamp`.
+    The projection follows the declared schemas: a field of the flat reading
+    comes from the envelope's `data` or its `reading` struct under the same
+    name, cast where the two declare different types; `created_at` becomes
+    `processing_timestamp`.
     """
-    r = "reading."
-    return df.select(
-        *[F.col(k) for k in keep],
-        F.col("reading_id"),
-        F.col("device_id"),
-        F.col(r + "valid").alias("valid"),
-        F.col(r + "uv_index").cast("double").alias("uv_index"),
-        F.col(r + "rain_gauge").cast("double").alias("rain_gauge"),
-        F.col(r + "wind_speed").cast("double").alias("wind_speed"),
-        F.col(r + "air_humidity").alias("air_humidity"),
-        F.col(r + "peak_wind_gust").alias("peak_wind_gust"),
-        F.col(r + "air_temperature").alias("air_temperature"),
-        F.col(r + "light_intensity").alias("light_intensity"),
-        F.col(r + "rain_accumulation").alias("rain_accumulation"),
-        F.col(r + "barometric_pressure").alias("barometric_pressure"),
-        F.col(r + "wind_direction_sensor").alias("wind_direction_sensor"),
-        parse_created_at("created_at", mode).alias("processing_timestamp"),
-    )
+    sensor = {f.name: f.dataType for f in S.READING_STRUCT.fields}
+
+    def source(field) -> Column:
+        if field.name in sensor:
+            value = F.col(f"reading.{field.name}")
+            return value if sensor[field.name] == field.dataType else value.cast(field.dataType)
+        if field.name in S.DATA_STRUCT.names:
+            return F.col(field.name)
+        return parse_created_at("created_at", mode)
+
+    return df.select(*keep, *[source(f).alias(f.name) for f in S.FLAT_READING.fields])
 
 
 def decode_readings(df: DataFrame, value_col: str = "value", mode: str = P.AS_WRITTEN) -> DataFrame:
