@@ -1,14 +1,18 @@
 """Every registered query equals its DuckDB oracle on the small tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
 
-QUERIES = E.queries()
+# the removable training-data queries are tested in their own folder
+QUERIES = {n: q for n, q in E.queries().items() if not re.match(r"op\d+_|pipeline$", n)}
 ORACLE = E.oracle_sql()
-SLOW = {"stream_fanout"}
+# the other streaming queries run in the driver's check and in test_streaming
+SLOW = {"stream_fanout", "stream_newest_first", "stream_daily_corrected", "stream_slot_availability"}
 
 
 @pytest.fixture(scope="module")
