@@ -168,7 +168,7 @@ def binary_array(data: np.ndarray, byte_counts: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer(off.tobytes()), pa.py_buffer(flat.tobytes())])
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 2 << 20
                   ) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` text bytes (one row at least)."""
     for batch in batches:

@@ -38,7 +38,7 @@ from .common import mix64, small_batches, staged
 MARK = "▁"
 UNKNOWN = "und"
 LONG = 64
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -297,7 +297,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.vocabulary = Vocabulary(model.vocabulary_path)
-        self.memo = memo.Memo(self._new, REMEMBERED, longest=LONG, together=1 << 20)
+        self.memo = memo.Memo(self._new, REMEMBERED, longest=LONG, together=1 << 18)
         self.rows: np.ndarray
 
     def _new(self, words: list[str]) -> list[np.ndarray]:

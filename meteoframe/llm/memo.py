@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
+
 _HELD: tuple | None = None
 
 
@@ -55,6 +57,15 @@ class Memo:
         return found
 
 
+def _trim() -> None:
+    """Ask the C library to return free memory to the system, if it can."""
+    import ctypes
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def release() -> None:
     """Give back what another operator's tasks left in this Python worker, for
     tasks that need the memory for themselves."""
@@ -62,6 +73,8 @@ def release() -> None:
     if _HELD is not None:
         _HELD = None
         gc.collect()
+        pa.default_memory_pool().release_unused()
+        _trim()
 
 
 def held(key: tuple, make: Callable):

@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, list_array, mix64, pieces, staged, text_bytes
+from . import memo
+from .common import Words, list_array, mix64, pieces, small_batches, staged, text_bytes
 
 
 @dataclass(frozen=True)
@@ -109,7 +110,8 @@ def _signer(settings: Settings):
     place = np.arange(bands * rows, dtype=np.uint64)
 
     def run(batches):
-        for batch in batches:
+        memo.release()
+        for batch in small_batches(batches, "text", 4 << 20):
             n = batch.num_rows
             if not n:
                 continue
@@ -155,9 +157,8 @@ def odd_sketch(own: np.ndarray, settings: Settings) -> np.ndarray:
 
 def _sets(settings: Settings):
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        memo.release()
+        for batch in small_batches(batches, "text", 4 << 20):
             ids = batch.column("class_id").to_numpy(zero_copy_only=False)
             for i, words in _whole_texts(batch.column("text")):
                 if not len(words):

@@ -30,7 +30,7 @@ _MARK = MARK.encode()
 #: A run of word marks and what follows up to the next mark.
 _CHUNK = re.compile(rb"(?:\xe2\x96\x81)+(?:(?!\xe2\x96\x81).)*", re.DOTALL)
 #: Chunks that a worker remembers (twice as many at most).
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 SCHEMA = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded string"
 
 

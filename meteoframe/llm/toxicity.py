@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from . import memo
 from .common import list_array, small_batches
 
 
@@ -90,6 +91,7 @@ def _counter(settings: Settings):
     size = 1 << settings.buckets_log2
 
     def run(batches):
+        memo.release()
         held = np.zeros((2, size), np.int32)
         last = np.zeros(size, np.int64)
         for batch in batches:
