@@ -20,6 +20,9 @@ from meteoframe.llm.queries import tokenizer_path
 TOXIC = 0.5
 #: A document goes if no language reaches this (or it has no letter).
 LEAST_LANGUAGE = 0.5
+#: Near copies share 80 % of their runs of five words; op7's two words would
+#: also link, and drop, texts with a few spread changes.
+COPIES = near_dup.Settings(shingle=5)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +45,7 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near-duplicates (rows that repeat a
     doc_id are one document). Rows without doc_id stay."""
-    kept = near_dup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id")
+    kept = near_dup.near_duplicates(docs, COPIES).filter("kept AND doc_id IS NOT NULL").select("doc_id")
     return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
             .unionByName(docs.filter("doc_id IS NULL")).select(docs.columns))
 

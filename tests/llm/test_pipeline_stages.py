@@ -72,3 +72,35 @@ def test_edge_rows(spark):
 def test_whole_pipeline_is_its_stages(spark, kept):
     got = sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in P.run(spark, SF).collect())
     assert got == sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in kept[-1].collect())
+
+
+def near_copies(rows, width=5):
+    """doc_ids that all pairs of texts leave, by their runs of ``width`` words."""
+    def runs(text):
+        w = (text or "").encode().lower().split()
+        return {tuple(w[i:i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set()
+
+    rows = [(d, runs(t)) for d, t in rows]
+    least = {d: d for d, _ in rows}
+    links = [(a, b) for i, (a, x) in enumerate(rows) for b, y in rows[:i]
+             if x and y and 100 * len(x & y) >= 80 * len(x | y)]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(least[a], least[b])
+            changed |= low != least[a] or low != least[b]
+            least[a] = least[b] = low
+    return sorted(d for d, low in least.items() if d == low)
+
+
+def test_near_copies_share_runs_of_five_words(spark):
+    base = [f"w{i}" for i in range(100)]
+    spread = [f"x{i}" if i % 20 == 10 else w for i, w in enumerate(base)]     # 0.82 by two words, 0.59 by five
+    rows = [(1, " ".join(base)), (2, " ".join(spread)), (3, " ".join([*base[:-1], "end"])), (4, "a b c"), (5, "a b c")]
+    documents = [tuple(r) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
+    for own, want in ((rows, [1, 2, 4]), (documents, near_copies(documents))):
+        assert near_copies(own) == want
+        docs = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in own],
+                                     "doc_id long, text string, lang string, source string, n_chars long")
+        assert sorted(r.doc_id for r in P.drop_near_copies(spark, docs, SF).collect()) == want
