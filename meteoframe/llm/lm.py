@@ -12,9 +12,9 @@ position, add up to a prediction; an output's score is the product of the
 prediction with its own vector plus its bias. Biases begin at the unigram log
 probabilities. Training is noise-contrastive: observed outputs are told from
 noise drawn from the unigrams, in batches of matrix products with AdaGrad. Every
-task trains on its share of all training texts, on every ``stride``-th position
-(another one in each round), and the tasks' parameters are averaged, weighted by
-positions, through a shuffle of parameter slices.
+task trains on its share of all training texts: each round on every ``stride``-th
+position of a text, the rounds together on all of them. The tasks' parameters
+are averaged, weighted by positions, through a shuffle of parameter slices.
 
 *Scoring.* Probabilities are normalised over all outputs: the logarithm of the
 normaliser of each pair of context outputs (a table of fixed size) comes from
@@ -49,7 +49,7 @@ class Settings:
     batch: int = 4096
     rate: float = 0.05
     rounds: int = 2
-    stride: int = 8
+    stride: int = 2            # rounds that it takes to see every position
     slices: int = 32
     seed: int = 5
 
@@ -232,6 +232,11 @@ class Model:
                    np.ones((2, d), np.float32), np.log(unigram).astype(np.float32))
 
 
+def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the ``rows`` of equal ``at`` (below ``n``), column by column."""
+    return np.stack([np.bincount(at, x, minlength=n) for x in rows.T], axis=1)
+
+
 class Trainer:
     """Noise-contrastive training of one task's copy."""
 
@@ -254,18 +259,21 @@ class Trainer:
         noise = self._noise()
         tw, tn = m.targets[word], m.targets[noise]
         data = (guess * tw).sum(axis=1) + m.bias[word] - self.log_noise[word]
-        other = guess @ tn.T + (m.bias[noise] - self.log_noise[noise])
         up = 1 / (1 + np.exp(np.clip(data, -30, 30)))                # 1 - sigmoid
-        down = 1 / (1 + np.exp(-np.clip(other, -30, 30)))
+        other = guess @ tn.T
+        other += m.bias[noise] - self.log_noise[noise]
+        np.clip(other, -30, 30, out=other)
+        down = np.negative(other, out=other)                         # the sigmoid, in place
+        np.exp(down, out=down)
+        down += 1
+        np.reciprocal(down, out=down)
         g_guess = up[:, None] * tw - down @ tn
-        g_target = np.zeros_like(m.targets)
-        np.add.at(g_target, word, up[:, None] * guess)
-        np.add.at(g_target, noise, -(down.T @ guess))
+        g_target = _summed(np.concatenate([word, noise]),
+                           np.concatenate([up[:, None] * guess, -(down.T @ guess)]), len(m.bias))
         g_bias = np.bincount(word, up, minlength=len(m.bias)) - np.bincount(
             noise, down.sum(axis=0), minlength=len(m.bias))
-        g_vector = np.zeros_like(m.vectors)
-        np.add.at(g_vector, last, g_guess * m.places[0])
-        np.add.at(g_vector, before, g_guess * m.places[1])
+        g_vector = _summed(np.concatenate([last, before]),
+                           np.concatenate([g_guess * m.places[0], g_guess * m.places[1]]), len(m.bias))
         g_place = np.stack([(g_guess * va).sum(axis=0), (g_guess * vb).sum(axis=0)])
         for value, step, g in zip((m.vectors, m.targets, m.places, m.bias), self.steps,
                                   (g_vector, g_target, g_place, g_bias)):
@@ -287,6 +295,16 @@ def _contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return word, last, before
 
 
+def _turn(texts: list[np.ndarray], turn: int, stride: int) -> np.ndarray:
+    """Positions, over all ``texts``, that round ``turn`` trains on: by their
+    place in their own text, so that ``stride`` rounds see each one however the
+    texts are dealt out."""
+    sizes = [len(t) for t in texts]
+    starts = np.cumsum([0, *sizes])
+    place = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)
+    return np.flatnonzero(place % stride == turn % stride)
+
+
 def _trainer(sent, settings: Settings, turn: int):
     def run(batches):
         from pyspark import TaskContext
@@ -294,11 +312,11 @@ def _trainer(sent, settings: Settings, turn: int):
         flat, unigram = sent.value
         task = TaskContext.get().partitionId()
         trainer = Trainer(Model.of(flat.copy(), settings), unigram, settings, task * 1000 + turn)
-        held, size, skip = [], 0, turn * settings.stride // max(settings.rounds, 1)
+        held, size = [], 0
 
         def close():
             word, last, before = _contexts(held)
-            pick = trainer.rng.permutation(np.arange(skip, len(word), settings.stride))
+            pick = trainer.rng.permutation(_turn(held, turn, settings.stride))
             for at in range(0, len(pick), settings.batch):
                 p = pick[at:at + settings.batch]
                 trainer.batch(last[p].astype(np.int64), before[p].astype(np.int64), word[p].astype(np.int64))
@@ -338,11 +356,12 @@ def _averager(batches):
 
 def train(encoded: DataFrame, counts: Counts, settings: Settings) -> Model:
     """A model from the texts of ``encoded`` (ids) by ``rounds`` of training in
-    all tasks and averaging; the unigram start if there are none."""
+    all tasks (``stride`` at least, to see every position) and averaging; the
+    unigram start if there are none."""
     spark = encoded.sparkSession
     flat = Model.start(counts.unigram, settings).flat()
     kind = "slice int, seen long, part binary"
-    for turn in range(settings.rounds):
+    for turn in range(max(settings.rounds, settings.stride)):
         sent = spark.sparkContext.broadcast((flat, counts.unigram))
         got = (encoded.select("ids").mapInArrow(_trainer(sent, settings, turn), kind)
                .repartition(settings.slices, "slice").mapInArrow(_averager, kind).collect())

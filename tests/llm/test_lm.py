@@ -82,6 +82,22 @@ def test_training_learns_successors():
     assert (score.argmax(axis=1) == (np.arange(s.outputs) + 1) % s.outputs).mean() > 0.9
 
 
+def test_rounds_train_on_every_position(spark):
+    rng = np.random.default_rng(2)
+    for s in (lm.Settings(words=12, tails=5, size=4), lm.Settings(words=12, tails=5, size=4, stride=3, rounds=1)):
+        texts = [np.append(rng.integers(1, s.outputs, n), lm.END).astype(np.uint16) for n in (0, 1, 6, 50, 333, 20)]
+        total = sum(map(len, texts))
+        rounds = max(s.rounds, s.stride)
+        seen = np.sort(np.concatenate([lm._turn(texts, k, s.stride) for k in range(s.stride)]))
+        assert (seen == np.arange(total)).all()
+        unigram = np.full(s.outputs, 1 / s.outputs)
+        sent = spark.sparkContext.broadcast((lm.Model.start(unigram, s).flat(), unigram))
+        df = spark.createDataFrame([(t.tobytes(),) for t in texts], "ids binary").repartition(2)
+        got = sum(r["seen"] for k in range(rounds) for r in df.mapInArrow(
+            lm._trainer(sent, s, k), "slice int, seen long, part binary").filter("slice = 0").collect())
+        assert got == total
+
+
 def test_query_beats_unigrams_on_held_out_texts(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
