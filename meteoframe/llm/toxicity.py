@@ -10,9 +10,9 @@ summed in slices by a shuffle. The log-count ratio of a bucket,
     r = log((p + a) / (n1 + 2a)) - log((q + a) / (n0 + 2a)),
 
 scales its feature. Buckets whose presence does not depend on the label beyond
-chance (log-likelihood ratio below ``least_evidence``) get ratio 0, and the
-``most_features`` with the strongest evidence are kept, so that what reaches
-the driver and the tasks has a fixed size. Logistic regression with L2 penalty
+chance (log-likelihood ratio below ``least_evidence``) get ratio 0; all others
+are features, ``buckets`` at most, so that what reaches the driver and the tasks
+is bounded. Logistic regression with L2 penalty
 on the scaled features is fitted on at most about ``sample_rows`` labelled rows
 (a documented bound; chosen by a hash of the id, label and text never looked
 at); scoring covers every whole text, long ones in overlapping pieces.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import memo
-from .common import list_array, small_batches
+from .common import binary_array, small_batches
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,6 @@ class Settings:
     slices: int = 64
     smoothing: float = 0.5
     least_evidence: float = 20.0
-    most_features: int = 1 << 12
     sample_rows: int = 20_000
     penalty: float = 1.0
     rounds: int = 60
@@ -60,6 +59,8 @@ _SPACED = np.arange(128, dtype=np.uint32)
 _SPACED[[c for c in range(128) if not chr(c).isalpha()]] = 0x20
 #: Code points handled at once.
 _PIECE = 1 << 19
+#: Features of sample rows handled at once in the fit.
+_CHUNK = 1 << 20
 
 
 def _codes(text: str) -> np.ndarray:
@@ -151,11 +152,18 @@ def _features(settings: Settings, sent):
             docs, hits = _hits(batch.column("text").to_pylist(), feature, settings)
             counts = np.bincount(docs, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), list_array(hits.astype(np.int32), counts, pa.int32())],
+                [batch.column("toxic"), binary_array(hits.astype(np.int32), counts * 4)],
                 ["toxic", "features"])
     return run
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys by a sort (``np.unique`` hashes them, which takes
+    far longer for many)."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 def _hits(texts: list[str | None], feature: np.ndarray, settings: Settings
           ) -> tuple[np.ndarray, np.ndarray]:
     """(text number, feature) of the distinct features of each text, in order."""
@@ -169,12 +177,14 @@ def _hits(texts: list[str | None], feature: np.ndarray, settings: Settings
         if held:
             bounds = np.cumsum([0, *map(len, held)])
             codes = np.concatenate(held)
+            own = []
             for n, got in _buckets(codes, settings):
                 number = feature[got]
                 at = np.flatnonzero(number >= 0)
-                doc = np.searchsorted(bounds, at, side="right") - 1
+                doc = np.repeat(np.arange(len(held)), np.diff(np.searchsorted(at, bounds)))
                 inside = at + n <= bounds[doc + 1]
-                found.append((doc[inside] + first) * len(feature) + number[at][inside])
+                own.append((doc[inside] + first) * len(feature) + number[at][inside])
+            found.append(_distinct(np.concatenate(own)))
         held, size, first = [], 0, stop
 
     for i, text in enumerate(texts):
@@ -191,25 +201,40 @@ def _hits(texts: list[str | None], feature: np.ndarray, settings: Settings
         if size > _PIECE:
             close(i + 1)
     close(len(texts))
-    keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    keys = _distinct(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return keys // len(feature), keys % len(feature)
 
 
 def _fit(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings: Settings
          ) -> tuple[np.ndarray, float]:
-    """Penalised logistic regression on presence times scale by L-BFGS."""
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.concatenate(rows).astype(np.int64) if len(row) else np.zeros(0, np.int64)
-    value = scale[col]
-    k, n = len(scale), len(rows)
+    """Penalised logistic regression on presence times scale by L-BFGS. A
+    feature that no row has stays at 0, its optimum, and takes no part."""
+    sizes = np.array([len(r) for r in rows], np.int64)
+    col = np.concatenate(rows).astype(np.int32, copy=False) if len(rows) else np.zeros(0, np.int32)
+    held = np.zeros(len(scale), bool)
+    held[col] = True
+    held = np.flatnonzero(held)
+    number = np.zeros(len(scale), np.int32)
+    number[held] = np.arange(len(held))
+    ends = np.cumsum(sizes)
+    cuts = [0]                                 # rows of about _CHUNK features
+    while cuts[-1] < len(rows):
+        start = ends[cuts[-1]] - sizes[cuts[-1]]
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, start + _CHUNK, side="right"))))
+    parts = [(a, b, number[col[ends[a] - sizes[a]:ends[b - 1]]]) for a, b in zip(cuts, cuts[1:])]
+    del col
+    own, k, n = scale[held], len(held), len(rows)
 
     def loss(w):
-        z = np.bincount(row, value * w[col], minlength=n) + w[k]
+        z, slope, value = np.empty(n), np.zeros(k), own * w[:k]
+        for a, b, c in parts:
+            z[a:b] = np.bincount(np.repeat(np.arange(b - a), sizes[a:b]), value[c], minlength=b - a) + w[k]
         p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
         cost = np.logaddexp(0, z).sum() - z[labels == 1].sum() + settings.penalty / 2 * (w[:k] ** 2).sum()
         d = p - labels
-        return cost, np.append(np.bincount(col, value * d[row], minlength=k)
-                               + settings.penalty * w[:k], d.sum())
+        for a, b, c in parts:
+            slope += np.bincount(c, np.repeat(d[a:b], sizes[a:b]), minlength=k)
+        return cost, np.append(own * slope + settings.penalty * w[:k], d.sum())
 
     w = np.zeros(k + 1)
     w[k] = np.log((labels.sum() + 0.5) / (n - labels.sum() + 0.5))
@@ -238,7 +263,9 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings
         w, cost, grad = new, after, after_grad
         if small:
             break
-    return w[:k] * scale, float(w[k])
+    weight = np.zeros(len(scale))
+    weight[held] = w[:k] * own
+    return weight, float(w[k])
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
@@ -263,18 +290,18 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     a = settings.smoothing
     ratio = (F.log((F.col("p") + a) / (n1 + 2 * a)) - F.log((F.col("q") + a) / (n0 + 2 * a)))
     best = (counts.withColumn("evidence", _evidence("q", "p", n0, n1)).withColumn("ratio", ratio)
-            .filter(F.col("evidence") >= settings.least_evidence)
-            .orderBy(F.desc("evidence"), "bucket").limit(settings.most_features)
-            .select("bucket", "ratio").toPandas())
+            .filter(F.col("evidence") >= settings.least_evidence).select("bucket", "ratio").toArrow())
+    bucket, scale = best["bucket"].to_numpy(), best["ratio"].to_numpy()
+    order = np.argsort(bucket)
     feature = np.full(1 << settings.buckets_log2, -1, np.int32)
-    feature[best["bucket"].to_numpy(np.int64)] = np.arange(len(best))
+    feature[bucket[order]] = np.arange(len(order))
     share = min(1.0, settings.sample_rows / (n0 + n1))
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
     sent = spark.sparkContext.broadcast(feature)
     got = (texts.filter(drawn).join(labels.filter(drawn).hint("merge"), "doc_id").select("text", "toxic")
-           .mapInArrow(_features(settings, sent), "toxic int, features array<int>").toPandas())
-    weight, bias = _fit(got["features"].to_list(), got["toxic"].to_numpy(float),
-                        best["ratio"].to_numpy(float), settings)
+           .mapInArrow(_features(settings, sent), "toxic int, features binary").toArrow())
+    held = [np.frombuffer(raw.as_buffer(), np.int32) for raw in got["features"]]
+    weight, bias = _fit(held, got["toxic"].to_numpy().astype(float), scale[order], settings)
     return Model(feature, weight, bias, settings)
 
 

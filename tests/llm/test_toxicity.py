@@ -63,6 +63,19 @@ def test_edge_rows(spark):
     assert {r.score for r in toxicity.score(docs.select("doc_id", "text"), None, ["doc_id"]).collect()} == {0.0}
 
 
+def test_all_buckets_with_evidence_are_features(spark):
+    rng = np.random.default_rng(0)
+    often, seldom = (["".join(map(chr, rng.integers(97, 123, 9))) for _ in range(n)] for n in (600, 40))
+    rows = [(i, f"a quiet text number {i} about rivers", 0) for i in range(200)]
+    rows += [(300 + i, " ".join(often), 1) for i in range(30)] + [(400 + i, " ".join(seldom), 1) for i in range(20)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, toxic int"))
+    want = grams(" ".join(seldom)) | grams(" ".join(often))
+    assert len(want) > 1 << 12 and set(np.flatnonzero(model.feature >= 0)) >= want
+    one = spark.createDataFrame([(" ".join(seldom[:30]),)], "text string")
+    assert toxicity.score(one, model, ["text"]).first().score >= 0.5
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
