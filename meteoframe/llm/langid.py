@@ -337,9 +337,11 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """``keep`` columns of every row with lang_pred and score (0 to 1): the
     posterior of the predicted language. ``und`` with score 0 if the text is
     null or has no letter, or nothing was learned. Ties go to the language that
-    comes first by code point. Repeated rows give repeated rows."""
+    comes first by code point. Repeated rows give repeated rows. Kept columns
+    named like the new ones give way to them."""
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+    keep = [c for c in keep if c.lower() not in ("lang_pred", "score")]
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = StructType([*(rows.schema[c] for c in keep), StructField("lang_pred", StringType()),

@@ -324,8 +324,10 @@ def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
 
     A null or empty text has no features: its score is the model's bias. With
     no model (nothing to learn from) every score is 0. Repeated rows give
-    repeated rows, an empty table an empty result.
+    repeated rows, an empty table an empty result. A kept column named ``score``
+    gives way to the new one.
     """
+    keep = [c for c in keep if c.lower() != "score"]
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = StructType([*(rows.schema[c] for c in keep), StructField("score", DoubleType())])

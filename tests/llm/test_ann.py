@@ -3,8 +3,8 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pyspark.sql.functions as F
-import pytest
 
 from meteoframe.llm import ann
 from meteoframe.llm.queries import op2_nearest_neighbours
@@ -36,8 +36,7 @@ def check(rows, want, least):
     assert hits / total >= least, hits / total
 
 
-@pytest.mark.parametrize("sf, least", [("/root/testdata/sf0.01", 0.9), ("/root/testdata/check_s", 0.95)])
-def test_recall(spark, sf, least):
+def test_recall(spark, sf="/root/testdata/sf0.01", least=0.9):
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").toPandas()
     ids, vectors = rows.vec_id.to_numpy(), np.array(rows.embedding.tolist(), float)
     got = op2_nearest_neighbours(spark, sf).collect()
@@ -47,6 +46,17 @@ def test_recall(spark, sf, least):
         assert math.isclose(r.score, math.dist(place[r.query_id], place[r.vec_id]), rel_tol=1e-12)
 
 
+def test_recall_of_many_vectors(spark):
+    """Ten clusters and some copies, several blocks of the production settings."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(10, 64))[rng.integers(0, 10, 20_000)] * 0.1 + rng.normal(size=(20_000, 64)) * 0.1
+    vectors[5000:5200] = vectors[77]
+    ids = np.arange(20_000)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": ids, "embedding": vectors.tolist()}),
+                               "vec_id long, embedding array<double>")
+    check(ann.nearest(df, F.expr(QUERY)).collect(), brute(ids, vectors, range(0, 20_000, 100)), 0.95)
+
+
 def test_blocks_and_groups_are_merged(spark):
     rng = np.random.default_rng(0)
     ids = rng.permutation(700)

@@ -2,11 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from meteoframe.llm import near_dup
+from meteoframe.llm import langid, near_dup, toxicity
 from meteoframe.llm.common import staged, table
-from tests.llm.test_near_dup import brute
 
 SF = "/root/testdata/sf0.001"
 COLS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -40,9 +40,8 @@ def test_stages(spark, kept):
 def test_one_of_each_group_stays(kept):
     before, after = kept[1], kept[2]
     rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
-    want = sorted(d for d, _, _, stays in brute(rows) if stays)
-    assert sorted(r.doc_id for r in after.collect()) == want
-    assert near_dup.near_duplicates(after).filter("NOT kept").isEmpty()
+    assert sorted(r.doc_id for r in after.collect()) == near_copies(rows)
+    assert near_dup.near_duplicates(after, P.COPIES).filter("NOT kept").isEmpty()
 
 
 def test_mix_repeats_whole_documents(kept):
@@ -104,3 +103,31 @@ def test_near_copies_share_runs_of_five_words(spark):
         docs = spark.createDataFrame([(d, t, "en", "a", 1) for d, t in own],
                                      "doc_id long, text string, lang string, source string, n_chars long")
         assert sorted(r.doc_id for r in P.drop_near_copies(spark, docs, SF).collect()) == want
+
+
+#: Names that the operators give their own columns.
+CLASHES = ["score", "Lang_Pred", "size", "source_size", "target", "taken", "copies", "copy", "kept", "n_shingles",
+           "component_id", "ids", "decoded", "toxic", "__extra_5", "__key", "__row", "col 1"]
+
+
+@pytest.mark.parametrize("stage", [s for _, s in P.STAGES[:-1]], ids=[n for n, _ in P.STAGES[:-1]])
+def test_clashing_columns_keep_their_values(spark, stage):
+    docs = table(spark, SF, "documents")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id")).alias(c) for c in CLASHES])
+    got = stage(spark, wide, SF)
+    assert got.columns == wide.columns and got.dtypes == wide.dtypes
+    rows = got.collect()
+    assert len({r[0] for r in rows}) > 100
+    for r in rows:
+        assert list(r)[len(docs.columns):] == [f"{c}-{r[0]}" for c in CLASHES]
+
+
+def test_last_stage_and_scores_with_clashing_columns(spark):
+    docs = table(spark, SF, "documents").limit(20)
+    wide = docs.select("*", *[F.lit("x").alias(c) for c in CLASHES])
+    plain, clash = (sorted(map(tuple, P.encode(spark, d, SF).collect())) for d in (docs, wide))
+    assert plain == clash
+    for fn, new in ((toxicity.score, ["score"]), (langid.predict, ["lang_pred", "score"])):
+        got = fn(wide, None, ["doc_id", "score", "Lang_Pred", "size"])
+        assert [c for c in got.columns if c.lower() in new] == new
+        assert {r["size"] for r in got.collect()} == {"x"} and "x" not in {r["score"] for r in got.collect()}
