@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, join_path
-from . import ann, fixity, langid, lm, mixing, near_dup, pieces, sql, token_files, toxicity, winnow
+from . import (ann, byte_pairs, filter_audit, fixity, langid, lm, mixing, near_dup, pieces, sql, token_files,
+               toxicity, vector_codes, winnow)
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +100,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
     model = langid.train(docs.filter("NOT held_out"), tokenizer_path("piece_bpe_32k.model"))
     return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
+@register("op11_filter_audit", sql.FILTER_AUDIT)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
+
+
+@register("op12_byte_pairs")
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = byte_pairs.encode_decode(table(spark, sf_dir, "documents"),
+                                   tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", F.expr("CAST(octet_length(ids) AS BIGINT) div 4").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op13_vector_codes", sql.VECTOR_CODES)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")

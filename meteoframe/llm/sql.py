@@ -94,3 +94,79 @@ SELECT o.page_id, o.ordinal, o.start, o.length, o.hash, o.hash <> t.hash AS corr
        (SELECT hash FROM a6) AS root, (SELECT hash FROM b6) AS replica_root
 FROM ours o JOIN theirs t USING (ordinal)
 """
+
+
+FILTER_AUDIT = rf"""
+WITH facts AS (
+  SELECT coalesce(d.source, '') AS part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+         regexp_extract_all(coalesce(text, ''), '{_SPLIT}') AS w, coalesce(text, '') AS t,
+         coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY coalesce(text, '')), FALSE) AS e
+  FROM documents d LEFT JOIN (
+    SELECT doc_id, max(CAST(coalesce(quality = 1, FALSE) AS INT)) AS good,
+           max(CAST(coalesce(toxic = 1, FALSE) AS INT)) AS toxic FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id),
+ fails AS (
+  SELECT part, good, toxic,
+         CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN e THEN 'E' ELSE '' END AS f
+  FROM facts),
+ n AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, f),
+ letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+ orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+ turns AS (SELECT filter_order, s AS step, substr(filter_order, s, 1) AS x, substr(filter_order, 1, s - 1) AS before
+           FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s)),
+ hits AS (SELECT n.*, t.*, contains(f, x) AS own, translate(f, before, '') <> f AS earlier FROM n, turns t),
+ done AS (
+  SELECT part, filter_order, step, x,
+         CAST(sum(CASE WHEN own OR earlier THEN 0 ELSE n END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN own AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN own AND earlier THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN f = x THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN own AND NOT earlier THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN own AND NOT earlier THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM hits GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM done
+"""
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Assignments and means by plain comparison with every entry."""
+    out = [f"""
+ kept AS (SELECT vec_id, label, [CAST(floor(4096.0 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v,
+                 row_number() OVER (ORDER BY vec_id) AS row
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+ cells AS (SELECT row, vec_id, label, p, i, v[p * (len(v) // {parts}) + i] AS x
+           FROM (SELECT *, unnest(range(1, len(v) // {parts} + 1)) AS i FROM
+                 (SELECT *, unnest(range({parts})) AS p FROM kept))),
+ book0 AS (SELECT p, row - 1 AS e, i, x FROM cells WHERE row <= {entries})"""]
+    for k in range(rounds + 1):
+        out.append(f"""
+ near{k} AS (SELECT row, p, min(struct_pack(d := d, e := e)) AS best FROM (
+   SELECT c.row, c.p, b.e, CAST(sum((c.x - b.x) * (c.x - b.x)) AS BIGINT) AS d
+   FROM cells c JOIN book{k} b USING (p, i) GROUP BY c.row, c.p, b.e) GROUP BY row, p)""")
+        if k < rounds:
+            out.append(f"""
+ book{k + 1} AS (SELECT b.p, b.e, b.i, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN (
+   SELECT c.p, n.best.e AS e, c.i, CAST(sum(c.x) AS BIGINT) // count(*)
+          - CASE WHEN CAST(sum(c.x) AS BIGINT) % count(*) < 0 THEN 1 ELSE 0 END AS x
+   FROM cells c JOIN near{k} n ON c.row = n.row AND c.p = n.p GROUP BY c.p, n.best.e, c.i) m
+   ON b.p = m.p AND b.e = m.e AND b.i = m.i)""")
+    last = f"near{rounds}"
+    return "WITH" + ",".join(out) + f""",
+ coded AS (SELECT k.vec_id, k.label, string_agg(printf('%02x', CAST(n.best.e AS INT)), '' ORDER BY n.p) AS code,
+                  CAST(sum(n.best.d) AS BIGINT) AS error
+           FROM kept k JOIN {last} n ON k.row = n.row GROUP BY k.row, k.vec_id, k.label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) FROM book{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+VECTOR_CODES = _vector_codes()
