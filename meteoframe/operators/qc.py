@@ -244,7 +244,7 @@ def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTE
               ts_col: str = "processing_timestamp", key: str = "device_id",
               date_col: str = "date", bucket_seconds=P.LAG_BUCKET_SECONDS,
               slots_per_day: float = P.SLOTS_PER_DAY, stage: bool = False,
-              context: DataFrame | None = None) -> DataFrame:
+              context: DataFrame | None = None, median: DataFrame | None = None) -> DataFrame:
     """All level-1 checks: de-duplicate on (device, time), time gap,
     negative rain to 0, pressure in hPa, range checks, temperature step,
     daily availability and rain, and the failed / warning name lists.
@@ -256,7 +256,9 @@ def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTE
     cutting the lineage so a lost executor costs a re-read, not a re-shuffle.
     ``context`` holds earlier readings (device, date, timestamp,
     temperature) that precede the input, so time gaps and steps continue
-    across micro-batches (see ``series.with_previous``).
+    across micro-batches (see ``series.with_previous``). ``median`` (one row,
+    `median_barometric_pressure`) decides the pressure unit in place of the
+    input's own approximate median.
     """
     P.check_mode(mode)
     d = series.parse_and_dedup(df, ts_col, key)
@@ -265,7 +267,8 @@ def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTE
         d = stage_table(d, "qc-dedup")
     # Median of the de-duplicated rows; applied after the lag pass so the
     # bucket-table branch does not carry the one-row join.
-    median = aggregate.approx_median(d, "barometric_pressure")
+    if median is None:
+        median = aggregate.approx_median(d, "barometric_pressure")
     base_cols = d.columns + ["pressure_hpa"]
     d = series.with_previous(
         d, [ts_col, "air_temperature"], ts_col, (key,), (date_col,),

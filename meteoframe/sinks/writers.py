@@ -6,7 +6,8 @@ attempt wrote instead of appending twice:
 * raw rows and dead letters get one ``batch_id=<id>`` directory per
   micro-batch, dated tables ``date=D/batch_id=<id>``, replaced on replay;
 * derived tables are partitioned by ``date``; touched dates are recomputed
-  from the dated tables and their partitions overwritten.
+  from the dated tables (or from partial aggregates stored like them) and their
+  partitions overwritten.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (ArrayType, BooleanType, CharType, DataType, DateType, NumericType, StringType,
+                               StructType, TimestampNTZType, TimestampType,
+                               VarcharType)
 
 from ..session import path_exists
 
@@ -89,8 +92,9 @@ def _cluster(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str],
              clustering: str) -> DataFrame:
     keys = [*partition_by, *sort_by]
     if clustering == "hash":
-        # one file per partition: a micro-batch is bounded by the source's limit
-        out = df.repartition(*[F.col(c) for c in partition_by or sort_by])
+        # the leading sort column too: one hot date is dealt over many tasks, and
+        # adaptive execution puts small ones together
+        out = df.repartition(*[F.col(c) for c in [*partition_by, *sort_by[:1]]])
     elif clustering == "range":
         out = df.repartitionByRange(*[F.col(c) for c in keys])
     else:
@@ -178,15 +182,35 @@ def probe_schema(spark: SparkSession, options: Mapping[str, str]) -> StructType:
     return spark.read.format("jdbc").options(**opts).load().schema
 
 
+def _kind(t: DataType) -> str:
+    """Types that a database column may take for one another."""
+    if isinstance(t, BooleanType):
+        return "boolean"
+    if isinstance(t, NumericType):
+        return "number"
+    if isinstance(t, (DateType, TimestampType, TimestampNTZType)):
+        return "time"
+    if isinstance(t, ArrayType):
+        return f"list of {_kind(t.elementType)}"
+    return "text" if isinstance(t, (StringType, CharType, VarcharType)) else t.simpleString()
+
+
 def schema_gaps(actual: StructType, expected: StructType) -> list[str]:
-    """Columns the writer sends that the target lacks, compared
-    case-insensitively (unquoted SQL names fold case)."""
-    have = {f.name.lower() for f in actual.fields}
-    return [f.name for f in expected.fields if f.name.lower() not in have]
+    """Columns the writer sends that the target lacks or holds with another
+    kind of type, compared case-insensitively (unquoted SQL names fold case)."""
+    have = {f.name.lower(): f.dataType for f in actual.fields}
+    out = []
+    for f in expected.fields:
+        there = have.get(f.name.lower())
+        if there is None:
+            out.append(f.name)
+        elif _kind(there) != _kind(f.dataType):
+            out.append(f"{f.name} ({there.simpleString()}, not {f.dataType.simpleString()})")
+    return out
 
 
 def preflight(spark: SparkSession, targets: Mapping[str, tuple[Mapping[str, str], StructType]]) -> dict:
-    """Check every target before starting: {name: missing columns}. Raises
+    """Check every target before starting: {name: gaps}. Raises
     on an unreachable target rather than continuing."""
     return {name: schema_gaps(probe_schema(spark, opts), schema)
             for name, (opts, schema) in targets.items()}

@@ -13,13 +13,17 @@ only after the one before succeeded and each table only when it has rows:
    that the batch touches are opened; no state grows in memory;
 4. clean rows (cleaned, imputed, scored);
 5. the daily summary (quality-gated), and on request the 15-minute slot counts,
-   of every touched date, recomputed from the stored rows of these dates;
+   of every touched date. Both are merged from the batch's own partial aggregates
+   and those that earlier batches left of these dates (a row per device and date,
+   or slot): no reading of an earlier batch is read;
 6. the level-1 QC audit. ``as_written`` looks at the batch alone, as the
-   reference does. ``corrected`` recomputes whole days from the stored readings:
-   the touched dates and, per device, the date that follows one, whose first
-   reading has a new predecessor. A small table of each device-day's last reading
-   tells both the following dates and the readings before the recomputed days, so
-   the audit does not depend on how the stream was cut into batches.
+   reference does. ``corrected`` recomputes whole device-days: those with new
+   readings and the next one of the device, whose first reading has a new
+   predecessor; other devices' audit rows of the same dates are carried over. The
+   state store tells which device-days these are and the reading before each
+   (``state.day_ends``), so the audit does not depend on how the stream was cut
+   into batches, and a batch costs the same however long the stream has run. The
+   pressure unit is decided by quantile sketches kept per date.
 
 Dated tables are laid out ``date=D/batch_id=K`` (``compact`` merges a closed
 date's files), derived ones ``date=D``. With a table of reference statistics
@@ -44,14 +48,15 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, StringType, StructField, StructType,
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, DoubleType, StringType, StructField, StructType,
                                TimestampType)
 
 from .. import params as P
-from ..operators import aggregate, anomaly, clean, qc, quality, series
+from ..operators import aggregate, anomaly, clean, partials, qc, quality, series
 from ..schemas import CLEAN_COLUMNS, FLAT_READING
-from ..session import checkpoint_dir, join_path
+from ..session import checkpoint_dir, input_bytes, join_path, stage_table
 from ..sinks import writers
+from . import state
 from .sources import decode_stream
 
 log = logging.getLogger("meteoframe.stream")
@@ -63,11 +68,17 @@ KEYS = StructType([StructField("reading_id", StringType()), *_PARTITIONS])
 READINGS = StructType([*(FLAT_READING[c] for c in CLEAN_COLUMNS), *_PARTITIONS])
 SCORED = StructType([*READINGS.fields[:-2], StructField("anomaly_score", DoubleType()),
                      StructField("is_anomaly", BooleanType()), *_PARTITIONS])
-#: The last reading of each device-day.
+#: The last reading of each device-day, kept where no state store is.
 EDGES = StructType([StructField("device_id", StringType()), StructField("processing_timestamp", TimestampType()),
                     StructField("air_temperature", DoubleType()), StructField("date", DateType())])
 
 
+_EDGE = "_edge"                       # column of a batch with the state store's answers
+_PAIR = ("device_id", "date")
+#: A quantile sketch of the pressures of each date.
+SKETCHES = StructType([StructField("sketch", BinaryType()), *_PARTITIONS])
+
+
 @dataclass
 class Targets:
     """Output tables under one root folder (shared storage on a cluster)."""
@@ -95,6 +106,24 @@ class Targets:
     def store(self, name: str, df: DataFrame, batch_id: int, **kw) -> None:
         writers.write_dated(df, self.path(name), batch_id, **kw)
 
+    def parts(self, name: str, new: DataFrame, dates: list, batch_id: int) -> DataFrame:
+        """Partial aggregates of these dates from every batch: ``new`` ones (in
+        which the date comes last) are stored as the batch's own, replacing its
+        first attempt's."""
+        self.store(name, new, batch_id, sort_by=[new.columns[0]])
+        schema = StructType([*new.schema.fields[:-1], *_PARTITIONS])
+        return self.stored(new.sparkSession, name, dates, schema).drop("batch_id")
+
+    def daily_rows(self, dates: list, scored: DataFrame, batch_id: int) -> DataFrame:
+        """Daily summary of the touched dates from merged partials."""
+        new = partials.daily_partials(scored)
+        new = new.select(*[c for c in new.columns if c != "date"], F.to_date("date").alias("date"))
+        return partials.finish(partials.merge(self.parts("daily_parts", new, dates, batch_id)))
+
+    def slot_rows(self, dates: list, scored: DataFrame, batch_id: int) -> DataFrame:
+        """Slot counts of the touched dates, added up."""
+        return partials.merge_slots(self.parts("slot_parts", dated_slots(scored), dates, batch_id))
+
     # -- output tables --------------------------------------------------------
 
     def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
@@ -103,10 +132,6 @@ class Targets:
     def write_clean(self, scored: DataFrame, batch_id: int, observe) -> None:
         self.store("clean", scored, batch_id, sort_by=["device_id", "processing_timestamp"], observe=observe)
 
-    def daily_rows(self, spark: SparkSession, dates: list, scored: DataFrame) -> DataFrame:
-        """Daily summary of the touched dates from all their stored clean rows."""
-        return aggregate.daily_summary(self.stored(spark, "clean", dates, SCORED).drop("batch_id"))
-
     def write_daily(self, daily: DataFrame, batch_id: int) -> None:
         writers.write_partitions(daily, self.path("daily"), ["date"], ["device_id"], "hash")
 
@@ -163,7 +188,7 @@ class JdbcTargets(Targets):
     def write_clean(self, scored, batch_id, observe) -> None:
         self.append("clean", scored, observe)
 
-    def daily_rows(self, spark, dates, scored) -> DataFrame:
+    def daily_rows(self, dates, scored, batch_id) -> DataFrame:
         return aggregate.daily_summary(scored)
 
     def write_daily(self, daily, batch_id) -> None:
@@ -240,6 +265,10 @@ class FanOut:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         t, spark = self.t, batch.sparkSession
         counts = {}
+        edges = None
+        if _EDGE in batch.columns:
+            edges = batch.filter(F.col(_EDGE).isNotNull()).select(f"{_EDGE}.*")
+            batch = batch.filter(F.col(_EDGE).isNull()).drop(_EDGE)
         good = batch.drop("_raw")
         if "_raw" in batch.columns:
             good, bad = split_dead_letters(batch)
@@ -257,14 +286,14 @@ class FanOut:
                 t.write_batch("raw", raw_rows(fresh), batch_id)
                 self.store_keys(fresh, batch_id)
             if found["valid"]:
-                self.derive(spark, cleaned, fresh, found["dates"], batch_id, counts)
+                self.derive(spark, cleaned, fresh, found["dates"], edges, batch_id, counts)
         finally:
             cleaned.unpersist()
             fresh.unpersist()
         self.metrics.append((batch_id, counts))
         log.info("batch %s: %s", batch_id, counts)
 
-    def derive(self, spark, cleaned, fresh, dates: list, batch_id: int, counts: dict) -> None:
+    def derive(self, spark, cleaned, fresh, dates: list, edges, batch_id: int, counts: dict) -> None:
         """Every table that comes from valid readings. ``dates`` holds the
         calendar days of the batch's event times."""
         t = self.t
@@ -275,21 +304,22 @@ class FanOut:
             t.write_clean(scored, batch_id, (of_clean, [
                 F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_anomaly")).alias("anomalies"),
                 *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in MEASURES]]))
-            if t.mode == P.CORRECTED:
-                t.store("readings", cleaned, batch_id, sort_by=["device_id", "processing_timestamp"])
-            daily = t.daily_rows(spark, dates, scored).persist(StorageLevel.MEMORY_AND_DISK)
+            daily = t.daily_rows(dates, scored, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 if not t.quality_gate or quality.gate_passed(quality.quality_report(daily)):
                     t.write_daily(daily, batch_id)
             finally:
                 daily.unpersist()
             if t.slots:
-                t.write_slots(dated_slots(t.stored(spark, "clean", dates, SCORED)))
+                t.write_slots(t.slot_rows(dates, scored, batch_id))
             if t.mode == P.AS_WRITTEN:
                 audit = qc.qc_level1(scored.drop("anomaly_score", "is_anomaly"), thr=t.thr,
                                      mode=t.mode, bucket_seconds=t.lag_buckets)
             else:
-                audit = self.day_audit(spark, dates)
+                t.store("readings", cleaned, batch_id, sort_by=["device_id", "processing_timestamp"])
+                t.store("pressures", cleaned.groupBy("date").agg(
+                    aggregate.quantile_sketch("barometric_pressure").alias("sketch")), batch_id, sort_by=["date"])
+                audit = self.day_audit(spark, dates, edges)
             t.write_qc(audit, batch_id, fresh, (of_qc, [
                 F.count(F.lit(1)).alias("rows"),
                 F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
@@ -319,46 +349,90 @@ class FanOut:
 
     # ---------------------------------------------------------- whole-day audit
 
-    def day_audit(self, spark: SparkSession, dates: list) -> DataFrame:
-        """QC of the touched dates, and per device of the date that follows one,
-        over all their stored readings."""
+    def day_audit(self, spark: SparkSession, dates: list, edges: DataFrame | None) -> DataFrame:
+        """QC of the device-days that the batch changes, with the audit rows of
+        the other devices on these dates."""
+        t = self.t
+        edges = edges if edges is not None else self.stored_edges(spark, dates)
+        edges = edges.withColumns({c: F.to_date(c) for c in ("date", "earlier_date")}).persist()
+        try:
+            again = sorted(r[0] for r in edges.select("date").distinct().collect())      # calendar days
+            rows = t.stored(spark, "readings", again, READINGS).drop("batch_id")
+            sketches = t.stored(spark, "pressures", again, SKETCHES)
+            touched = edges.select(*_PAIR).distinct()
+            context = (_without(edges.filter("earlier_date IS NOT NULL").select(
+                "device_id", F.col("earlier_date").alias("date"), F.col("earlier_timestamp").alias("processing_timestamp"),
+                F.col("earlier_temperature").alias("air_temperature")), touched).distinct())
+            as_text = {"date": F.date_format("date", P.DATE_FORMAT)}
+            audit = qc.qc_level1(
+                _within(rows, touched).withColumns(as_text), thr=t.thr, mode=t.mode, bucket_seconds=t.lag_buckets,
+                context=context.withColumns(as_text),
+                median=aggregate.median_of_sketches(sketches, "sketch", "barometric_pressure"))
+            whole = StructType([*(f for f in audit.schema.fields if f.name != "date"), StructField("date", DateType())])
+            kept = _without(writers.read_dates(spark, t.path("qc"), again, whole), touched)
+            out = audit.unionByName(kept.withColumns(as_text))
+            return out.filter(F.col("date").isin([d.isoformat() for d in again]))
+        finally:
+            edges.unpersist()
+
+    def stored_edges(self, spark: SparkSession, dates: list) -> DataFrame:
+        """What ``state.day_ends`` tells, from a table of all device-days' last
+        readings: for a fan-out that is called without the stateful operator."""
         t = self.t
         last = F.max_by(F.struct("processing_timestamp", "air_temperature"), F.col("processing_timestamp"))
         rows = t.stored(spark, "readings", dates, READINGS).drop("batch_id")
         ends = (series.dedup(rows, ("device_id", "processing_timestamp"))
-                .groupBy("device_id", "date").agg(last.alias("e"))
-                .select("device_id", "e.*", "date"))
+                .groupBy(*_PAIR).agg(last.alias("e")).select("device_id", "e.*", "date"))
         writers.write_partitions(ends, t.path("day_ends"), ["date"], ["device_id"], "hash")
         ends = spark.read.schema(EDGES).parquet(t.path("day_ends"))
         by_day = Window.partitionBy("device_id").orderBy("date")
-        around = ends.withColumns({"_next": F.lead("date").over(by_day), "_earlier": F.lag(
-            F.struct("date", "processing_timestamp", "air_temperature")).over(by_day)})
-        touched = F.col("date").isin(dates)
-        after = {r[0] for r in around.filter(touched & F.col("_next").isNotNull())
-                 .select("_next").distinct().collect()}                       # calendar days
-        again = sorted({*dates, *after})
-        context = (around.filter(F.col("date").isin(again) & F.col("_earlier").isNotNull())
-                   .select("device_id", "_earlier.*").filter(~F.col("date").isin(again))
-                   .withColumn("date", F.date_format("date", P.DATE_FORMAT)))
-        rows = t.stored(spark, "readings", again, READINGS).drop("batch_id").withColumn(
-            "date", F.date_format("date", P.DATE_FORMAT))
-        return qc.qc_level1(rows, thr=t.thr, mode=t.mode, context=context, bucket_seconds=t.lag_buckets)
+        earlier = F.lag(F.struct("date", "processing_timestamp", "air_temperature")).over(by_day)
+        around = ends.withColumns({"_before": F.lag("date").over(by_day), "_earlier": earlier})
+        return (around.filter(F.col("date").isin(dates) | F.col("_before").isin(dates))
+                .select(*_PAIR, F.col("_earlier.date").alias("earlier_date"),
+                        F.col("_earlier.processing_timestamp").alias("earlier_timestamp"),
+                        F.col("_earlier.air_temperature").alias("earlier_temperature")))
+
+
+def _same_pair(df: DataFrame, pairs: DataFrame):
+    return (df["device_id"].eqNullSafe(pairs["device_id"])) & (df["date"] == pairs["date"])
+
+
+def _within(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of these device-days."""
+    return df.join(pairs, _same_pair(df, pairs), "left_semi")
+
+
+def _without(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of other device-days."""
+    return df.join(pairs, _same_pair(df, pairs), "left_anti")
+
+
+def _bytes(df: DataFrame) -> int:
+    """Bytes of the files that a staged table is read from."""
+    files = df.inputFiles()
+    return input_bytes(df.sparkSession, files[0].rsplit("/", 1)[0]) if files else 0
+
+
+#: Size of a compacted file.
+FILE_BYTES = 128 << 20
 
 
 def compact(spark: SparkSession, targets: Targets, name: str, date, schema: StructType) -> None:
     """Merge the files of one closed date of a dated table into one batch
-    folder, named after its latest batch. Run it when no batch of that date is
+    folder, named after its latest batch, in files of about ``FILE_BYTES``
+    that follow each other in the table's order. Run it when no batch of that date is
     in flight; the merged rows are staged first, so a failure leaves the date
     as it was or to be compacted again."""
-    from ..session import stage_table
-
     rows = targets.stored(spark, name, [date], schema)
     top = rows.agg(F.max(F.col("batch_id").cast("long"))).first()[0]
     if top is None:
         return
     merged = stage_table(rows.drop("batch_id"), "compact")
+    order = [c for c in ("device_id", "processing_timestamp") if c in merged.columns] or merged.columns[:1]
+    files = max(1, -(-_bytes(merged) // FILE_BYTES))
     (merged.drop("date").withColumn("batch_id", F.lit(str(top)))
-     .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("batch_id").parquet(f"{targets.path(name)}/date={date}"))
 
 
@@ -399,11 +473,17 @@ def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
     # an unparsable event time is null here in both modes: the row becomes a
     # dead letter instead of stopping the query for ever
     flat = decode_stream(raw_stream, P.CORRECTED, keep_raw=True)
+    if targets.mode == P.CORRECTED:
+        # the same micro-batch twice: whole rows, and what its few columns change
+        edges = state.day_ends(clean.clean_readings(flat))
+        flat = flat.unionByName(edges.select(F.struct(*edges.columns).alias(_EDGE)), allowMissingColumns=True)
     ckpt = checkpoint or join_path(checkpoint_dir(spark), "readings_pipeline")
     w = (flat.writeStream.foreachBatch(FanOut(targets, dedup))
-         .option("checkpointLocation", ckpt).outputMode("append"))
+         .option("checkpointLocation", ckpt)
+         .outputMode("update" if targets.mode == P.CORRECTED else "append"))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    with state.stateful_session(spark):
+        return w.start()
