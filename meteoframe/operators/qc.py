@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
@@ -234,6 +234,28 @@ def expected_pressure(df: DataFrame, altitude_col: str = "altitude",
         "pressure_abs_dev_hpa", F.abs(F.col(hpa) - F.col("p_expected_hpa")))
 
 
+def with_station(df: DataFrame, stations: DataFrame, columns: tuple = ("altitude",), key: str = "device_id",
+                 ts_col: str = "processing_timestamp", since: str = "valid_from") -> DataFrame:
+    """Attach ``columns`` of the station that a reading's device was at: the row
+    of ``stations`` (``key``, ``since``, ``columns``) with the latest ``since``
+    not after the reading. Null where there is none, or device or time is null.
+
+    A device's rows become intervals (each ends where the next begins; equal
+    ``since`` keep the greatest row), so at most one meets a reading and the
+    join has an equality. Spark sends the stations to every task only if their
+    measured size is under its broadcast threshold and shuffles them otherwise.
+    """
+    extra = F.struct(*[F.col(c) for c in columns])
+    moves = (stations.filter(F.col(key).isNotNull() & F.col(since).isNotNull())
+             .groupBy(F.col(key).alias("_key"), F.col(since).cast("timestamp").alias("_from"))
+             .agg(F.max(extra).alias("_at")))
+    moves = moves.withColumn("_until", F.lead("_from").over(Window.partitionBy("_key").orderBy("_from")))
+    inside = ((F.col(key) == F.col("_key")) & (F.col(ts_col) >= F.col("_from"))
+              & (F.col("_until").isNull() | (F.col(ts_col) < F.col("_until"))))
+    own = [c for c in df.columns if c not in columns]
+    return df.select(own).join(moves, inside, "left").select(*own, *[F.col(f"_at.{c}").alias(c) for c in columns])
+
+
 def qc_pressure_range(df, thr=None, mode=P.AS_WRITTEN):
     return df.withColumn("QC_Pressure_range", pressure_range_code(thr, mode))
 

@@ -392,18 +392,44 @@ def q_quality_gate(spark, sf_dir):
     return r6(rep, "observed")
 
 
-@register("approx_median", """SELECT TRUE AS within_error, TRUE AS observed""")
-def q_approx_median(spark, sf_dir):
-    """The approximate median is a value that was observed, and the shares of
+#: What an approximate median has to keep, checked on the oracle's side for the
+#: exact one: n values, at most half of them (and the error) on either side.
+MEDIAN_SQL = O.sql(["cleaned"], """
+SELECT count(*) AS n, max(x) >= any_value(m) AND min(x) <= any_value(m) AS observed,
+ avg(CASE WHEN x < m THEN 1.0 ELSE 0.0 END) <= 0.51 AND avg(CASE WHEN x > m THEN 1.0 ELSE 0.0 END) <= 0.51 AS within_error
+FROM (SELECT barometric_pressure AS x, quantile_disc(barometric_pressure, 0.5) OVER () AS m
+      FROM cleaned WHERE barometric_pressure IS NOT NULL) AS v""")
+
+
+def _rank_bounds(rows: DataFrame, median: DataFrame) -> DataFrame:
+    """n values, whether ``median_x`` is one of them, and whether the shares of
     values below and above it keep within the stated rank error of a half."""
-    rows = _cleaned(spark, sf_dir).select(F.col("barometric_pressure").alias("x")).filter("x IS NOT NULL")
     m = F.col("median_x")
-    both = attach_stats(rows, aggregate.approx_median(rows, "x"))
-    share = both.agg(F.avg((F.col("x") < m).cast("double")).alias("below"),
-                     F.avg((F.col("x") > m).cast("double")).alias("above"),
-                     F.bool_or(F.col("x") == m).alias("observed"))
+    share = attach_stats(rows, median).agg(
+        F.count("x").alias("n"), F.avg((F.col("x") < m).cast("double")).alias("below"),
+        F.avg((F.col("x") > m).cast("double")).alias("above"), F.bool_or(F.col("x") == m).alias("observed"))
     most = 0.5 + P.MEDIAN_RELATIVE_ERROR
-    return share.select(((F.col("below") <= most) & (F.col("above") <= most)).alias("within_error"), "observed")
+    return share.select("n", "observed", ((F.col("below") <= most) & (F.col("above") <= most)).alias("within_error"))
+
+
+def _pressures(spark, sf_dir):
+    return _cleaned(spark, sf_dir).select("reading_id", F.col("barometric_pressure").alias("x")).filter("x IS NOT NULL")
+
+
+@register("approx_median", MEDIAN_SQL)
+def q_approx_median(spark, sf_dir):
+    """The approximate median of all rows, held against the rows."""
+    rows = _pressures(spark, sf_dir)
+    return _rank_bounds(rows, aggregate.approx_median(rows, "x"))
+
+
+@register("median_of_sketches", MEDIAN_SQL)
+def q_median_of_sketches(spark, sf_dir):
+    """The median of sixteen batches' sketches, merged, held against the rows."""
+    rows = _pressures(spark, sf_dir)
+    sketches = rows.groupBy(F.pmod(F.xxhash64("reading_id"), F.lit(16)).alias("batch")).agg(
+        aggregate.quantile_sketch("x").alias("sketch"))
+    return _rank_bounds(rows, aggregate.median_of_sketches(sketches, "sketch", "x"))
 
 
 @register("median_is_pa", O.sql(["cleaned"], """

@@ -53,7 +53,9 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     columns): one hot date (or device) is split across many tasks by the
     sort key, while each task still writes a few contiguous files. Without
     it rows are written where they are. ``clustering="hash"`` skips the
-    range-boundary sampling job (for bounded inputs such as micro-batches).
+    range-boundary sampling job (for bounded inputs such as micro-batches) and
+    deals by the partition columns and the leading sort column, ``"partition"``
+    by the partition columns alone.
     ``observe`` = (Observation, [aggregate columns]) collects metrics during
     the write job itself, behind any sampling.
     """
@@ -67,12 +69,12 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def write_dated(df: DataFrame, path: str, batch_id: int, sort_by: Sequence[str] = (),
-                observe: tuple | None = None, date_col: str = "date") -> None:
+                observe: tuple | None = None, date_col: str = "date", clustering: str = "hash") -> None:
     """One micro-batch's rows of a table laid out ``date=D/batch_id=K``; a
     replay replaces the same directories. The batch id is a text literal, so
     that generated code does not change from batch to batch."""
     rows = df.withColumn("batch_id", F.lit(str(int(batch_id))))
-    write_partitions(rows, path, [date_col, "batch_id"], sort_by, "hash", observe)
+    write_partitions(rows, path, [date_col, "batch_id"], sort_by, clustering, observe)
 
 
 def read_dates(spark: SparkSession, path: str, dates: Sequence, schema: StructType,
@@ -91,14 +93,17 @@ def read_dates(spark: SparkSession, path: str, dates: Sequence, schema: StructTy
 def _cluster(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str],
              clustering: str) -> DataFrame:
     keys = [*partition_by, *sort_by]
-    if clustering == "hash":
+    if clustering == "partition":
+        # one file a partition: tables of a few narrow rows a date
+        out = df.repartition(*[F.col(c) for c in partition_by or sort_by])
+    elif clustering == "hash":
         # the leading sort column too: one hot date is dealt over many tasks, and
         # adaptive execution puts small ones together
         out = df.repartition(*[F.col(c) for c in [*partition_by, *sort_by[:1]]])
     elif clustering == "range":
         out = df.repartitionByRange(*[F.col(c) for c in keys])
     else:
-        raise ValueError(f"clustering must be 'range' or 'hash', got {clustering!r}")
+        raise ValueError(f"clustering must be 'range', 'hash' or 'partition', got {clustering!r}")
     return out.sortWithinPartitions(*keys)
 
 

@@ -110,7 +110,7 @@ class Targets:
         """Partial aggregates of these dates from every batch: ``new`` ones (in
         which the date comes last) are stored as the batch's own, replacing its
         first attempt's."""
-        self.store(name, new, batch_id, sort_by=[new.columns[0]])
+        self.store(name, new, batch_id, sort_by=[new.columns[0]], clustering="partition")
         schema = StructType([*new.schema.fields[:-1], *_PARTITIONS])
         return self.stored(new.sparkSession, name, dates, schema).drop("batch_id")
 
@@ -133,10 +133,10 @@ class Targets:
         self.store("clean", scored, batch_id, sort_by=["device_id", "processing_timestamp"], observe=observe)
 
     def write_daily(self, daily: DataFrame, batch_id: int) -> None:
-        writers.write_partitions(daily, self.path("daily"), ["date"], ["device_id"], "hash")
+        writers.write_partitions(daily, self.path("daily"), ["date"], ["device_id"], "partition")
 
     def write_slots(self, slots: DataFrame) -> None:
-        writers.write_partitions(slots, self.path("slots"), ["date"], ["device_id"], "hash")
+        writers.write_partitions(slots, self.path("slots"), ["date"], ["device_id"], "partition")
 
     def write_qc(self, audit: DataFrame, batch_id: int, fresh: DataFrame, observe) -> None:
         """``as_written``: the batch's rows. ``corrected``: whole dates, which
@@ -318,7 +318,7 @@ class FanOut:
             else:
                 t.store("readings", cleaned, batch_id, sort_by=["device_id", "processing_timestamp"])
                 t.store("pressures", cleaned.groupBy("date").agg(
-                    aggregate.quantile_sketch("barometric_pressure").alias("sketch")), batch_id, sort_by=["date"])
+                    aggregate.quantile_sketch("barometric_pressure").alias("sketch")), batch_id, sort_by=["date"], clustering="partition")
                 audit = self.day_audit(spark, dates, edges)
             t.write_qc(audit, batch_id, fresh, (of_qc, [
                 F.count(F.lit(1)).alias("rows"),
@@ -345,7 +345,7 @@ class FanOut:
     def store_keys(self, fresh: DataFrame, batch_id: int) -> None:
         if self.dedup:
             self.t.store("keys", fresh.select("reading_id", F.to_date("processing_timestamp").alias("date")),
-                         batch_id, sort_by=["reading_id"])
+                         batch_id, sort_by=["reading_id"], clustering="partition")
 
     # ---------------------------------------------------------- whole-day audit
 
@@ -383,7 +383,7 @@ class FanOut:
         rows = t.stored(spark, "readings", dates, READINGS).drop("batch_id")
         ends = (series.dedup(rows, ("device_id", "processing_timestamp"))
                 .groupBy(*_PAIR).agg(last.alias("e")).select("device_id", "e.*", "date"))
-        writers.write_partitions(ends, t.path("day_ends"), ["date"], ["device_id"], "hash")
+        writers.write_partitions(ends, t.path("day_ends"), ["date"], ["device_id"], "partition")
         ends = spark.read.schema(EDGES).parquet(t.path("day_ends"))
         by_day = Window.partitionBy("device_id").orderBy("date")
         earlier = F.lag(F.struct("date", "processing_timestamp", "air_temperature")).over(by_day)

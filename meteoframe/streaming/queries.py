@@ -107,6 +107,13 @@ def stream_qc_corrected(spark, sf_dir):
     return qc_result(_dates_as_text(spark.read.parquet(t.path("qc"))))
 
 
+def stream_qc_newest_first(spark, sf_dir):
+    """The corrected audit from micro-batches that come newest first: every
+    batch precedes what the state store remembers."""
+    t = _run(spark, _envelope_files(spark, sf_dir, F.col("processing_timestamp").desc()), mode=P.CORRECTED)
+    return qc_result(_dates_as_text(spark.read.parquet(t.path("qc"))))
+
+
 def stream_slot_availability(spark, sf_dir):
     """Readings per device and 15-minute slot, kept up to date by date as
     micro-batches arrive in any order; every slot is there at the end."""
@@ -121,10 +128,11 @@ FROM (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) A
 GROUP BY device_id, slot_start"""))
 
 STREAM_QUERIES.update(stream_fanout=stream_fanout, stream_newest_first=stream_newest_first,
-                      stream_daily_corrected=stream_daily_corrected, stream_qc_corrected=stream_qc_corrected,
+                      stream_daily_corrected=stream_daily_corrected, stream_qc_corrected=stream_qc_corrected, stream_qc_newest_first=stream_qc_newest_first,
                       stream_slot_availability=stream_slot_availability)
 STREAM_ORACLE.update(stream_fanout=O.on_wire(DAILY_SQL),
                      stream_newest_first=O.sql(["readings"], "SELECT reading_id FROM readings"),
                      stream_daily_corrected=O.on_wire(DAILY_SQL),
                      stream_qc_corrected=O.on_wire(QC_CORRECTED_SQL),
+                     stream_qc_newest_first=O.on_wire(QC_CORRECTED_SQL),
                      stream_slot_availability=SLOTS_SQL)
