@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.frames import attach_stats
-from ..operators import aggregate, anomaly, clean, impute, qc, quality, series
+from ..operators import aggregate, anomaly, clean, impute, qc, quality, running, series
 from ..session import apply_semantics
 from ..sources import envelope
 from ..sources.tables import load_readings, load_table, readings_from_events
@@ -264,6 +264,16 @@ def q_impute_mean_by_device(spark, sf_dir):
     return r6(d, *_IMP_DBL)
 
 
+@register("impute_void_column_corrected", O.sql(["imputed"], "SELECT " + ", ".join(
+    "CAST(NULL AS INTEGER) AS light_intensity" if c == "light_intensity" else O.r6(c, c) if c in _IMP_DBL else c
+    for c in CLEAN.split(", ")) + " FROM imputed"))
+def q_impute_void_column_corrected(spark, sf_dir):
+    """A column without any value, where the modes part: corrected leaves it
+    null and fills the others (as written stops, see the tests)."""
+    void = _cleaned(spark, sf_dir).withColumn("light_intensity", F.lit(None).cast("int"))
+    return r6(impute.impute_mean(void, mode=P.CORRECTED), *_IMP_DBL)
+
+
 # ------------------------------------------------------------------ anomaly
 
 
@@ -477,6 +487,30 @@ def q_latest_daily_topk(spark, sf_dir):
     return r6(top, "maxtemp_c", "mintemp_c")
 
 
+_RUNNING_SQL = O.sql(["cleaned"], "SELECT reading_id, " + O.r6("coalesce(score, 0.0)", "anomaly_score") + """,
+ coalesce(score, 0.0) > 2.0 AS is_anomaly
+FROM (SELECT reading_id, """ + " + ".join(O._z(f) for f in O.FEATURES) + """ AS score
+      FROM cleaned c LEFT JOIN (
+        SELECT d.device_id AS of_device, d.date AS of_date, """ + ", ".join(
+    f"avg(p.{f}) AS mean_{f}, stddev_samp(p.{f}) AS stddev_{f}" for f in O.FEATURES) + """
+        FROM (SELECT DISTINCT device_id, date FROM cleaned) d JOIN cleaned p ON p.device_id = d.device_id
+          AND CAST(p.date AS DATE) BETWEEN CAST(d.date AS DATE) - 7 AND CAST(d.date AS DATE) - 1
+        GROUP BY d.device_id, d.date) r ON c.device_id = r.of_device AND c.date = r.of_date) s""")
+
+
+@register("zscore_running", _RUNNING_SQL)
+def q_zscore_running(spark, sf_dir):
+    """Scores against each device's seven days before, from moments of eight
+    micro-batches; a null value scores 0 here."""
+    rows = _cleaned(spark, sf_dir)
+    batch = F.pmod(F.xxhash64("reading_id"), F.lit(8)).alias("batch")
+    parts = running.day_moments(rows.select("*", batch), keys=("device_id", "date", "batch"))
+    scored = running.score_running(rows, running.merge_moments(parts))
+    score = F.coalesce("anomaly_score", F.lit(0.0))
+    return r6(scored.select("reading_id", score.alias("anomaly_score"), (score > 2.0).alias("is_anomaly")),
+              "anomaly_score")
+
+
 # ------------------------------------------------------------------- series
 
 
@@ -622,6 +656,45 @@ for _mode in (P.AS_WRITTEN, P.CORRECTED):
     register("qc_pressure_range" + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
 
 
+_STATIONS_SQL = """
+SELECT concat('dev', CAST(s_suppkey % 5 AS VARCHAR(20))) AS device_id,
+ CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE CAST(s_suppkey * 37 % 1500 AS DOUBLE) END AS altitude,
+ CAST(concat('2024-01-', lpad(CAST(2 + s_suppkey % 27 AS VARCHAR(20)), 2, '0'), ' 06:00:00') AS TIMESTAMP) AS valid_from
+FROM supplier"""
+
+
+def stations(spark, sf_dir) -> DataFrame:
+    """A station dimension derived from ``supplier``: devices that move, some
+    at an unknown altitude, none before the first of its rows."""
+    load_table(spark, sf_dir, "supplier").createOrReplaceTempView("meteoframe_supplier")
+    return spark.sql(_STATIONS_SQL.replace("FROM supplier", "FROM meteoframe_supplier"))
+
+
+def _pressure_altitude_query(mode):
+    def fn(spark, sf_dir):
+        rows = _readings(spark, sf_dir).select("reading_id", "device_id", "processing_timestamp", "barometric_pressure")
+        d = qc.convert_pressure_hpa(qc.with_station(rows, stations(spark, sf_dir)))
+        d = qc.qc_pressure_range(qc.expected_pressure(d), mode=mode)
+        return r6(d.select("reading_id", "altitude", "pressure_abs_dev_hpa", "QC_Pressure_range"),
+                  "pressure_abs_dev_hpa")
+    code = O.code3("(pressure_hpa < 750.0 OR pressure_hpa > 1010.0 OR pressure_abs_dev_hpa > 40.0)",
+                   "(pressure_abs_dev_hpa < 40.0)", "(pressure_abs_dev_hpa < 25.0)", mode)
+    sql_text = O.sql(["readings"], f"""
+SELECT reading_id, altitude, {O.r6("pressure_abs_dev_hpa", "pressure_abs_dev_hpa")}, {code} AS QC_Pressure_range
+FROM (SELECT *, abs(pressure_hpa - 1013.25 * exp(-coalesce(altitude, 0.0) / 8434.0)) AS pressure_abs_dev_hpa
+      FROM ({_PRESSURE_SQL}) AS p JOIN (
+        SELECT r.reading_id AS of_reading, s.altitude FROM readings r ASOF LEFT JOIN (
+          SELECT device_id, valid_from, max(altitude) AS altitude FROM ({_STATIONS_SQL}) AS t
+          GROUP BY device_id, valid_from) AS s
+        ON r.device_id = s.device_id AND r.processing_timestamp >= s.valid_from) AS a ON p.reading_id = a.of_reading)""")
+    return fn, sql_text
+
+
+for _mode in (P.AS_WRITTEN, P.CORRECTED):
+    _q, _s = _pressure_altitude_query(_mode)
+    register("qc_pressure_altitude" + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
+
+
 _QC_OUT = ["reading_id", "device_id", "uv_index", "rain_gauge", "wind_speed", "air_humidity",
            "peak_wind_gust", "air_temperature", "light_intensity", "rain_accumulation",
            "barometric_pressure", "wind_direction_sensor", "processing_timestamp", "date",
