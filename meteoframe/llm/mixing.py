@@ -115,18 +115,48 @@ def schedule(quota: DataFrame, settings: Settings) -> DataFrame:
             .select("slot", "key", "rank").unionByName(missing))
 
 
+def plan(sized: DataFrame, settings: Settings = Settings(), found: DataFrame | None = None) -> DataFrame:
+    """The mix itself, (slot, key, rank, row, low, high): at its slot a source's
+    block of that rank gives words ``low`` to ``high`` of each document in it.
+    Ordered by slot and ``at``, the place in the source's stream, it is the
+    sequence to be trained on.
+
+    ``sized`` has key, order, row, size; rows of size 0 never come. Ranks beyond
+    a pass start the source's stream again; the last slot of a source is cut
+    where the target is met.
+    """
+    b = settings.block
+    found = found if found is not None else staged(sources(sized, settings), "mix-sources")
+    quota = staged(quotas(found, settings), "mix-quotas")
+    laid = prefix_sums(
+        sized.filter("size > 0").withColumn("range", F.conv(F.substring("order", 1, 3), 16, 10).cast("long")),
+        ["key"], [F.col("order"), F.col("row")], "range", "size", "start")
+    pieces = (laid.select("key", "row", "start", (F.col("start") + F.col("size")).alias("stop"), F.explode(
+        F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
+        .withColumns({"at": F.greatest("start", F.col("block") * b),
+                      "until": F.least("stop", (F.col("block") + 1) * b)}))
+    turns = (schedule(quota, settings).join(quota.select("key", "blocks", "passes", "met"), "key")
+             .withColumn("block", F.expr("rank % blocks"))
+             # words of the stream that this pass takes: all but in the last one
+             .withColumn("end", F.expr("CASE WHEN rank div blocks = passes THEN met END")))
+    return (pieces.join(turns, ["key", "block"])
+            .withColumn("until", F.least("until", F.coalesce("end", "until"))).filter("at < until")
+            .select("slot", "key", "rank", "row", "at", (F.col("at") - F.col("start")).alias("low"),
+                    (F.col("until") - F.col("start")).alias("high")))
+
+
 def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` (doc_id, source, text, any others) with size,
-    source_size, target and taken: the words of the row that the mix takes,
-    repeats counted, at most ``most_repeats`` * size. Equal in every run.
+    source_size, target, taken: the words of the row that the mix's plan takes,
+    repeats counted, at most ``most_repeats`` * size, and slot: the first that
+    takes one (null if none does). Equal in every run.
 
     A null text has size 0; rows of size 0 are never taken. A null source is a
     source, the last. Rows equal in doc_id and text are interchangeable. Sources
     without words have target 0. An empty table gives an empty result. Columns
     named like the new ones are replaced.
     """
-    b = settings.block
-    new = ["size", "source_size", "target", "taken"]
+    new = ["size", "source_size", "target", "taken", "slot"]
     rows = docs.drop(*new)
     # sources as text that sorts as they do, the null source behind all others
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
@@ -138,25 +168,9 @@ def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sized = rows.select(F.col("__key").alias("key"), F.col("__order").alias("order"),
                         F.col("__row").alias("row"), "size")
     found = staged(sources(sized, settings), "mix-sources")
-    quota = staged(quotas(found, settings), "mix-quotas")
-    # a slot of rank k takes block k mod blocks
-    times = (schedule(quota, settings).join(quota.select("key", "blocks"), "key")
-             .groupBy("key", F.expr("rank % blocks").alias("block")).agg(F.count("*").alias("times")))
-    laid = prefix_sums(
-        sized.filter("size > 0").withColumn("range", F.conv(F.substring("order", 1, 3), 16, 10).cast("long")),
-        ["key"], [F.col("order"), F.col("row")], "range", "size", "start")
-    met = staged(laid.select("key", "row", "start", (F.col("start") + F.col("size")).alias("stop"), F.explode(
-        F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
-        .join(times, ["key", "block"])
-        .join(quota.select("key", "met"), "key")
-        .withColumn("low", F.greatest("start", F.col("block") * b))
-        .withColumn("high", F.least("stop", (F.col("block") + 1) * b))
-        # the last slot is cut where the target is met
-        .withColumn("over", F.when((F.col("met") > 0) & (F.col("block") == F.expr(f"(met - 1) div {b}")),
-                                   F.greatest(F.lit(0), F.col("high") - F.greatest("low", "met")))
-                    .otherwise(F.lit(0)))
-        .groupBy("row").agg(F.sum(F.expr("times * (high - low) - over")).alias("taken")), "mix-taken")
-    return (rows.join(met.withColumnRenamed("row", "__row"), "__row", "left")
+    met = staged(plan(sized, settings, found).groupBy(F.col("row").alias("__row")).agg(
+        F.sum(F.col("high") - F.col("low")).alias("taken"), F.min("slot").alias("slot")), "mix-taken")
+    return (rows.join(met, "__row", "left")
             .join(found.select(F.col("key").alias("__key"), "source_size", "target"), "__key")
             .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
             .drop("__key", "__order", "__row"))

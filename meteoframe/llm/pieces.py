@@ -14,6 +14,7 @@ encoded once per worker (bounded memory). Other models are encoded whole.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ _MARK = MARK.encode()
 _CHUNK = re.compile(rb"(?:\xe2\x96\x81)+(?:(?!\xe2\x96\x81).)*", re.DOTALL)
 #: Chunks that a worker remembers (twice as many at most).
 REMEMBERED = 150_000
-SCHEMA = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded string"
+SCHEMA = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded string, spans_sha256 string"
 
 
 def _fields(message: bytes) -> Iterator[tuple[int, object]]:
@@ -224,18 +225,25 @@ class Codec:
         return source[ends]
 
 
+def spans_hash(bounds: np.ndarray) -> str:
+    """Digest of where the pieces of a text begin and the last one ends, as
+    little-endian 32-bit integers."""
+    return hashlib.sha256(np.asarray(bounds).astype("<u4").tobytes()).hexdigest()
+
+
 def _coder(path: str, end_id: int | None):
     def run(batches):
         codec = memo.held(("pieces", path), lambda: Codec(path))
         last = [] if end_id is None else [end_id]
         for batch in small_batches(batches, "text"):
             texts = [t.encode() if t is not None else b"" for t in batch.column("text").to_pylist()]
-            ids, starts, ends, counts = [], [], [], []
+            ids, starts, ends, counts, spans = [], [], [], [], []
             for text, (own, bounds) in zip(texts, codec.encode(texts)):
                 ids += [own, last]
                 starts += [bounds[:-1], [len(text)] * len(last)]
                 ends += [bounds[1:], [len(text)] * len(last)]
                 counts.append(len(own) + len(last))
+                spans.append(spans_hash(bounds))
             flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
             cuts = np.cumsum([0, *counts])
             decoded = [codec.model.decode(flat[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
@@ -243,14 +251,15 @@ def _coder(path: str, end_id: int | None):
                 [batch.column("doc_id"), list_array(flat, counts, pa.int32()),
                  list_array(np.concatenate(starts).astype(np.int32), counts, pa.int32()),
                  list_array(np.concatenate(ends).astype(np.int32), counts, pa.int32()),
-                 pa.array(decoded, pa.string())],
-                ["doc_id", "ids", "starts", "ends", "decoded"])
+                 pa.array(decoded, pa.string()), pa.array(spans, pa.string())],
+                ["doc_id", "ids", "starts", "ends", "decoded", "spans_sha256"])
     return run
 
 
 def encode_decode(docs: DataFrame, model_path: str, end_id: int | None = 2) -> DataFrame:
     """doc_id, ids, starts, ends (original byte span of each piece; the end id
-    spans nothing at the end), decoded, of every row of ``docs`` (doc_id, text).
+    spans nothing at the end), decoded, spans_sha256 (of the pieces' bounds
+    without the end id, see ``spans_hash``), of every row of ``docs`` (doc_id, text).
 
     A null text is an empty text: only the end id. A null doc_id is kept.
     Repeated rows give repeated rows, an empty table an empty result; other

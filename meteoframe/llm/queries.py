@@ -72,8 +72,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        # pieces lie end to end on the text: its last byte is the last span's end
-        F.element_at("ends", -1).cast("long").alias("n_bytes"))
+        "spans_sha256",
+        # where the alignment puts the end of the last piece before the end id
+        F.expr("CASE WHEN size(ends) > 1 THEN element_at(ends, -2) ELSE 0 END").cast("long").alias("n_bytes"))
 
 
 @register("op7_near_duplicates", sql.NEAR_DUPLICATES)
@@ -84,7 +85,7 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_mixing", sql.MIXING)
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "slot")
 
 
 @register("op9_token_files")

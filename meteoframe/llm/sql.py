@@ -46,8 +46,23 @@ WITH rows AS (
  laid AS (SELECT r.*, source_size, target, CAST(least(floor(target), 3 * source_size) AS BIGINT) AS words,
                  CAST(sum(size) OVER (PARTITION BY k ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size
                    AS start
-          FROM rows r JOIN target USING (k))
+          FROM rows r JOIN target USING (k)),
+ quota AS (SELECT k, met, blocks, words // source_size * blocks + (met + 63) // 64 AS quota
+           FROM (SELECT DISTINCT k, words, source_size, words % source_size AS met, (source_size + 63) // 64 AS blocks
+                 FROM laid WHERE source_size > 0)),
+ shares AS (SELECT k, quota, CAST(floor((sum(quota) OVER u - quota) / (sum(quota) OVER ()) * 2147483648) AS BIGINT) AS low,
+                   CAST(floor(sum(quota) OVER u / (sum(quota) OVER ()) * 2147483648) AS BIGINT) AS high,
+                   CAST(sum(quota) OVER () AS BIGINT) AS total
+            FROM quota WINDOW u AS (ORDER BY encode(k) ROWS UNBOUNDED PRECEDING)),
+ points AS (SELECT i AS slot, i % 2147483648 * 1327217885 % 2147483648 AS point
+            FROM (SELECT unnest(range((SELECT any_value(total) FROM shares))) AS i)),
+ turns AS (SELECT k, slot, row_number() OVER (PARTITION BY k ORDER BY slot) - 1 AS rank
+           FROM points JOIN shares ON point >= low AND point < high),
+ reached AS (SELECT k, count(*) AS n FROM turns GROUP BY k)
 SELECT doc_id, size, source_size, target,
+       CASE WHEN size > 0 AND (words >= source_size OR start < words % source_size) THEN coalesce(
+         (SELECT t.slot FROM turns t WHERE t.k = laid.k AND t.rank = start // 64),
+         (SELECT any_value(total) FROM shares) + start // 64) END AS slot,
        CASE WHEN size = 0 THEN 0 ELSE
          size * (words // source_size)
          + greatest(0, least(size, words % source_size - start)) END AS taken

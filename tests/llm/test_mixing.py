@@ -68,6 +68,45 @@ def test_schedule_keeps_sources_in_proportion(spark):
             assert abs(seen["a"] - 0.7 * (i + 1)) < 6 and abs(seen["b"] - 0.2 * (i + 1)) < 6
 
 
+def sized_rows(spark):
+    rows = [(i, k, f"{i * 7919 % 997:03x}{i:05d}", i % 90) for i, k in enumerate("aaaabbc" * 60)]
+    return rows, staged(spark.createDataFrame(rows, "row long, key string, order string, size long"), "t")
+
+
+def test_plan_takes_each_word_as_often_as_its_pass(spark):
+    """The plan replayed: sources' streams of words, block after block."""
+    settings = mixing.Settings(block=8, slot_range=50)
+    rows, df = sized_rows(spark)
+    found = {r.key: r for r in mixing.sources(df, settings).collect()}
+    got = sorted((r.slot, r.key, r["rank"], r.at, r.row, r.low, r.high) for r in mixing.plan(df, settings).collect())
+    for key, f in found.items():
+        stream = [(i, w) for i, k, _, n in sorted(rows, key=lambda r: (int(r[2][:3], 16), r[2], r[0])) if k == key
+                  for w in range(n)]
+        words = min(int(f.target), 3 * f.source_size)
+        want = (stream * 3)[:words]
+        assert [(row, w) for _, k, _, _, row, low, high in got if k == key for w in range(low, high)] == want
+    # the slots of one stretch hold the sources in proportion
+    total = sum(g[-1] - g[-2] for g in got)
+    for part in range(0, len(got) - 300, 300):
+        some = got[part:part + 300]
+        share = sum(g[-1] - g[-2] for g in some if g[1] == "a") / sum(g[-1] - g[-2] for g in some)
+        assert abs(share - sum(g[-1] - g[-2] for g in got if g[1] == "a") / total) < 0.15
+
+
+def test_the_sequence_decides_the_slots(spark, monkeypatch):
+    rows = rows_of()
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    first = {r: n for *r, n in ((r.doc_id, r.source, r.size, r.taken, r.slot) for r in mixing.mix(df).collect())
+             for r in [tuple(r)]}
+    monkeypatch.setattr(mixing, "GOLDEN", 3)
+    other = {r: n for *r, n in ((r.doc_id, r.source, r.size, r.taken, r.slot) for r in mixing.mix(df).collect())
+             for r in [tuple(r)]}
+    assert first.keys() == other.keys()
+    moved = sum(first[r] != other[r] for r in first)
+    assert moved > len(first) / 2
+    assert all((n is None) == (r[3] == 0) for r, n in first.items())
+
+
 def test_word_count(spark):
     import pyspark.sql.functions as F
     texts = ["", None, " a ", "a\x0bb\x0cc\td\ne\rf", "x y z", "\x1c a"]

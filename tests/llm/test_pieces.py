@@ -62,6 +62,9 @@ def test_query_matches_brute_force(spark):
     for d in docs:
         ids = model.encode(d["text"] or "") + [2]
         r = got[d["doc_id"]]
-        assert r.n_tokens == len(ids) and r.n_bytes == len((d["text"] or "").encode())
+        made = model.encode(d["text"] or "", return_type="proto").pieces
+        bounds = [p.begin for p in made] + [made[-1].end if made else 0]
+        assert r.n_tokens == len(ids) and r.n_bytes == bounds[-1]
+        assert r.spans_sha256 == hashlib.sha256(np.array(bounds, "<u4").tobytes()).hexdigest()
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
