@@ -1,8 +1,10 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
 A lower-cased text's tokens are its runs of non-space characters, cut in parts
-of at most ``part`` characters (so that texts without spaces have tokens too).
-Every ``gram`` consecutive tokens give a rolling 32-bit hash; in every window of
+of at most ``part`` characters. A run of more than ``word`` characters is no word
+(a text without spaces, an encoded string): it has a token of ``part`` characters
+from every character on, so that a passage has the same tokens wherever in such
+runs it stands. Every ``gram`` consecutive tokens give a rolling 32-bit hash; in every window of
 ``window`` consecutive hashes the smallest is chosen, the rightmost of equal
 ones, and kept with its token position. Texts that share ``gram + window - 1``
 consecutive tokens therefore share a fingerprint, wherever it stands. A text
@@ -32,6 +34,7 @@ class Settings:
     gram: int = 4
     window: int = 4
     part: int = 8
+    word: int = 32
     #: ids that share a window of the neighbour search
     id_range: int = 1024
 
@@ -49,10 +52,21 @@ def _runs(items: Column, width: int, body) -> Column:
         F.array().cast("array<bigint>"))
 
 
+def tokens(text: Column, settings: Settings) -> Column:
+    """The tokens of a lower-cased text. Only texts with a run that is no word
+    are looked at again."""
+    part, longer = rf"[^{SPACE_CLASS}]{{1,{settings.part}}}", rf"[^{SPACE_CLASS}]{{{settings.word + 1}"
+    runs = F.regexp_extract_all(text, F.lit(rf"{longer},}}+|{part}"), F.lit(0))
+    slid = F.flatten(F.transform(runs, lambda r: F.when(
+        F.length(r) > settings.part, F.regexp_extract_all(r, F.lit(rf"(?s)(?=(.{{{settings.part}}}))."), F.lit(1)))
+        .otherwise(F.array(r))))
+    return F.when(F.regexp_like(text, F.lit(longer + "}")), slid).otherwise(
+        F.regexp_extract_all(text, F.lit(part), F.lit(0)))
+
+
 def chosen(text: Column, settings: Settings = Settings()) -> Column:
     """Array of the numbers (hash, position) chosen from ``text``, in order."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(rf"[^{SPACE_CLASS}]{{1,{settings.part}}}"), F.lit(0))
-    hashes = F.transform(tokens, lambda t: F.xxhash64(t))
+    hashes = F.transform(tokens(F.lower(text), settings), lambda t: F.xxhash64(t))
 
     def grams(h):
         return _runs(h, settings.gram, lambda i: (

@@ -19,7 +19,10 @@ def signed_hash(values, seed=42):
 
 def brute(text):
     """[(hash, position)] by looking at every window."""
-    tokens = re.findall(r"[^\x20\x09-\x0D]{1,%d}" % S.part, text.lower())
+    tokens = []
+    for run in re.findall(r"[^\x20\x09-\x0D]+", text.lower()):
+        tokens += ([run[i:i + S.part] for i in range(len(run) - S.part + 1)] if len(run) > S.word
+                   else [run[i:i + S.part] for i in range(0, len(run), S.part)])
     h = [signed_hash([t.encode()]) for t in tokens]
     if not h:
         return []
@@ -76,3 +79,26 @@ def test_query_matches_brute_force(spark):
     for g in got:
         by.setdefault(g[3], []).append(g)
     assert sum(g[5] > g[6] for g in got) > 0.9 * len(got)
+
+
+def test_unspaced_passages_match_wherever_they_stand(spark):
+    """A passage without spaces after one to nine other characters."""
+    import random
+    rng = random.Random(9)
+    passage = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400))
+    odd = "".join(chr(0x1F600 + rng.randrange(60)) for _ in range(100)) + "".join(rng.choices("abcXYZ0189+/", k=200))
+    rows = [(100 - k, "".join(chr(0x3041 + rng.randrange(80)) for _ in range(k)) + p)
+            for p, at in ((passage, 0), (odd, 50)) for k in range(at and 1, 10)]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in winnow.fingerprint_edits(df).collect()}
+    for d, t in rows:
+        assert got[d].fingerprint == as_text(brute(t))
+    shared = [r.near_next for d, r in got.items() if d not in (0, 10)]
+    assert min(shared) > 0.8
+
+
+def test_runs_about_the_length_of_a_word(spark):
+    rows = [(n, "x y " + "".join(chr(97 + i * 7 % 26) for i in range(n)) + " z") for n in range(28, 40)]
+    got = winnow.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.fingerprint for r in got} == {d: as_text(brute(t)) for d, t in rows}
