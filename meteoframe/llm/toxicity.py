@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import memo
-from .common import binary_array, small_batches
+from .common import binary_array, small_batches, staged
 
 
 @dataclass(frozen=True)
@@ -205,14 +206,22 @@ def _hits(texts: list[str | None], feature: np.ndarray, settings: Settings
     return keys // len(feature), keys % len(feature)
 
 
-def _fit(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings: Settings
+def _drained(items: list) -> Iterator:
+    """The items in order, each leaving the list as it is handed on."""
+    items.reverse()
+    while items:
+        yield items.pop()
+
+
+def _fit(rows: Iterable[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings: Settings
          ) -> tuple[np.ndarray, float]:
     """Penalised logistic regression on presence times scale by L-BFGS. A
     feature that no row has stays at 0, its optimum, and takes no part."""
+    rows = list(rows)                          # its items go as they are taken over
     sizes = np.array([len(r) for r in rows], np.int64)
-    col = np.concatenate(rows).astype(np.int32, copy=False) if len(rows) else np.zeros(0, np.int32)
     held = np.zeros(len(scale), bool)
-    held[col] = True
+    for row in rows:
+        held[row] = True
     held = np.flatnonzero(held)
     number = np.zeros(len(scale), np.int32)
     number[held] = np.arange(len(held))
@@ -221,8 +230,10 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings
     while cuts[-1] < len(rows):
         start = ends[cuts[-1]] - sizes[cuts[-1]]
         cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, start + _CHUNK, side="right"))))
-    parts = [(a, b, number[col[ends[a] - sizes[a]:ends[b - 1]]]) for a, b in zip(cuts, cuts[1:])]
-    del col
+    parts = []
+    for a, b in zip(cuts, cuts[1:]):
+        parts.append((a, b, number[np.concatenate(rows[a:b])]))
+        rows[a:b] = [None] * (b - a)
     own, k, n = scale[held], len(held), len(rows)
 
     def loss(w):
@@ -298,10 +309,14 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     share = min(1.0, settings.sample_rows / (n0 + n1))
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
     sent = spark.sparkContext.broadcast(feature)
-    got = (texts.filter(drawn).join(labels.filter(drawn).hint("merge"), "doc_id").select("text", "toxic")
-           .mapInArrow(_features(settings, sent), "toxic int, features binary").toArrow())
-    held = [np.frombuffer(raw.as_buffer(), np.int32) for raw in got["features"]]
-    weight, bias = _fit(held, got["toxic"].to_numpy().astype(float), scale[order], settings)
+    # written by all tasks, then fetched file by file: the driver holds the rows once
+    got = staged(texts.filter(drawn).join(labels.filter(drawn).hint("merge"), "doc_id").select("text", "toxic")
+                 .mapInArrow(_features(settings, sent), "toxic int, features binary"), "toxicity-sample")
+    held, marks = [], []
+    for row in got.toLocalIterator():
+        held.append(np.frombuffer(row["features"], np.int32))
+        marks.append(row["toxic"])
+    weight, bias = _fit(_drained(held), np.array(marks, float), scale[order], settings)
     return Model(feature, weight, bias, settings)
 
 
