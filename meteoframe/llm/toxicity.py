@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -206,35 +206,39 @@ def _hits(texts: list[str | None], feature: np.ndarray, settings: Settings
     return keys // len(feature), keys % len(feature)
 
 
-def _drained(items: list) -> Iterator:
-    """The items in order, each leaving the list as it is handed on."""
-    items.reverse()
-    while items:
-        yield items.pop()
-
-
-def _fit(rows: Iterable[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings: Settings
+def _fit(rows: Iterable[np.ndarray], labels: Sequence[float], scale: np.ndarray, settings: Settings
          ) -> tuple[np.ndarray, float]:
     """Penalised logistic regression on presence times scale by L-BFGS. A
-    feature that no row has stays at 0, its optimum, and takes no part."""
-    rows = list(rows)                          # its items go as they are taken over
-    sizes = np.array([len(r) for r in rows], np.int64)
-    held = np.zeros(len(scale), bool)
+    feature that no row has stays at 0, its optimum, and takes no part. Rows are
+    put together as they come, about ``_CHUNK`` features a part, and ``labels``
+    is read when all have come: the driver holds the features once."""
+    sizes: list[int] = []
+    parts: list[tuple[int, int, np.ndarray]] = []
+    seen, waiting = np.zeros(len(scale), bool), []
+
+    def close() -> None:
+        part = np.concatenate(waiting).astype(np.int32)
+        seen[part] = True
+        parts.append((len(sizes) - len(waiting), len(sizes), part))
+        waiting.clear()
+
+    size = 0
     for row in rows:
-        held[row] = True
-    held = np.flatnonzero(held)
+        waiting.append(row)
+        sizes.append(len(row))
+        size += len(row)
+        if size >= _CHUNK:
+            close()
+            size = 0
+    if waiting:
+        close()
+    held = np.flatnonzero(seen)
     number = np.zeros(len(scale), np.int32)
     number[held] = np.arange(len(held))
-    ends = np.cumsum(sizes)
-    cuts = [0]                                 # rows of about _CHUNK features
-    while cuts[-1] < len(rows):
-        start = ends[cuts[-1]] - sizes[cuts[-1]]
-        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, start + _CHUNK, side="right"))))
-    parts = []
-    for a, b in zip(cuts, cuts[1:]):
-        parts.append((a, b, number[np.concatenate(rows[a:b])]))
-        rows[a:b] = [None] * (b - a)
-    own, k, n = scale[held], len(held), len(rows)
+    for _, _, part in parts:
+        part[:] = number[part]
+    sizes, labels = np.array(sizes, np.int64), np.asarray(labels, float)
+    own, k, n = scale[held], len(held), len(sizes)
 
     def loss(w):
         z, slope, value = np.empty(n), np.zeros(k), own * w[:k]
@@ -312,11 +316,14 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     # written by all tasks, then fetched file by file: the driver holds the rows once
     got = staged(texts.filter(drawn).join(labels.filter(drawn).hint("merge"), "doc_id").select("text", "toxic")
                  .mapInArrow(_features(settings, sent), "toxic int, features binary"), "toxicity-sample")
-    held, marks = [], []
-    for row in got.toLocalIterator():
-        held.append(np.frombuffer(row["features"], np.int32))
-        marks.append(row["toxic"])
-    weight, bias = _fit(_drained(held), np.array(marks, float), scale[order], settings)
+    marks: list[float] = []
+
+    def sample() -> Iterator[np.ndarray]:
+        for row in got.toLocalIterator():
+            marks.append(row["toxic"])
+            yield np.frombuffer(row["features"], np.int32)
+
+    weight, bias = _fit(sample(), marks, scale[order], settings)
     return Model(feature, weight, bias, settings)
 
 
