@@ -57,3 +57,13 @@ def test_sizing_rule():
     assert sizing(1)["spark.sql.shuffle.partitions"] == "1"
     assert sizing(10 * (128 << 20))["spark.sql.shuffle.partitions"] == "10"
     assert sizing(100 * 10 ** 12)["spark.sql.shuffle.partitions"] == "745059"
+
+
+def test_schema_gaps_tell_other_kinds_of_type():
+    from pyspark.sql.types import StructType
+    from meteoframe.sinks import writers
+    expected = StructType.fromDDL("a int, b string, c date, d array<string>, e boolean")
+    assert writers.schema_gaps(StructType.fromDDL("A decimal(10,2), B varchar(9), c timestamp, d array<string>, e boolean"),
+                               expected) == []
+    assert writers.schema_gaps(StructType.fromDDL("a string, b string, c date, d string, e int"), expected) == [
+        "a (string, not int)", "d (string, not array<string>)", "e (int, not boolean)"]
