@@ -1,8 +1,9 @@
 """Language identification by segmentation-marginalised unigrams.
 
 A fixed public vocabulary gives the pieces; each language has one probability
-per piece. A word (a run of letters, lower-cased, behind a word mark) has as its
-likelihood the sum over *all* its segmentations into pieces of the product of
+per piece. A word (lower-cased letters that follow each other, 63 at most, so that
+a longer run is several words, in training and scoring alike; behind a word mark)
+has as its likelihood the sum over *all* its segmentations into pieces of the product of
 their probabilities, computed by the forward algorithm over character
 positions. Characters that are no piece are spelled by their byte pieces. A
 text's likelihood is the product over its words; with the languages' shares of
@@ -14,10 +15,9 @@ task; each round's expected piece counts come from forward and backward sums
 over every distinct word, and only (piece, language) totals, whose number is
 fixed by the vocabulary, reach the driver.
 
-Work per distinct word is vectorised over words of one length. A worker
-remembers the likelihoods of words it has met (bounded); runs of more than
-``LONG`` characters (texts without spaces) go through the same recurrence with
-rescaling, one by one.
+Work per distinct word is vectorised over words of one length: one recurrence for
+all, in which sums that get small are rescaled and the scale's log is kept. A
+worker remembers the likelihoods of words it has met (bounded).
 """
 
 from __future__ import annotations
@@ -39,7 +39,10 @@ MARK = "▁"
 UNKNOWN = "und"
 LONG = 64
 REMEMBERED = 200_000
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(rf"[^\W\d_]{{1,{LONG - 1}}}")
+#: Positions between looks at the size of the sums, and what is small. The
+#: pieces of so many positions (four bytes each) can't take them to zero.
+EVERY, SMALL = 4, 1e-100
 
 
 class Vocabulary:
@@ -99,7 +102,7 @@ class Lattice:
     def __init__(self, vocabulary: Vocabulary, words: list[str]):
         length = len(words[0])
         codes = _codes(words, length)
-        self.n, self.length = len(words), length
+        self.n, self.length, self.most = len(words), length, vocabulary.most
         self.arcs: list[list[tuple]] = [[] for _ in range(length)]   # start: (end, rows, piece ids)
         self.spelled: list[list[tuple]] = [[] for _ in range(length)]  # start: (row, byte piece ids)
         for start in range(length):
@@ -114,81 +117,97 @@ class Lattice:
                         spelling = vocabulary.byte[list(words[row][start].encode("utf-8", "replace"))]
                         self.spelled[start].append((int(row), spelling))
 
-    def forward(self, p: np.ndarray) -> np.ndarray:
+    def _rescale(self, sums: np.ndarray, logs: np.ndarray | None, at: int, later: slice) -> np.ndarray | None:
+        """If row ``at`` holds a small sum, divide the rows that later steps
+        read by their greatest value for each word and language. ``logs`` (None:
+        all 0) are the logs of what rows were divided by, and so what ``later``
+        rows, read or yet to be made, are divided by."""
+        if at % EVERY or sums[at].min() >= SMALL:
+            return logs
+        read = slice(at, at + self.most + 1)
+        top = sums[read].max(axis=0)
+        top[top == 0] = 1
+        sums[read] /= top
+        if logs is None:
+            logs = np.zeros_like(sums)
+        logs[later] += np.log(top)
+        return logs
+
+    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """alpha (length + 1, words, languages): summed weight of all
-        segmentations of each prefix, with (piece, language) weights p."""
-        alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
+        segmentations of each prefix, with (piece, language) weights p; and the
+        logs of what its rows were divided by."""
+        alpha, logs = np.zeros((self.length + 1, self.n, p.shape[1])), None
         alpha[0] = 1
         for start in range(self.length):
+            logs = self._rescale(alpha, logs, start, slice(start, None))
             for end, rows, ids in self.arcs[start]:
                 alpha[end, rows] += alpha[start, rows] * p[ids]
             for row, spelling in self.spelled[start]:
                 alpha[start + 1, row] += alpha[start, row] * p[spelling].prod(axis=0)
-        return alpha
+        return alpha, logs
 
-    def backward(self, p: np.ndarray) -> np.ndarray:
+    def backward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """The same of each suffix."""
-        beta = np.zeros((self.length + 1, self.n, p.shape[1]))
+        beta, logs = np.zeros((self.length + 1, self.n, p.shape[1])), None
         beta[self.length] = 1
         for start in reversed(range(self.length)):
             for end, rows, ids in self.arcs[start]:
                 beta[start, rows] += beta[end, rows] * p[ids]
             for row, spelling in self.spelled[start]:
                 beta[start, row] += beta[start + 1, row] * p[spelling].prod(axis=0)
-        return beta
+            logs = self._rescale(beta, logs, start, slice(0, start + self.most + 1))
+        return beta, logs
+
+    def logs(self, p: np.ndarray) -> np.ndarray:
+        """Log likelihoods (words, languages)."""
+        alpha, logs = self.forward(p)
+        whole = np.log(np.maximum(alpha[self.length], 5e-324))
+        return whole if logs is None else whole + logs[self.length]
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece in ``counts`` (words, languages)."""
-        alpha, beta = self.forward(p), self.backward(p)
-        weight = counts / np.maximum(alpha[self.length], 1e-290)
+        (alpha, a), (beta, b) = self.forward(p), self.backward(p)
+        end_sum = np.maximum(alpha[self.length], 5e-324)
+        if a is None and b is None:
+            weight = counts / end_sum
+
+            def share(start, end, rows, piece):
+                return alpha[start, rows] * beta[end, rows] * piece * weight[rows]
+        else:
+            none = np.zeros_like(alpha)
+            a, b = none if a is None else a, none if b is None else b
+            whole = np.log(end_sum) + a[self.length]
+
+            def share(start, end, rows, piece):
+                with np.errstate(divide="ignore"):
+                    logs = (np.log(alpha[start, rows]) + np.log(beta[end, rows]) + np.log(piece)
+                            + a[start, rows] + b[end, rows] - whole[rows])
+                return np.exp(logs) * counts[rows]
+
         ids, uses = [np.zeros(0, np.int64)], [np.zeros((0, p.shape[1]))]
         for start in range(self.length):
             for end, rows, piece in self.arcs[start]:
                 ids.append(piece)
-                uses.append(alpha[start, rows] * beta[end, rows] * p[piece] * weight[rows])
+                uses.append(share(start, end, rows, p[piece]))
             for row, spelling in self.spelled[start]:
-                use = alpha[start, row] * beta[start + 1, row] * p[spelling].prod(axis=0) * weight[row]
+                use = share(start, start + 1, row, p[spelling].prod(axis=0))
                 ids.append(spelling)
                 uses.append(np.repeat(use[None], len(spelling), axis=0))
         at, use = np.concatenate(ids), np.concatenate(uses)
         return np.stack([np.bincount(at, use[:, k], minlength=len(p)) for k in range(p.shape[1])], axis=1)
 
 
-def _long_word(vocabulary: Vocabulary, p: np.ndarray, word: str) -> np.ndarray:
-    """Log of the same sum for one long run, rescaled at each position."""
-    logs = np.zeros(p.shape[1])
-    window = [np.ones(p.shape[1])]                               # alpha of the last positions
-    for end in range(1, len(word) + 1):
-        total = np.zeros(p.shape[1])
-        for k in range(1, min(end, vocabulary.most) + 1):
-            piece = vocabulary.ids.get(word[end - k:end])
-            if piece is not None:
-                total = total + window[-k] * p[piece]
-            elif k == 1:
-                total = total + window[-1] * p[vocabulary.byte[list(word[end - 1].encode())]].prod(axis=0)
-        window.append(total)
-        window = window[-vocabulary.most:]
-        scale = np.maximum(total, 1e-290)
-        logs += np.log(scale)
-        window = [w / scale for w in window]
-    return logs
-
-
 def word_logs(vocabulary: Vocabulary, p: np.ndarray, words: list[str]) -> np.ndarray:
     """Log likelihoods (words, languages) of marked words."""
     out = np.empty((len(words), p.shape[1]))
     by_length: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         by_length.setdefault(len(w), []).append(i)
-    for length, rows in by_length.items():
-        if length > LONG:
-            for i in rows:
-                out[i] = _long_word(vocabulary, p, words[i])
-            continue
+    for rows in by_length.values():
         for at in range(0, len(rows), 8192):
             part = rows[at:at + 8192]
-            lattice = Lattice(vocabulary, [words[i] for i in part])
-            out[part] = np.log(np.maximum(lattice.forward(p)[length], 1e-290))
+            out[part] = Lattice(vocabulary, [words[i] for i in part]).logs(p)
     return out
 
 
@@ -210,10 +229,7 @@ def _counter(flush: int = 300_000):
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                words = _words(text)
-                if words and max(map(len, words)) >= LONG:
-                    words = [w[k:k + LONG - 1] for w in words for k in range(0, len(w), LONG - 1)]
-                held.setdefault(lang, Counter()).update(words)
+                held.setdefault(lang, Counter()).update(_words(text))
                 if sum(map(len, held.values())) > flush:
                     yield from out()
         yield from out()
@@ -221,8 +237,7 @@ def _counter(flush: int = 300_000):
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n) over ``docs`` with text and lang; long runs are cut in
-    parts of ``LONG`` - 1 letters for counting only."""
+    """(lang, word, n) over ``docs`` with text and lang."""
     return (docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
             .mapInArrow(_counter(), "lang string, word string, n long")
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
