@@ -26,8 +26,9 @@ from .common import prefix_sums, staged
 @dataclass(frozen=True)
 class Settings:
     fan: int = 16
-    #: ids in one window of the prefix sums
-    id_range: int = 1024
+    #: ranges of rows, each a window of the prefix sums; as many as shuffle
+    #: partitions if None
+    ranges: int | None = None
 
 
 def record(url: Column, body: Column) -> Column:
@@ -39,6 +40,13 @@ def record(url: Column, body: Column) -> Column:
                     F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
+def in_ranges(rows: DataFrame, order: list[Column], settings: Settings = Settings()) -> DataFrame:
+    """``rows`` dealt into even ranges of their whole order, with the range's
+    number: dense, sparse, repeated and null ids fill them alike."""
+    dealt = rows.repartitionByRange(*([settings.ranges] if settings.ranges else []), *order)
+    return dealt.withColumn("range", F.spark_partition_id())
+
+
 def leaves(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(page_id, ordinal, start, length, hash) of each row's record, in order of
     page_id (null first, equal ids by hash). Only hashes and lengths are
@@ -47,9 +55,8 @@ def leaves(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
             .select("page_id", F.sha2("record", 256).alias("hash"),
                     F.octet_length("record").cast("long").alias("length"))
             .withColumn("row", F.monotonically_increasing_id()))
-    rows = staged(rows.withColumn("range", F.floor(F.coalesce("page_id", F.lit(-(1 << 63))) / settings.id_range))
-                  .withColumn("one", F.lit(1)), "fixity-leaves")
     order = [F.col("page_id").asc_nulls_first(), F.col("hash"), F.col("row")]
+    rows = staged(in_ranges(rows, order, settings).withColumn("one", F.lit(1)), "fixity-leaves")
     rows = prefix_sums(rows, [], order, "range", "length", "start")
     rows = prefix_sums(rows, [], order, "range", "one", "ordinal")
     return rows.select("page_id", F.col("ordinal").cast("long").alias("ordinal"),

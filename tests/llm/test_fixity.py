@@ -1,12 +1,14 @@
 """Merkle audit against direct comparison and a hand-built tree."""
 
 import hashlib
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from meteoframe.llm import fixity
 
-S = fixity.Settings(fan=3, id_range=4)
+S = fixity.Settings(fan=3, ranges=11)
 COLS = "page_id long, url string, html string, hash string"
 
 
@@ -60,3 +62,20 @@ def test_missing_record_and_empty(spark):
     assert all(r.corrupt == (r.ordinal >= at) for r in got)
     assert fixity.audit_replica(df.limit(0), df.limit(0), S).count() == 0
     assert all(r.corrupt for r in fixity.audit_replica(df, df.limit(0), S).collect())
+
+
+def test_ranges_are_even_for_sparse_repeated_and_null_ids(spark):
+    rng = random.Random(4)
+    ids = [rng.getrandbits(63) - (1 << 62) for _ in range(800)] + [None] * 800 + [7] * 400
+    df = spark.createDataFrame([(i, f"http://x/{k}", str(k)) for k, i in enumerate(ids)],
+                               "page_id long, url string, html string").repartition(5)
+    settings = fixity.Settings(ranges=8)
+    rows = df.select("page_id", F.sha2("html", 256).alias("hash"))
+    order = [F.col("page_id").asc_nulls_first(), F.col("hash")]
+    sizes = [r["count"] for r in fixity.in_ranges(rows, order, settings).groupBy("range").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 2000 / 8 * 1.5
+    got = sorted(fixity.leaves(df, settings).collect(), key=lambda r: r.ordinal)
+    assert [r.ordinal for r in got] == list(range(2000))
+    keys = [(r.page_id is not None, r.page_id or 0, r.hash) for r in got]
+    assert keys == sorted(keys)
+    assert all(a.start + a.length == b.start for a, b in zip(got, got[1:]))
