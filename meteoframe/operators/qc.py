@@ -10,6 +10,8 @@ the temperature step and the daily metrics together (see ``series``).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,46 +37,42 @@ def time_gap_code(time_diff: str = "time_diff", lo: float = P.TIME_GAP_MIN,
     return F.when(irregular, F.lit(P.QC_GAP_IRREGULAR)).otherwise(F.lit(P.QC_GAP_REGULAR))
 
 
-def tair_range_code(thr=None, mode=P.AS_WRITTEN, column="air_temperature") -> Column:
-    """Air temperature: fail outside [Tair_min_phy, Tair_max_phy], warn inside
-    it, ok in [Tair_warn_min_clim, Tair_warn_max_clim]."""
-    t, x = _thr(thr), F.col(column)
-    return R.qc_code(
-        fail=(x < t["Tair_min_phy"]) | (x > t["Tair_max_phy"]),
-        warn=(x >= t["Tair_min_phy"]) & (x <= t["Tair_max_phy"]),
-        ok=x.between(t["Tair_warn_min_clim"], t["Tair_warn_max_clim"]),
-        mode=mode)
-
-
-def rh_range_code(thr=None, mode=P.AS_WRITTEN, column="air_humidity") -> Column:
-    """Relative humidity: fail outside [RH_min_phy, RH_max_phy], warn inside
-    it, ok in [RH_warn_min_clim, RH_max_phy]."""
-    t, x = _thr(thr), F.col(column)
-    return R.qc_code(
-        fail=(x < t["RH_min_phy"]) | (x > t["RH_max_phy"]),
-        warn=x.between(t["RH_min_phy"], t["RH_max_phy"]),
-        ok=x.between(t["RH_warn_min_clim"], t["RH_max_phy"]),
-        mode=mode)
-
-
-def windspeed_range_code(thr=None, mode=P.AS_WRITTEN, column="wind_speed") -> Column:
-    """Wind speed: fail outside [Wind_min_phy, Wind_max_phy], warn inside it,
-    ok in [Wind_min_phy, Wind_warn_max_clim]."""
-    t, x = _thr(thr), F.col(column)
-    return R.qc_code(
-        fail=(x < t["Wind_min_phy"]) | (x > t["Wind_max_phy"]),
-        warn=x.between(t["Wind_min_phy"], t["Wind_max_phy"]),
-        ok=x.between(t["Wind_min_phy"], t["Wind_warn_max_clim"]),
-        mode=mode)
-
-
-def winddir_range_code(thr=None, mode=P.AS_WRITTEN, column="wind_direction_sensor") -> Column:
-    """Wind direction: fail outside [WindDir_min_phy, WindDir_max_phy], else ok."""
-    t, x = _thr(thr), F.col(column)
-    return R.qc_code(
-        fail=(x < t["WindDir_min_phy"]) | (x > t["WindDir_max_phy"]),
-        ok=x.between(t["WindDir_min_phy"], t["WindDir_max_phy"]),
-        mode=mode)
+@dataclass(frozen=True)
+class Band:
+    """A check of one measure against bands whose edges are threshold names
+    (None: open): fail outside [``low``, ``high``], ok inside [``ok_low``,
+    ``ok_high``]; warn ``inside`` the fail limits, only ``above`` the ok band,
+    or never (None). ``absolute`` checks the measure without its sign."""
+    column: str
+    low: str | None
+    high: str | None
+    ok_low: str | None
+    ok_high: str | None
+    warn: str | None = "inside"
+    absolute: bool = False
+
+    def code(self, thr: Mapping | None = None, mode: str = P.AS_WRITTEN, column: str | None = None) -> Column:
+        edges = {None: None, **_thr(thr)}
+        x = F.col(column or self.column)
+        x = F.abs(x) if self.absolute else x
+        low, high = edges[self.low], edges[self.high]
+        beyond = [c for c, e in ((x < low, low), (x > high, high)) if e is not None]
+        warn = {"inside": R.in_range(x, low, high), "above": (x > edges[self.ok_high]) & (x <= high), None: None}
+        return R.qc_code(fail=reduce(Column.__or__, beyond), warn=warn[self.warn],
+                         ok=R.in_range(x, edges[self.ok_low], edges[self.ok_high]), mode=mode)
+
+
+#: The checks that compare one measure with bands.
+BANDS = {
+    "QC_Tair_range": Band("air_temperature", "Tair_min_phy", "Tair_max_phy", "Tair_warn_min_clim", "Tair_warn_max_clim"),
+    "QC_RH_range": Band("air_humidity", "RH_min_phy", "RH_max_phy", "RH_warn_min_clim", "RH_max_phy"),
+    "QC_WindSpeed_range": Band("wind_speed", "Wind_min_phy", "Wind_max_phy", "Wind_min_phy", "Wind_warn_max_clim"),
+    "QC_WindDir_range": Band("wind_direction_sensor", "WindDir_min_phy", "WindDir_max_phy",
+                             "WindDir_min_phy", "WindDir_max_phy", warn=None),
+    "QC_Rain_15min": Band("rain_gauge", "Rain_min_inc", "Rain_max_15min", None, "Rain_warn_15min", warn="above"),
+    "QC_Tair_step": Band("tair_step", None, "Tair_max_step_fail", None, "Tair_max_step_warn", absolute=True),
+    "QC_Rain_Daily": Band("daily_rain_mm", None, "Rain_max_daily", None, "Rain_warn_daily"),
+}
 
 
 def winddir_requires_wind_code(thr=None, column="wind_speed") -> Column:
@@ -83,45 +81,12 @@ def winddir_requires_wind_code(thr=None, column="wind_speed") -> Column:
     return F.when(F.col(column) < t["WindDir_requires_wind"], F.lit(0)).otherwise(F.lit(1))
 
 
-def rain_15min_code(thr=None, mode=P.AS_WRITTEN, column="rain_gauge") -> Column:
-    """Rain increment: fail below Rain_min_inc or above Rain_max_15min, warn in
-    (Rain_warn_15min, Rain_max_15min], ok up to Rain_warn_15min."""
-    t, x = _thr(thr), F.col(column)
-    return R.qc_code(
-        fail=(x < t["Rain_min_inc"]) | (x > t["Rain_max_15min"]),
-        warn=(x > t["Rain_warn_15min"]) & (x <= t["Rain_max_15min"]),
-        ok=x <= t["Rain_warn_15min"],
-        mode=mode)
-
-
-def tair_step_code(thr=None, mode=P.AS_WRITTEN, column="tair_step") -> Column:
-    """Temperature step (absolute): fail above Tair_max_step_fail, warn up to
-    it, ok up to Tair_max_step_warn."""
-    t, a = _thr(thr), F.abs(F.col(column))
-    return R.qc_code(
-        fail=a > t["Tair_max_step_fail"],
-        warn=a <= t["Tair_max_step_fail"],
-        ok=a <= t["Tair_max_step_warn"],
-        mode=mode)
-
-
 def daily_availability_code(thr=None, column="daily_valid_frac") -> Column:
     """1 when the day has enough readings, else 0 (unknown counts as 0)."""
     t = _thr(thr)
     return F.when(F.col(column) >= t["Min_daily_avail"], F.lit(1)).otherwise(F.lit(0))
 
 
-def rain_daily_code(thr=None, mode=P.AS_WRITTEN, column="daily_rain_mm") -> Column:
-    """Daily rain: fail above Rain_max_daily, warn up to it, ok up to
-    Rain_warn_daily."""
-    t, x = _thr(thr), F.col(column)
-    return R.qc_code(
-        fail=x > t["Rain_max_daily"],
-        warn=x <= t["Rain_max_daily"],
-        ok=x <= t["Rain_warn_daily"],
-        mode=mode)
-
-
 def pressure_range_code(thr=None, mode=P.AS_WRITTEN, hpa="pressure_hpa",
                         dev="pressure_abs_dev_hpa") -> Column:
     """Pressure: fail outside [P_min_phy, P_max_phy] hPa or deviation above
@@ -134,6 +99,17 @@ def pressure_range_code(thr=None, mode=P.AS_WRITTEN, hpa="pressure_hpa",
         mode=mode)
 
 
+def check_code(name: str, thr: Mapping | None = None, mode: str = P.AS_WRITTEN) -> Column:
+    """The code of the check ``name`` (a QC column)."""
+    P.check_mode(mode)
+    if name in BANDS:
+        return BANDS[name].code(thr, mode)
+    return {"QC_time_gap": time_gap_code,
+            "QC_WindDir_requires_wind": lambda: winddir_requires_wind_code(thr),
+            "QC_Daily_Availability": lambda: daily_availability_code(thr),
+            "QC_Pressure_range": lambda: pressure_range_code(thr, mode)}[name]()
+
+
 def failed_checks(columns=P.QC_COLUMNS) -> Column:
     """Names of the checks coded -2, in listing order."""
     return R.names_where(columns, code=P.QC_FAIL)
@@ -153,47 +129,10 @@ def warning_checks(columns=P.QC_COLUMNS, mode=P.AS_WRITTEN) -> Column:
 
 
 # ------------------------------------------------------------ DataFrame steps
-# One step per check, each adding its code column (the composite below puts
-# all of them in a single projection instead).
-
-def qc_time_gap(df, lo=P.TIME_GAP_MIN, hi=P.TIME_GAP_MAX):
-    return df.withColumn("QC_time_gap", time_gap_code("time_diff", lo, hi))
-
-
-def qc_temperature_range(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_Tair_range", tair_range_code(thr, mode))
-
-
-def qc_rh_range(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_RH_range", rh_range_code(thr, mode))
-
-
-def qc_windspeed_range(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_WindSpeed_range", windspeed_range_code(thr, mode))
-
-
-def qc_winddir_range(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_WindDir_range", winddir_range_code(thr, mode))
-
 
-def qc_winddir_requires_wind(df, thr=None):
-    return df.withColumn("QC_WindDir_requires_wind", winddir_requires_wind_code(thr))
-
-
-def qc_rain_15min(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_Rain_15min", rain_15min_code(thr, mode))
-
-
-def qc_tair_step(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_Tair_step", tair_step_code(thr, mode))
-
-
-def qc_daily_availability(df, thr=None):
-    return df.withColumn("QC_Daily_Availability", daily_availability_code(thr))
-
-
-def qc_rain_daily(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_Rain_Daily", rain_daily_code(thr, mode))
+def add_checks(df: DataFrame, *names: str, thr: Mapping | None = None, mode: str = P.AS_WRITTEN) -> DataFrame:
+    """``df`` with the code column of each check, in one projection."""
+    return df.withColumns({n: check_code(n, thr, mode) for n in names})
 
 
 def collect_qc_results(df, mode=P.AS_WRITTEN, columns=P.QC_COLUMNS):
@@ -256,10 +195,6 @@ def with_station(df: DataFrame, stations: DataFrame, columns: tuple = ("altitude
     return df.select(own).join(moves, inside, "left").select(*own, *[F.col(f"_at.{c}").alias(c) for c in columns])
 
 
-def qc_pressure_range(df, thr=None, mode=P.AS_WRITTEN):
-    return df.withColumn("QC_Pressure_range", pressure_range_code(thr, mode))
-
-
 # ------------------------------------------------------------------ composite
 
 def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTEN,
@@ -302,18 +237,7 @@ def qc_level1(df: DataFrame, thr: Mapping | None = None, mode: str = P.AS_WRITTE
         "tair_step": F.col("air_temperature") - F.col("_prev_air_temperature"),
         "daily_valid_frac": F.col("_n_ts") / F.lit(float(slots_per_day)),
     })
-    d = d.withColumns({
-        "QC_time_gap": time_gap_code(),
-        "QC_Tair_range": tair_range_code(thr, mode),
-        "QC_RH_range": rh_range_code(thr, mode),
-        "QC_WindSpeed_range": windspeed_range_code(thr, mode),
-        "QC_WindDir_range": winddir_range_code(thr, mode),
-        "QC_WindDir_requires_wind": winddir_requires_wind_code(thr),
-        "QC_Rain_15min": rain_15min_code(thr, mode),
-        "QC_Tair_step": tair_step_code(thr, mode),
-        "QC_Daily_Availability": daily_availability_code(thr),
-        "QC_Rain_Daily": rain_daily_code(thr, mode),
-    })
+    d = add_checks(d, *P.QC_COLUMNS, thr=thr, mode=mode)
     d = collect_qc_results(d, mode)
     extra = ["time_diff", "pressure_hpa", "tair_step", "daily_valid_frac", "daily_rain_mm",
              *P.QC_COLUMNS, "qc_failed_checks", "qc_warning_checks"]

@@ -478,6 +478,22 @@ def q_slot_availability(spark, sf_dir):
     return aggregate.slot_availability(_cleaned(spark, sf_dir))
 
 
+SLOT_CALENDAR_SQL = O.sql(["cleaned"], """
+SELECT c.device_id, c.slot_start, c.slot_start + INTERVAL 15 minutes AS slot_end, coalesce(n.n, 0) AS n_readings
+FROM (SELECT device_id, unnest(generate_series(min(at), max(at), INTERVAL 15 minutes)) AS slot_start
+      FROM (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS at FROM cleaned) AS s
+      GROUP BY device_id) AS c
+LEFT JOIN (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS at, count(*) AS n
+           FROM cleaned GROUP BY ALL) AS n
+ON c.device_id IS NOT DISTINCT FROM n.device_id AND c.slot_start = n.at""")
+
+
+@register("slot_calendar", SLOT_CALENDAR_SQL)
+def q_slot_calendar(spark, sf_dir):
+    """Every slot between a device's first and last reading, empty ones too."""
+    return aggregate.fill_slots(aggregate.slot_availability(_cleaned(spark, sf_dir)))
+
+
 @register("latest_daily_topk", O.sql(["daily"], """
 SELECT device_id, date, (CASE WHEN isnan(CAST(maxtemp_c AS DOUBLE)) THEN CAST(maxtemp_c AS DOUBLE) ELSE CAST(round(CAST(CAST(maxtemp_c AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS maxtemp_c, (CASE WHEN isnan(CAST(mintemp_c AS DOUBLE)) THEN CAST(mintemp_c AS DOUBLE) ELSE CAST(round(CAST(CAST(mintemp_c AS DOUBLE) AS DECIMAL(38,10)), 6) AS DOUBLE) END) AS mintemp_c, is_anomaly
 FROM daily ORDER BY date DESC, device_id ASC LIMIT 10"""))
@@ -514,62 +530,67 @@ def q_zscore_running(spark, sf_dir):
 # ------------------------------------------------------------------- series
 
 
+def _one_each(spark, sf_dir, *columns) -> DataFrame:
+    """Readings de-duplicated on device and time, with what is asked for alone:
+    the survivor is the lowest reading id, so no other column is shuffled."""
+    rows = _cleaned(spark, sf_dir).select("reading_id", "device_id", "processing_timestamp", *columns)
+    return series.parse_and_dedup(rows)
+
+
 @register("dedup_device_ts", O.sql(["dedup_clean"],
                                    "SELECT reading_id, device_id, processing_timestamp FROM dedup_clean"))
 def q_dedup_device_ts(spark, sf_dir):
-    d = series.parse_and_dedup(_cleaned(spark, sf_dir))
+    d = _one_each(spark, sf_dir)
     return d.select("reading_id", "device_id", "processing_timestamp")
 
 
 @register("time_diff", O.sql(["lag_clean"], "SELECT reading_id, device_id, time_diff FROM lag_clean"))
 def q_time_diff(spark, sf_dir):
-    d = series.time_diff(series.parse_and_dedup(_cleaned(spark, sf_dir)))
+    d = series.time_diff(_one_each(spark, sf_dir))
     return d.select("reading_id", "device_id", "time_diff")
 
 
 @register("tair_step", O.sql(["lag_clean"], "SELECT reading_id, device_id, tair_step FROM lag_clean"))
 def q_tair_step(spark, sf_dir):
-    d = series.step(series.parse_and_dedup(_cleaned(spark, sf_dir)))
+    d = series.step(_one_each(spark, sf_dir, "air_temperature"))
     return d.select("reading_id", "device_id", "tair_step")
 
 
 # ----------------------------------------------------------------------- QC
 
-def _raw_code(name: str, col: str, expr_fn, mode=P.AS_WRITTEN):
+def _raw_code(name: str, col: str, mode=P.AS_WRITTEN):
     sql_expr = O.qc_exprs(mode)[name]
     sql_text = O.sql(["readings"], f"SELECT reading_id, {col}, {sql_expr} AS {name} FROM readings")
 
     def fn(spark, sf_dir):
-        return _readings(spark, sf_dir).select("reading_id", col, expr_fn().alias(name))
+        return _readings(spark, sf_dir).select("reading_id", col, qc.check_code(name, mode=mode).alias(name))
     return fn, sql_text
 
 
-for _name, _col, _fn, _modes in [
-    ("QC_Tair_range", "air_temperature", qc.tair_range_code, (P.AS_WRITTEN, P.CORRECTED)),
-    ("QC_RH_range", "air_humidity", qc.rh_range_code, (P.AS_WRITTEN, P.CORRECTED)),
-    ("QC_WindSpeed_range", "wind_speed", qc.windspeed_range_code, (P.AS_WRITTEN, P.CORRECTED)),
-    ("QC_WindDir_range", "wind_direction_sensor", qc.winddir_range_code, (P.AS_WRITTEN,)),
-    ("QC_Rain_15min", "rain_gauge", qc.rain_15min_code, (P.AS_WRITTEN, P.CORRECTED)),
+for _name, _col, _modes in [
+    ("QC_Tair_range", "air_temperature", P.MODES),
+    ("QC_RH_range", "air_humidity", P.MODES),
+    ("QC_WindSpeed_range", "wind_speed", P.MODES),
+    ("QC_WindDir_range", "wind_direction_sensor", (P.AS_WRITTEN,)),
+    ("QC_WindDir_requires_wind", "wind_speed", (P.AS_WRITTEN,)),
+    ("QC_Rain_15min", "rain_gauge", P.MODES),
 ]:
     for _mode in _modes:
-        _q, _s = _raw_code(_name, _col, (lambda f=_fn, m=_mode: f(mode=m)), _mode)
+        _q, _s = _raw_code(_name, _col, _mode)
         register(_name.lower() + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
 
-_q, _s = _raw_code("QC_WindDir_requires_wind", "wind_speed", qc.winddir_requires_wind_code)
-register("qc_winddir_requires_wind", _s)(_q)
-
 
 @register("qc_time_gap", O.sql(["lag_clean"], f"""
 SELECT reading_id, time_diff, {O.qc_exprs('as_written')['QC_time_gap']} AS QC_time_gap FROM lag_clean"""))
 def q_qc_time_gap(spark, sf_dir):
-    d = series.time_diff(series.parse_and_dedup(_cleaned(spark, sf_dir)))
-    return qc.qc_time_gap(d).select("reading_id", "time_diff", "QC_time_gap")
+    d = series.time_diff(_one_each(spark, sf_dir))
+    return qc.add_checks(d, "QC_time_gap").select("reading_id", "time_diff", "QC_time_gap")
 
 
 def _step_query(mode):
     def fn(spark, sf_dir):
-        d = series.step(series.parse_and_dedup(_cleaned(spark, sf_dir)))
-        return qc.qc_tair_step(d, mode=mode).select("reading_id", "tair_step", "QC_Tair_step")
+        d = series.step(_one_each(spark, sf_dir, "air_temperature"))
+        return qc.add_checks(d, "QC_Tair_step", mode=mode).select("reading_id", "tair_step", "QC_Tair_step")
     sql_text = O.sql(["lag_clean"], f"SELECT reading_id, tair_step, "
                                     f"{O.qc_exprs(mode)['QC_Tair_step']} AS QC_Tair_step FROM lag_clean")
     return fn, sql_text
@@ -585,7 +606,7 @@ def _daily_check_query(mode):
 
     def fn(spark, sf_dir):
         d = series.daily_metrics_join(_cleaned(spark, sf_dir))
-        d = qc.qc_rain_daily(qc.qc_daily_availability(d), mode=mode)
+        d = qc.add_checks(d, "QC_Daily_Availability", "QC_Rain_Daily", mode=mode)
         return d.select("reading_id", "daily_valid_frac", "daily_rain_mm",
                         "QC_Daily_Availability", "QC_Rain_Daily")
     sql_text = O.sql(["cleaned", "daily_metrics_clean"], f"""
@@ -601,12 +622,12 @@ for _mode in (P.AS_WRITTEN, P.CORRECTED):
     register("qc_daily_checks" + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
 
 
-def _daily_single(name, code_fn, cols, mode):
+def _daily_single(name, cols, mode):
     codes = O.qc_exprs(mode)
 
     def fn(spark, sf_dir):
         d = series.daily_metrics_join(_cleaned(spark, sf_dir))
-        d = d.withColumn(name, code_fn(mode))
+        d = qc.add_checks(d, name, mode=mode)
         return d.select("reading_id", *cols, name)
     sql_text = O.sql(["cleaned", "daily_metrics_clean"], f"""
 SELECT reading_id, {', '.join(cols)}, {codes[name]} AS {name}
@@ -615,12 +636,10 @@ FROM (SELECT c.reading_id, m.daily_valid_frac, m.daily_rain_mm FROM cleaned c
     return fn, sql_text
 
 
-_q, _s = _daily_single("QC_Daily_Availability", lambda m: qc.daily_availability_code(),
-                       ["daily_valid_frac"], P.AS_WRITTEN)
+_q, _s = _daily_single("QC_Daily_Availability", ["daily_valid_frac"], P.AS_WRITTEN)
 register("qc_daily_availability", _s)(_q)
 for _mode in (P.AS_WRITTEN, P.CORRECTED):
-    _q, _s = _daily_single("QC_Rain_Daily", lambda m: qc.rain_daily_code(mode=m),
-                           ["daily_rain_mm"], _mode)
+    _q, _s = _daily_single("QC_Rain_Daily", ["daily_rain_mm"], _mode)
     register("qc_rain_daily" + ("_corrected" if _mode == P.CORRECTED else ""), _s)(_q)
 
 
@@ -639,7 +658,7 @@ def q_pressure_hpa(spark, sf_dir):
 def _pressure_range_query(mode):
     def fn(spark, sf_dir):
         d = qc.convert_pressure_hpa(_readings(spark, sf_dir).select("reading_id", "barometric_pressure"))
-        d = qc.qc_pressure_range(qc.expected_pressure(d), mode=mode)
+        d = qc.add_checks(qc.expected_pressure(d), "QC_Pressure_range", mode=mode)
         return r6(d.select("reading_id", "pressure_hpa", "pressure_abs_dev_hpa", "QC_Pressure_range"),
                   "pressure_abs_dev_hpa")
     code = O.code3("(pressure_hpa < 750.0 OR pressure_hpa > 1010.0 OR pressure_abs_dev_hpa > 40.0)",
@@ -674,7 +693,7 @@ def _pressure_altitude_query(mode):
     def fn(spark, sf_dir):
         rows = _readings(spark, sf_dir).select("reading_id", "device_id", "processing_timestamp", "barometric_pressure")
         d = qc.convert_pressure_hpa(qc.with_station(rows, stations(spark, sf_dir)))
-        d = qc.qc_pressure_range(qc.expected_pressure(d), mode=mode)
+        d = qc.add_checks(qc.expected_pressure(d), "QC_Pressure_range", mode=mode)
         return r6(d.select("reading_id", "altitude", "pressure_abs_dev_hpa", "QC_Pressure_range"),
                   "pressure_abs_dev_hpa")
     code = O.code3("(pressure_hpa < 750.0 OR pressure_hpa > 1010.0 OR pressure_abs_dev_hpa > 40.0)",

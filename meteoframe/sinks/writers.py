@@ -44,7 +44,8 @@ def coerce_write_types(df: DataFrame, date_cols: Sequence[str] = ("date",),
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
                      sort_by: Sequence[str] = (), clustering: str = "range",
-                     observe: tuple | None = None, replace: str = "present") -> None:
+                     observe: tuple | None = None, replace: str = "present",
+                     blooms: Mapping[str, int] | None = None) -> None:
     """Write a partitioned table, replacing the partitions present in ``df``
     (idempotent on replay) or, with ``replace="all"``, the whole table. The
     choice is an option of this write, never a setting of the session.
@@ -57,24 +58,37 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     deals by the partition columns and the leading sort column, ``"partition"``
     by the partition columns alone.
     ``observe`` = (Observation, [aggregate columns]) collects metrics during
-    the write job itself, behind any sampling.
+    the write job itself, behind any sampling. ``blooms`` names columns that
+    get Parquet Bloom filters, with the distinct values expected in a row group.
     """
     out = _cluster(df, partition_by, sort_by, clustering) if sort_by else df
     if observe is not None:
         obs, exprs = observe
         out = out.observe(obs, *exprs)
     mode = {"present": "dynamic", "all": "static"}[replace]
-    (out.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", mode).options(**bloom_options(blooms))
      .partitionBy(*partition_by).parquet(path))
 
 
+def bloom_options(columns: Mapping[str, int] | None) -> dict:
+    """Writer options for Bloom filters on ``columns`` (name: distinct values
+    expected in a row group). Readers skip a row group whose filter, like its
+    least and greatest value, excludes the value that a query asks for."""
+    out = {}
+    for name, distinct in (columns or {}).items():
+        out[f"parquet.bloom.filter.enabled#{name}"] = "true"
+        out[f"parquet.bloom.filter.expected.ndv#{name}"] = str(int(distinct))
+    return out
+
+
 def write_dated(df: DataFrame, path: str, batch_id: int, sort_by: Sequence[str] = (),
-                observe: tuple | None = None, date_col: str = "date", clustering: str = "hash") -> None:
+                observe: tuple | None = None, date_col: str = "date", clustering: str = "hash",
+                blooms: Mapping[str, int] | None = None) -> None:
     """One micro-batch's rows of a table laid out ``date=D/batch_id=K``; a
     replay replaces the same directories. The batch id is a text literal, so
     that generated code does not change from batch to batch."""
     rows = df.withColumn("batch_id", F.lit(str(int(batch_id))))
-    write_partitions(rows, path, [date_col, "batch_id"], sort_by, clustering, observe)
+    write_partitions(rows, path, [date_col, "batch_id"], sort_by, clustering, observe, blooms=blooms)
 
 
 def read_dates(spark: SparkSession, path: str, dates: Sequence, schema: StructType,

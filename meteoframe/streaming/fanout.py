@@ -79,6 +79,11 @@ _PAIR = ("device_id", "date")
 SKETCHES = StructType([StructField("sketch", BinaryType()), *_PARTITIONS])
 
 
+#: Columns of the reading tables with Bloom filters, and distinct values expected
+#: in a row group.
+BLOOMS = {"device_id": 4096}
+
+
 @dataclass
 class Targets:
     """Output tables under one root folder (shared storage on a cluster)."""
@@ -124,13 +129,19 @@ class Targets:
         """Slot counts of the touched dates, added up."""
         return partials.merge_slots(self.parts("slot_parts", dated_slots(scored), dates, batch_id))
 
+    def of_device(self, spark: SparkSession, name: str, device: str, dates: list, schema: StructType) -> DataFrame:
+        """One device's rows of these dates of a reading table. Only the dates'
+        folders are opened; in them the order by device, row groups' statistics
+        and Bloom filters leave the row groups that may hold the device."""
+        return self.stored(spark, name, dates, schema).filter(F.col("device_id") == F.lit(device))
+
     # -- output tables --------------------------------------------------------
 
     def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
         writers.write_batch(df, self.path(name), batch_id)
 
     def write_clean(self, scored: DataFrame, batch_id: int, observe) -> None:
-        self.store("clean", scored, batch_id, sort_by=["device_id", "processing_timestamp"], observe=observe)
+        self.store("clean", scored, batch_id, sort_by=["device_id", "processing_timestamp"], observe=observe, blooms=BLOOMS)
 
     def write_daily(self, daily: DataFrame, batch_id: int) -> None:
         writers.write_partitions(daily, self.path("daily"), ["date"], ["device_id"], "partition")
@@ -143,9 +154,9 @@ class Targets:
         replace what stood there."""
         order = ["device_id", "processing_timestamp"]
         if self.mode == P.AS_WRITTEN:
-            self.store("qc", audit, batch_id, sort_by=order, observe=observe)
+            self.store("qc", audit, batch_id, sort_by=order, observe=observe, blooms=BLOOMS)
         else:
-            writers.write_partitions(audit, self.path("qc"), ["date"], order, "hash", observe)
+            writers.write_partitions(audit, self.path("qc"), ["date"], order, "hash", observe, blooms=BLOOMS)
 
 
 @dataclass
@@ -316,7 +327,7 @@ class FanOut:
                 audit = qc.qc_level1(scored.drop("anomaly_score", "is_anomaly"), thr=t.thr,
                                      mode=t.mode, bucket_seconds=t.lag_buckets)
             else:
-                t.store("readings", cleaned, batch_id, sort_by=["device_id", "processing_timestamp"])
+                t.store("readings", cleaned, batch_id, sort_by=["device_id", "processing_timestamp"], blooms=BLOOMS)
                 t.store("pressures", cleaned.groupBy("date").agg(
                     aggregate.quantile_sketch("barometric_pressure").alias("sketch")), batch_id, sort_by=["date"], clustering="partition")
                 audit = self.day_audit(spark, dates, edges)
@@ -433,7 +444,7 @@ def compact(spark: SparkSession, targets: Targets, name: str, date, schema: Stru
     files = max(1, -(-_bytes(merged) // FILE_BYTES))
     (merged.drop("date").withColumn("batch_id", F.lit(str(top)))
      .repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("batch_id").parquet(f"{targets.path(name)}/date={date}"))
+     .options(**writers.bloom_options({c: n for c, n in BLOOMS.items() if c in order})).partitionBy("batch_id").parquet(f"{targets.path(name)}/date={date}"))
 
 
 def slot_counts_stream(flat: DataFrame, minutes: int = 15, watermark: str = "1 hour",

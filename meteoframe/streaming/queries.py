@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..operators import anomaly
+from ..operators import aggregate, anomaly
 from ..plans import oracle as O
 from ..plans import pipeline
-from ..plans.queries import DAILY_SQL, FLAT, QC_CORRECTED_SQL, qc_result, rounded_daily
+from ..plans.queries import DAILY_SQL, FLAT, QC_CORRECTED_SQL, SLOT_CALENDAR_SQL, qc_result, rounded_daily
 from ..session import scratch_path
 from ..sources import envelope
 from ..sources.tables import load_readings
@@ -121,6 +121,12 @@ def stream_slot_availability(spark, sf_dir):
     return spark.read.parquet(t.path("slots")).drop("date")
 
 
+def stream_slot_calendar(spark, sf_dir):
+    """The slots of the stream's table and the empty ones between them."""
+    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), slots=True)
+    return aggregate.fill_slots(spark.read.parquet(t.path("slots")))
+
+
 SLOTS_SQL = O.on_wire(O.sql(["cleaned"], """
 SELECT device_id, slot_start, slot_start + INTERVAL 15 minutes AS slot_end, count(*) AS n_readings
 FROM (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS slot_start
@@ -129,10 +135,11 @@ GROUP BY device_id, slot_start"""))
 
 STREAM_QUERIES.update(stream_fanout=stream_fanout, stream_newest_first=stream_newest_first,
                       stream_daily_corrected=stream_daily_corrected, stream_qc_corrected=stream_qc_corrected, stream_qc_newest_first=stream_qc_newest_first,
-                      stream_slot_availability=stream_slot_availability)
+                      stream_slot_availability=stream_slot_availability, stream_slot_calendar=stream_slot_calendar)
 STREAM_ORACLE.update(stream_fanout=O.on_wire(DAILY_SQL),
                      stream_newest_first=O.sql(["readings"], "SELECT reading_id FROM readings"),
                      stream_daily_corrected=O.on_wire(DAILY_SQL),
                      stream_qc_corrected=O.on_wire(QC_CORRECTED_SQL),
                      stream_qc_newest_first=O.on_wire(QC_CORRECTED_SQL),
-                     stream_slot_availability=SLOTS_SQL)
+                     stream_slot_availability=SLOTS_SQL,
+                     stream_slot_calendar=O.on_wire(SLOT_CALENDAR_SQL))

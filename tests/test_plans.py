@@ -84,6 +84,18 @@ def test_qc_chain_reuses_the_dedup_exchange(plans):
     assert "SortMergeJoin" not in plan
 
 
+def test_lags_shuffle_only_what_they_need(plans):
+    for name in ("dedup_device_ts", "time_diff", "qc_time_gap", "tair_step", "qc_tair_step"):
+        for line in re.findall(r"Exchange hashpartitioning.*|Exchange.*\n.*SortAggregate.*", plans[name]):
+            assert "wind_speed" not in line
+        for schema in re.findall(r"min\(struct\(([^)]*)\)\)", plans[name]):
+            assert "wind_speed" not in schema and "barometric_pressure" not in schema, name
+
+
+def test_slot_calendar_adds_up_without_a_join(plans):
+    assert "Join" not in plans["slot_calendar"]
+
+
 def test_slot_stream_is_a_watermarked_stateful_aggregation(spark, capsys):
     from meteoframe.session import scratch_path
     from meteoframe.streaming import fanout, sources

@@ -71,24 +71,24 @@ def _codes(spark, name, typ, values, expr):
 
 def test_temperature_codes_both_modes(spark):
     vals = [5.0, 10.0, 11.0, 25.0, 36.5, 45.0, 46.0, None]
-    assert _codes(spark, "air_temperature", "d", vals, qc.tair_range_code()) == \
+    assert _codes(spark, "air_temperature", "d", vals, qc.BANDS["QC_Tair_range"].code()) == \
         [-2, 0, 0, 0, 0, 0, -2, 1]
-    assert _codes(spark, "air_temperature", "d", vals, qc.tair_range_code(mode=P.CORRECTED)) == \
+    assert _codes(spark, "air_temperature", "d", vals, qc.BANDS["QC_Tair_range"].code(mode=P.CORRECTED)) == \
         [-2, 0, 0, 1, 0, 0, -2, 1]
 
 
 def test_humidity_codes(spark):
     vals = [-1, 0, 19, 20, 100, 101, None]
-    assert _codes(spark, "air_humidity", "i", vals, qc.rh_range_code()) == [-2, 0, 0, 0, 0, -2, 1]
-    assert _codes(spark, "air_humidity", "i", vals, qc.rh_range_code(mode=P.CORRECTED)) == \
+    assert _codes(spark, "air_humidity", "i", vals, qc.BANDS["QC_RH_range"].code()) == [-2, 0, 0, 0, 0, -2, 1]
+    assert _codes(spark, "air_humidity", "i", vals, qc.BANDS["QC_RH_range"].code(mode=P.CORRECTED)) == \
         [-2, 0, 0, 1, 1, -2, 1]
 
 
 def test_wind_codes(spark):
     vals = [-0.1, 0.0, 0.29, 0.3, 20.0, 20.5, 40.0, 40.1, None]
-    assert _codes(spark, "wind_speed", "d", vals, qc.windspeed_range_code()) == \
+    assert _codes(spark, "wind_speed", "d", vals, qc.BANDS["QC_WindSpeed_range"].code()) == \
         [-2, 0, 0, 0, 0, 0, 0, -2, 1]
-    assert _codes(spark, "wind_speed", "d", vals, qc.windspeed_range_code(mode=P.CORRECTED)) == \
+    assert _codes(spark, "wind_speed", "d", vals, qc.BANDS["QC_WindSpeed_range"].code(mode=P.CORRECTED)) == \
         [-2, 1, 1, 1, 1, 0, 0, -2, 1]
     assert _codes(spark, "wind_speed", "d", vals, qc.winddir_requires_wind_code()) == \
         [0, 0, 0, 1, 1, 1, 1, 1, 1]
@@ -98,28 +98,28 @@ def test_direction_codes(spark):
     vals = [-1, 0, 360, 361, None]
     for mode in P.MODES:
         assert _codes(spark, "wind_direction_sensor", "i", vals,
-                      qc.winddir_range_code(mode=mode)) == [-2, 1, 1, -2, 1]
+                      qc.BANDS["QC_WindDir_range"].code(mode=mode)) == [-2, 1, 1, -2, 1]
 
 
 def test_rain_increment_codes(spark):
     vals = [-0.5, 0.0, 20.0, 20.5, 40.0, 40.5, None]
     for mode in P.MODES:
-        assert _codes(spark, "rain_gauge", "d", vals, qc.rain_15min_code(mode=mode)) == \
+        assert _codes(spark, "rain_gauge", "d", vals, qc.BANDS["QC_Rain_15min"].code(mode=mode)) == \
             [-2, 1, 1, 0, 0, -2, 1]
 
 
 def test_step_codes(spark):
     vals = [-6.0, -5.0, -3.0, 0.0, 3.0, 3.5, 5.0, 5.5, None]
-    assert _codes(spark, "tair_step", "d", vals, qc.tair_step_code()) == \
+    assert _codes(spark, "tair_step", "d", vals, qc.BANDS["QC_Tair_step"].code()) == \
         [-2, 0, 0, 0, 0, 0, 0, -2, 1]
-    assert _codes(spark, "tair_step", "d", vals, qc.tair_step_code(mode=P.CORRECTED)) == \
+    assert _codes(spark, "tair_step", "d", vals, qc.BANDS["QC_Tair_step"].code(mode=P.CORRECTED)) == \
         [-2, 0, 1, 1, 1, 0, 0, -2, 1]
 
 
 def test_daily_codes(spark):
     vals = [0.0, 150.0, 151.0, 300.0, 301.0, None]
-    assert _codes(spark, "daily_rain_mm", "d", vals, qc.rain_daily_code()) == [0, 0, 0, 0, -2, 1]
-    assert _codes(spark, "daily_rain_mm", "d", vals, qc.rain_daily_code(mode=P.CORRECTED)) == \
+    assert _codes(spark, "daily_rain_mm", "d", vals, qc.BANDS["QC_Rain_Daily"].code()) == [0, 0, 0, 0, -2, 1]
+    assert _codes(spark, "daily_rain_mm", "d", vals, qc.BANDS["QC_Rain_Daily"].code(mode=P.CORRECTED)) == \
         [1, 1, 0, 0, -2, 1]
     frac = [0.79, 0.8, 1.0, None]
     assert _codes(spark, "daily_valid_frac", "d", frac, qc.daily_availability_code()) == [0, 1, 1, 0]
@@ -155,7 +155,7 @@ def test_pressure_conversion_and_check(spark):
     assert rows_by(qc.convert_pressure_hpa(hpa))["r0"]["pressure_hpa"] == 1000.0
     empty = _one_col(spark, "barometric_pressure", "i", [None])
     assert qc.convert_pressure_hpa(empty).first()["pressure_hpa"] is None
-    chk = qc.qc_pressure_range(qc.expected_pressure(qc.convert_pressure_hpa(df)))
+    chk = qc.add_checks(qc.expected_pressure(qc.convert_pressure_hpa(df)), "QC_Pressure_range")
     got = rows_by(chk)
     assert got["r0"]["QC_Pressure_range"] == -2        # 1013.25 hPa > 1010
     assert got["r1"]["QC_Pressure_range"] == 0         # 1000 hPa, deviation 13.25

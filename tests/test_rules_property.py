@@ -69,29 +69,29 @@ RULES = {
     "QC_Tair_range": ("air_temperature", lambda x, m: code(
         or_(lt(x, T["Tair_min_phy"]), gt(x, T["Tair_max_phy"])),
         ge(x, T["Tair_min_phy"]) and le(x, T["Tair_max_phy"]),
-        between(x, T["Tair_warn_min_clim"], T["Tair_warn_max_clim"]), m), qc.tair_range_code),
+        between(x, T["Tair_warn_min_clim"], T["Tair_warn_max_clim"]), m), qc.BANDS["QC_Tair_range"].code),
     "QC_RH_range": ("air_humidity", lambda x, m: code(
         or_(lt(x, T["RH_min_phy"]), gt(x, T["RH_max_phy"])),
         between(x, T["RH_min_phy"], T["RH_max_phy"]),
-        between(x, T["RH_warn_min_clim"], T["RH_max_phy"]), m), qc.rh_range_code),
+        between(x, T["RH_warn_min_clim"], T["RH_max_phy"]), m), qc.BANDS["QC_RH_range"].code),
     "QC_WindSpeed_range": ("wind_speed", lambda x, m: code(
         or_(lt(x, T["Wind_min_phy"]), gt(x, T["Wind_max_phy"])),
         between(x, T["Wind_min_phy"], T["Wind_max_phy"]),
-        between(x, T["Wind_min_phy"], T["Wind_warn_max_clim"]), m), qc.windspeed_range_code),
+        between(x, T["Wind_min_phy"], T["Wind_warn_max_clim"]), m), qc.BANDS["QC_WindSpeed_range"].code),
     "QC_WindDir_range": ("wind_direction_sensor", lambda x, m: code(
         or_(lt(x, T["WindDir_min_phy"]), gt(x, T["WindDir_max_phy"])), None,
-        between(x, T["WindDir_min_phy"], T["WindDir_max_phy"]), m), qc.winddir_range_code),
+        between(x, T["WindDir_min_phy"], T["WindDir_max_phy"]), m), qc.BANDS["QC_WindDir_range"].code),
     "QC_Rain_15min": ("rain_gauge", lambda x, m: code(
         or_(lt(x, T["Rain_min_inc"]), gt(x, T["Rain_max_15min"])),
         gt(x, T["Rain_warn_15min"]) and le(x, T["Rain_max_15min"]),
-        le(x, T["Rain_warn_15min"]), m), qc.rain_15min_code),
+        le(x, T["Rain_warn_15min"]), m), qc.BANDS["QC_Rain_15min"].code),
     "QC_Tair_step": ("tair_step", lambda x, m: code(
         gt(None if x is None else abs(x), T["Tair_max_step_fail"]),
         le(None if x is None else abs(x), T["Tair_max_step_fail"]),
-        le(None if x is None else abs(x), T["Tair_max_step_warn"]), m), qc.tair_step_code),
+        le(None if x is None else abs(x), T["Tair_max_step_warn"]), m), qc.BANDS["QC_Tair_step"].code),
     "QC_Rain_Daily": ("daily_rain_mm", lambda x, m: code(
         gt(x, T["Rain_max_daily"]), le(x, T["Rain_max_daily"]),
-        le(x, T["Rain_warn_daily"]), m), qc.rain_daily_code),
+        le(x, T["Rain_warn_daily"]), m), qc.BANDS["QC_Rain_Daily"].code),
 }
 
 
