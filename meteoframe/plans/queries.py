@@ -480,12 +480,12 @@ def q_slot_availability(spark, sf_dir):
 
 SLOT_CALENDAR_SQL = O.sql(["cleaned"], """
 SELECT c.device_id, c.slot_start, c.slot_start + INTERVAL 15 minutes AS slot_end, coalesce(n.n, 0) AS n_readings
-FROM (SELECT device_id, unnest(generate_series(min(at), max(at), INTERVAL 15 minutes)) AS slot_start
-      FROM (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS at FROM cleaned) AS s
+FROM (SELECT device_id, unnest(generate_series(min(slot), max(slot), INTERVAL 15 minutes)) AS slot_start
+      FROM (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS slot FROM cleaned) AS s
       GROUP BY device_id) AS c
-LEFT JOIN (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS at, count(*) AS n
+LEFT JOIN (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) AS slot, count(*) AS n
            FROM cleaned GROUP BY ALL) AS n
-ON c.device_id IS NOT DISTINCT FROM n.device_id AND c.slot_start = n.at""")
+ON c.device_id IS NOT DISTINCT FROM n.device_id AND c.slot_start = n.slot""")
 
 
 @register("slot_calendar", SLOT_CALENDAR_SQL)
