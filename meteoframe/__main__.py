@@ -43,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", default=os.environ.get("CHECKPOINT_LOCATION"))
     s.add_argument("--mode", choices=P.MODES, default=P.AS_WRITTEN)
     s.add_argument("--keep-resent", action="store_true", help="write re-sent readings again")
+    s.add_argument("--unique-ids", action="store_true",
+                   help="drop a reading id sent again with another event time too")
     s.add_argument("--stats", help="table of reference statistics (see the stats command)")
     s.add_argument("--slots", action="store_true", help="keep 15-minute slot counts")
     s.add_argument("--stats-by", nargs="*", default=[])
@@ -117,7 +119,7 @@ def main(argv: list[str] | None = None) -> int:
         raw = sources.read_kafka_stream(spark, sources.kafka_options(
             args.kafka_bootstrap, args.topic, max_offsets_per_trigger=args.max_offsets))
     common = dict(root=args.out, mode=args.mode, stats_by=tuple(args.stats_by), stats=args.stats,
-                  slots=args.slots)
+                  slots=args.slots, unique_ids=args.unique_ids)
     if args.jdbc_url:
         targets = fanout.JdbcTargets(**common, url=args.jdbc_url, user=os.environ.get("JDBC_USER"),
                                      password=os.environ.get("JDBC_PASSWORD"),

@@ -10,7 +10,9 @@ only after the one before succeeded and each table only when it has rows:
    *other* batch has stored its key, so re-sent readings are dropped for ever,
    distinct ones are kept however late they come, and a replayed batch, whose
    own keys do not count, does the same again. Only the folders of the dates
-   that the batch touches are opened; no state grows in memory;
+   that the batch touches are opened; no state grows in memory. With
+   ``Targets.unique_ids`` a reading id counts once whatever its event time: the
+   state store tells which ids are new (``state.new_ids``), no key is stored;
 4. clean rows (cleaned, imputed, scored);
 5. the daily summary (quality-gated), and on request the 15-minute slot counts,
    of every touched date. Both are merged from the batch's own partial aggregates
@@ -54,7 +56,7 @@ from pyspark.sql.types import (BinaryType, BooleanType, DateType, DoubleType, St
 from .. import params as P
 from ..operators import aggregate, anomaly, clean, partials, qc, quality, series
 from ..schemas import CLEAN_COLUMNS, FLAT_READING
-from ..session import checkpoint_dir, input_bytes, join_path, stage_table
+from ..session import checkpoint_dir, input_bytes, join_path, path_exists, stage_table
 from ..sinks import writers
 from . import state
 from .sources import decode_stream
@@ -73,7 +75,8 @@ EDGES = StructType([StructField("device_id", StringType()), StructField("process
                     StructField("air_temperature", DoubleType()), StructField("date", DateType())])
 
 
-_EDGE = "_edge"                       # column of a batch with the state store's answers
+# columns of a batch with the state store's answers
+_EDGE, _NEW = "_edge", "_new_id"
 _PAIR = ("device_id", "date")
 #: A quantile sketch of the pressures of each date.
 SKETCHES = StructType([StructField("sketch", BinaryType()), *_PARTITIONS])
@@ -95,6 +98,7 @@ class Targets:
     stats_by: tuple = ()               # e.g. ("device_id",): per-device imputation / z-scores
     stats: str | None = None           # path of a table from ``anomaly.reference_stats``
     slots: bool = False                # keep the 15-minute slot counts too
+    unique_ids: bool = False           # a reading id sent again with another event time is re-sent too
 
     def path(self, name: str) -> str:
         return join_path(self.root, name)
@@ -276,17 +280,20 @@ class FanOut:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         t, spark = self.t, batch.sparkSession
         counts = {}
-        edges = None
+        edges = firsts = None
         if _EDGE in batch.columns:
             edges = batch.filter(F.col(_EDGE).isNotNull()).select(f"{_EDGE}.*")
             batch = batch.filter(F.col(_EDGE).isNull()).drop(_EDGE)
+        if _NEW in batch.columns:
+            firsts = batch.filter(F.col(_NEW).isNotNull()).select(F.col(_NEW).alias("reading_id"))
+            batch = batch.filter(F.col(_NEW).isNull()).drop(_NEW)
         good = batch.drop("_raw")
         if "_raw" in batch.columns:
             good, bad = split_dead_letters(batch)
             counts["dead_letter"] = {"rows": bad.count()}
             if counts["dead_letter"]["rows"]:
                 t.write_batch("dead_letter", bad, batch_id)
-        fresh = self.new_readings(spark, good, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = self.new_readings(spark, good, batch_id, firsts).persist(StorageLevel.MEMORY_AND_DISK)
         cleaned = clean.clean_readings(fresh).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             found = fresh.agg(F.count(F.lit(1)).alias("rows"),
@@ -295,7 +302,8 @@ class FanOut:
             counts["raw"] = {"rows": found["rows"], "valid": found["valid"]}
             if found["rows"]:
                 t.write_batch("raw", raw_rows(fresh), batch_id)
-                self.store_keys(fresh, batch_id)
+                if firsts is None:
+                    self.store_keys(fresh, batch_id)
             if found["valid"]:
                 self.derive(spark, cleaned, fresh, found["dates"], edges, batch_id, counts)
         finally:
@@ -341,11 +349,19 @@ class FanOut:
 
     # ------------------------------------------------------------- new readings
 
-    def new_readings(self, spark: SparkSession, good: DataFrame, batch_id: int) -> DataFrame:
-        """One row per (date, reading_id) that no other batch has stored. Of a
-        key's rows in the batch the least stays."""
+    def new_readings(self, spark: SparkSession, good: DataFrame, batch_id: int,
+                     firsts: DataFrame | None = None) -> DataFrame:
+        """One row per (date, reading_id) that no other batch has stored, or with
+        ``unique_ids`` per reading id that the state store has not met (``firsts``;
+        for a fan-out that is called without it, that no other batch has stored on
+        any date). Of a key's rows in the batch the least stays."""
         if not self.dedup:
             return good
+        if self.t.unique_ids:
+            once = series.dedup(good, ("reading_id",), ("processing_timestamp",))
+            if firsts is not None:
+                return once.join(firsts, "reading_id", "left_semi").select(good.columns)
+            return once.join(self.other_keys(spark, batch_id), "reading_id", "left_anti").select(good.columns)
         keyed = good.withColumn("_date", F.to_date("processing_timestamp"))
         days = [r[0] for r in keyed.select("_date").distinct().collect()]      # calendar days
         known = (self.t.stored(spark, "keys", days, KEYS).filter(F.col("batch_id") != str(batch_id))
@@ -353,6 +369,12 @@ class FanOut:
         once = series.dedup(keyed, ("_date", "reading_id"), ("processing_timestamp",))
         return once.join(known, ["_date", "reading_id"], "left_anti").select(good.columns)
 
+    def other_keys(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Keys of all dates that other batches have stored."""
+        path = self.t.path("keys")
+        stored = spark.read.schema(KEYS).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], KEYS)
+        return stored.filter(F.col("batch_id") != str(batch_id))
+
     def store_keys(self, fresh: DataFrame, batch_id: int) -> None:
         if self.dedup:
             self.t.store("keys", fresh.select("reading_id", F.to_date("processing_timestamp").alias("date")),
@@ -484,14 +506,20 @@ def start_pipeline(spark: SparkSession, raw_stream: DataFrame, targets: Targets,
     # an unparsable event time is null here in both modes: the row becomes a
     # dead letter instead of stopping the query for ever
     flat = decode_stream(raw_stream, P.CORRECTED, keep_raw=True)
-    if targets.mode == P.CORRECTED:
-        # the same micro-batch twice: whole rows, and what its few columns change
+    # the same micro-batch twice: whole rows, and what its few columns change
+    unique = dedup and targets.unique_ids
+    by_day = targets.mode == P.CORRECTED and not unique
+    if unique:
+        # a re-sent reading must not move a day's end: with unique ids the ends come
+        # from a table, written after the ids are known (``FanOut.stored_edges``)
+        flat = flat.unionByName(state.new_ids(flat).select(F.col("reading_id").alias(_NEW)), allowMissingColumns=True)
+    if by_day:
         edges = state.day_ends(clean.clean_readings(flat))
         flat = flat.unionByName(edges.select(F.struct(*edges.columns).alias(_EDGE)), allowMissingColumns=True)
     ckpt = checkpoint or join_path(checkpoint_dir(spark), "readings_pipeline")
     w = (flat.writeStream.foreachBatch(FanOut(targets, dedup))
          .option("checkpointLocation", ckpt)
-         .outputMode("update" if targets.mode == P.CORRECTED else "append"))
+         .outputMode("update" if by_day else "append"))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:

@@ -92,6 +92,24 @@ def stream_newest_first(spark, sf_dir):
         F.get_json_object("data", "$.reading_id").alias("reading_id"))
 
 
+def _sent_twice(spark, sf_dir) -> str:
+    """The readings as envelope files and, in later files, every one of them again
+    under the same id with its event time a day and an hour on."""
+    src = _envelope_files(spark, sf_dir)
+    at = F.col("processing_timestamp") + F.expr("INTERVAL 25 HOURS")
+    rows = load_readings(spark, sf_dir).withColumn("processing_timestamp", at).repartitionByRange(N_FILES, at)
+    envelope.encode_envelope(rows).select("value").write.mode("append").text(src)
+    return src
+
+
+def stream_unique_ids(spark, sf_dir):
+    """Readings sent again with another event date, over several micro-batches:
+    of every id the one sent first is kept."""
+    t = _run(spark, _sent_twice(spark, sf_dir), unique_ids=True)
+    return _dates_as_text(spark.read.parquet(t.path("clean"))).select(
+        "reading_id", "device_id", "processing_timestamp", "date")
+
+
 def stream_daily_corrected(spark, sf_dir):
     """The corrected daily table, every column, from micro-batches cut by the
     hour of the day, with reference statistics."""
@@ -134,10 +152,13 @@ FROM (SELECT device_id, time_bucket(INTERVAL 15 minutes, processing_timestamp) A
 GROUP BY device_id, slot_start"""))
 
 STREAM_QUERIES.update(stream_fanout=stream_fanout, stream_newest_first=stream_newest_first,
-                      stream_daily_corrected=stream_daily_corrected, stream_qc_corrected=stream_qc_corrected, stream_qc_newest_first=stream_qc_newest_first,
+                      stream_unique_ids=stream_unique_ids, stream_daily_corrected=stream_daily_corrected, stream_qc_corrected=stream_qc_corrected, stream_qc_newest_first=stream_qc_newest_first,
                       stream_slot_availability=stream_slot_availability, stream_slot_calendar=stream_slot_calendar)
 STREAM_ORACLE.update(stream_fanout=O.on_wire(DAILY_SQL),
                      stream_newest_first=O.sql(["readings"], "SELECT reading_id FROM readings"),
+                     stream_unique_ids=O.on_wire(O.sql(["cleaned"], """
+SELECT reading_id, device_id, processing_timestamp, CAST(CAST(processing_timestamp AS DATE) AS VARCHAR) AS date
+FROM cleaned""")),
                      stream_daily_corrected=O.on_wire(DAILY_SQL),
                      stream_qc_corrected=O.on_wire(QC_CORRECTED_SQL),
                      stream_qc_newest_first=O.on_wire(QC_CORRECTED_SQL),

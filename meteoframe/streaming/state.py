@@ -1,4 +1,5 @@
-"""Each device's last reading of every day, kept in the state store.
+"""What the state store remembers: each device's last reading of every day, and
+the reading ids of the stream.
 
 A lag across micro-batches needs, for a day that gets new readings, the reading
 before it, and has to reach the day after it, whose first reading has a new
@@ -124,9 +125,19 @@ def day_ends(cleaned: DataFrame) -> DataFrame:
         statefulProcessor=DayEnds(), outputStructType=EDGES, outputMode="Update", timeMode="None")
 
 
+def new_ids(flat: DataFrame) -> DataFrame:
+    """The reading ids that a micro-batch of decoded readings brings for the first
+    time in the stream, whatever their event times: one row each. Ids alone are
+    shuffled and kept; the state store looks up those of the batch, so the cost does
+    not depend on what came before. Rows that become dead letters claim no id, and
+    there is no watermark: an id is never forgotten."""
+    return (flat.filter("reading_id IS NOT NULL AND processing_timestamp IS NOT NULL")
+            .select("reading_id").dropDuplicates(["reading_id"]))
+
+
 class stateful_session:
     """Within this block queries start with the state store that
-    ``transformWithState`` needs; the session's own settings come back."""
+    ``transformWithState`` needs, and that holds ids on disk; the session's own settings come back."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark

@@ -384,3 +384,76 @@ def test_slot_stream_drops_late_readings(spark):
     got = {r.slot_start: r.n_readings for r in spark.read.parquet(out).collect()}
     assert got[t0] == 1                                # the late 00:05 reading was not counted
     assert len(got) == 20                              # every early slot closed; 08:00 still open
+
+
+def _stamped(name, src, sent):
+    """A file of envelopes, one for each (reading id number, event time)."""
+    rows = []
+    for i, at in sent:
+        e = _envelope(i)
+        e["data"]["created_at"] = at
+        rows.append(e)
+    _drop_in(src, name, rows)
+
+
+def _first_sent(spark, t):
+    return sorted((r.reading_id, str(r.processing_timestamp)) for r in spark.read.parquet(t.path("clean")).collect())
+
+
+@pytest.mark.parametrize("mode", [P.AS_WRITTEN, P.CORRECTED])
+def test_unique_ids_across_dates(spark, mode):
+    """An id is kept as sent first, whatever date it is sent again with, before or
+    after, in the same batch or a later one; a row that could not be read claims
+    no id."""
+    src = scratch_path(spark, "t-src")
+    _stamped("part-00000.txt", src, [(1, "2024-05-03T00:00:00.000Z"), (1, "2024-05-02T00:00:00.000Z"), (2, "bad"),
+                                     (3, "2024-05-03T00:10:00.000Z")])
+    _stamped("part-00001.txt", src, [(1, "2024-04-01T00:00:00.000Z"), (2, "2024-05-04T00:00:00.000Z"),
+                                     (3, "2024-05-03T00:10:00.000Z")])
+    _stamped("part-00002.txt", src, [(3, "2024-06-01T00:00:00.000Z"), (2, "2023-01-01T00:00:00.000Z")])
+    want = [(i, at) for i, at in zip(sorted(_envelope(k)["data"]["reading_id"] for k in (1, 2, 3)),
+                                     ("2024-05-02 00:00:00", "2024-05-04 00:00:00", "2024-05-03 00:10:00"))]
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), mode=mode, unique_ids=True)
+    _run(spark, src, t)
+    assert _first_sent(spark, t) == want
+    assert {str(r[0]) for r in spark.read.parquet(t.path("qc")).select("date").collect()} == {a[:10] for _, a in want}
+
+
+def test_unique_ids_after_a_failed_batch(spark):
+    """A batch that fails after its ids were asked for is run again with the same
+    ids; the stream goes on after the restart as if nothing had happened."""
+    src, ckpt = scratch_path(spark, "t-src"), scratch_path(spark, "t-ck")
+    days = [f"2024-05-{d:02d}T00:00:00.000Z" for d in range(1, 5)]
+    for k, day in enumerate(days):
+        _stamped(f"part-{k:05d}.txt", src, [(i, day) for i in range(k, k + 4)])
+    root = scratch_path(spark, "t-tables")
+
+    class Failing(fanout.Targets):
+        def write_clean(self, scored, batch_id, observe):
+            if batch_id == 1:
+                raise RuntimeError("lost")
+            super().write_clean(scored, batch_id, observe)
+
+    with pytest.raises(Exception, match="lost"):
+        _run(spark, src, Failing(root=root, unique_ids=True), ckpt)
+    t = fanout.Targets(root=root, unique_ids=True)
+    query = _run(spark, src, t, ckpt)
+    first = {_envelope(i)["data"]["reading_id"]: days[max(0, i - 3)] for i in range(len(days) + 3)}
+    assert _first_sent(spark, t) == sorted((i, at[:10] + " 00:00:00") for i, at in first.items())
+    # the store writes a batch's new ids only, and no table of keys is kept
+    written = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]]
+    assert set(written) == {1}
+    assert not os.path.exists(t.path("keys"))
+
+
+def test_unique_ids_without_the_state_store(spark):
+    """A fan-out called by itself asks the keys of all dates; a batch that runs
+    again finds its own keys and does the same."""
+    import datetime as dt
+    from tests.helpers import flat_df, reading
+    t = fanout.Targets(root=scratch_path(spark, "t-tables"), unique_ids=True)
+    day = lambda d: dt.datetime(2024, 5, d)
+    batches = [[("a", 2), ("b", 2)], [("a", 1), ("c", 3)], [("c", 9), ("b", 8), ("d", 1)]]
+    for k in (0, 1, 1, 2, 2):
+        fanout.FanOut(t)(flat_df(spark, [reading(reading_id=i, processing_timestamp=day(d)) for i, d in batches[k]]), k)
+    assert _first_sent(spark, t) == [(i, str(day(d))) for i, d in (("a", 2), ("b", 2), ("c", 3), ("d", 1))]
