@@ -37,8 +37,9 @@ from .common import small_batches, staged
 REMEMBERED = 500_000
 NO_ID = -(1 << 63)
 #: Words sent to the tokenizer in one call.
-_TOGETHER = 64
+_TOGETHER = 256
 _SIGNS = [bytes([c]) for c in b".,;:!?"]
+_SIGN_CODES = frozenset(b".,;:!?")
 
 
 class WordTokenizer:
@@ -56,6 +57,7 @@ class WordTokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_word = _drops_space(spec)
+        self.last = _last_of_word(spec, self.tokenizer.get_vocab_size()) if self.by_word else None
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.signs = {s: self._pack(self.tokenizer.encode(s.decode(), add_special_tokens=False).ids)
@@ -70,20 +72,36 @@ class WordTokenizer:
         """A word's ids do not depend on the case of ASCII letters, and one
         ASCII sign behind a letter or digit is split off before the merges, so
         such words are looked up by their lower-cased stem."""
-        stems, ends = [], []
-        for word in words:
-            if b"<|" in word:
-                stems.append(word)
-                ends.append(b"")
-                continue
-            low = word.lower()
-            cut = low[-1:] in _SIGNS and low[-2:-1].isalnum()
-            stems.append(low[:-1] if cut else low)
-            ends.append(low[-1:] if cut else b"")
+        stems = [word if b"<|" in word else word.lower() for word in words]
+        signed = [i for i, low in enumerate(stems)
+                  if low[-1] in _SIGN_CODES and low[-2:-1].isalnum() and b"<|" not in low]
+        ends = [stems[i][-1:] for i in signed]
+        for i in signed:
+            stems[i] = stems[i][:-1]
         ids = self.stems.values([stems])[0]
-        return [own + self.signs[end] for own, end in zip(ids, ends)]
+        for i, end in zip(signed, ends):
+            ids[i] += self.signs[end]
+        return ids
 
     def _new_stems(self, words: list[bytes]) -> list[bytes]:
+        """Words of ASCII letters are told apart by the token that ends each of
+        them, all others by ``_by_offsets``."""
+        if self.last is None:
+            return self._by_offsets(words)
+        plain, other = [], []
+        for word in words:
+            (plain if word.isalpha() else other).append(word)
+        out = dict(zip(other, self._by_offsets(other)))
+        for at in range(0, len(plain), _TOGETHER):
+            group = plain[at:at + _TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(group).decode()],
+                                                            add_special_tokens=False)[0].ids, np.int64)
+            cuts = np.flatnonzero(self.last[ids]) + 1
+            out.update(zip(group, self._cut(ids, np.concatenate([[0], cuts])) if len(cuts) == len(group)
+                           else self._by_offsets(group)))
+        return [out[word] for word in words]
+
+    def _by_offsets(self, words: list[bytes]) -> list[bytes]:
         """Many words go into one call and are told apart by the tokens'
         offsets, where the normalisers keep every character in its place; else
         the library is told where each word ends."""
@@ -103,10 +121,10 @@ class WordTokenizer:
                 out += self._cut(made.ids, np.searchsorted(of, np.arange(len(group) + 1)))
                 continue
             made = self.tokenizer.encode(text, add_special_tokens=False)
-            out += self._cut(made.ids, np.searchsorted([o[0] for o in made.offsets], begin))
+            out += self._cut(made.ids, np.searchsorted(np.array([a for a, _ in made.offsets], np.int64), begin))
         return out
 
-    def _cut(self, ids: list[int], cuts: np.ndarray) -> list[bytes]:
+    def _cut(self, ids, cuts: np.ndarray) -> list[bytes]:
         raw, size = self._pack(ids), self.dtype.itemsize
         at = (cuts * size).tolist()
         return [raw[a:b] for a, b in zip(at, at[1:])]
@@ -135,6 +153,21 @@ def _drops_space(spec: dict) -> bool:
             and not any(s.get("add_prefix_space") for s in steps))
 
 
+def _last_of_word(spec: dict, size: int) -> np.ndarray | None:
+    """Whether each id ends a word, if a run of ASCII letters is always one match
+    whose last token alone carries the model's suffix; else None."""
+    model = spec["model"]
+    suffix = model.get("end_of_word_suffix")
+    pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    if (model.get("type") != "BPE" or not suffix or suffix.isalpha() or model.get("dropout")
+            or r"|[\p{L}]+|" not in pattern
+            or any(t["content"].isalpha() for t in spec.get("added_tokens", []))):
+        return None
+    last = np.zeros(size, bool)
+    last[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+    return last
+
+
 def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
     if "://" not in folder and not folder.startswith("file:"):
         return fs.LocalFileSystem(), folder
@@ -175,7 +208,7 @@ def _writer(path: str, end_id: int | None, folder: str):
 
         def chunks():
             for batch in small_batches(batches, "text"):
-                texts = [t.encode() if t is not None else b"" for t in batch.column("text").to_pylist()]
+                texts = batch.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()
                 packed = coder.encode(texts)
                 sizes.append(np.array([len(p) + len(end) for p in packed], np.int64) // coder.dtype.itemsize)
                 ids.append(batch.column("doc_id").fill_null(NO_ID).to_numpy())

@@ -58,3 +58,17 @@ def test_query_matches_brute_force(spark):
     got = sorted(tuple(r) for r in op9_token_files(spark, sf).select(
         "doc_id", "start", "n_tokens", "ids_crc32").collect())
     assert got == sorted(expected(rows, plain))
+
+
+def test_words_of_letters_are_told_apart_without_offsets(monkeypatch):
+    """Their ids are the tokenizer's own; only other words ask for offsets."""
+    import random
+    rng = random.Random(9)
+    words = ["".join(rng.choices("aeinorstXQz", k=rng.randrange(1, 14))) for _ in range(700)] + ["don't", "x1", "ünd", "re"]
+    coder, asked = token_files.WordTokenizer(PATH), []
+    slow = coder._by_offsets
+    monkeypatch.setattr(coder, "_by_offsets", lambda own: asked.extend(own) or slow(own))
+    plain = tokenizers.Tokenizer.from_file(PATH)
+    got = coder.encode([" ".join(words).encode()])[0]
+    assert np.frombuffer(got, coder.dtype).tolist() == plain.encode(" ".join(words), add_special_tokens=False).ids
+    assert sorted(asked) == sorted(w.encode() for w in ["don't", "x1", "ünd"])
