@@ -113,6 +113,32 @@ class DayEnds(StatefulProcessor):
         pass
 
 
+#: Device-days whose ends a task collects before it passes them on.
+_HELD_DAYS = 100_000
+
+
+def _ends_of_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Before the shuffle: the last reading of each device-day among a task's rows
+    (the one that ``DayEnds`` takes), so that a busy device sends a row a day and
+    task instead of its readings."""
+    columns = ["device", "date", "micros", "reading_id", "air_temperature"]
+    days = ["device", "date"]
+
+    def last(frame: pd.DataFrame) -> pd.DataFrame:
+        top = frame[frame["micros"] == frame.groupby(days, sort=False)["micros"].transform("max")]
+        return top.sort_values("reading_id").drop_duplicates(days)
+
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        held.append(last(frame))
+        if len(held) >= 64:
+            held = [last(pd.concat(held))]
+            if len(held[0]) > _HELD_DAYS:
+                yield held.pop()[columns]
+    if held:
+        yield last(pd.concat(held))[columns]
+
+
 def day_ends(cleaned: DataFrame) -> DataFrame:
     """The days of each device that a micro-batch of cleaned readings changes
     (those with readings in it, and the next one that has any), each with the
@@ -121,6 +147,7 @@ def day_ends(cleaned: DataFrame) -> DataFrame:
     rows = (cleaned.filter("date IS NOT NULL")
             .select(F.coalesce(F.concat(F.lit("d"), "device_id"), F.lit("n")).alias("device"), "date", F.unix_micros(F.col("processing_timestamp")).alias("micros"),
                     F.coalesce("reading_id", F.lit("")).alias("reading_id"), "air_temperature"))
+    rows = rows.mapInPandas(_ends_of_task, rows.schema)
     return rows.groupBy("device").transformWithStateInPandas(
         statefulProcessor=DayEnds(), outputStructType=EDGES, outputMode="Update", timeMode="None")
 

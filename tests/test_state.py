@@ -104,3 +104,21 @@ def test_corrected_stream_keeps_no_table_of_all_days(spark):
     assert rows["r00"].time_diff == 24 * 60 + 4 * 60 - 2 and rows["r00"].tair_step == 10.0 - 16.0
     assert rows["r10"].time_diff is None and rows["r12"].time_diff == 2.0
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != list(state.CONF.values())[0]
+
+
+def test_a_task_passes_on_one_row_a_device_day():
+    """What is shuffled to the state does not grow with the readings of a day; the
+    row is the one that the state would take (latest, then least id)."""
+    import pandas as pd
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["da", "db", "n"]), rng.choice(["2024-01-01", "2024-01-02"]), rng.randrange(40),
+             f"r{rng.randrange(30)}", rng.choice([None, 1.0, 2.0])) for _ in range(2000)]
+    frames = [pd.DataFrame(rows[i:i + 20], columns=["device", "date", "micros", "reading_id", "air_temperature"])
+              for i in range(0, len(rows), 20)]
+    got = pd.concat(state._ends_of_task(iter(frames)))
+    want = {}
+    for device, date, micros, rid, _ in rows:
+        want[device, date] = min(want.get((device, date), (1, "")), (-micros, rid))
+    assert {(r.device, r.date): (-r.micros, r.reading_id) for r in got.itertuples()} == want
+    assert len(got) == 6
