@@ -51,7 +51,8 @@ def parse_and_dedup(df: DataFrame, ts_col: str = "processing_timestamp",
     (device, timestamp)."""
     if dict(df.dtypes).get(ts_col) == "string":
         df = df.withColumn(ts_col, F.to_timestamp(F.col(ts_col)))
-    return dedup(df, (key, ts_col))
+    # the time first: rows are ordered by it alone but for ties
+    return dedup(df, (ts_col, key))
 
 
 def with_previous(df: DataFrame, columns: Sequence[str],
@@ -100,7 +101,8 @@ def with_previous(df: DataFrame, columns: Sequence[str],
     own = ~F.col("_ctx")
 
     # Bucket-level table: one row per (partition, group, bucket).
-    gb = pkeys + gkeys + ["_bkt"]
+    # The bucket first: sorts compare it before the (few) keys.
+    gb = ["_bkt"] + pkeys + gkeys
     part_aggs = ([F.count(F.when(own, F.col(c))).alias(f"_cnt_{n}") for n, c in counts.items()]
                  + [F.sum(F.when(own, F.col(c))).alias(f"_sum_{n}") for n, c in sums.items()])
     # Last row of each bucket, one max_by per column over a LONG ordering

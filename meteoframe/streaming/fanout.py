@@ -48,7 +48,7 @@ from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, BooleanType, DateType, DoubleType, StringType, StructField, StructType,
                                TimestampType)
@@ -250,12 +250,15 @@ def dated_slots(rows: DataFrame) -> DataFrame:
     return aggregate.slot_availability(rows).withColumn("date", F.to_date("slot_start"))
 
 
+def _is_dead() -> Column:
+    return F.col("reading_id").isNull() | F.col("processing_timestamp").isNull()
+
+
 def split_dead_letters(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): bad rows could not be decoded (no reading id) or have
     envelope text but no event time."""
-    bad_cond = F.col("reading_id").isNull() | F.col("processing_timestamp").isNull()
-    good = flat.filter(~bad_cond).drop("_raw")
-    bad = flat.filter(bad_cond).select(F.col("_raw").alias("value"),
+    good = flat.filter(~_is_dead()).drop("_raw")
+    bad = flat.filter(_is_dead()).select(F.col("_raw").alias("value"),
                                        F.current_timestamp().alias("rejected_at"))
     return good, bad
 
@@ -270,6 +273,9 @@ class FanOut:
         self.metrics: deque = deque(maxlen=100)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        if "_raw" in batch_df.columns:
+            # only dead letters need their text: it would be most of what is kept
+            batch_df = batch_df.withColumn("_raw", F.when(_is_dead(), F.col("_raw")))
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
@@ -294,7 +300,7 @@ class FanOut:
             if counts["dead_letter"]["rows"]:
                 t.write_batch("dead_letter", bad, batch_id)
         fresh = self.new_readings(spark, good, batch_id, firsts).persist(StorageLevel.MEMORY_AND_DISK)
-        cleaned = clean.clean_readings(fresh).persist(StorageLevel.MEMORY_AND_DISK)
+        cleaned = clean.clean_readings(fresh)      # a projection of kept rows, cheaper than a copy of them
         try:
             found = fresh.agg(F.count(F.lit(1)).alias("rows"),
                               F.count_if(F.col("valid") == F.lit(True)).alias("valid"),
@@ -307,7 +313,6 @@ class FanOut:
             if found["valid"]:
                 self.derive(spark, cleaned, fresh, found["dates"], edges, batch_id, counts)
         finally:
-            cleaned.unpersist()
             fresh.unpersist()
         self.metrics.append((batch_id, counts))
         log.info("batch %s: %s", batch_id, counts)
@@ -317,8 +322,10 @@ class FanOut:
         calendar days of the batch's event times."""
         t = self.t
         of_clean, of_qc = Observation(f"clean_{batch_id}"), Observation(f"qc_{batch_id}")
-        scored = anomaly.impute_and_score(cleaned, mode=t.mode, by=t.stats_by, stats=t.statistics(spark))
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        # the statistics (a row, or one per key) are kept, the rows are scored where they are needed
+        stats = t.statistics(spark) if t.stats else anomaly.reference_stats(cleaned, by=t.stats_by)
+        stats = stats.persist()
+        scored = anomaly.impute_and_score(cleaned, mode=t.mode, by=t.stats_by, stats=stats)
         try:
             t.write_clean(scored, batch_id, (of_clean, [
                 F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_anomaly")).alias("anomalies"),
@@ -344,7 +351,7 @@ class FanOut:
                 F.count_if(F.size("qc_failed_checks") > 0).alias("with_failures"),
                 F.count_if(F.size("qc_warning_checks") > 0).alias("with_warnings")]))
         finally:
-            scored.unpersist()
+            stats.unpersist()
         counts.update(clean=of_clean.get, qc=of_qc.get)
 
     # ------------------------------------------------------------- new readings
@@ -366,8 +373,8 @@ class FanOut:
         days = [r[0] for r in keyed.select("_date").distinct().collect()]      # calendar days
         known = (self.t.stored(spark, "keys", days, KEYS).filter(F.col("batch_id") != str(batch_id))
                  .select("reading_id", F.col("date").alias("_date")))
-        once = series.dedup(keyed, ("_date", "reading_id"), ("processing_timestamp",))
-        return once.join(known, ["_date", "reading_id"], "left_anti").select(good.columns)
+        once = series.dedup(keyed, ("reading_id", "_date"), ("processing_timestamp",))
+        return once.join(known, ["reading_id", "_date"], "left_anti").select(good.columns)
 
     def other_keys(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """Keys of all dates that other batches have stored."""

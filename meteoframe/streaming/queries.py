@@ -11,35 +11,47 @@ from ..operators import aggregate, anomaly
 from ..plans import oracle as O
 from ..plans import pipeline
 from ..plans.queries import DAILY_SQL, FLAT, QC_CORRECTED_SQL, SLOT_CALENDAR_SQL, qc_result, rounded_daily
-from ..session import scratch_path
+from ..session import input_bytes, scratch_path
 from ..sources import envelope
-from ..sources.tables import load_readings
+from ..sources.tables import load_readings, table_path
 from . import fanout, sources
 
 STREAM_QUERIES: dict = {}
 STREAM_ORACLE: dict = {}
 
 N_FILES = 4
+#: Bytes of the events table that one task writes as envelopes.
+PART_BYTES = 16 << 20
+
+
+def _parts(spark, sf_dir) -> int:
+    """Files that one micro-batch comes in: one for a small table, else as many
+    as keep a file's size about the same however large the table is."""
+    return max(1, -(-input_bytes(spark, table_path(sf_dir, "events")) // (N_FILES * PART_BYTES)))
 
 
 def _envelope_files(spark, sf_dir, order_by=None) -> str:
-    """The readings as envelope files; ``order_by`` is a column that decides
-    which file a reading is in (event time if None)."""
+    """The readings as envelope files, ``N_FILES`` times those of a micro-batch;
+    ``order_by`` is a column that decides which file a reading is in (event time
+    if None)."""
     src = scratch_path(spark, "stream-src")
     readings = load_readings(spark, sf_dir)
+    files = N_FILES * _parts(spark, sf_dir)
     if order_by is None:
-        sources.write_envelope_files(readings, src, N_FILES)
+        sources.write_envelope_files(readings, src, files)
     else:
-        rows = readings.repartitionByRange(N_FILES, order_by)
+        # few distinct values (hours) are dealt over many files too
+        more = [F.xxhash64("reading_id")] if files > N_FILES else []
+        rows = readings.repartitionByRange(files, order_by, *more)
         envelope.encode_envelope(rows).select("value").write.mode("overwrite").text(src)
     return src
 
 
-def _run(spark, src, one_batch=False, **targets) -> fanout.Targets:
+def _run(spark, sf_dir, src, one_batch=False, **targets) -> fanout.Targets:
     """The pipeline over the files at default settings, to completion. What it
     returns does not depend on the order in which files are read."""
     t = fanout.Targets(root=scratch_path(spark, "stream-tables"), **targets)
-    raw = sources.read_envelope_files(spark, src, None if one_batch else 1)
+    raw = sources.read_envelope_files(spark, src, None if one_batch else _parts(spark, sf_dir))
     fanout.start_pipeline(spark, raw, t, checkpoint=scratch_path(spark, "stream-ckpt"),
                           available_now=True).awaitTermination()
     return t
@@ -80,14 +92,14 @@ def _dates_as_text(df):
 def stream_fanout(spark, sf_dir):
     """The daily table of one micro-batch over all readings, every column: the
     statistics of ``as_written`` are the batch's own."""
-    t = _run(spark, _envelope_files(spark, sf_dir), one_batch=True)
+    t = _run(spark, sf_dir, _envelope_files(spark, sf_dir), one_batch=True)
     return rounded_daily(_dates_as_text(spark.read.parquet(t.path("daily"))))
 
 
 def stream_newest_first(spark, sf_dir):
     """Readings sent newest first over several micro-batches: all are kept."""
     src = _envelope_files(spark, sf_dir, F.col("processing_timestamp").desc())
-    t = _run(spark, src)
+    t = _run(spark, sf_dir, src)
     return spark.read.parquet(t.path("raw")).select(
         F.get_json_object("data", "$.reading_id").alias("reading_id"))
 
@@ -97,7 +109,8 @@ def _sent_twice(spark, sf_dir) -> str:
     under the same id with its event time a day and an hour on."""
     src = _envelope_files(spark, sf_dir)
     at = F.col("processing_timestamp") + F.expr("INTERVAL 25 HOURS")
-    rows = load_readings(spark, sf_dir).withColumn("processing_timestamp", at).repartitionByRange(N_FILES, at)
+    rows = load_readings(spark, sf_dir).withColumn("processing_timestamp", at).repartitionByRange(
+        N_FILES * _parts(spark, sf_dir), at)
     envelope.encode_envelope(rows).select("value").write.mode("append").text(src)
     return src
 
@@ -105,7 +118,7 @@ def _sent_twice(spark, sf_dir) -> str:
 def stream_unique_ids(spark, sf_dir):
     """Readings sent again with another event date, over several micro-batches:
     of every id the one sent first is kept."""
-    t = _run(spark, _sent_twice(spark, sf_dir), unique_ids=True)
+    t = _run(spark, sf_dir, _sent_twice(spark, sf_dir), unique_ids=True)
     return _dates_as_text(spark.read.parquet(t.path("clean"))).select(
         "reading_id", "device_id", "processing_timestamp", "date")
 
@@ -113,7 +126,7 @@ def stream_unique_ids(spark, sf_dir):
 def stream_daily_corrected(spark, sf_dir):
     """The corrected daily table, every column, from micro-batches cut by the
     hour of the day, with reference statistics."""
-    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")),
+    t = _run(spark, sf_dir, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")),
              mode=P.CORRECTED, stats=_statistics(spark, sf_dir))
     return rounded_daily(_dates_as_text(spark.read.parquet(t.path("daily"))))
 
@@ -121,27 +134,27 @@ def stream_daily_corrected(spark, sf_dir):
 def stream_qc_corrected(spark, sf_dir):
     """The corrected audit, every check, from micro-batches cut by the hour of
     the day: whole days are recomputed, so the cut does not show."""
-    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), mode=P.CORRECTED)
+    t = _run(spark, sf_dir, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), mode=P.CORRECTED)
     return qc_result(_dates_as_text(spark.read.parquet(t.path("qc"))))
 
 
 def stream_qc_newest_first(spark, sf_dir):
     """The corrected audit from micro-batches that come newest first: every
     batch precedes what the state store remembers."""
-    t = _run(spark, _envelope_files(spark, sf_dir, F.col("processing_timestamp").desc()), mode=P.CORRECTED)
+    t = _run(spark, sf_dir, _envelope_files(spark, sf_dir, F.col("processing_timestamp").desc()), mode=P.CORRECTED)
     return qc_result(_dates_as_text(spark.read.parquet(t.path("qc"))))
 
 
 def stream_slot_availability(spark, sf_dir):
     """Readings per device and 15-minute slot, kept up to date by date as
     micro-batches arrive in any order; every slot is there at the end."""
-    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), slots=True)
+    t = _run(spark, sf_dir, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), slots=True)
     return spark.read.parquet(t.path("slots")).drop("date")
 
 
 def stream_slot_calendar(spark, sf_dir):
     """The slots of the stream's table and the empty ones between them."""
-    t = _run(spark, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), slots=True)
+    t = _run(spark, sf_dir, _envelope_files(spark, sf_dir, F.hour("processing_timestamp")), slots=True)
     return aggregate.fill_slots(spark.read.parquet(t.path("slots")))
 
 

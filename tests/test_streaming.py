@@ -457,3 +457,25 @@ def test_unique_ids_without_the_state_store(spark):
     for k in (0, 1, 1, 2, 2):
         fanout.FanOut(t)(flat_df(spark, [reading(reading_id=i, processing_timestamp=day(d)) for i, d in batches[k]]), k)
     assert _first_sent(spark, t) == [(i, str(day(d))) for i, d in (("a", 2), ("b", 2), ("c", 3), ("d", 1))]
+
+
+def test_only_dead_letters_keep_their_text(spark, monkeypatch):
+    """The text of a readable envelope is not kept with the batch."""
+    lines = [json.dumps(_envelope(i)) for i in range(4)] + ["not json"]
+    batch = sources.decode_stream(spark.createDataFrame([(x,) for x in lines], "value string"), P.CORRECTED)
+    f, seen = fanout.FanOut(fanout.Targets(root=scratch_path(spark, "t-tables"))), []
+    monkeypatch.setattr(f, "process", lambda kept, batch_id: seen.extend(r["_raw"] for r in kept.collect()))
+    f(batch, 0)
+    assert sorted(seen, key=str) == [None] * 4 + ["not json"]
+
+
+def test_larger_tables_come_in_more_files(spark, monkeypatch):
+    """A micro-batch's files keep their size; the micro-batches stay as many."""
+    from meteoframe.streaming import queries
+    assert queries._parts(spark, SF_SMALL) == 1
+    monkeypatch.setattr(queries, "PART_BYTES", 2000)
+    parts = queries._parts(spark, SF_SMALL)
+    src = queries._envelope_files(spark, SF_SMALL, F.hour("processing_timestamp"))
+    files = [n for n in os.listdir(src) if n.startswith("part-") and os.path.getsize(os.path.join(src, n))]
+    assert parts > 1 and 4 * parts * 0.7 < len(files) <= 4 * parts
+    assert spark.read.text(src).count() == load_readings(spark, SF_SMALL).count()
